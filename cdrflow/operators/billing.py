@@ -70,11 +70,15 @@ def price_invoice(df: DataFrame, params: Params = Params()) -> DataFrame:
         one = F.lit(1.0)
     else:
         disc, vat, fee, one = dec(params.discount), dec(params.vat), dec(params.fee), dec(1)
-    return (
-        df.withColumn("discount_pct", disc)
-        .withColumn("after_discount", F.col("amount_before_tax") * (one - F.col("discount_pct")))
-        .withColumn("tax", F.col("after_discount") * vat)
-        .withColumn("amount_due", F.round(F.col("after_discount") + F.col("tax") + fee, 2))
+    after = F.col("amount_before_tax") * (one - disc)
+    tax = after * vat
+    return df.withColumns(
+        {
+            "discount_pct": disc,
+            "after_discount": after,
+            "tax": tax,
+            "amount_due": F.round(after + tax + fee, 2),
+        }
     )
 
 
@@ -89,10 +93,13 @@ def _zero_fill(df: DataFrame, params: Params) -> DataFrame:
         zero, disc = F.lit(0.0), F.lit(float(params.discount))
     else:
         zero, disc = F.lit(0), dec(params.discount)
-    out = df
-    for c in ("voice_total", "sms_total", "data_total", "amount_before_tax", "after_discount", "tax", "amount_due"):
-        out = out.withColumn(c, F.coalesce(F.col(c), zero.cast(df.schema[c].dataType)))
-    return out.withColumn("discount_pct", F.coalesce(F.col("discount_pct"), disc.cast(df.schema["discount_pct"].dataType)))
+    schema = df.schema
+    fills = {
+        c: F.coalesce(F.col(c), zero.cast(schema[c].dataType))
+        for c in ("voice_total", "sms_total", "data_total", "amount_before_tax", "after_discount", "tax", "amount_due")
+    }
+    fills["discount_pct"] = F.coalesce(F.col("discount_pct"), disc.cast(schema["discount_pct"].dataType))
+    return df.withColumns(fills)
 
 
 def invoices_for_months(

@@ -87,14 +87,15 @@ def price(df: DataFrame, boundary: str = "whole_units", money: str = "decimal")
         boundary=boundary,
         money_mode=money,
     )
-    return (
-        df.withColumn("cost", cost)
-        .withColumn("review_flag", F.col("rating_status") == "needs_review")
-        .withColumn(
-            "rating_status",
-            F.when(F.col("cost").isNull(), F.lit("unmatched")).otherwise(F.lit("rated")),
-        )
-        .withColumn("billing_period", F.date_format(F.col("timestamp"), "yyyy-MM"))
+    priced = df.withColumns(
+        {
+            "cost": cost,
+            "review_flag": F.col("rating_status") == "needs_review",
+            "billing_period": F.date_format(F.col("timestamp"), "yyyy-MM"),
+        }
+    )
+    return priced.withColumn(
+        "rating_status", F.when(F.col("cost").isNull(), F.lit("unmatched")).otherwise(F.lit("rated"))
     )
 
 

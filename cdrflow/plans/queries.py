@@ -54,17 +54,17 @@ def q_encode_decode_roundtrip(spark, sf_dir):
     same record."""
     cdrs = fixture_cdrs(spark, sf_dir)
     cols = schemas.RAW_CDR.fieldNames()
-    value = F.to_json(F.struct(*cols), {"timestampFormat": cdr_json.JSON_TIMESTAMP_FORMAT})
-    back = F.from_json(value, schemas.RAW_CDR)
+    msgs = cdrs.select(
+        F.struct(*cols).alias("orig"),
+        cdr_json.message_key(F.col("record_ID")).alias("key"),
+        F.to_json(F.struct(*cols), {"timestampFormat": cdr_json.JSON_TIMESTAMP_FORMAT}).alias("value"),
+    )
+    decoded = msgs.select("orig", "key", F.from_json("value", schemas.RAW_CDR).alias("back"))
     same = None
     for c in cols:
-        eq = F.col(c).eqNullSafe(back.getField(c))
+        eq = F.col(f"orig.{c}").eqNullSafe(F.col(f"back.{c}"))
         same = eq if same is None else same & eq
-    return cdrs.select(
-        cdr_json.message_key(F.col("record_ID")).alias("key"),
-        "record_ID",
-        same.alias("roundtrip_ok"),
-    )
+    return decoded.select("key", F.col("orig.record_ID").alias("record_ID"), same.alias("roundtrip_ok"))
 
 
 def q_dim_insert_absent(spark, sf_dir):

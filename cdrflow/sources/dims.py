@@ -47,8 +47,41 @@ RATE_PLAN_ROWS = [
 ]
 
 
+def _sql_literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, (int, Decimal)):
+        return str(value)
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def literal_table(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small literal table as an inline ``VALUES`` relation.
+
+    It lives in the plan itself (a local relation on the JVM side): no
+    Python workers, no scan, and a broadcast of it needs no Spark job.
+    """
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    names = [f.name for f in schema.fields]
+    cols = ", ".join(f"CAST(col{i + 1} AS {f.dataType.simpleString()}) AS {f.name}" for i, f in enumerate(schema.fields))
+    df = spark.sql(f"SELECT {cols} FROM VALUES {values}")
+    return df.select(*names)
+
+
+_LOCAL: dict[tuple[int, str], DataFrame] = {}
+
+
+def _local(spark: SparkSession, name: str, rows, schema) -> DataFrame:
+    """A literal table, built once per session."""
+    key = (id(spark._jsparkSession), name)
+    if key not in _LOCAL:
+        _LOCAL[key] = literal_table(spark, rows, schema)
+    return _LOCAL[key]
+
+
 def product_catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PRODUCT_CATALOG_ROWS, schema=schemas.PRODUCT_CATALOG)
+    return _local(spark, "product_catalog", PRODUCT_CATALOG_ROWS, schemas.PRODUCT_CATALOG)
 
 
 def rate_plans(spark: SparkSession) -> DataFrame:
@@ -56,7 +89,7 @@ def rate_plans(spark: SparkSession) -> DataFrame:
         (plan, prod, svc, Decimal(price), free, thr, None if tier is None else Decimal(tier))
         for plan, prod, svc, price, free, thr, tier in RATE_PLAN_ROWS
     ]
-    return spark.createDataFrame(rows, schema=schemas.RATE_PLANS)
+    return _local(spark, "rate_plans", rows, schemas.RATE_PLANS)
 
 
 def typed_rate_plans(df: DataFrame) -> DataFrame:

@@ -124,7 +124,10 @@ def test_audit_counts_add_up(spark):
 
 
 def test_mediation_has_no_shuffle(spark):
-    admitted = mediation.admit(fixture_cdrs(spark, SF_SMALL), AS_OF)
+    from cdrflow.sources.fixtures import cdrs_from_events
+
+    raw = cdrs_from_events(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    admitted = mediation.admit(raw, AS_OF)
     plan = mediation.mediate(admitted)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
