@@ -44,6 +44,10 @@ class Params:
         if self.msisdn_mode not in MSISDN_MODES:
             raise ValueError(f"msisdn_mode must be one of {MSISDN_MODES}")
         dt.datetime.strptime(self.billing_month, "%Y-%m")
+        for name in ("discount", "vat", "fee"):
+            value = Decimal(str(getattr(self, name)))
+            if value.as_tuple().exponent < -6:
+                raise ValueError(f"{name} may have at most 6 decimals")
 
     def with_(self, **changes) -> "Params":
         return replace(self, **changes)

@@ -324,6 +324,24 @@ SELECT * FROM subs WHERE activation_date < DATE '2023-07-01'
 UNION ALL
 SELECT customer_id, upper(customer_name) AS customer_name, activation_date, subscription_type, status, region, rate_plan_id
 FROM subs WHERE NOT (activation_date < DATE '2023-07-01')""",
+    "product_dim": """
+SELECT c.product_code, c.service_type, c.unit, c.rate_type,
+  coalesce(t.records, 0) AS records, CAST(coalesce(t.units, 0) AS DOUBLE) AS billable_units
+FROM catalog c LEFT JOIN (
+  SELECT product_code, count(*) AS records,
+    sum(CASE WHEN record_type = 'voice'
+             THEN CAST(ceil(CASE WHEN duration_sec IS NULL OR duration_sec < 0 THEN 0 ELSE duration_sec END) AS DECIMAL(12,2))
+             WHEN record_type = 'sms' THEN CAST(1 AS DECIMAL(12,2))
+             ELSE coalesce(data_volume_mb, CAST(0 AS DECIMAL(12,2))) END) AS units
+  FROM mediated GROUP BY product_code) t ON c.product_code = t.product_code""",
+    "rate_plan_dim": """
+SELECT p.rate_plan_id, p.product_code, p.service_type, CAST(p.unit_price AS DOUBLE) AS unit_price, p.free_units,
+  p.tier_threshold, CAST(p.tier_price AS DOUBLE) AS tier_price,
+  coalesce(u.records, 0) AS records, CAST(coalesce(u.charged, 0) AS DOUBLE) AS charged
+FROM plans p LEFT JOIN (
+  SELECT rate_plan_id, product_code, count(*) AS records, sum(cost) AS charged
+  FROM rated WHERE rating_status = 'rated' GROUP BY rate_plan_id, product_code) u
+ON p.rate_plan_id = u.rate_plan_id AND p.product_code = u.product_code""",
     "filter_required": f'SELECT {RAW_OUT} FROM raw_cdr WHERE record_type IS NOT NULL AND "timestamp" IS NOT NULL',
     "filter_fresh": f"SELECT {RAW_OUT} FROM admitted",
     "split_by_type": _split_all(),

@@ -80,6 +80,37 @@ def q_dim_insert_absent(spark, sf_dir):
     return dims.insert_absent(existing, incoming.unionByName(incoming), ["customer_id"])
 
 
+def q_product_dim(spark, sf_dir):
+    """The product catalog seed rows with the mediated traffic of each
+    product (records and billable units).  A broadcast left join of the
+    pre-aggregated traffic onto the catalog."""
+    st = _st(spark, sf_dir)
+    traffic = rating.with_billable_units(st.mediated()).groupBy("product_code").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("billable_units").alias("billable_units")
+    )
+    out = st.catalog.join(traffic, "product_code", "left").select(
+        "product_code", "service_type", "unit", "rate_type",
+        F.coalesce("records", F.lit(0)).alias("records"),
+        F.coalesce("billable_units", F.lit(0).cast(schemas.UNITS)).alias("billable_units"),
+    )
+    return finish(out)
+
+
+def q_rate_plan_dim(spark, sf_dir):
+    """The typed tariff rows with the records each row priced and
+    the charge it produced."""
+    st = _st(spark, sf_dir)
+    used = billing.rated_only(st.rated()).groupBy("rate_plan_id", "product_code").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("cost").alias("charged")
+    )
+    out = dims.typed_rate_plans(st.plans).join(used, ["rate_plan_id", "product_code"], "left").select(
+        "rate_plan_id", "product_code", "service_type", "unit_price", "free_units", "tier_threshold", "tier_price",
+        F.coalesce("records", F.lit(0)).alias("records"),
+        F.coalesce("charged", F.lit(0).cast(schemas.MONEY)).alias("charged"),
+    )
+    return finish(out)
+
+
 # --- mediation ------------------------------------------------------------------------
 
 def q_filter_required(spark, sf_dir):
@@ -393,6 +424,8 @@ QUERIES: dict[str, Query] = {
     "decode_json": q_decode_json,
     "encode_decode_roundtrip": q_encode_decode_roundtrip,
     "dim_insert_absent": q_dim_insert_absent,
+    "product_dim": q_product_dim,
+    "rate_plan_dim": q_rate_plan_dim,
     "filter_required": q_filter_required,
     "filter_fresh": q_filter_fresh,
     "split_by_type": q_split_by_type,

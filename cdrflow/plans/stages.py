@@ -90,10 +90,11 @@ def run_batch(stages: Stages, out_dir: str, batch_id: int = 0, months: Sequence[
     }
     files.write_mediated(stages.mediated().withColumn("batch_id", F.lit(batch_id).cast("long")), paths["mediated"])
     mediated = files.read_mediated(spark, paths["mediated"]).drop("batch_id")
-    files.write_rated(stages.rated(mediated), paths["rated"])
-    rated = files.read_rated(spark, paths["rated"])
-    files.write_invoices(stages.invoices(months, rated=rated), paths["invoice"])
-    invoices = files.read_invoices(spark, paths["invoice"])
+    money = stages.params.money
+    files.write_rated(stages.rated(mediated), paths["rated"], money)
+    rated = files.read_rated(spark, paths["rated"], money)
+    files.write_invoices(stages.invoices(months, rated=rated), paths["invoice"], money)
+    invoices = files.read_invoices(spark, paths["invoice"], money)
     month_filter = F.col("billing_period").isin(*(months or [stages.params.billing_month]))
     for name, df in stages.reports(invoices.filter(month_filter), rated).items():
         files.write_report(df, f"{paths['report']}/{name}.csv")

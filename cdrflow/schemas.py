@@ -124,10 +124,27 @@ INVOICE = T.StructType(
         T.StructField("sms_total", MONEY),
         T.StructField("data_total", MONEY),
         T.StructField("amount_before_tax", MONEY),
-        T.StructField("discount_pct", T.DecimalType(4, 2)),
-        T.StructField("after_discount", T.DecimalType(24, 7)),
-        T.StructField("tax", T.DecimalType(28, 9)),
+        # Wide enough for rates with up to 6 decimals (Params checks this), so
+        # storing an invoice never rounds it.
+        T.StructField("discount_pct", T.DecimalType(9, 6)),
+        T.StructField("after_discount", T.DecimalType(38, 12)),
+        T.StructField("tax", T.DecimalType(38, 18)),
         T.StructField("amount_due", T.DecimalType(20, 2)),
         T.StructField("billing_period", T.StringType()),
     ]
 )
+
+# Money columns stored as double when a run uses ``money="double"``.
+MONEY_COLUMNS = {
+    "cost", "voice_total", "sms_total", "data_total", "amount_before_tax",
+    "discount_pct", "after_discount", "tax", "amount_due",
+}
+
+
+def storage_schema(schema: T.StructType, money: str = "decimal") -> T.StructType:
+    """The stored form of a stage table for a money mode."""
+    if money != "double":
+        return schema
+    return T.StructType(
+        [T.StructField(f.name, T.DoubleType(), f.nullable) if f.name in MONEY_COLUMNS else f for f in schema.fields]
+    )

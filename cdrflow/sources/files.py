@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdrflow import schemas
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of ``schema``, in its order, cast to its types."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_mediated(spark: SparkSession, path: str) -> DataFrame:
     """Mediated CDRs, partitioned ``record_type=/batch_id=``."""
     return spark.read.schema(schemas.MEDIATED_STORED).parquet(path)
 
 
-def read_rated(spark: SparkSession, path: str) -> DataFrame:
+def read_rated(spark: SparkSession, path: str, money: str = "decimal") -> DataFrame:
     """Rated CDRs, partitioned ``billing_period=yyyy-MM`` (read as string)."""
-    return spark.read.schema(schemas.RATED).parquet(path)
+    return spark.read.schema(schemas.storage_schema(schemas.RATED, money)).parquet(path)
 
 
-def read_invoices(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.INVOICE).parquet(path)
+def read_invoices(spark: SparkSession, path: str, money: str = "decimal") -> DataFrame:
+    return spark.read.schema(schemas.storage_schema(schemas.INVOICE, money)).parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite") -> None:
@@ -37,15 +44,15 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], mode: s
 
 
 def write_mediated(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    write_partitioned(df, path, ["record_type", "batch_id"], mode)
+    write_partitioned(conform(df, schemas.MEDIATED_STORED), path, ["record_type", "batch_id"], mode)
 
 
-def write_rated(df: DataFrame, path: str) -> None:
-    write_partitioned(df, path, ["billing_period"])
+def write_rated(df: DataFrame, path: str, money: str = "decimal") -> None:
+    write_partitioned(conform(df, schemas.storage_schema(schemas.RATED, money)), path, ["billing_period"])
 
 
-def write_invoices(df: DataFrame, path: str) -> None:
-    write_partitioned(df, path, ["billing_period"])
+def write_invoices(df: DataFrame, path: str, money: str = "decimal") -> None:
+    write_partitioned(conform(df, schemas.storage_schema(schemas.INVOICE, money)), path, ["billing_period"])
 
 
 def write_report(df: DataFrame, path: str, single_file: bool = True) -> None:
