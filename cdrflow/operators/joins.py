@@ -15,6 +15,28 @@ def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
     return dim.limit(max_rows + 1).count() <= max_rows
 
 
+def salted_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: list[str],
+    how: str,
+    buckets: int,
+    salt_source: str,
+) -> DataFrame:
+    """Equi-join that spreads every key over ``buckets`` shuffle partitions.
+
+    Each fact row gets a salt from a hash of ``salt_source`` (deterministic,
+    so a re-run task sees the same salt), each dimension row is repeated once
+    per salt value.  A subscriber with a third of all records is then joined
+    by ``buckets`` tasks instead of one; the dimension grows ``buckets``
+    times, so keep it small (8-64).
+    """
+    salt = F.pmod(F.xxhash64(F.col(salt_source)), F.lit(buckets)).cast("int")
+    salted_fact = fact.withColumn("_salt", salt)
+    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return salted_fact.join(salted_dim, on=[*on, "_salt"], how=how).drop("_salt")
+
+
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame,
@@ -22,6 +44,8 @@ def join_dimension(
     how: str = "inner",
     max_rows: int | None = None,
     trusted_small: bool = False,
+    salt_buckets: int | None = None,
+    salt_source: str | None = None,
 ) -> DataFrame:
     """Join a fact table to a dimension.
 
@@ -32,7 +56,14 @@ def join_dimension(
       ``spark.sql.autoBroadcastJoinThreshold``, sort-merge join beyond it,
       AQE splitting skewed keys at run time).
     * neither: the planner decides alone.
+
+    ``salt_buckets`` (with ``salt_source``, a column of the fact table) salts
+    the join when it is not broadcast, for clusters without AQE skew handling
+    or with extreme skew.
     """
     if trusted_small or (max_rows is not None and fits_broadcast(dim, max_rows)):
-        dim = F.broadcast(dim)
+        return fact.join(F.broadcast(dim), on=on, how=how)
+    if salt_buckets and salt_buckets > 1:
+        keys = [on] if isinstance(on, str) else list(on)
+        return salted_join(fact, dim, keys, how, salt_buckets, salt_source or keys[0])
     return fact.join(dim, on=on, how=how)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cdrflow import schemas
 from cdrflow.functions.cleaning import UNKNOWN, normalize_technology, voice_product
 from cdrflow.functions.msisdn import is_valid_msisdn
+from cdrflow.functions.reuse import per_jvm
 
 RECORD_TYPES = ("voice", "sms", "data")
 
@@ -83,6 +84,7 @@ def _valid_party(col: str, mode: str) -> Column:
     return F.coalesce(F.col(col).isNotNull() & is_valid_msisdn(col, mode), F.lit(False))
 
 
+@per_jvm
 def _keep(record_type: str, mode: str) -> Column:
     """Per-type validity: paying party present and well formed, and for voice
     a positive duration (a missing duration drops the record)."""
@@ -103,6 +105,7 @@ def _needs_review() -> Column:
     return F.col("data_volume_mb").isNull() | s.isNull() | (s < 0)
 
 
+@per_jvm
 def _expressions(mode: str) -> dict[str, Column]:
     """Output column -> expression, valid on admitted rows that passed ``_keep``."""
     rt = F.col("record_type")
@@ -142,12 +145,20 @@ def _with_missing(df: DataFrame) -> DataFrame:
 
 # --- cleaning ------------------------------------------------------------------
 
+@per_jvm
+def _keep_any(mode: str) -> Column:
+    return _keep("voice", mode) | _keep("sms", mode) | _keep("data", mode)
+
+
+@per_jvm
+def _mediated_columns(mode: str) -> list[Column]:
+    exprs = _expressions(mode)
+    return [exprs[c].alias(c) for c in schemas.MEDIATED_COLUMNS]
+
+
 def mediate(admitted: DataFrame, mode: str = "compat") -> DataFrame:
     """Validated, cleaned records of all three types (``schemas.MEDIATED``)."""
-    df = _with_missing(admitted)
-    keep = _keep("voice", mode) | _keep("sms", mode) | _keep("data", mode)
-    exprs = _expressions(mode)
-    return df.filter(keep).select(*[exprs[c].alias(c) for c in schemas.MEDIATED_COLUMNS])
+    return _with_missing(admitted).filter(_keep_any(mode)).select(*_mediated_columns(mode))
 
 
 def _clean_one(df: DataFrame, record_type: str, mode: str) -> DataFrame:
@@ -195,7 +206,7 @@ def mediation_audit(admitted: DataFrame, mode: str = "compat") -> DataFrame:
     and after cleaning (each of which would re-read the source).
     """
     df = _with_missing(admitted)
-    keep = _keep("voice", mode) | _keep("sms", mode) | _keep("data", mode)
+    keep = _keep_any(mode)
     return (
         df.groupBy("record_type")
         .agg(
@@ -211,7 +222,7 @@ def mediation_audit(admitted: DataFrame, mode: str = "compat") -> DataFrame:
 
 def audit_metrics(df: DataFrame, mode: str = "compat") -> list[Column]:
     """Aggregate expressions for ``DataFrame.observe`` (stream batch metrics)."""
-    keep = _keep("voice", mode) | _keep("sms", mode) | _keep("data", mode)
+    keep = _keep_any(mode)
     out = [F.count(F.lit(1)).alias("total")]
     for t in RECORD_TYPES:
         out.append(F.count(F.when(F.col("record_type") == t, 1)).alias(f"{t}_in"))

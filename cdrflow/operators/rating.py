@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdrflow.functions.tariff import billable_units as units_expr
+from cdrflow.functions.reuse import per_jvm
 from cdrflow.functions.tariff import charge
 from cdrflow.operators.joins import join_dimension
 from cdrflow.params import Params
@@ -37,9 +38,20 @@ def eligible(subscriptions: DataFrame, columns: tuple[str, ...] = ("customer_id"
     ).select(*columns)
 
 
-def join_plan(keyed: DataFrame, subscriptions: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """CDRs of eligible subscribers only, with their rate plan."""
-    return join_dimension(keyed, eligible(subscriptions), "customer_id", "inner", max_rows=max_rows)
+def join_plan(
+    keyed: DataFrame, subscriptions: DataFrame, max_rows: int | None = None, salt_buckets: int | None = None
+) -> DataFrame:
+    """CDRs of eligible subscribers only, with their rate plan.
+
+    Broadcast when the planner's size statistics (or a ``max_rows`` count)
+    show the subscriptions are small; otherwise a sort-merge join whose hot
+    subscriber keys AQE splits at run time, or, with ``salt_buckets``, a
+    salted join on (customer_id, hash(record_ID) mod buckets).
+    """
+    return join_dimension(
+        keyed, eligible(subscriptions), "customer_id", "inner",
+        max_rows=max_rows, salt_buckets=salt_buckets, salt_source="record_ID",
+    )
 
 
 def join_catalog(df: DataFrame, catalog: DataFrame, trusted_small: bool = True, max_rows: int | None = None) -> DataFrame:
@@ -64,10 +76,12 @@ def join_tariff(df: DataFrame, plans: DataFrame, trusted_small: bool = True, max
 
 
 def with_billable_units(df: DataFrame) -> DataFrame:
-    return df.withColumn(
-        "billable_units",
-        units_expr(F.col("record_type"), F.col("duration_sec"), F.col("data_volume_mb")),
-    )
+    return df.withColumn("billable_units", _units_column())
+
+
+@per_jvm
+def _units_column():
+    return units_expr(F.col("record_type"), F.col("duration_sec"), F.col("data_volume_mb"))
 
 
 def price(df: DataFrame, boundary: str = "whole_units", money: str = "decimal") -> DataFrame:
@@ -77,6 +91,12 @@ def price(df: DataFrame, boundary: str = "whole_units", money: str = "decimal")
     in the catalog), else ``rated``; the mediation review flag is kept as a
     boolean.  ``billing_period`` is the ``yyyy-MM`` of the event time.
     """
+    first, status = _price_columns(boundary, money)
+    return df.withColumns(first).withColumn("rating_status", status)
+
+
+@per_jvm
+def _price_columns(boundary: str, money: str):
     cost = charge(
         F.col("billable_units"),
         F.col("rate_type"),
@@ -87,16 +107,13 @@ def price(df: DataFrame, boundary: str = "whole_units", money: str = "decimal")
         boundary=boundary,
         money_mode=money,
     )
-    priced = df.withColumns(
-        {
-            "cost": cost,
-            "review_flag": F.col("rating_status") == "needs_review",
-            "billing_period": F.date_format(F.col("timestamp"), "yyyy-MM"),
-        }
-    )
-    return priced.withColumn(
-        "rating_status", F.when(F.col("cost").isNull(), F.lit("unmatched")).otherwise(F.lit("rated"))
-    )
+    first = {
+        "cost": cost,
+        "review_flag": F.col("rating_status") == "needs_review",
+        "billing_period": F.date_format(F.col("timestamp"), "yyyy-MM"),
+    }
+    status = F.when(F.col("cost").isNull(), F.lit("unmatched")).otherwise(F.lit("rated"))
+    return first, status
 
 
 RATED_COLUMNS = [
@@ -148,7 +165,7 @@ def rate(
             "rating_status",
         )
     )
-    joined = join_plan(keyed, subscriptions)
+    joined = join_plan(keyed, subscriptions, salt_buckets=params.join_salt_buckets)
     joined = join_catalog(joined, catalog, trusted_small=dims_trusted_small, max_rows=check)
     joined = join_tariff(joined, plans, trusted_small=dims_trusted_small, max_rows=check)
     rated = price(with_billable_units(joined), params.boundary, params.money)

@@ -35,6 +35,9 @@ class Params:
     msisdn_mode: str = "compat"
     # Largest dimension (rows) that may be broadcast after a size check.
     broadcast_max_rows: int = 2_000_000
+    # Salt the CDR x subscription join into this many buckets when it is not
+    # broadcast (None: rely on AQE skew-join splitting).
+    join_salt_buckets: int | None = None
 
     def __post_init__(self) -> None:
         if self.boundary not in BOUNDARIES:

@@ -18,7 +18,7 @@ from cdrflow import schemas
 from cdrflow.functions.msisdn import is_valid_msisdn
 from cdrflow.operators import billing, dedup, mediation, quality, rating, reports
 from cdrflow.params import FIXTURE_MONTHS, FIXTURE_PARAMS
-from cdrflow.plans.stages import Stages, fixture_stages
+from cdrflow.plans.stages import Stages, shared_fixture_stages
 from cdrflow.session import scratch_path
 from cdrflow.sources import cdr_json, dims, files
 from cdrflow.sources.fixtures import fixture_cdrs, fixture_subscribers
@@ -38,7 +38,7 @@ def finish(df: DataFrame) -> DataFrame:
 
 def _st(spark: SparkSession, sf_dir: str, **changes) -> Stages:
     params = FIXTURE_PARAMS.with_(**changes) if changes else FIXTURE_PARAMS
-    return fixture_stages(spark, sf_dir, params)
+    return shared_fixture_stages(spark, sf_dir, params)
 
 
 # --- sources ------------------------------------------------------------------------

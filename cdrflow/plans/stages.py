@@ -30,26 +30,45 @@ class Stages:
     plans: DataFrame
     params: Params = field(default_factory=Params)
     dims_trusted_small: bool = True
+    # Stage plans defined so far (lazy DataFrames, not data), keyed by name.
+    # Only used when ``reuse_plans`` is set: then the inputs must not be
+    # replaced after the first call.
+    reuse_plans: bool = False
+    _plans: dict = field(default_factory=dict, repr=False)
+
+    def _plan(self, key, build):
+        if not self.reuse_plans:
+            return build()
+        if key not in self._plans:
+            self._plans[key] = build()
+        return self._plans[key]
 
     # -- mediation
     def admitted(self) -> DataFrame:
-        return mediation.admit(self.raw, self.params.as_of)
+        return self._plan("admitted", lambda: mediation.admit(self.raw, self.params.as_of))
 
     def mediated(self) -> DataFrame:
-        return mediation.mediate(self.admitted(), self.params.msisdn_mode)
+        return self._plan("mediated", lambda: mediation.mediate(self.admitted(), self.params.msisdn_mode))
 
     # -- rating
     def rated(self, mediated: DataFrame | None = None, params: Params | None = None) -> DataFrame:
         p = params or self.params
-        m = self.mediated() if mediated is None else mediated
-        return rating.rate(m, self.subscriptions, self.catalog, self.plans, p, self.dims_trusted_small)
+        if mediated is None and params is None:
+            return self._plan("rated", lambda: self._rate(self.mediated(), p))
+        return self._rate(self.mediated() if mediated is None else mediated, p)
+
+    def _rate(self, mediated: DataFrame, p: Params) -> DataFrame:
+        return rating.rate(mediated, self.subscriptions, self.catalog, self.plans, p, self.dims_trusted_small)
 
     # -- billing
     def invoices(self, months: Sequence[str] | None = None, rated: DataFrame | None = None) -> DataFrame:
-        r = self.rated() if rated is None else rated
-        return billing.invoices_for_months(
-            r, self.subscriptions, list(months or [self.params.billing_month]), self.params
-        )
+        months = list(months or [self.params.billing_month])
+
+        def build():
+            r = self.rated() if rated is None else rated
+            return billing.invoices_for_months(r, self.subscriptions, months, self.params)
+
+        return self._plan(("invoices", tuple(months)), build) if rated is None else build()
 
     # -- reports
     def reports(self, invoices: DataFrame | None = None, rated: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -63,7 +82,9 @@ class Stages:
         }
 
 
-def fixture_stages(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Stages:
+def fixture_stages(
+    spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS, reuse_plans: bool = False
+) -> Stages:
     """Stages over the CDRs and subscribers derived from the driver tables."""
     return Stages(
         raw=fixture_cdrs(spark, sf_dir),
@@ -71,9 +92,23 @@ def fixture_stages(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PA
         catalog=dims.product_catalog(spark),
         plans=dims.rate_plans(spark),
         params=params,
+        reuse_plans=reuse_plans,
     )
 
 
+_SHARED: dict = {}
+
+
+def shared_fixture_stages(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Stages:
+    """One ``Stages`` per (session, sf_dir, params) whose stage plans are
+    defined once and shared by every query, like views registered once.
+    Executing a query still runs its whole plan."""
+    key = (id(spark._jsparkSession), sf_dir, params)
+    if key not in _SHARED:
+        _SHARED[key] = fixture_stages(spark, sf_dir, params, reuse_plans=True)
+    return _SHARED[key]
+
+
 def run_batch(stages: Stages, out_dir: str, batch_id: int = 0, months: Sequence[str] | None = None) -> dict[str, str]:
     """Write every stage's table under ``out_dir`` (a shared file system path).
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdrflow import schemas
+from cdrflow.functions.reuse import per_jvm
 
 
 def _digits(col: Column, n: int) -> Column:
@@ -61,6 +62,11 @@ def balance_input(df: DataFrame, min_partitions: int | None = None, key_col: str
 
 def cdrs_from_events(events: DataFrame) -> DataFrame:
     """One raw CDR per event, in the wire schema (``schemas.RAW_CDR``)."""
+    return events.select(*_cdr_columns())
+
+
+@per_jvm
+def _cdr_columns() -> list[Column]:
     e = F.col("event_id")
     v = F.col("value")
     kind = (
@@ -111,7 +117,7 @@ def cdrs_from_events(events: DataFrame) -> DataFrame:
     def only(kind_name: str, col: Column) -> Column:
         return F.when(kind == kind_name, col)
 
-    return events.select(
+    return [
         e.cast("string").alias("record_ID"),
         record_type.alias("record_type"),
         ts.alias("timestamp"),
@@ -126,7 +132,7 @@ def cdrs_from_events(events: DataFrame) -> DataFrame:
         only("data", volume).alias("data_volume_mb"),
         only("data", session).alias("session_duration_sec"),
         only("data", product).alias("product_code"),
-    )
+    ]
 
 
 def subscribers_from_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -155,13 +161,31 @@ def subscribers_from_customers(customer: DataFrame, nation: DataFrame, region: D
     )
 
 
+_DERIVED: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def _derived(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A derived table defined once per session (a lazy plan, like a view)."""
+    key = (id(spark._jsparkSession), sf_dir, name)
+    if key not in _DERIVED:
+        _DERIVED[key] = build()
+    return _DERIVED[key]
+
+
 def fixture_cdrs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdrs_from_events(load_table(spark, sf_dir, "events", balance="event_id"))
+    return _derived(
+        spark, sf_dir, "cdrs", lambda: cdrs_from_events(load_table(spark, sf_dir, "events", balance="event_id"))
+    )
 
 
 def fixture_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return subscribers_from_customers(
-        load_table(spark, sf_dir, "customer"),
-        load_table(spark, sf_dir, "nation"),
-        load_table(spark, sf_dir, "region"),
+    return _derived(
+        spark,
+        sf_dir,
+        "subscribers",
+        lambda: subscribers_from_customers(
+            load_table(spark, sf_dir, "customer"),
+            load_table(spark, sf_dir, "nation"),
+            load_table(spark, sf_dir, "region"),
+        ),
     )
