@@ -67,6 +67,25 @@ def write_report(df: DataFrame, path: str, single_file: bool = True) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+def stage_table(df: DataFrame, name: str, partitions: int | None = None, key: str | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    return a scan of it.
+
+    This cuts the lineage (a lost executor recomputes from the table, not
+    from the whole upstream plan) and, with ``partitions``/``key``, lays the
+    rows out in that many files so later scans split evenly.
+    """
+    from cdrflow.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    out = df
+    if partitions:
+        out = df.repartition(partitions, key) if key else df.repartition(partitions)
+    out.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_jdbc(df: DataFrame, table: str, options: dict[str, str], mode: str = "overwrite") -> None:
     """Replace a database table; ``truncate`` keeps its definition and grants."""
     opts = {"dbtable": table, "truncate": "true", **options}

@@ -173,9 +173,20 @@ def _derived(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 
 
 def fixture_cdrs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(
-        spark, sf_dir, "cdrs", lambda: cdrs_from_events(load_table(spark, sf_dir, "events", balance="event_id"))
-    )
+    """The CDR feed derived from ``events``, staged once per session.
+
+    It stands in for the CDR source table: written as a Parquet table in the
+    shared checkpoint folder, in as many files as the cluster has cores, and
+    scanned by every query from there.
+    """
+    from cdrflow.sources.files import stage_table
+
+    def build():
+        events = load_table(spark, sf_dir, "events")
+        parts = max(spark.sparkContext.defaultParallelism, events.rdd.getNumPartitions())
+        return stage_table(cdrs_from_events(events), "cdr-feed", partitions=parts, key="record_ID")
+
+    return _derived(spark, sf_dir, "cdrs", build)
 
 
 def fixture_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
