@@ -43,9 +43,10 @@ def join_plan(
 ) -> DataFrame:
     """CDRs of eligible subscribers only, with their rate plan.
 
-    Broadcast when the planner's size statistics (or a ``max_rows`` count)
-    show the subscriptions are small; otherwise a sort-merge join whose hot
-    subscriber keys AQE splits at run time, or, with ``salt_buckets``, a
+    The subscription side is broadcast only when a bounded row count proves
+    it has at most ``max_rows`` eligible rows (the planner's own estimate of
+    a derived or JDBC table is unreliable); otherwise a sort-merge join whose
+    hot subscriber keys AQE splits at run time, or, with ``salt_buckets``, a
     salted join on (customer_id, hash(record_ID) mod buckets).
     """
     return join_dimension(
@@ -165,7 +166,9 @@ def rate(
             "rating_status",
         )
     )
-    joined = join_plan(keyed, subscriptions, salt_buckets=params.join_salt_buckets)
+    joined = join_plan(
+        keyed, subscriptions, max_rows=params.broadcast_max_rows, salt_buckets=params.join_salt_buckets
+    )
     joined = join_catalog(joined, catalog, trusted_small=dims_trusted_small, max_rows=check)
     joined = join_tariff(joined, plans, trusted_small=dims_trusted_small, max_rows=check)
     rated = price(with_billable_units(joined), params.boundary, params.money)
