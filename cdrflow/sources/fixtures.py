@@ -190,13 +190,16 @@ def fixture_cdrs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(
-        spark,
-        sf_dir,
-        "subscribers",
-        lambda: subscribers_from_customers(
+    """Subscriptions derived from customer/nation/region, staged once per
+    session as a Parquet table (the stand-in for the subscription table)."""
+    from cdrflow.sources.files import stage_table
+
+    def build():
+        subs = subscribers_from_customers(
             load_table(spark, sf_dir, "customer"),
             load_table(spark, sf_dir, "nation"),
             load_table(spark, sf_dir, "region"),
-        ),
-    )
+        )
+        return stage_table(subs, "subscriptions")
+
+    return _derived(spark, sf_dir, "subscribers", build)
