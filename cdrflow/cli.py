@@ -104,9 +104,9 @@ def cmd_report(spark, a):
     rated = files.read_rated(spark, a.rated, p.money)
     out = a.out.rstrip("/")
     files.write_report(reports.top_customers(invoices, p.money), f"{out}/sortedCustomersByInvoices.csv")
-    files.write_report(reports.revenue_by_plan(invoices), f"{out}/revenueByPlan.csv")
-    files.write_report(reports.revenue_by_region_plan(invoices), f"{out}/planByRegion.csv")
-    files.write_report(reports.product_cost(rated, p.money), f"{out}/product_cost_analysis.csv")
+    files.write_report(reports.revenue_by_plan(invoices), f"{out}/revenueByPlan.csv", single_file=True)
+    files.write_report(reports.revenue_by_region_plan(invoices), f"{out}/planByRegion.csv", single_file=True)
+    files.write_report(reports.product_cost(rated, p.money), f"{out}/product_cost_analysis.csv", single_file=True)
 
 
 def cmd_demo(spark, a):

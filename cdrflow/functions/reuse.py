@@ -19,7 +19,7 @@ def per_jvm(fn):
     @functools.wraps(fn)
     def wrapper(*args):
         sc = SparkContext._active_spark_context
-        key = (id(sc._jsc) if sc is not None else None, args)
+        key = (sc.applicationId if sc is not None else None, args)
         if key not in cache:
             cache[key] = fn(*args)
         return cache[key]

@@ -96,17 +96,17 @@ def fixture_stages(
     )
 
 
-_SHARED: dict = {}
-
-
 def shared_fixture_stages(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Stages:
     """One ``Stages`` per (session, sf_dir, params) whose stage plans are
     defined once and shared by every query, like views registered once.
     Executing a query still runs its whole plan."""
-    key = (id(spark._jsparkSession), sf_dir, params)
-    if key not in _SHARED:
-        _SHARED[key] = fixture_stages(spark, sf_dir, params, reuse_plans=True)
-    return _SHARED[key]
+    from cdrflow.session import session_cache
+
+    cache = session_cache(spark)
+    key = ("stages", sf_dir, params)
+    if key not in cache:
+        cache[key] = fixture_stages(spark, sf_dir, params, reuse_plans=True)
+    return cache[key]
 
 
 def run_batch(stages: Stages, out_dir: str, batch_id: int = 0, months: Sequence[str] | None = None) -> dict[str, str]:
@@ -132,5 +132,5 @@ def run_batch(stages: Stages, out_dir: str, batch_id: int = 0, months: Sequence[
     invoices = files.read_invoices(spark, paths["invoice"], money)
     month_filter = F.col("billing_period").isin(*(months or [stages.params.billing_month]))
     for name, df in stages.reports(invoices.filter(month_filter), rated).items():
-        files.write_report(df, f"{paths['report']}/{name}.csv")
+        files.write_report(df, f"{paths['report']}/{name}.csv", single_file=name in files.BOUNDED_REPORTS)
     return paths

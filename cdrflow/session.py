@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import SparkSession
 
@@ -96,3 +97,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SESSION_CACHES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def session_cache(spark: SparkSession) -> dict:
+    """A dict that lives as long as ``spark`` (for plans defined once per
+    session).  Keyed by the session object and its application id, so a
+    stopped and re-created session never sees another session's plans."""
+    app = spark.sparkContext.applicationId
+    per_session = _SESSION_CACHES.setdefault(spark, {})
+    return per_session.setdefault(app, {})

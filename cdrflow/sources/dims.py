@@ -69,15 +69,15 @@ def literal_table(spark: SparkSession, rows, schema) -> DataFrame:
     return df.select(*names)
 
 
-_LOCAL: dict[tuple[int, str], DataFrame] = {}
-
-
 def _local(spark: SparkSession, name: str, rows, schema) -> DataFrame:
     """A literal table, built once per session."""
-    key = (id(spark._jsparkSession), name)
-    if key not in _LOCAL:
-        _LOCAL[key] = literal_table(spark, rows, schema)
-    return _LOCAL[key]
+    from cdrflow.session import session_cache
+
+    cache = session_cache(spark)
+    key = ("literal", name)
+    if key not in cache:
+        cache[key] = literal_table(spark, rows, schema)
+    return cache[key]
 
 
 def product_catalog(spark: SparkSession) -> DataFrame:

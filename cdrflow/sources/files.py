@@ -55,13 +55,18 @@ def write_invoices(df: DataFrame, path: str, money: str = "decimal") -> None:
     write_partitioned(conform(df, schemas.storage_schema(schemas.INVOICE, money)), path, ["billing_period"])
 
 
-def write_report(df: DataFrame, path: str, single_file: bool = True) -> None:
+# Reports with a bounded number of rows (plans, regions x plans, products).
+BOUNDED_REPORTS = ("revenueByPlan", "planByRegion", "product_cost_analysis")
+
+
+def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header, replacing the previous report.
 
-    Reports are aggregates (one row per plan, region or customer); with
-    ``single_file`` the already sorted result is written by one task, which
-    keeps the sort order in the file.  Turn it off for reports whose size
-    grows with the subscriber base.
+    A globally sorted report is written by range: part files in name order
+    hold consecutive ranges, so the order survives without funnelling the
+    rows through one task.  ``single_file`` (one task, one file) is for the
+    reports whose size is bounded by configuration (``BOUNDED_REPORTS``),
+    never for one that grows with the subscriber base.
     """
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)

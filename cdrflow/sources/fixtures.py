@@ -25,21 +25,21 @@ def _digits(col: Column, n: int) -> Column:
     return F.lpad(col.cast("string"), n, "0")
 
 
-_SCANS: dict[tuple[int, str, bool], DataFrame] = {}
-
-
 def load_table(spark: SparkSession, sf_dir: str, name: str, balance: str | None = None) -> DataFrame:
     """Scan of one driver table, set up once per session.
 
     The driver tables are read-only, so the scan (file listing, footer
     schema) is reused across queries like a registered table.
     """
+    from cdrflow.session import session_cache
+
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path, balance)
-    if key not in _SCANS:
+    cache = session_cache(spark)
+    key = ("scan", path, balance)
+    if key not in cache:
         df = spark.read.parquet(path)
-        _SCANS[key] = balance_input(df, key_col=balance) if balance else df
-    return _SCANS[key]
+        cache[key] = balance_input(df, key_col=balance) if balance else df
+    return cache[key]
 
 
 def balance_input(df: DataFrame, min_partitions: int | None = None, key_col: str | None = None) -> DataFrame:
@@ -161,15 +161,15 @@ def subscribers_from_customers(customer: DataFrame, nation: DataFrame, region: D
     )
 
 
-_DERIVED: dict[tuple[int, str, str], DataFrame] = {}
-
-
 def _derived(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A derived table defined once per session (a lazy plan, like a view)."""
-    key = (id(spark._jsparkSession), sf_dir, name)
-    if key not in _DERIVED:
-        _DERIVED[key] = build()
-    return _DERIVED[key]
+    """A derived table defined once per session."""
+    from cdrflow.session import session_cache
+
+    cache = session_cache(spark)
+    key = ("derived", sf_dir, name)
+    if key not in cache:
+        cache[key] = build()
+    return cache[key]
 
 
 def fixture_cdrs(spark: SparkSession, sf_dir: str) -> DataFrame:

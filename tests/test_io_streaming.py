@@ -27,7 +27,7 @@ def test_dynamic_overwrite_keeps_other_months(spark, tmp_dir):
 
 def test_csv_report(spark, tmp_dir):
     df = spark.createDataFrame([("Gold", 2.5), ("Silver", 1.0)], "rate_plan_id string, revenue_TTC double")
-    files.write_report(df, f"{tmp_dir}/r.csv")
+    files.write_report(df, f"{tmp_dir}/r.csv", single_file=True)
     parts = [p for p in os.listdir(f"{tmp_dir}/r.csv") if p.endswith(".csv")]
     assert len(parts) == 1
     lines = open(f"{tmp_dir}/r.csv/{parts[0]}").read().splitlines()
