@@ -57,7 +57,7 @@ def q_encode_decode_roundtrip(spark, sf_dir):
     msgs = cdrs.select(
         F.struct(*cols).alias("orig"),
         cdr_json.message_key(F.col("record_ID")).alias("key"),
-        F.to_json(F.struct(*cols), {"timestampFormat": cdr_json.JSON_TIMESTAMP_FORMAT}).alias("value"),
+        F.to_json(F.struct(*cols), cdr_json.JSON_OPTIONS).alias("value"),
     )
     decoded = msgs.select("orig", "key", F.from_json("value", schemas.RAW_CDR).alias("back"))
     same = None

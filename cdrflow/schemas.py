@@ -9,13 +9,17 @@ PRICE = T.DecimalType(6, 3)       # tariff unit price (NUMERIC(6,3) in the DDL)
 UNITS = T.DecimalType(12, 2)      # billable units: seconds, messages, MB
 VOLUME = T.DecimalType(12, 2)     # data volume in MB, two decimals on the wire
 
+# Event times are wall-clock times of the switch (no zone in the message):
+# TIMESTAMP_NTZ, so no session or process time zone can shift them.
+EVENT_TIME = T.TimestampNTZType()
+
 # Wire format of one call-detail record (JSON value of a stream message).
 # One wide schema for the three record types; unused columns are absent.
 RAW_CDR = T.StructType(
     [
         T.StructField("record_ID", T.StringType()),
         T.StructField("record_type", T.StringType()),
-        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("timestamp", EVENT_TIME),
         T.StructField("cell_id", T.StringType()),
         T.StructField("technology", T.StringType()),
         T.StructField("caller_id", T.StringType()),
@@ -35,7 +39,7 @@ RAW_CDR = T.StructType(
 MEDIATED = T.StructType(
     [
         T.StructField("record_ID", T.StringType()),
-        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("timestamp", EVENT_TIME),
         T.StructField("cell_id", T.StringType()),
         T.StructField("technology", T.StringType()),
         T.StructField("caller_id", T.StringType()),
@@ -97,7 +101,7 @@ RATED = T.StructType(
     [
         T.StructField("record_ID", T.StringType()),
         T.StructField("record_type", T.StringType()),
-        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("timestamp", EVENT_TIME),
         T.StructField("customer_id", T.StringType()),
         T.StructField("rate_plan_id", T.StringType()),
         T.StructField("product_code", T.StringType()),

@@ -10,6 +10,7 @@ from cdrflow import schemas
 # JSON timestamps as written by a Python producer (``datetime.isoformat()``):
 # microseconds, no zone.
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+JSON_OPTIONS = {"timestampFormat": JSON_TIMESTAMP_FORMAT, "timestampNTZFormat": JSON_TIMESTAMP_FORMAT}
 KEY_SPACE = 1000
 
 
@@ -32,7 +33,7 @@ def encode_cdr(df: DataFrame) -> DataFrame:
     cols = [c for c in schemas.RAW_CDR.fieldNames() if c in df.columns]
     return df.select(
         message_key(F.col("record_ID")).alias("key"),
-        F.to_json(F.struct(*cols), {"timestampFormat": JSON_TIMESTAMP_FORMAT}).alias("value"),
+        F.to_json(F.struct(*cols), JSON_OPTIONS).alias("value"),
     )
 
 

@@ -76,8 +76,8 @@ def _cdr_columns() -> list[Column]:
     )
     record_type = F.when(e % 97 == 0, F.lit(None).cast("string")).otherwise(kind)
     days = (F.lit(31) * (e % 3)).cast("int")
-    ts = F.when(e % 19 == 0, F.lit(None).cast("timestamp")).otherwise(
-        F.col("ts").cast("timestamp") + F.make_dt_interval(days)
+    ts = F.when(e % 19 == 0, F.lit(None).cast(schemas.EVENT_TIME)).otherwise(
+        F.col("ts").cast(schemas.EVENT_TIME) + F.make_dt_interval(days)
     )
     cell = F.when(e % 10 < 3, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("CELL_"), _digits(e % 20 + 1, 2))

@@ -61,7 +61,14 @@ def admitted_stream(raw_messages: DataFrame, params: Params = Params(), dedup_de
     """
     admitted = admit(decode_cdr(raw_messages), params.as_of)
     if dedup_delay:
-        admitted = admitted.withWatermark("timestamp", dedup_delay).dropDuplicatesWithinWatermark(["record_ID"])
+        # A watermark needs a zoned timestamp; the wall-clock event time is
+        # read in the session zone for that purpose only.
+        admitted = (
+            admitted.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
+            .withWatermark("_event_time", dedup_delay)
+            .dropDuplicatesWithinWatermark(["record_ID"])
+            .drop("_event_time")
+        )
     return admitted
 
 

@@ -38,7 +38,7 @@ def test_decode_garbage_wrong_types_missing_keys(spark):
 def test_freshness_keeps_today_and_future(spark):
     rows = [(f"{i}", "sms", ts) for i, ts in enumerate(
         [dt.datetime(2024, 1, 1, 23, 59, 59), dt.datetime(2024, 1, 2, 0, 0), dt.datetime(2030, 1, 1)])]
-    df = spark.createDataFrame(rows, "record_ID string, record_type string, timestamp timestamp")
+    df = spark.createDataFrame(rows, "record_ID string, record_type string, timestamp timestamp_ntz")
     kept = [r.record_ID for r in mediation.fresh(df, AS_OF).collect()]
     assert sorted(kept) == ["1", "2"]
 
