@@ -1,7 +1,6 @@
 """A subscriber with a third of all records: same results whatever the join
 strategy, and the plans that carry the skew."""
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
