@@ -77,6 +77,8 @@ def cmd_stream(spark, a):
 def cmd_rate(spark, a):
     p = _params(a)
     mediated = files.read_mediated(spark, a.mediated).drop("batch_id")
+    if a.months:
+        mediated = rating.in_months(mediated, a.months.split(","))
     subs = _dim(spark, a, a.subscriptions, "customer_subscriptions")
     catalog = _dim(spark, a, a.catalog, "product_catalog")
     plans = _dim(spark, a, a.rate_plans, "rate_plans")
@@ -154,6 +156,7 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--subscriptions", required=True, help="'jdbc' or a Parquet path")
     r.add_argument("--catalog", default="builtin", help="'builtin', 'jdbc' or a Parquet path")
     r.add_argument("--rate-plans", default="builtin", help="'builtin', 'jdbc' or a Parquet path")
+    r.add_argument("--months", default=None, help="rate only these yyyy-MM months (others stay as they are)")
     r.set_defaults(fn=cmd_rate)
 
     b = sub.add_parser("bill", help="rated_data -> invoice (and a JDBC table)")

@@ -17,7 +17,25 @@ from cdrflow.functions.reuse import per_jvm
 from cdrflow.functions.tariff import charge
 from cdrflow.operators.joins import join_dimension
 from cdrflow.params import Params
-from cdrflow.schemas import PRICE
+from cdrflow.schemas import EVENT_TIME, PRICE
+
+
+def in_months(df: DataFrame, months, col: str = "timestamp") -> DataFrame:
+    """Records whose event time falls in one of the ``yyyy-MM`` months.
+
+    Written as half-open time ranges so the predicate reaches the Parquet
+    scan (row-group min/max statistics skip other months); with a dynamic
+    partition overwrite of ``billing_period`` only these months are re-rated.
+    """
+    import datetime as dt
+
+    cond = None
+    for m in months:
+        start = dt.datetime.strptime(m, "%Y-%m")
+        end = dt.datetime(start.year + (start.month == 12), start.month % 12 + 1, 1)
+        c = (F.col(col) >= F.lit(start).cast(EVENT_TIME)) & (F.col(col) < F.lit(end).cast(EVENT_TIME))
+        cond = c if cond is None else cond | c
+    return df if cond is None else df.filter(cond)
 
 
 def with_customer_id(mediated: DataFrame) -> DataFrame:

@@ -50,3 +50,26 @@ def test_demo_matches_lazy_plan(spark, tmp_dir):
     st = fixture_stages(spark, SF_SMALL, FIXTURE_PARAMS)
     want = finish(reports.revenue_by_plan(st.invoices(FIXTURE_MONTHS)))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_incremental_rating_by_month(spark, tmp_dir):
+    from cdrflow.operators import rating
+    from cdrflow.sources import files
+
+    src = f"{tmp_dir}/in"
+    write_cdr_messages(fixture_cdrs(spark, SF_SMALL), fmt="text", path=src)
+    fixture_subscribers(spark, SF_SMALL).write.parquet(f"{tmp_dir}/subs")
+    common = ["--as-of", "2024-01-02"]
+    main(["stream", *common, "--source", "text", "--path", src, "--out", f"{tmp_dir}/mediated",
+          "--checkpoint", f"{tmp_dir}/ckpt", "--available-now", "--timeout", "120"])
+    rate = ["rate", *common, "--mediated", f"{tmp_dir}/mediated", "--out", f"{tmp_dir}/rated",
+            "--subscriptions", f"{tmp_dir}/subs"]
+    main(rate)
+    full = files.read_rated(spark, f"{tmp_dir}/rated")
+    before = sorted(tuple(r) for r in full.collect())
+    main([*rate, "--months", "2024-02"])  # re-rate one month only
+    after = sorted(tuple(r) for r in files.read_rated(spark, f"{tmp_dir}/rated").collect())
+    assert after == before
+    mediated = files.read_mediated(spark, f"{tmp_dir}/mediated")
+    plan = rating.in_months(mediated, ["2024-02"])._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(timestamp" in plan and "LessThan(timestamp" in plan
