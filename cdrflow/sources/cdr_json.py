@@ -61,7 +61,15 @@ def read_cdr_stream(
         opts.setdefault("subscribe", "telecom")
         opts.setdefault("startingOffsets", "latest")
         opts.setdefault("failOnDataLoss", "false")
-        return spark.readStream.format("kafka").options(**opts).load()
+        try:
+            return spark.readStream.format("kafka").options(**opts).load()
+        except Exception as e:  # the connector jar is not on the classpath
+            if "kafka" in str(e).lower() and "data source" in str(e).lower():
+                raise RuntimeError(
+                    "the Kafka source needs the spark-sql-kafka connector matching this Spark "
+                    "(spark.jars.packages=org.apache.spark:spark-sql-kafka-0-10_<scala>:<spark version>)"
+                ) from e
+            raise
     if fmt == "text":
         reader = spark.readStream.format("text").options(**opts)
         return reader.load(path)
