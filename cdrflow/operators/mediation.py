@@ -51,7 +51,18 @@ def fresh(df: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
 
 
 def admit(df: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
-    return fresh(require_fields(df), as_of)
+    """Required fields present and fresh (``require_fields`` then ``fresh``)."""
+    return df.filter(admission_condition(as_of))
+
+
+def admission_condition(as_of: dt.date | str | None = None) -> Column:
+    """The admission predicate of ``admit`` as one column (for metrics)."""
+    cutoff = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    return (
+        F.col("record_type").isNotNull()
+        & F.col("timestamp").isNotNull()
+        & (F.to_date(F.col("timestamp")) >= cutoff)
+    )
 
 
 # --- split ---------------------------------------------------------------------

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cdrflow.operators.mediation import admit, audit_metrics, mediate
+from cdrflow.operators.mediation import admission_condition, admit, audit_metrics, mediate
 from cdrflow.params import Params
 from cdrflow.sources.cdr_json import decode_cdr, read_cdr_stream
 from cdrflow.sources.files import write_mediated
@@ -55,11 +55,19 @@ def mediation_batch_writer(
 def admitted_stream(raw_messages: DataFrame, params: Params = Params(), dedup_delay: str | None = None) -> DataFrame:
     """Decoded and admitted stream.
 
-    With ``dedup_delay`` (e.g. ``"1 hour"``) records re-sent within that
+    Messages decoded and messages admitted per micro-batch (malformed JSON,
+    missing type or time, stale records are the difference) are observed on
+    the stream itself and reported as ``observedMetrics["cdr_admission"]`` in
+    each query progress.  With ``dedup_delay`` (e.g. ``"1 hour"``) records re-sent within that
     event-time delay are dropped by ``record_ID`` (state bounded by the
     watermark).
     """
-    admitted = admit(decode_cdr(raw_messages), params.as_of)
+    decoded = decode_cdr(raw_messages).observe(
+        "cdr_admission",
+        F.count(F.lit(1)).alias("decoded"),
+        F.count(F.when(admission_condition(params.as_of), F.lit(1))).alias("admitted"),
+    )
+    admitted = admit(decoded, params.as_of)
     if dedup_delay:
         # A watermark needs a zoned timestamp; the wall-clock event time is
         # read in the session zone for that purpose only.

@@ -61,6 +61,7 @@ def _rec(i, ts="2024-02-01T10:00:00.000001"):
 def _run(spark, src, out, ckpt, **kw):
     q = start_mediation_stream(spark, out, ckpt, FIXTURE_PARAMS, fmt="text", source_path=src, available_now=True, **kw)
     run_until_done(q, 120)
+    return q
 
 
 def test_stream_restart_and_replay(spark, tmp_dir):
@@ -72,7 +73,9 @@ def test_stream_restart_and_replay(spark, tmp_dir):
                                                     "timestamp": "2020-01-01T00:00:00", "sender_id": "212612345678"}])
     _run(spark, src, out, ckpt)
     _write_json(src, "f3.json", [_rec(3), "garbage"])
-    _run(spark, src, out, ckpt)
+    q = _run(spark, src, out, ckpt)
+    seen = [p["observedMetrics"]["cdr_admission"] for p in q.recentProgress if "cdr_admission" in p["observedMetrics"]]
+    assert seen and seen[-1]["decoded"] == 2 and seen[-1]["admitted"] == 1  # the garbage line is counted, then dropped
     got = files.read_mediated(spark, out)
     rows = sorted((r.record_ID, r.batch_id) for r in got.collect())
     assert rows == [("r1", 0), ("r2", 0), ("r2", 1), ("r3", 1), ("r3", 2)]
