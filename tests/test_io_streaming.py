@@ -107,3 +107,18 @@ def test_stream_equals_batch_on_fixture(spark, tmp_dir):
     batch = mediation.mediate(mediation.admit(cdrs, FIXTURE_PARAMS.as_of))
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     assert sum(m["mediated"] for m in metrics.values()) == batch.count()
+
+
+def test_one_micro_batch_per_file(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    for i in range(3):
+        _write_json(src, f"f{i}.json", [_rec(10 + i)])
+    metrics = {}
+    q = start_mediation_stream(
+        spark, out, ckpt, FIXTURE_PARAMS, fmt="text", source_path=src, available_now=True,
+        source_options={"maxFilesPerTrigger": "1"}, on_metrics=lambda e, m: metrics.update({e: m}),
+    )
+    run_until_done(q, 120)
+    rows = sorted((r.record_ID, r.batch_id) for r in files.read_mediated(spark, out).collect())
+    assert rows == [("r10", 0), ("r11", 1), ("r12", 2)]
+    assert sorted(metrics) == [0, 1, 2] and all(m["sms_out"] == 1 for m in metrics.values())
