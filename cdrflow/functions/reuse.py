@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark import SparkContext
+from pyspark.sql import SparkSession
 
 
 def per_jvm(fn):
@@ -18,8 +18,8 @@ def per_jvm(fn):
 
     @functools.wraps(fn)
     def wrapper(*args):
-        sc = SparkContext._active_spark_context
-        key = (sc.applicationId if sc is not None else None, args)
+        active = SparkSession.getActiveSession()
+        key = (active.sparkContext.applicationId if active is not None else None, args)
         if key not in cache:
             cache[key] = fn(*args)
         return cache[key]
