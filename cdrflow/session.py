@@ -23,6 +23,11 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot subscriber's partition even when that costs an extra
+    # shuffle: after J1 the billing aggregate reuses the join's partitioning,
+    # and without this AQE would rather keep one task with a third of the
+    # data than add the (small, post-partial-aggregation) exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # Static broadcast limit used by the planner, same value as the
     # reference's rating stage (10 MiB).

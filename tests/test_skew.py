@@ -63,3 +63,31 @@ def test_aggregations_pre_aggregate_before_shuffle(spark):
     feed = st.mediated().withColumn("batch_id", F.lit(0).cast("long"))
     dplan = dedup.dedup_records(feed.unionByName(feed), "record_ID", "batch_id")._jdf.queryExecution().executedPlan().toString()
     assert dplan.count("Aggregate") >= 2
+
+
+def test_aqe_splits_the_hot_subscriber_before_billing(spark):
+    """Beyond the broadcast limit J1 is a sort-merge join and billing reuses its
+    partitioning; AQE must still split the hot key (forceOptimizeSkewedJoin)."""
+    st = _skewed(spark)
+    base = _rows(billing.invoice_totals(st.rated(), FIXTURE_PARAMS))
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    prev = {k: spark.conf.get(k, None) for k in confs}
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        p = FIXTURE_PARAMS.with_(broadcast_max_rows=0)
+        inv = billing.invoice_totals(st.rated(params=p), p)
+        assert _rows(inv) == base
+        assert "skew=true" in inv._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
