@@ -4,6 +4,7 @@
     python -m cdrflow rate    --mediated mediated_data --out rated_data --subscriptions jdbc --jdbc-url ...
     python -m cdrflow bill    --rated rated_data --out invoice --month 2025-06 --subscriptions subs.parquet
     python -m cdrflow report  --invoice invoice --rated rated_data --out report --month 2025-06
+    python -m cdrflow compact --table mediated --path mediated_data --where "batch_id < 1000"
     python -m cdrflow demo    --sf-dir /root/testdata/sf0.01 --out /shared/cdrflow-demo
 
 Paths must be on a file system every executor sees (HDFS, object store).
@@ -111,6 +112,18 @@ def cmd_report(spark, a):
     files.write_report(reports.product_cost(rated, p.money), f"{out}/product_cost_analysis.csv", single_file=True)
 
 
+def cmd_compact(spark, a):
+    from cdrflow import schemas
+
+    table = {
+        "mediated": (schemas.MEDIATED_STORED, ["record_type", "batch_id"], "record_ID"),
+        "rated": (schemas.storage_schema(schemas.RATED, a.money), ["billing_period"], "record_ID"),
+        "invoice": (schemas.storage_schema(schemas.INVOICE, a.money), ["billing_period"], "customer_id"),
+    }[a.table]
+    where = F.expr(a.where) if a.where else None
+    files.compact_partitions(spark, a.path, table[0], table[1], where, a.files_per_partition, table[2])
+
+
 def cmd_demo(spark, a):
     params = FIXTURE_PARAMS.with_(boundary=a.boundary, money=a.money, msisdn_mode=a.msisdn_mode)
     paths = run_batch(fixture_stages(spark, a.sf_dir, params), a.out, months=list(FIXTURE_MONTHS))
@@ -177,6 +190,14 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--month", default=None)
     p.set_defaults(fn=cmd_report)
 
+    c = sub.add_parser("compact", help="rewrite selected partitions of a stage table into fewer files")
+    common(c)
+    c.add_argument("--table", choices=["mediated", "rated", "invoice"], required=True)
+    c.add_argument("--path", required=True)
+    c.add_argument("--where", default=None, help='partition predicate, e.g. "batch_id < 1000"')
+    c.add_argument("--files-per-partition", type=int, default=1)
+    c.set_defaults(fn=cmd_compact)
+
     d = sub.add_parser("demo", help="all stages on CDRs derived from the driver tables")
     common(d)
     d.add_argument("--sf-dir", required=True)

@@ -91,6 +91,36 @@ def stage_table(df: DataFrame, name: str, partitions: int | None = None, key: st
     return spark.read.schema(df.schema).parquet(path)
 
 
+def compact_partitions(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    partition_by: list[str],
+    where=None,
+    files_per_partition: int = 1,
+    spread_col: str | None = None,
+) -> None:
+    """Rewrite the partitions of ``path`` selected by ``where`` into
+    ``files_per_partition`` files each (small files from frequent stream
+    appends).
+
+    The selected rows are first staged in the checkpoint folder (a path is
+    never overwritten while it is read), then spread over
+    ``files_per_partition`` tasks per partition by a hash of ``spread_col``
+    (so a huge partition is not written by one task), and written back with a
+    dynamic overwrite that replaces only those partitions.  Re-running it is
+    harmless: the rows do not change.
+    """
+    df = spark.read.schema(schema).parquet(path)
+    if where is not None:
+        df = df.filter(where)
+    staged = stage_table(df, "compact")
+    keys = [F.col(c) for c in partition_by]
+    if files_per_partition > 1 and spread_col:
+        keys.append(F.pmod(F.xxhash64(F.col(spread_col)), F.lit(files_per_partition)))
+    write_partitioned(staged.repartition(*keys), path, partition_by)
+
+
 def write_jdbc(df: DataFrame, table: str, options: dict[str, str], mode: str = "overwrite") -> None:
     """Replace a database table; ``truncate`` keeps its definition and grants."""
     opts = {"dbtable": table, "truncate": "true", **options}

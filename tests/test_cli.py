@@ -34,6 +34,10 @@ def test_stages_via_cli(spark, tmp_dir):
     for part in sorted(p for p in os.listdir(d) if p.endswith(".csv")):
         vals += [float(line.split(",")[1]) for line in open(f"{d}/{part}").read().splitlines()[1:]]
     assert vals and vals == sorted(vals, reverse=True)
+    before = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/mediated").collect())
+    main(["compact", "--table", "mediated", "--path", f"{tmp_dir}/mediated", "--where", "batch_id = 0",
+          "--files-per-partition", "2"])
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/mediated").collect()) == before
     inv = spark.read.parquet(f"{tmp_dir}/invoice")
     assert sorted(r.billing_period for r in inv.select("billing_period").distinct().collect()) == list(FIXTURE_MONTHS)
 

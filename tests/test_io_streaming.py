@@ -122,3 +122,23 @@ def test_one_micro_batch_per_file(spark, tmp_dir):
     rows = sorted((r.record_ID, r.batch_id) for r in files.read_mediated(spark, out).collect())
     assert rows == [("r10", 0), ("r11", 1), ("r12", 2)]
     assert sorted(metrics) == [0, 1, 2] and all(m["sms_out"] == 1 for m in metrics.values())
+
+
+def test_compact_stream_partitions(spark, tmp_dir):
+    from cdrflow import schemas
+
+    src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    cdrs = fixture_cdrs(spark, SF_SMALL)
+    write_cdr_messages(cdrs.repartition(6), fmt="text", path=src)
+    _run(spark, src, out, ckpt)
+    before = sorted(tuple(r) for r in files.read_mediated(spark, out).collect())
+
+    def count_files():
+        return sum(len([f for f in fs if f.endswith(".parquet")]) for _, _, fs in os.walk(out))
+
+    n_before = count_files()
+    files.compact_partitions(spark, out, schemas.MEDIATED_STORED, ["record_type", "batch_id"],
+                             where=F.col("batch_id") == 0)
+    after = sorted(tuple(r) for r in files.read_mediated(spark, out).collect())
+    assert after == before
+    assert count_files() == 3 < n_before  # one file per (record_type, batch) partition
