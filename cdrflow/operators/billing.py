@@ -19,7 +19,6 @@ from cdrflow.operators.rating import eligible
 from cdrflow.params import Params
 from cdrflow.schemas import MONEY
 
-SUBTOTALS = ("voice_total", "sms_total", "data_total", "amount_before_tax")
 INVOICE_COLUMNS = [
     "customer_id",
     "billing_period",

@@ -31,7 +31,6 @@ TYPE_COLUMNS = {
 }
 COMMON_COLUMNS = ["record_ID", "record_type", "timestamp", "cell_id", "technology"]
 PAYER = {"voice": "caller_id", "sms": "sender_id", "data": "user_id"}
-OTHER_PARTY = {"voice": "callee_id", "sms": "receiver_id"}
 
 
 # --- admission ---------------------------------------------------------------

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdrflow import schemas
+from cdrflow.functions.money import to_output
 from cdrflow.functions.msisdn import is_valid_msisdn
 from cdrflow.operators import billing, dedup, mediation, quality, rating, reports
 from cdrflow.params import FIXTURE_MONTHS, FIXTURE_PARAMS
@@ -30,7 +31,7 @@ def finish(df: DataFrame) -> DataFrame:
     """Decimals -> double at the query boundary; other columns unchanged."""
     return df.select(
         *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+            to_output(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
             for f in df.schema.fields
         ]
     )
