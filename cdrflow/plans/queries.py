@@ -22,7 +22,7 @@ from cdrflow.params import FIXTURE_MONTHS, FIXTURE_PARAMS
 from cdrflow.plans.stages import Stages, shared_fixture_stages
 from cdrflow.session import scratch_path
 from cdrflow.sources import cdr_json, dims, files
-from cdrflow.sources.fixtures import fixture_cdrs, fixture_subscribers
+from cdrflow.sources.fixtures import fixture_cdrs, fixture_messages_dir, fixture_subscribers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -209,18 +209,18 @@ def q_dedup_cdr(spark, sf_dir):
 
 def q_stream_mediation(spark, sf_dir):
     """The CDR feed as JSON messages through the streaming mediation
-    (file source, availableNow), read back from its Parquet sink."""
+    (file source, availableNow, a fresh checkpoint each run), read back from
+    its Parquet sink."""
     from cdrflow.streaming.mediation_stream import run_until_done, start_mediation_stream
 
     root = scratch_path(spark, "stream-mediation")
-    cdr_json.write_cdr_messages(fixture_cdrs(spark, sf_dir), fmt="text", path=f"{root}/in")
     q = start_mediation_stream(
         spark,
         out_path=f"{root}/out",
         checkpoint=f"{root}/checkpoint",
         params=FIXTURE_PARAMS,
         fmt="text",
-        source_path=f"{root}/in",
+        source_path=fixture_messages_dir(spark, sf_dir),
         available_now=True,
     )
     run_until_done(q)

@@ -203,3 +203,18 @@ def fixture_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stage_table(subs, "subscriptions")
 
     return _derived(spark, sf_dir, "subscribers", build)
+
+
+def fixture_messages_dir(spark: SparkSession, sf_dir: str) -> str:
+    """The CDR feed as JSON-lines message files (the stream's wire format),
+    written once per session under the checkpoint folder; returns the path."""
+    from cdrflow.session import scratch_path, session_cache
+    from cdrflow.sources.cdr_json import write_cdr_messages
+
+    cache = session_cache(spark)
+    key = ("messages", sf_dir)
+    if key not in cache:
+        path = scratch_path(spark, "cdr-messages")
+        write_cdr_messages(fixture_cdrs(spark, sf_dir), fmt="text", path=path)
+        cache[key] = path
+    return cache[key]
