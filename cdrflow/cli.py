@@ -58,7 +58,10 @@ def _dim(spark: SparkSession, a, source: str, table: str) -> DataFrame:
     if source == "builtin":
         return dims.product_catalog(spark) if table == "product_catalog" else dims.rate_plans(spark)
     if source == "jdbc":
-        return dims.read_dim(spark, table, "jdbc", _jdbc(a))
+        preds = None
+        if table == "customer_subscriptions" and getattr(a, "jdbc_partitions", 0):
+            preds = dims.suffix_predicates("customer_id", 1 if a.jdbc_partitions <= 11 else 2)
+        return dims.read_dim(spark, table, "jdbc", _jdbc(a), predicates=preds)
     df = spark.read.parquet(source)
     return dims.typed_rate_plans(df) if table == "rate_plans" else df
 
@@ -147,6 +150,8 @@ def build_parser() -> argparse.ArgumentParser:
         p.add_argument("--jdbc-user", default=None)
         p.add_argument("--jdbc-password", default=None)
         p.add_argument("--jdbc-driver", default=None)
+        p.add_argument("--jdbc-partitions", type=int, default=0,
+                       help="read subscriptions in parallel by customer_id suffix (11 or 101 partitions)")
 
     s = sub.add_parser("stream", help="mediation stream -> mediated_data")
     common(s)

@@ -105,22 +105,39 @@ def typed_rate_plans(df: DataFrame) -> DataFrame:
     )
 
 
+def suffix_predicates(column: str, digits: int = 1) -> list[str]:
+    """WHERE clauses that split a table by the last ``digits`` characters of a
+    string key (``customer_id LIKE '%07'``): disjoint and covering every key
+    that ends in a digit, plus one clause for all other keys."""
+    n = 10**digits
+    likes = [f"{column} LIKE '%{i:0{digits}d}'" for i in range(n)]
+    rest = " AND ".join(f"{column} NOT LIKE '%{i:0{digits}d}'" for i in range(n))
+    return likes + [f"({column} IS NULL OR ({rest}))"]
+
+
 def read_dim(
     spark: SparkSession,
     name: str,
     source: str = "jdbc",
     options: dict[str, str] | None = None,
     path: str | None = None,
+    predicates: list[str] | None = None,
 ) -> DataFrame:
     """Read a dimension table from JDBC or a file format.
 
-    For a large JDBC table pass ``partitionColumn``/``lowerBound``/
-    ``upperBound``/``numPartitions`` in ``options`` so that the scan runs
-    in parallel; filters and column selections on the result are pushed
-    into the database query by Spark.
+    A large JDBC table is read in parallel: with a numeric key pass
+    ``partitionColumn``/``lowerBound``/``upperBound``/``numPartitions`` in
+    ``options``; with a string key (``customer_id``) pass ``predicates``
+    (e.g. ``suffix_predicates("customer_id")``), one partition per clause.
+    Filters and column selections on the result are pushed into the
+    database query by Spark.
     """
     opts = dict(options or {})
-    if source == "jdbc":
+    if source == "jdbc" and predicates:
+        url = opts.pop("url")
+        opts.pop("dbtable", None)
+        df = spark.read.jdbc(url, name, predicates=predicates, properties=opts)
+    elif source == "jdbc":
         opts.setdefault("dbtable", name)
         df = spark.read.format("jdbc").options(**opts).load()
     else:
