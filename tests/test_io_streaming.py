@@ -142,3 +142,14 @@ def test_compact_stream_partitions(spark, tmp_dir):
     after = sorted(tuple(r) for r in files.read_mediated(spark, out).collect())
     assert after == before
     assert count_files() == 3 < n_before  # one file per (record_type, batch) partition
+
+
+def test_stream_error_stops_and_raises(spark, tmp_dir):
+    src, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/ckpt"
+    _write_json(src, "f1.json", [_rec(1)])
+    out = f"{tmp_dir}/not_a_dir"
+    open(out, "w").write("a file where the sink expects a folder")
+    q = start_mediation_stream(spark, out, ckpt, FIXTURE_PARAMS, fmt="text", source_path=src, available_now=True)
+    with pytest.raises(Exception):
+        run_until_done(q, 120)
+    assert not q.isActive
