@@ -22,6 +22,8 @@ PAT_STRICT = MSISDN_PATTERN_STRICT
 def _q(s) -> str:
     if s is None:
         return "NULL"
+    if isinstance(s, float):
+        return str(Decimal(str(s)))
     if isinstance(s, (int, Decimal)):
         return str(s)
     return "'" + str(s).replace("'", "''") + "'"

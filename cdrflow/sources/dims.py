@@ -29,21 +29,21 @@ PRODUCT_CATALOG_ROWS = [
 # (rate_plan_id, product_code, service_type, unit_price, free_units,
 #  tier_threshold, tier_price).
 RATE_PLAN_ROWS = [
-    ("Gold", "DATA_STD", "data", "0.008", 200, None, None),
-    ("Gold", "DATA_ULTRA", "data", "0.003", 250, 1000, "0.001"),
-    ("Gold", "SMS_STD", "sms", "0.075", 1, None, None),
-    ("Gold", "VOICE_INT", "voice", "0.180", 10, None, None),
-    ("Gold", "VOICE_NAT", "voice", "0.035", 60, None, None),
-    ("Silver", "DATA_STD", "data", "0.010", 100, None, None),
-    ("Silver", "DATA_ULTRA", "data", "0.005", 200, 500, "0.002"),
-    ("Silver", "SMS_STD", "sms", "0.100", 0, None, None),
-    ("Silver", "VOICE_INT", "voice", "0.250", 0, None, None),
-    ("Silver", "VOICE_NAT", "voice", "0.050", 30, None, None),
-    ("Titanium", "DATA_STD", "data", "0.005", 300, None, None),
-    ("Titanium", "DATA_ULTRA", "data", "0.002", 512, 2048, "0.001"),
-    ("Titanium", "SMS_STD", "sms", "0.050", 3, None, None),
-    ("Titanium", "VOICE_INT", "voice", "0.120", 30, None, None),
-    ("Titanium", "VOICE_NAT", "voice", "0.020", 120, None, None),
+    ("Gold", "DATA_STD", "data", 0.008, 200, None, None),
+    ("Gold", "DATA_ULTRA", "data", 0.003, 250, 1000, 0.001),
+    ("Gold", "SMS_STD", "sms", 0.075, 1, None, None),
+    ("Gold", "VOICE_INT", "voice", 0.180, 10, None, None),
+    ("Gold", "VOICE_NAT", "voice", 0.035, 60, None, None),
+    ("Silver", "DATA_STD", "data", 0.010, 100, None, None),
+    ("Silver", "DATA_ULTRA", "data", 0.005, 200, 500, 0.002),
+    ("Silver", "SMS_STD", "sms", 0.100, 0, None, None),
+    ("Silver", "VOICE_INT", "voice", 0.250, 0, None, None),
+    ("Silver", "VOICE_NAT", "voice", 0.050, 30, None, None),
+    ("Titanium", "DATA_STD", "data", 0.005, 300, None, None),
+    ("Titanium", "DATA_ULTRA", "data", 0.002, 512, 2048, 0.001),
+    ("Titanium", "SMS_STD", "sms", 0.050, 3, None, None),
+    ("Titanium", "VOICE_INT", "voice", 0.120, 30, None, None),
+    ("Titanium", "VOICE_NAT", "voice", 0.020, 120, None, None),
 ]
 
 
@@ -86,7 +86,7 @@ def product_catalog(spark: SparkSession) -> DataFrame:
 
 def rate_plans(spark: SparkSession) -> DataFrame:
     rows = [
-        (plan, prod, svc, Decimal(price), free, thr, None if tier is None else Decimal(tier))
+        (plan, prod, svc, Decimal(str(price)), free, thr, None if tier is None else Decimal(str(tier)))
         for plan, prod, svc, price, free, thr, tier in RATE_PLAN_ROWS
     ]
     return _local(spark, "rate_plans", rows, schemas.RATE_PLANS)

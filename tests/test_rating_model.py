@@ -36,7 +36,7 @@ cdr = st.fixed_dictionaries({
 
 def cost_of(units, rt, free, thr, p1, p2):
     free, thr = free or 0, thr or 0
-    p1, p2 = Decimal(p1 or 0), Decimal(p2 or 0)
+    p1, p2 = Decimal(str(p1 or 0)), Decimal(str(p2 or 0))
     cmp = Decimal(int(units))
     if rt == "flat":
         c = Decimal(0) if cmp <= free else (units - free) * p1

@@ -38,7 +38,7 @@ def test_boundaries(spark, boundary):
     rows = []
     for plan, prod, _svc, price, free, thr, tier in RATE_PLAN_ROWS:
         for u in boundary_units(free, thr):
-            rows.append((plan, prod, RATE_TYPE[prod], u, free, thr, Decimal(price), None if tier is None else Decimal(tier)))
+            rows.append((plan, prod, RATE_TYPE[prod], u, free, thr, Decimal(str(price)), None if tier is None else Decimal(str(tier))))
     df = spark.createDataFrame(
         rows,
         "plan string, prod string, rt string, u decimal(12,2), free int, thr int, p1 decimal(6,3), p2 decimal(6,3)",
