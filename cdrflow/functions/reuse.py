@@ -19,7 +19,7 @@ def per_jvm(fn):
     @functools.wraps(fn)
     def wrapper(*args):
         active = SparkSession.getActiveSession()
-        key = (active.sparkContext.applicationId if active is not None else None, args)
+        key = (active.conf.get("spark.app.id", None) if active is not None else None, args)
         if key not in cache:
             cache[key] = fn(*args)
         return cache[key]

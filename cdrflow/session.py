@@ -89,13 +89,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect: the conf is the only source
+            current = None
     if current:
         return current
     local = tempfile.mkdtemp(prefix="cdrflow-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+    except Exception:
+        pass
     spark.conf.set("spark.checkpoint.dir", local)
-    return spark.sparkContext.getCheckpointDir() or local
+    return local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -107,10 +113,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _SESSION_CACHES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
+def application_id(spark: SparkSession) -> str:
+    """The Spark application id (also available through Spark Connect)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the application (default parallelism), or the
+    shuffle partition count where the SparkContext is not reachable."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect has no SparkContext on the client
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def session_cache(spark: SparkSession) -> dict:
     """A dict that lives as long as ``spark`` (for plans defined once per
     session).  Keyed by the session object and its application id, so a
     stopped and re-created session never sees another session's plans."""
-    app = spark.sparkContext.applicationId
     per_session = _SESSION_CACHES.setdefault(spark, {})
-    return per_session.setdefault(app, {})
+    return per_session.setdefault(application_id(spark), {})

@@ -54,8 +54,14 @@ def balance_input(df: DataFrame, min_partitions: int | None = None, key_col: str
     deterministic on retry); a large table, which already has many more
     splits than cores, is left untouched.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    from cdrflow.session import parallelism
+
+    target = min_partitions or parallelism(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (Spark Connect): let the planner decide
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, key_col) if key_col else df.repartition(target)
 
@@ -182,8 +188,14 @@ def fixture_cdrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cdrflow.sources.files import stage_table
 
     def build():
+        from cdrflow.session import parallelism
+
         events = load_table(spark, sf_dir, "events")
-        parts = max(spark.sparkContext.defaultParallelism, events.rdd.getNumPartitions())
+        try:
+            splits = events.rdd.getNumPartitions()
+        except Exception:  # no RDD API (Spark Connect)
+            splits = 0
+        parts = max(parallelism(spark), splits)
         return stage_table(cdrs_from_events(events), "cdr-feed", partitions=parts, key="record_ID")
 
     return _derived(spark, sf_dir, "cdrs", build)
