@@ -48,3 +48,42 @@ def orphan_counts(name: str, child: DataFrame, parent: DataFrame, keys: list[str
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(F.lit(name).alias("check_name"), "key", "rows")
     )
+
+
+def cdr_orphan_report(
+    keyed: DataFrame, eligible_subs: DataFrame, catalog: DataFrame, plans: DataFrame
+) -> DataFrame:
+    """Per (check, key): CDRs whose product is not in the catalog, whose payer
+    is not an eligible subscriber, or whose known product has no tariff row
+    for the subscriber's plan - all three in ONE pass over the CDRs.
+
+    ``keyed`` is the mediated feed with ``customer_id``; ``eligible_subs``
+    has (customer_id, rate_plan_id) with unique keys.  The feed is left-joined
+    to the three dimensions (the joins keep every CDR), each row emits the
+    checks it fails, and one partial/final aggregation counts them.
+    """
+    subs = eligible_subs.select("customer_id", "rate_plan_id", F.lit(True).alias("_eligible"))
+    cat = catalog.select("product_code", "rate_type")
+    tar = plans.select("rate_plan_id", "product_code", F.lit(True).alias("_tariff"))
+    j = (
+        keyed.select("record_type", "customer_id", "product_code")
+        .join(subs, "customer_id", "left")
+        .join(cat, "product_code", "left")
+        .join(tar, ["rate_plan_id", "product_code"], "left")
+    )
+    eligible = F.coalesce(F.col("_eligible"), F.lit(False))
+
+    def check(cond, name, key):
+        return F.when(cond, F.struct(F.lit(name).alias("check_name"), key.cast("string").alias("key")))
+
+    failed = F.array(
+        check(F.col("product_code").isNotNull() & F.col("rate_type").isNull(), "cdr_product_not_in_catalog", F.col("product_code")),
+        check(F.col("customer_id").isNotNull() & ~eligible, "cdr_payer_not_eligible", F.col("record_type")),
+        check(eligible & F.col("rate_type").isNotNull() & F.col("_tariff").isNull(), "known_product_without_tariff", F.col("product_code")),
+    )
+    return (
+        j.select(F.explode(failed).alias("c"))
+        .where(F.col("c").isNotNull())
+        .groupBy("c.check_name", "c.key")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )

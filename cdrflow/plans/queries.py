@@ -397,28 +397,18 @@ def q_dq_keys(spark, sf_dir):
 
 
 def q_dq_orphans(spark, sf_dir):
-    """Foreign-key style orphans and records that rating cannot price."""
+    """Foreign-key style orphans and records that rating cannot price.
+
+    The three CDR checks share one pass over the feed
+    (``quality.cdr_orphan_report``); the dimension checks are anti joins of
+    the small tables."""
     st = _st(spark, sf_dir)
-    keyed = _keyed(st)
-    elig = rating.eligible(st.subscriptions, ("customer_id",))
-    rated = st.rated()
-    no_tariff = (
-        rated.filter(F.col("rate_type").isNotNull() & F.col("unit_price").isNull())
-        .groupBy(F.col("product_code").alias("key"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit("known_product_without_tariff").alias("check_name"), "key", "rows")
+    elig = rating.eligible(st.subscriptions, ("customer_id", "rate_plan_id"))
+    return quality.cdr_orphan_report(_keyed(st), elig, st.catalog, st.plans).unionByName(
+        quality.orphan_counts("subscription_plan_unknown", st.subscriptions, st.plans, ["rate_plan_id"], "rate_plan_id")
+    ).unionByName(
+        quality.orphan_counts("tariff_product_not_in_catalog", st.plans, st.catalog, ["product_code"], "product_code")
     )
-    parts = [
-        quality.orphan_counts("cdr_product_not_in_catalog", st.mediated(), st.catalog, ["product_code"], "product_code"),
-        quality.orphan_counts("cdr_payer_not_eligible", keyed, elig, ["customer_id"], "record_type"),
-        quality.orphan_counts("subscription_plan_unknown", st.subscriptions, st.plans, ["rate_plan_id"], "rate_plan_id"),
-        quality.orphan_counts("tariff_product_not_in_catalog", st.plans, st.catalog, ["product_code"], "product_code"),
-        no_tariff,
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
 
 
 QUERIES: dict[str, Query] = {

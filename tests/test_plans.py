@@ -39,3 +39,11 @@ def test_month_invoice_filters_below_aggregation(spark):
 def test_kafka_without_connector_says_so(spark):
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
         read_cdr_stream(spark, "kafka", {"kafka.bootstrap.servers": "localhost:1"})
+
+
+def test_orphan_report_scans_the_feed_once(spark):
+    import __spark_entry__ as entry
+
+    df = entry.queries()["dq_orphans"](spark, SF_SMALL)
+    plan = _plan(df)
+    assert sum("cdr-feed" in line for line in plan.splitlines() if "FileScan" in line or "Scan parquet" in line) == 1
