@@ -33,6 +33,33 @@ def orphans(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
     return child.filter(present).join(parent.select(*keys).distinct(), on=keys, how="left_anti")
 
 
+def key_and_null_checks(df: DataFrame, table: str, keys: list[str], required: list[str]) -> DataFrame:
+    """Two summary rows (duplicate_key, null_required) from ONE pass: the
+    per-key aggregation that finds duplicate keys also counts rows with a
+    NULL in ``required``.  A NULL key counts as a key (like ``key_violations``)."""
+    null_row = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required])
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.count(F.when(null_row, F.lit(1))).alias("_nulls")
+    )
+    totals = per_key.agg(
+        F.count(F.when(F.col("_n") > 1, F.lit(1))).alias("_dup"),
+        F.coalesce(F.sum("_nulls"), F.lit(0)).cast("bigint").alias("_null_rows"),
+    )
+    rows = F.array(
+        F.struct(
+            F.lit("duplicate_key").alias("check_name"),
+            F.lit(f"{table}:{','.join(keys)}").alias("target"),
+            F.col("_dup").alias("violations"),
+        ),
+        F.struct(
+            F.lit("null_required").alias("check_name"),
+            F.lit(f"{table}:{','.join(required)}").alias("target"),
+            F.col("_null_rows").alias("violations"),
+        ),
+    )
+    return totals.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def summarize(name: str, table: str, df: DataFrame) -> DataFrame:
     """One row (check_name, target, violations) for a violations frame."""
     return df.agg(F.count(F.lit(1)).alias("violations")).select(

@@ -365,22 +365,14 @@ def q_product_cost_double(spark, sf_dir):
 # --- data quality -------------------------------------------------------------------------------
 
 def q_dq_keys(spark, sf_dir):
-    """Primary-key and NOT NULL checks as violation counts."""
+    """Primary-key and NOT NULL checks as violation counts (one pass per
+    table for both checks)."""
     st = _st(spark, sf_dir)
     checks = [
-        quality.summarize("duplicate_key", "cdr_feed:record_ID", quality.key_violations(st.raw, ["record_ID"])),
-        quality.summarize(
-            "null_required", "cdr_feed:record_type,timestamp",
-            quality.null_violations(st.raw, ["record_type", "timestamp"]),
-        ),
-        quality.summarize(
-            "duplicate_key", "subscriptions:customer_id", quality.key_violations(st.subscriptions, ["customer_id"])
-        ),
-        quality.summarize(
-            "null_required", "subscriptions:customer_id,customer_name,activation_date,subscription_type,status",
-            quality.null_violations(
-                st.subscriptions, ["customer_id", "customer_name", "activation_date", "subscription_type", "status"]
-            ),
+        quality.key_and_null_checks(st.raw, "cdr_feed", ["record_ID"], ["record_type", "timestamp"]),
+        quality.key_and_null_checks(
+            st.subscriptions, "subscriptions", ["customer_id"],
+            ["customer_id", "customer_name", "activation_date", "subscription_type", "status"],
         ),
         quality.summarize(
             "duplicate_key", "rate_plans:rate_plan_id,product_code",

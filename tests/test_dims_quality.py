@@ -54,3 +54,14 @@ def test_unknown_plan_rates_zero_and_checked_broadcast(spark):
     med = spark.createDataFrame([tuple(row[c] for c in names)], MEDIATED)
     out = rating.rate(med, subs, dims.product_catalog(spark), dims.rate_plans(spark), Params(), dims_trusted_small=False).first()
     assert out.rating_status == "rated" and out.cost == 0 and out.billable_units == 90
+
+
+def test_key_and_null_checks_in_one_pass(spark):
+    df = spark.createDataFrame(
+        [("a", "x"), ("a", None), ("b", "y"), (None, "z"), (None, "w"), ("c", None)], "k string, v string"
+    )
+    got = {(r.check_name, r.target): r.violations for r in quality.key_and_null_checks(df, "t", ["k"], ["v"]).collect()}
+    assert got == {("duplicate_key", "t:k"): 2, ("null_required", "t:v"): 2}  # keys a and NULL; two NULL values
+    # same answers as the separate checks
+    assert quality.key_violations(df, ["k"]).count() == 2
+    assert quality.null_violations(df, ["v"]).count() == 2
