@@ -38,6 +38,9 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Month partitions are rewritten one at a time, never the whole table.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Stage tables at 100 TB: zstd gives markedly smaller files than snappy
+    # for the same scan speed.
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Whole-stage codegen fuses a scan, the mediation predicates and the
     # pricing projection into one Java method; HotSpot by default refuses to
