@@ -115,7 +115,7 @@ def invoices_for_months(
     billing_period).  The month filter sits below the aggregation, so with
     a month-partitioned rated table only those partitions are read.
     """
-    months = list(months)
+    months = list(dict.fromkeys(months))  # a month listed twice is billed once
     if not months:
         raise ValueError("at least one billing month is required")
     subs = eligible(subscriptions, ("customer_id", "region", "rate_plan_id"))

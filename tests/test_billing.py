@@ -94,3 +94,10 @@ def test_month_filter_prunes_partitions(spark, tmp_dir):
     rated = read_rated(spark, path)
     plan = billing.invoices_for_month(rated, st.subscriptions, FIXTURE_PARAMS)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(billing_period" in plan and "2024-02" in plan
+
+
+def test_repeated_month_is_billed_once(spark):
+    st = fixture_stages(spark, SF_SMALL, FIXTURE_PARAMS)
+    once = billing.invoices_for_months(st.rated(), st.subscriptions, ["2024-02"], FIXTURE_PARAMS)
+    twice = billing.invoices_for_months(st.rated(), st.subscriptions, ["2024-02", "2024-02"], FIXTURE_PARAMS)
+    assert twice.count() == once.count()
