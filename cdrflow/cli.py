@@ -1,6 +1,7 @@
 """Command line: the four stages as separate jobs, like the reference's scripts.
 
-    python -m cdrflow stream  --source kafka --kafka-servers host:9092 --out mediated_data --checkpoint ckpt
+    python -m cdrflow stream  --source kafka --kafka-servers host:9092 --out mediated_data --checkpoint ckpt \
+                              --source-option maxOffsetsPerTrigger=5000000 --trigger "30 seconds"
     python -m cdrflow rate    --mediated mediated_data --out rated_data --subscriptions jdbc --jdbc-url ...
     python -m cdrflow bill    --rated rated_data --out invoice --month 2025-06 --subscriptions subs.parquet
     python -m cdrflow report  --invoice invoice --rated rated_data --out report --month 2025-06
@@ -70,6 +71,9 @@ def cmd_stream(spark, a):
     opts = {}
     if a.source == "kafka":
         opts = {"kafka.bootstrap.servers": a.kafka_servers, "subscribe": a.topic}
+    for kv in a.source_option or []:
+        key, _, value = kv.partition("=")
+        opts[key] = value
     q = start_mediation_stream(
         spark, a.out, a.checkpoint, _params(a), fmt=a.source, source_options=opts, source_path=a.path,
         available_now=a.available_now, processing_time=a.trigger, dedup_delay=a.dedup_delay,
@@ -165,6 +169,8 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--trigger", default=None, help='processing-time trigger, e.g. "10 seconds"')
     s.add_argument("--dedup-delay", default=None, help='drop re-sent record_IDs within this delay, e.g. "1 hour"')
     s.add_argument("--timeout", type=float, default=None)
+    s.add_argument("--source-option", action="append", metavar="KEY=VALUE",
+                   help="extra source option, e.g. maxOffsetsPerTrigger=5000000 or maxFilesPerTrigger=100")
     s.set_defaults(fn=cmd_stream)
 
     r = sub.add_parser("rate", help="mediated_data -> rated_data")

@@ -15,7 +15,11 @@ def test_stages_via_cli(spark, tmp_dir):
     fixture_subscribers(spark, SF_SMALL).write.parquet(f"{tmp_dir}/subs")
     common = ["--as-of", "2024-01-02"]
     main(["stream", *common, "--source", "text", "--path", src, "--out", f"{tmp_dir}/mediated",
-          "--checkpoint", f"{tmp_dir}/ckpt", "--available-now", "--timeout", "120"])
+          "--checkpoint", f"{tmp_dir}/ckpt", "--available-now", "--timeout", "120",
+          "--source-option", "maxFilesPerTrigger=2"])
+    batches = {r.batch_id for r in spark.read.parquet(f"{tmp_dir}/mediated").select("batch_id").distinct().collect()}
+    n_files = len([f for f in os.listdir(src) if f.endswith(".txt")])
+    assert len(batches) == (n_files + 1) // 2  # two message files per micro-batch
     main(["rate", *common, "--mediated", f"{tmp_dir}/mediated", "--out", f"{tmp_dir}/rated",
           "--subscriptions", f"{tmp_dir}/subs"])
     main(["bill", *common, "--rated", f"{tmp_dir}/rated", "--out", f"{tmp_dir}/invoice",
