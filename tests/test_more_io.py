@@ -84,3 +84,14 @@ def test_subscriptions_read_in_parallel_by_key_suffix(spark):
     whole = dims.read_dim(spark, "SUBS", "jdbc", opts)
     assert par.count() == whole.count() == subs.count() + 1
     assert par.exceptAll(whole).count() == 0
+
+
+def test_balance_input_spreads_single_split_scans_only(spark):
+    from cdrflow.sources.fixtures import balance_input
+
+    one = spark.read.parquet(f"{SF_SMALL}/events.parquet")  # a single row group
+    assert one.rdd.getNumPartitions() == 1
+    spread = balance_input(one, 4, key_col="event_id")
+    assert spread.rdd.getNumPartitions() == 4 and spread.count() == one.count()
+    many = one.repartition(6)
+    assert balance_input(many, 4) is many
