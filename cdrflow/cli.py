@@ -131,6 +131,20 @@ def cmd_compact(spark, a):
     files.compact_partitions(spark, a.path, table[0], table[1], where, a.files_per_partition, table[2])
 
 
+def cmd_show(spark, a):
+    """First rows of a stage table (the notebooks' ``show(5)`` previews)."""
+    readers = {
+        "mediated": lambda: files.read_mediated(spark, a.path),
+        "rated": lambda: files.read_rated(spark, a.path, a.money),
+        "invoice": lambda: files.read_invoices(spark, a.path, a.money),
+        "report": lambda: spark.read.option("header", True).csv(a.path),
+    }
+    df = readers[a.table]()
+    if a.where:
+        df = df.filter(F.expr(a.where))
+    df.show(a.rows, truncate=False)
+
+
 def cmd_demo(spark, a):
     params = FIXTURE_PARAMS.with_(boundary=a.boundary, money=a.money, msisdn_mode=a.msisdn_mode)
     paths = run_batch(fixture_stages(spark, a.sf_dir, params), a.out, months=list(FIXTURE_MONTHS))
@@ -209,6 +223,14 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--files-per-partition", type=int, default=1)
     c.set_defaults(fn=cmd_compact)
 
+    v = sub.add_parser("show", help="preview the first rows of a stage table")
+    common(v)
+    v.add_argument("--table", choices=["mediated", "rated", "invoice", "report"], required=True)
+    v.add_argument("--path", required=True)
+    v.add_argument("--where", default=None)
+    v.add_argument("-n", "--rows", type=int, default=5)
+    v.set_defaults(fn=cmd_show)
+
     d = sub.add_parser("demo", help="all stages on CDRs derived from the driver tables")
     common(d)
     d.add_argument("--sf-dir", required=True)

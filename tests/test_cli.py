@@ -46,6 +46,15 @@ def test_stages_via_cli(spark, tmp_dir):
     assert sorted(r.billing_period for r in inv.select("billing_period").distinct().collect()) == list(FIXTURE_MONTHS)
 
 
+def test_show_previews_rows(spark, tmp_dir, capsys):
+    main(["demo", "--sf-dir", SF_SMALL, "--out", f"{tmp_dir}/demo"])
+    capsys.readouterr()
+    main(["show", "--table", "rated", "--path", f"{tmp_dir}/demo/rated_data", "-n", "3",
+          "--where", "rating_status = 'rated'"])
+    out = capsys.readouterr().out
+    assert "only showing top 3 rows" in out and "rated" in out
+
+
 def test_demo_matches_lazy_plan(spark, tmp_dir):
     from cdrflow.operators import reports
     from cdrflow.params import FIXTURE_PARAMS
