@@ -91,7 +91,8 @@ def cmd_rate(spark, a):
     catalog = _dim(spark, a, a.catalog, "product_catalog")
     plans = _dim(spark, a, a.rate_plans, "rate_plans")
     trusted = a.catalog == "builtin" and a.rate_plans == "builtin"
-    files.write_rated(rating.rate(mediated, subs, catalog, plans, p, dims_trusted_small=trusted), a.out, p.money)
+    rated = rating.rate(mediated, subs, catalog, plans, p, dims_trusted_small=trusted)
+    files.write_rated(rated, a.out, p.money, rebalance=a.rebalance)
 
 
 def cmd_bill(spark, a):
@@ -99,7 +100,7 @@ def cmd_bill(spark, a):
     rated = files.read_rated(spark, a.rated, p.money)
     subs = _dim(spark, a, a.subscriptions, "customer_subscriptions")
     months = a.months.split(",") if a.months else [p.billing_month]
-    files.write_invoices(billing.invoices_for_months(rated, subs, months, p), a.out, p.money)
+    files.write_invoices(billing.invoices_for_months(rated, subs, months, p), a.out, p.money, rebalance=a.rebalance)
     if a.jdbc_table:
         # Written from the stored invoices: the invoice plan runs once.
         invoices = files.read_invoices(spark, a.out, p.money).filter(F.col("billing_period").isin(*months))
@@ -195,6 +196,7 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--catalog", default="builtin", help="'builtin', 'jdbc' or a Parquet path")
     r.add_argument("--rate-plans", default="builtin", help="'builtin', 'jdbc' or a Parquet path")
     r.add_argument("--months", default=None, help="rate only these yyyy-MM months (others stay as they are)")
+    r.add_argument("--rebalance", action="store_true", help="a few large files per month (one extra shuffle)")
     r.set_defaults(fn=cmd_rate)
 
     b = sub.add_parser("bill", help="rated_data -> invoice (and a JDBC table)")
@@ -205,6 +207,7 @@ def build_parser() -> argparse.ArgumentParser:
     b.add_argument("--month", default=None)
     b.add_argument("--months", default=None, help="comma-separated yyyy-MM list")
     b.add_argument("--jdbc-table", default=None)
+    b.add_argument("--rebalance", action="store_true", help="a few large files per month (one extra shuffle)")
     b.set_defaults(fn=cmd_bill)
 
     p = sub.add_parser("report", help="invoice + rated_data -> CSV reports")

@@ -47,12 +47,21 @@ def write_mediated(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     write_partitioned(conform(df, schemas.MEDIATED_STORED), path, ["record_type", "batch_id"], mode)
 
 
-def write_rated(df: DataFrame, path: str, money: str = "decimal") -> None:
-    write_partitioned(conform(df, schemas.storage_schema(schemas.RATED, money)), path, ["billing_period"])
+def _sized(df: DataFrame, rebalance: bool, col: str) -> DataFrame:
+    """With ``rebalance`` the rows are shuffled once so that AQE cuts each
+    month into partitions of the advisory size: a few large files per month
+    instead of one small file per task and month (costs a shuffle)."""
+    return df.hint("rebalance", col) if rebalance else df
 
 
-def write_invoices(df: DataFrame, path: str, money: str = "decimal") -> None:
-    write_partitioned(conform(df, schemas.storage_schema(schemas.INVOICE, money)), path, ["billing_period"])
+def write_rated(df: DataFrame, path: str, money: str = "decimal", rebalance: bool = False) -> None:
+    out = conform(df, schemas.storage_schema(schemas.RATED, money))
+    write_partitioned(_sized(out, rebalance, "billing_period"), path, ["billing_period"])
+
+
+def write_invoices(df: DataFrame, path: str, money: str = "decimal", rebalance: bool = False) -> None:
+    out = conform(df, schemas.storage_schema(schemas.INVOICE, money))
+    write_partitioned(_sized(out, rebalance, "billing_period"), path, ["billing_period"])
 
 
 # Reports with a bounded number of rows (plans, regions x plans, products).

@@ -87,6 +87,10 @@ def test_incremental_rating_by_month(spark, tmp_dir):
     main([*rate, "--months", "2024-02"])  # re-rate one month only
     after = sorted(tuple(r) for r in files.read_rated(spark, f"{tmp_dir}/rated").collect())
     assert after == before
+    main([*rate, "--months", "2024-02", "--rebalance"])  # same rows, sized files
+    month = f"{tmp_dir}/rated/billing_period=2024-02"
+    assert len([f for f in os.listdir(month) if f.endswith(".parquet")]) == 1
+    assert sorted(tuple(r) for r in files.read_rated(spark, f"{tmp_dir}/rated").collect()) == before
     mediated = files.read_mediated(spark, f"{tmp_dir}/mediated")
     plan = rating.in_months(mediated, ["2024-02"])._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(timestamp" in plan and "LessThan(timestamp" in plan
