@@ -27,10 +27,12 @@ def null_violations(df: DataFrame, cols: list[str]) -> DataFrame:
 def orphans(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``child`` whose (non-NULL) key has no row in ``parent``.
 
-    A NULL key is not an orphan (SQL foreign-key semantics).
+    A NULL key is not an orphan (SQL foreign-key semantics).  Duplicate parent
+    keys do not change an anti join, so the parent is not de-duplicated
+    (which would cost a shuffle).
     """
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return child.filter(present).join(parent.select(*keys).distinct(), on=keys, how="left_anti")
+    return child.filter(present).join(parent.select(*keys), on=keys, how="left_anti")
 
 
 def key_and_null_checks(df: DataFrame, table: str, keys: list[str], required: list[str]) -> DataFrame:
