@@ -52,6 +52,25 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Shuffle and split settings for a run over ``input_bytes`` of CDRs.
+
+    Shuffle partitions start at input / ``target_partition_bytes`` (at least
+    twice the cores, so every core has work), and AQE coalesces the small
+    ones at run time; each shuffle partition then fits comfortably in an
+    executor's execution memory instead of spilling.  Scan splits stay at
+    128-256 MB.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    split = 256 * 1024**2 if input_bytes >= 1024**4 else 128 * 1024**2
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
 def get_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,

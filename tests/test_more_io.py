@@ -95,3 +95,13 @@ def test_balance_input_spreads_single_split_scans_only(spark):
     assert spread.rdd.getNumPartitions() == 4 and spread.count() == one.count()
     many = one.repartition(6)
     assert balance_input(many, 4) is many
+
+
+def test_cluster_conf_sizes_partitions():
+    from cdrflow.session import cluster_conf
+
+    big = cluster_conf(100 * 1024**4, 8000)  # 100 TB on 1000 executors x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
+    small = cluster_conf(10 * 1024**2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
