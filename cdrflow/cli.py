@@ -155,6 +155,8 @@ def cmd_demo(spark, a):
 def build_parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="cdrflow", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("--master", default=None, help="Spark master (default: the submitter's)")
+    ap.add_argument("--input-gb", type=float, default=None,
+                    help="expected input size: sizes shuffle partitions and scan splits (session.cluster_conf)")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     def common(p):
@@ -245,6 +247,11 @@ def build_parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     a = build_parser().parse_args(argv)
     spark = get_session(master=a.master) if a.master else SparkSession.builder.getOrCreate()
+    if a.input_gb:
+        from cdrflow.session import cluster_conf, parallelism
+
+        for key, value in cluster_conf(int(a.input_gb * 1024**3), parallelism(spark)).items():
+            spark.conf.set(key, value)
     a.fn(spark, a)
 
 
