@@ -115,14 +115,17 @@ def q_rate_plan_dim(spark, sf_dir):
 # --- mediation ------------------------------------------------------------------------
 
 def q_filter_required(spark, sf_dir):
+    """Records with a record type and an event time."""
     return mediation.require_fields(fixture_cdrs(spark, sf_dir))
 
 
 def q_filter_fresh(spark, sf_dir):
+    """P1+P2: required fields and freshness (admission)."""
     return _st(spark, sf_dir).admitted()
 
 
 def q_split_by_type(spark, sf_dir):
+    """Admitted records of the three types, other types' columns NULL."""
     return mediation.split_all(_st(spark, sf_dir).admitted())
 
 
@@ -234,14 +237,17 @@ def _keyed(st: Stages) -> DataFrame:
 
 
 def q_customer_key(spark, sf_dir):
+    """Subscriber key of the paying party."""
     return _keyed(_st(spark, sf_dir)).select("record_ID", "record_type", "customer_id")
 
 
 def q_eligible_customers(spark, sf_dir):
+    """Active postpaid subscriptions."""
     return rating.eligible(fixture_subscribers(spark, sf_dir), ("customer_id", "region", "rate_plan_id"))
 
 
 def q_cdr_with_plan(spark, sf_dir):
+    """CDRs of eligible subscribers with their rate plan."""
     st = _st(spark, sf_dir)
     return rating.join_plan(_keyed(st), st.subscriptions).select(
         "record_ID", "customer_id", "rate_plan_id", "product_code"
@@ -249,12 +255,14 @@ def q_cdr_with_plan(spark, sf_dir):
 
 
 def q_cdr_with_catalog(spark, sf_dir):
+    """Plus the product's rate type and unit."""
     st = _st(spark, sf_dir)
     j = rating.join_catalog(rating.join_plan(_keyed(st), st.subscriptions), st.catalog)
     return j.select("record_ID", "customer_id", "rate_plan_id", "product_code", "rate_type", "unit")
 
 
 def q_cdr_with_tariff(spark, sf_dir):
+    """Plus the typed tariff row of (plan, product)."""
     st = _st(spark, sf_dir)
     j = rating.join_tariff(rating.join_catalog(rating.join_plan(_keyed(st), st.subscriptions), st.catalog), st.plans)
     return finish(
@@ -266,6 +274,7 @@ def q_cdr_with_tariff(spark, sf_dir):
 
 
 def q_billable_units(spark, sf_dir):
+    """Billable units per rated record."""
     r = _st(spark, sf_dir).rated()
     return finish(r.select("record_ID", "record_type", "product_code", "billable_units"))
 
@@ -341,18 +350,22 @@ def q_invoice_all_months(spark, sf_dir):
 # --- reports ----------------------------------------------------------------------------------
 
 def q_top_customers(spark, sf_dir):
+    """Subscribers with data charges, by data charges."""
     return finish(reports.top_customers(_st(spark, sf_dir).invoices()))
 
 
 def q_revenue_by_plan(spark, sf_dir):
+    """A3/O1: revenue including tax per plan."""
     return finish(reports.revenue_by_plan(_st(spark, sf_dir).invoices()))
 
 
 def q_revenue_by_region_plan(spark, sf_dir):
+    """A4/O2: revenue per region and plan."""
     return finish(reports.revenue_by_region_plan(_st(spark, sf_dir).invoices()))
 
 
 def q_product_cost(spark, sf_dir):
+    """Per product floored total, count and exact average."""
     return finish(reports.product_cost(_st(spark, sf_dir).rated()))
 
 
