@@ -80,7 +80,11 @@ def orphan_counts(name: str, child: DataFrame, parent: DataFrame, keys: list[str
 
 
 def cdr_orphan_report(
-    keyed: DataFrame, eligible_subs: DataFrame, catalog: DataFrame, plans: DataFrame
+    keyed: DataFrame,
+    eligible_subs: DataFrame,
+    catalog: DataFrame,
+    plans: DataFrame,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Per (check, key): CDRs whose product is not in the catalog, whose payer
     is not an eligible subscriber, or whose known product has no tariff row
@@ -89,17 +93,20 @@ def cdr_orphan_report(
     ``keyed`` is the mediated feed with ``customer_id``; ``eligible_subs``
     has (customer_id, rate_plan_id) with unique keys.  The feed is left-joined
     to the three dimensions (the joins keep every CDR), each row emits the
-    checks it fails, and one partial/final aggregation counts them.
+    checks it fails, and one partial/final aggregation counts them.  Each
+    dimension is broadcast only after a bounded row count, like J1.
     """
+    from cdrflow.operators.joins import join_dimension
+
     subs = eligible_subs.select("customer_id", "rate_plan_id", F.lit(True).alias("_eligible"))
     cat = catalog.select("product_code", "rate_type")
     tar = plans.select("rate_plan_id", "product_code", F.lit(True).alias("_tariff"))
     j = (
-        keyed.select("record_type", "customer_id", "product_code")
-        .join(subs, "customer_id", "left")
-        .join(cat, "product_code", "left")
-        .join(tar, ["rate_plan_id", "product_code"], "left")
+        join_dimension(keyed.select("record_type", "customer_id", "product_code"), subs, "customer_id", "left",
+                       max_rows=max_broadcast_rows)
     )
+    j = join_dimension(j, cat, "product_code", "left", max_rows=max_broadcast_rows)
+    j = join_dimension(j, tar, ["rate_plan_id", "product_code"], "left", max_rows=max_broadcast_rows)
     eligible = F.coalesce(F.col("_eligible"), F.lit(False))
 
     def check(cond, name, key):

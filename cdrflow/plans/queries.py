@@ -409,7 +409,8 @@ def q_dq_orphans(spark, sf_dir):
     the small tables."""
     st = _st(spark, sf_dir)
     elig = rating.eligible(st.subscriptions, ("customer_id", "rate_plan_id"))
-    return quality.cdr_orphan_report(_keyed(st), elig, st.catalog, st.plans).unionByName(
+    report = quality.cdr_orphan_report(_keyed(st), elig, st.catalog, st.plans, st.params.broadcast_max_rows)
+    return report.unionByName(
         quality.orphan_counts("subscription_plan_unknown", st.subscriptions, st.plans, ["rate_plan_id"], "rate_plan_id")
     ).unionByName(
         quality.orphan_counts("tariff_product_not_in_catalog", st.plans, st.catalog, ["product_code"], "product_code")
