@@ -57,7 +57,10 @@ def eligible(subscriptions: DataFrame, columns: tuple[str, ...] = ("customer_id"
 
 
 def join_plan(
-    keyed: DataFrame, subscriptions: DataFrame, max_rows: int | None = None, salt_buckets: int | None = None
+    keyed: DataFrame,
+    subscriptions: DataFrame,
+    max_rows: int | None = Params().broadcast_max_rows,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """CDRs of eligible subscribers only, with their rate plan.
 
@@ -73,13 +76,17 @@ def join_plan(
     )
 
 
-def join_catalog(df: DataFrame, catalog: DataFrame, trusted_small: bool = True, max_rows: int | None = None) -> DataFrame:
+def join_catalog(
+    df: DataFrame, catalog: DataFrame, trusted_small: bool = False, max_rows: int | None = Params().broadcast_max_rows
+) -> DataFrame:
     """Rate type and unit of the product (left: unknown products stay)."""
     dim = catalog.select("product_code", "rate_type", "unit")
     return join_dimension(df, dim, "product_code", "left", max_rows=max_rows, trusted_small=trusted_small)
 
 
-def join_tariff(df: DataFrame, plans: DataFrame, trusted_small: bool = True, max_rows: int | None = None) -> DataFrame:
+def join_tariff(
+    df: DataFrame, plans: DataFrame, trusted_small: bool = False, max_rows: int | None = Params().broadcast_max_rows
+) -> DataFrame:
     """Tariff row of (plan, product) (left: missing rows give NULL tariffs)."""
     dim = plans.select(
         "rate_plan_id",
@@ -162,12 +169,13 @@ def rate(
     catalog: DataFrame,
     plans: DataFrame,
     params: Params = Params(),
-    dims_trusted_small: bool = True,
+    dims_trusted_small: bool = False,
 ) -> DataFrame:
     """Full rating stage: key, J1-J3, units, cost, status, period.
 
-    Set ``dims_trusted_small=False`` when catalog and plans come from an
-    external table: they are then broadcast only after a row-count check.
+    Catalog and plans are broadcast after a row-count check; pass
+    ``dims_trusted_small=True`` only for the built-in seed tables (literal
+    rows, bounded by construction), which skips the check.
     """
     check = None if dims_trusted_small else params.broadcast_max_rows
     keyed = with_customer_id(

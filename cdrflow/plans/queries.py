@@ -249,7 +249,7 @@ def q_eligible_customers(spark, sf_dir):
 def q_cdr_with_plan(spark, sf_dir):
     """CDRs of eligible subscribers with their rate plan."""
     st = _st(spark, sf_dir)
-    return rating.join_plan(_keyed(st), st.subscriptions).select(
+    return rating.join_plan(_keyed(st), st.subscriptions, st.params.broadcast_max_rows).select(
         "record_ID", "customer_id", "rate_plan_id", "product_code"
     )
 
@@ -257,14 +257,17 @@ def q_cdr_with_plan(spark, sf_dir):
 def q_cdr_with_catalog(spark, sf_dir):
     """Plus the product's rate type and unit."""
     st = _st(spark, sf_dir)
-    j = rating.join_catalog(rating.join_plan(_keyed(st), st.subscriptions), st.catalog)
+    j = rating.join_catalog(rating.join_plan(_keyed(st), st.subscriptions, st.params.broadcast_max_rows), st.catalog, st.dims_trusted_small)
     return j.select("record_ID", "customer_id", "rate_plan_id", "product_code", "rate_type", "unit")
 
 
 def q_cdr_with_tariff(spark, sf_dir):
     """Plus the typed tariff row of (plan, product)."""
     st = _st(spark, sf_dir)
-    j = rating.join_tariff(rating.join_catalog(rating.join_plan(_keyed(st), st.subscriptions), st.catalog), st.plans)
+    trusted = st.dims_trusted_small
+    j = rating.join_tariff(
+        rating.join_catalog(rating.join_plan(_keyed(st), st.subscriptions, st.params.broadcast_max_rows), st.catalog, trusted), st.plans, trusted
+    )
     return finish(
         j.select(
             "record_ID", "customer_id", "rate_plan_id", "product_code", "rate_type",

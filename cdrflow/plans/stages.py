@@ -29,7 +29,8 @@ class Stages:
     catalog: DataFrame
     plans: DataFrame
     params: Params = field(default_factory=Params)
-    dims_trusted_small: bool = True
+    # True only when catalog and plans are the built-in seed tables.
+    dims_trusted_small: bool = False
     # Stage plans defined so far (lazy DataFrames, not data), keyed by name.
     # Only used when ``reuse_plans`` is set: then the inputs must not be
     # replaced after the first call.
@@ -92,6 +93,7 @@ def fixture_stages(
         catalog=dims.product_catalog(spark),
         plans=dims.rate_plans(spark),
         params=params,
+        dims_trusted_small=True,  # literal seed rows
         reuse_plans=reuse_plans,
     )
 
