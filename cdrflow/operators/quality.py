@@ -85,6 +85,7 @@ def cdr_orphan_report(
     catalog: DataFrame,
     plans: DataFrame,
     max_broadcast_rows: int | None = None,
+    trusted_dims: bool = False,
 ) -> DataFrame:
     """Per (check, key): CDRs whose product is not in the catalog, whose payer
     is not an eligible subscriber, or whose known product has no tariff row
@@ -94,7 +95,8 @@ def cdr_orphan_report(
     has (customer_id, rate_plan_id) with unique keys.  The feed is left-joined
     to the three dimensions (the joins keep every CDR), each row emits the
     checks it fails, and one partial/final aggregation counts them.  Each
-    dimension is broadcast only after a bounded row count, like J1.
+    dimension is broadcast only after a bounded row count, like J1
+    (``trusted_dims`` skips the check for the built-in seed tables).
     """
     from cdrflow.operators.joins import join_dimension
 
@@ -105,8 +107,10 @@ def cdr_orphan_report(
         join_dimension(keyed.select("record_type", "customer_id", "product_code"), subs, "customer_id", "left",
                        max_rows=max_broadcast_rows)
     )
-    j = join_dimension(j, cat, "product_code", "left", max_rows=max_broadcast_rows)
-    j = join_dimension(j, tar, ["rate_plan_id", "product_code"], "left", max_rows=max_broadcast_rows)
+    j = join_dimension(j, cat, "product_code", "left", max_rows=max_broadcast_rows, trusted_small=trusted_dims)
+    j = join_dimension(
+        j, tar, ["rate_plan_id", "product_code"], "left", max_rows=max_broadcast_rows, trusted_small=trusted_dims
+    )
     eligible = F.coalesce(F.col("_eligible"), F.lit(False))
 
     def check(cond, name, key):

@@ -412,7 +412,9 @@ def q_dq_orphans(spark, sf_dir):
     the small tables."""
     st = _st(spark, sf_dir)
     elig = rating.eligible(st.subscriptions, ("customer_id", "rate_plan_id"))
-    report = quality.cdr_orphan_report(_keyed(st), elig, st.catalog, st.plans, st.params.broadcast_max_rows)
+    report = quality.cdr_orphan_report(
+        _keyed(st), elig, st.catalog, st.plans, st.params.broadcast_max_rows, trusted_dims=st.dims_trusted_small
+    )
     return report.unionByName(
         quality.orphan_counts("subscription_plan_unknown", st.subscriptions, st.plans, ["rate_plan_id"], "rate_plan_id")
     ).unionByName(
