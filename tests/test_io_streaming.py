@@ -111,8 +111,12 @@ def test_stream_equals_batch_on_fixture(spark, tmp_dir):
 
 def test_one_micro_batch_per_file(spark, tmp_dir):
     src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    import time
+
+    base = time.time() - 100
     for i in range(3):
         _write_json(src, f"f{i}.json", [_rec(10 + i)])
+        os.utime(os.path.join(src, f"f{i}.json"), (base + i, base + i))  # explicit order for the file source
     metrics = {}
     q = start_mediation_stream(
         spark, out, ckpt, FIXTURE_PARAMS, fmt="text", source_path=src, available_now=True,
