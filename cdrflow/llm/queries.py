@@ -2,23 +2,36 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cdrflow.llm.common import table
+from cdrflow.llm.fit_packing import pack_documents
 from cdrflow.llm.secret_scan import scan_secrets, span_digest
+from cdrflow.llm.sentence_pieces import piece_digests
 from cdrflow.llm.url_filters import filter_urls
 
 
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op7_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
 QUERIES = {
+    "op3_sentence_pieces": op3_sentence_pieces,
     "op6_secret_scan": op6_secret_scan,
+    "op7_fit_packing": op7_fit_packing,
     "op10_url_filters": op10_url_filters,
 }
 
