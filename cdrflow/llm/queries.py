@@ -7,11 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cdrflow.llm.common import table
 from cdrflow.llm.fit_packing import pack_documents
+from cdrflow.llm.order_minhash import fingerprint_documents
+from cdrflow.llm.quality_gam import score_documents
 from cdrflow.llm.secret_scan import scan_secrets, span_digest
 from cdrflow.llm.sentence_pieces import piece_digests
 from cdrflow.llm.url_filters import filter_urls
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -24,14 +30,20 @@ def op7_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
 QUERIES = {
+    "op1_quality_gam": op1_quality_gam,
     "op3_sentence_pieces": op3_sentence_pieces,
     "op6_secret_scan": op6_secret_scan,
     "op7_fit_packing": op7_fit_packing,
+    "op9_order_minhash": op9_order_minhash,
     "op10_url_filters": op10_url_filters,
 }
 
