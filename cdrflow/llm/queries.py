@@ -11,6 +11,7 @@ from cdrflow.llm.order_minhash import fingerprint_documents
 from cdrflow.llm.quality_gam import score_documents
 from cdrflow.llm.secret_scan import scan_secrets, span_digest
 from cdrflow.llm.sentence_pieces import piece_digests
+from cdrflow.llm.style_tree import extract_pages
 from cdrflow.llm.url_filters import filter_urls
 
 
@@ -18,6 +19,10 @@ def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -40,6 +45,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_gam": op1_quality_gam,
+    "op2_style_tree": op2_style_tree,
     "op3_sentence_pieces": op3_sentence_pieces,
     "op6_secret_scan": op6_secret_scan,
     "op7_fit_packing": op7_fit_packing,
