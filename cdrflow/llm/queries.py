@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cdrflow.llm.common import table
+from cdrflow.llm.cover_tree import near_duplicates
 from cdrflow.llm.fit_packing import pack_documents
 from cdrflow.llm.order_minhash import fingerprint_documents
 from cdrflow.llm.quality_gam import score_documents
@@ -35,6 +36,10 @@ def op7_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -49,6 +54,7 @@ QUERIES = {
     "op3_sentence_pieces": op3_sentence_pieces,
     "op6_secret_scan": op6_secret_scan,
     "op7_fit_packing": op7_fit_packing,
+    "op8_cover_tree": op8_cover_tree,
     "op9_order_minhash": op9_order_minhash,
     "op10_url_filters": op10_url_filters,
 }
