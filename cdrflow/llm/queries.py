@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cdrflow.llm.common import table
 from cdrflow.llm.cover_tree import near_duplicates
 from cdrflow.llm.fit_packing import pack_documents
+from cdrflow.llm.ngram_join import jaccard_components
 from cdrflow.llm.order_minhash import fingerprint_documents
 from cdrflow.llm.quality_gam import score_documents
 from cdrflow.llm.secret_scan import scan_secrets, span_digest
@@ -28,6 +29,10 @@ def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(scan_secrets(table(spark, sf_dir, "documents")))
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op2_style_tree": op2_style_tree,
     "op3_sentence_pieces": op3_sentence_pieces,
+    "op5_ngram_join": op5_ngram_join,
     "op6_secret_scan": op6_secret_scan,
     "op7_fit_packing": op7_fit_packing,
     "op8_cover_tree": op8_cover_tree,
