@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +14,31 @@ from cdrflow.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application.
+
+    Functions that run there are imported by name; this makes them available
+    wherever the job was started from.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    bundle = Path(tempfile.mkdtemp()) / f"{package.name}-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(bundle, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(bundle))
+    _shipped.add(app)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and scan it again.
 
