@@ -11,12 +11,19 @@ All orders put frequent tokens last.  Which tokens count as frequent (the
 largest posting lists of a first pass over all documents, at most
 ``MAX_FREQUENT``) affects the cost only: the prefix property holds for every order.
 
-Equal sets are one node.  A posting list of up to ``SMALL`` nodes yields its
-pairs.  A longer one never does: first its node with the fewest rare tokens
-(the likely original of a group of copies) is verified against the others;
-when the links found this way are connected, only nodes outside the list's
-largest component are compared with the rest.  So a large group of near copies
-costs a star, not a square, and no link between components is lost.
+Equal sets are one node.  A posting list in which nodes have few possible
+partners yields its pairs.  A dense one (a group of near copies) never does.  Its
+node whose prefix is most common, the likely original, becomes a hub and is
+compared with all others.  By the triangle inequality two similar nodes are
+then either both near the hub or both not close to it:
+
+* both near: they are linked through the hub, or they share an element of their
+  differences from the hub (a token they both lack or both add).  These small
+  difference sets are joined by prefix filter, for nodes of different components;
+* the others form a shorter list, which is treated in the same way.
+
+So a large group of near copies costs a star and a join of its edits, not a
+square, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -38,7 +45,8 @@ PERCENT = 90
 ORDERS = (1, 2, 3)  # seeds
 FREQUENT = 50  # posting lists of this length make a token frequent
 MAX_FREQUENT = 500_000
-SMALL = 8
+DENSE = 64  # nodes of like size per node of a list from which on it gets a hub
+HUB_ROUNDS = 2  # then what is left of the dense lists yields its pairs
 MAX_BROADCAST_IDS = 2_000_000  # 16 MB; more candidate ids are joined by a shuffle
 
 
@@ -135,11 +143,9 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int, also: Column | None
     ).distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, frequent, percent: int, shingle: int) -> DataFrame:
-    """(x, y): the pairs that pass the filters of all orders and are similar."""
-    pairs = staged(pairs, "candidates")
-    ids = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-    ids = staged(ids, "candidate-ids")
+def _compared(pairs: DataFrame, docs: DataFrame, frequent, percent: int, shingle: int) -> DataFrame:
+    """``pairs`` (x, y, ...) with the token sets and filters of both nodes as ``a`` and ``b``."""
+    ids = staged(pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct(), "candidate-ids")
     if ids.count() <= MAX_BROADCAST_IDS:
         ids = F.broadcast(ids)
     sets = staged(
@@ -148,25 +154,139 @@ def _verified(pairs: DataFrame, docs: DataFrame, frequent, percent: int, shingle
         ),
         "candidate-sets",
     )
-    both = (
-        pairs.join(sets.select(F.col("node").alias("x"), F.col("s").alias("a")), "x")
-        .join(sets.select(F.col("node").alias("y"), F.col("s").alias("b")), "y")
-    )
+    return pairs.join(sets.select(F.col("node").alias("x"), F.col("s").alias("a")), "x").join(
+        sets.select(F.col("node").alias("y"), F.col("s").alias("b")), "y"
+    )
+
+
+def _similar(percent: int) -> Column:
+    """The filters of the second and third order, then the exact test."""
     shared = F.size(F.array_intersect("a.tokens", "b.tokens"))
     total = F.size("a.tokens") + F.size("b.tokens")
-    return both.filter(
+    return (
         F.arrays_overlap("a.second", "b.second")
         & F.arrays_overlap("a.third", "b.third")
         & (100 * shared >= percent * (total - shared))
-    ).select("x", "y")
+    )
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, frequent, percent: int, shingle: int) -> DataFrame:
+    """(x, y): the similar ones of the pairs."""
+    return _compared(pairs, docs, frequent, percent, shingle).filter(_similar(percent)).select("x", "y")
+
+
+def _dense_tokens(lists: DataFrame, percent: int) -> DataFrame:
+    """Tokens in whose list a node has more than ``DENSE`` others of like size on average."""
+    like = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent)).cast("int")
+    bins = lists.groupBy("token", like.alias("like")).agg(F.count(F.lit(1)).alias("c"))
+    sums = bins.groupBy("token").agg(F.sum(F.col("c") * F.col("c")).alias("pairs"), F.sum("c").alias("size"))
+    return sums.filter(F.col("pairs") > DENSE * F.col("size")).select("token")
+
+
+def _hubs(crowded: DataFrame, percent: int) -> DataFrame:
+    """(token, hub): in each list the node whose prefix lies most in long lists.
 
+    Copies that were edited have rare tokens in their prefix, the original has none.
+    """
+    sizes = crowded.groupBy("token").agg(F.log(F.count(F.lit(1))).alias("size"))
+    slots = F.col("n") * (100 - percent) / 100 + 1
+    central = (
+        crowded.join(sizes, "token").groupBy("node").agg(F.round(F.sum("size") / F.first(slots), 6).alias("central"))
+    )
+    return crowded.join(central, "node").groupBy("token").agg(
+        F.min(F.struct(-F.col("central"), "node")).getField("node").alias("hub")
+    )
+
+
+def _differences(stars: DataFrame, percent: int) -> DataFrame:
+    """(hub, h, node, weight, size, pos, elem, added): the prefix of each near node's difference from its hub.
+
+    With H tokens in the hub, of which a node lacks M and to which it adds R,
+    two nodes that share o elements of their differences are similar exactly if
+    (100 + p) o >= W1 + W2 - (100 - p) H, where W = 100 M + p R.  As o is at
+    most the size of either difference, o >= (W1 - (100 - p) H) / 100, which
+    gives the length of the prefix.  Added tokens come first: most are unique.
+    """
+    lacks, adds = F.array_except("a.tokens", "b.tokens"), F.array_except("b.tokens", "a.tokens")
+    element = lambda added: lambda t: F.struct(F.lit(added).alias("added"), t.alias("elem"))
+    made = stars.select(
+        F.col("x").alias("hub"), F.size("a.tokens").alias("h"), F.col("y").alias("node"),
+        lacks.alias("lacks"), adds.alias("adds"),
+    )
+    weighed = made.withColumn("weight", 100 * F.size("lacks") + percent * F.size("adds")).withColumn(
+        "size", F.size("lacks") + F.size("adds")
+    )
+    least = F.greatest(F.lit(1), F.ceil((F.col("weight") - (100 - percent) * F.col("h")) / 100).cast("int"))
+    all_ = F.concat(F.transform(F.array_sort("adds"), element(True)), F.transform(F.array_sort("lacks"), element(False)))
+    return (
+        weighed.withColumn("prefix", F.slice(all_, F.lit(1), F.greatest(F.lit(0), F.col("size") - least + 1)))
+        .select("hub", "h", "node", "weight", "size", F.posexplode("prefix").alias("pos", "e"))
+        .select("hub", "h", "node", "weight", "size", "pos", "e.*")
+    )
 
-def _largest_part(postings: DataFrame) -> DataFrame:
-    """(token, main): the component with most nodes in each list."""
-    counts = postings.groupBy("token", "part").agg(F.count(F.lit(1)).alias("c"))
-    return counts.groupBy("token").agg(
-        F.max(F.struct("c", "part")).getField("part").alias("main"), F.count(F.lit(1)).alias("parts")
+
+def _edit_pairs(differences: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """(x, y): near nodes of one hub, in different components, that may be similar by their differences."""
+    placed = differences.join(parts.select(F.col("id").alias("node"), "component"), "node", "left").withColumn(
+        "part", F.coalesce("component", "node")
+    )
+    placed = staged(placed, "differences")
+    shared = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
+    needed = F.col("a.weight") + F.col("b.weight") - (100 - percent) * F.col("a.h")
+    on = (
+        (F.col("a.hub") == F.col("b.hub"))
+        & (F.col("a.elem") == F.col("b.elem"))
+        & (F.col("a.added") == F.col("b.added"))
+        & (F.col("a.node") < F.col("b.node"))
+        & (F.col("a.part") != F.col("b.part"))
+        & (shared * (100 + percent) >= needed)
     )
+    joined = placed.alias("a").join(placed.alias("b"), on)
+    return joined.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct()
+
+
+def _links(postings: DataFrame, docs: DataFrame, frequent, percent: int, shingle: int) -> DataFrame:
+    """(x, y): similar nodes, enough of them to connect every component."""
+    lists, links, differences = postings, None, None
+    below = F.col("a.node") < F.col("b.node")
+    for round_ in range(HUB_ROUNDS + 1):
+        dense = staged(_dense_tokens(lists, percent), "dense-tokens")
+        last = round_ == HUB_ROUNDS or dense.isEmpty()
+        sparse = lists if last else lists.join(dense, "token", "left_anti")
+        found = _verified(staged(_pairs(sparse, sparse, percent, below), "candidates"), docs, frequent, percent, shingle)
+        if last:
+            found = staged(found, "links")
+            links = found if links is None else links.unionByName(found)
+            break
+        crowded = staged(lists.join(dense, "token"), "dense-lists")
+        hubs = _hubs(crowded, percent)
+        rows = crowded.join(hubs, "token").filter("node <> hub")
+        stars = staged(rows.select(F.col("hub").alias("x"), F.col("node").alias("y")).distinct(), "stars")
+        # Plain equality decides here: a hub is no candidate of a prefix, it is compared with all.
+        common = F.size(F.array_intersect("a.tokens", "b.tokens"))
+        total = F.size("a.tokens") + F.size("b.tokens")
+        judged = _compared(stars, docs, frequent, percent, shingle).withColumn("common", common)
+        judged = judged.withColumn("union", total - F.col("common"))
+        # Similar nodes differ by at most 1 - p/100 in their distance to the hub.
+        near, close = 2 * F.col("common") >= F.col("union"), 100 * F.col("common") >= (150 - percent) * F.col("union")
+        judged = staged(
+            judged.select(
+                "x", "y", (100 * F.col("common") >= percent * F.col("union")).alias("link"), close.alias("close"),
+                F.when(near, F.col("a")).alias("a"), F.when(near, F.col("b")).alias("b"),
+            ),
+            "judged-stars",
+        )
+        found = staged(found.unionByName(judged.filter("link").select("x", "y")), "links")
+        links = found if links is None else links.unionByName(found)
+        fresh = staged(_differences(judged.filter("a is not null"), percent), "differences")
+        differences = fresh if differences is None else differences.unionByName(fresh)
+        far = judged.filter(~F.col("close")).select(F.col("x").alias("hub"), F.col("y").alias("node"))
+        lists = staged(rows.join(far, ["hub", "node"], "left_semi").drop("hub"), "far-lists")
+    if differences is not None:
+        parts = staged(connected_components(links, "x", "y"), "parts")
+        pairs = staged(_edit_pairs(differences, parts, percent), "edit-pairs")
+        links = links.unionByName(staged(_verified(pairs, docs, frequent, percent, shingle), "links"))
+    return links
 
 
 def jaccard_components(
@@ -195,24 +315,8 @@ def jaccard_components(
     )
     postings = nodes.select("node", "n", "rare", F.posexplode("prefix").alias("pos", "token"))
     lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = staged(postings.join(lists, "token"), "postings")
-    small, large = shared.filter(F.col("size") <= SMALL), shared.filter(F.col("size") > SMALL)
-    hubs = large.groupBy("token").agg(
-        F.min(F.struct("rare", "node", "n", "pos")).alias("h")
-    ).select("token", "h.node", "h.n", "h.pos")
-    first = _pairs(small, small, percent, F.col("a.node") < F.col("b.node")).union(_pairs(hubs, large, percent))
-    links = staged(_verified(first.distinct(), texts, frequent, percent, shingle), "links-1")
-    parts = connected_components(links, "x", "y")
-    if not large.isEmpty():
-        parts = staged(parts, "parts")
-        placed = large.join(parts.select(F.col("id").alias("node"), "component"), "node", "left").withColumn(
-            "part", F.coalesce("component", "node")
-        )
-        main = _largest_part(placed).filter("parts > 1").drop("parts")
-        placed = staged(placed.join(main, "token"), "postings-2")
-        rest = _pairs(placed.filter("part <> main"), placed, percent, F.col("a.part") != F.col("b.part"))
-        more = staged(_verified(rest, texts, frequent, percent, shingle), "links-2")
-        parts = connected_components(links.union(more), "x", "y")
+    shared = staged(postings.join(lists, "token").drop("size"), "postings")
+    parts = connected_components(_links(shared, texts, frequent, percent, shingle), "x", "y")
     by_set = (
         nodes.select("k1", "k2", "node")
         .join(parts.select(F.col("id").alias("node"), "component"), "node", "left")
