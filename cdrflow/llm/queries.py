@@ -14,6 +14,7 @@ from cdrflow.llm.quality_gam import score_documents
 from cdrflow.llm.secret_scan import scan_secrets, span_digest
 from cdrflow.llm.sentence_pieces import piece_digests
 from cdrflow.llm.style_tree import extract_pages
+from cdrflow.llm.substring_dedup import dedup_documents
 from cdrflow.llm.url_filters import filter_urls
 
 
@@ -29,6 +30,10 @@ def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op2_style_tree": op2_style_tree,
     "op3_sentence_pieces": op3_sentence_pieces,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_ngram_join": op5_ngram_join,
     "op6_secret_scan": op6_secret_scan,
     "op7_fit_packing": op7_fit_packing,
