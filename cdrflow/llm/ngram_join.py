@@ -43,7 +43,7 @@ from cdrflow.llm.words import mix, shingles, signed
 SHINGLE = 3
 PERCENT = 90
 ORDERS = (1, 2, 3)  # seeds
-FREQUENT = 50  # posting lists of this length make a token frequent
+FREQUENT = 8  # posting lists of this length make a token frequent
 MAX_FREQUENT = 500_000
 DENSE = 64  # nodes of like size per node of a list from which on it gets a hub
 HUB_ROUNDS = 2  # then what is left of the dense lists yields its pairs
@@ -143,36 +143,37 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int, also: Column | None
     ).distinct()
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, frequent, percent: int, shingle: int) -> DataFrame:
-    """``pairs`` (x, y, ...) with the token sets and filters of both nodes as ``a`` and ``b``."""
+def _sets(pairs: DataFrame, docs: DataFrame, frequent, percent: int, shingle: int) -> DataFrame:
+    """(node, s): tokens and prefixes of every node of ``pairs``."""
     ids = staged(pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct(), "candidate-ids")
     if ids.count() <= MAX_BROADCAST_IDS:
         ids = F.broadcast(ids)
-    sets = staged(
+    return staged(
         docs.join(ids, docs["id"] == ids["node"], "left_semi").select(
             F.col("id").alias("node"), _filters(F.col("text"), frequent, percent, shingle).alias("s")
         ),
         "candidate-sets",
     )
-    return pairs.join(sets.select(F.col("node").alias("x"), F.col("s").alias("a")), "x").join(
-        sets.select(F.col("node").alias("y"), F.col("s").alias("b")), "y"
-    )
 
 
-def _similar(percent: int) -> Column:
-    """The filters of the second and third order, then the exact test."""
-    shared = F.size(F.array_intersect("a.tokens", "b.tokens"))
-    total = F.size("a.tokens") + F.size("b.tokens")
-    return (
-        F.arrays_overlap("a.second", "b.second")
-        & F.arrays_overlap("a.third", "b.third")
-        & (100 * shared >= percent * (total - shared))
+def _attached(pairs: DataFrame, sets: DataFrame, *fields: str) -> DataFrame:
+    """``pairs`` with the named fields of both nodes as ``a`` and ``b``."""
+    side = sets.select("node", F.struct(*(F.col(f"s.{f}").alias(f) for f in fields)).alias("s"))
+    return pairs.join(side.select(F.col("node").alias("x"), F.col("s").alias("a")), "x").join(
+        side.select(F.col("node").alias("y"), F.col("s").alias("b")), "y"
     )
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, frequent, percent: int, shingle: int) -> DataFrame:
-    """(x, y): the similar ones of the pairs."""
-    return _compared(pairs, docs, frequent, percent, shingle).filter(_similar(percent)).select("x", "y")
+    """(x, y): the pairs whose prefixes also meet under the other orders and that are similar."""
+    sets = _sets(pairs, docs, frequent, percent, shingle)
+    met = _attached(pairs, sets, "second", "third").filter(
+        F.arrays_overlap("a.second", "b.second") & F.arrays_overlap("a.third", "b.third")
+    )
+    both = _attached(staged(met.select("x", "y"), "met"), sets, "tokens")
+    shared = F.size(F.array_intersect("a.tokens", "b.tokens"))
+    total = F.size("a.tokens") + F.size("b.tokens")
+    return both.filter(100 * shared >= percent * (total - shared)).select("x", "y")
 
 
 def _dense_tokens(lists: DataFrame, percent: int) -> DataFrame:
@@ -265,7 +266,8 @@ def _links(postings: DataFrame, docs: DataFrame, frequent, percent: int, shingle
         # Plain equality decides here: a hub is no candidate of a prefix, it is compared with all.
         common = F.size(F.array_intersect("a.tokens", "b.tokens"))
         total = F.size("a.tokens") + F.size("b.tokens")
-        judged = _compared(stars, docs, frequent, percent, shingle).withColumn("common", common)
+        sets = _sets(stars, docs, frequent, percent, shingle)
+        judged = _attached(stars, sets, "tokens").withColumn("common", common)
         judged = judged.withColumn("union", total - F.col("common"))
         # Similar nodes differ by at most 1 - p/100 in their distance to the hub.
         near, close = 2 * F.col("common") >= F.col("union"), 100 * F.col("common") >= (150 - percent) * F.col("union")
