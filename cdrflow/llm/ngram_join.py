@@ -200,7 +200,10 @@ def _hubs(crowded: DataFrame, percent: int) -> DataFrame:
 
 
 def _differences(stars: DataFrame, percent: int) -> DataFrame:
-    """(hub, h, node, weight, size, pos, elem, added): the prefix of each near node's difference from its hub.
+    """(hub, h, node, weight, size, pos, elem, seen): the prefix of each near node's difference from its hub.
+
+    ``elem`` is an added token, or the complement of one that the node lacks;
+    ``seen`` holds the elements before it.
 
     With H tokens in the hub, of which a node lacks M and to which it adds R,
     two nodes that share o elements of their differences are similar exactly if
@@ -209,7 +212,6 @@ def _differences(stars: DataFrame, percent: int) -> DataFrame:
     gives the length of the prefix.  Added tokens come first: most are unique.
     """
     lacks, adds = F.array_except("a.tokens", "b.tokens"), F.array_except("b.tokens", "a.tokens")
-    element = lambda added: lambda t: F.struct(F.lit(added).alias("added"), t.alias("elem"))
     made = stars.select(
         F.col("x").alias("hub"), F.size("a.tokens").alias("h"), F.col("y").alias("node"),
         lacks.alias("lacks"), adds.alias("adds"),
@@ -218,29 +220,44 @@ def _differences(stars: DataFrame, percent: int) -> DataFrame:
         "size", F.size("lacks") + F.size("adds")
     )
     least = F.greatest(F.lit(1), F.ceil((F.col("weight") - (100 - percent) * F.col("h")) / 100).cast("int"))
-    all_ = F.concat(F.transform(F.array_sort("adds"), element(True)), F.transform(F.array_sort("lacks"), element(False)))
+    all_ = F.concat(F.array_sort("adds"), F.transform(F.array_sort("lacks"), F.bitwise_not))
     return (
         weighed.withColumn("prefix", F.slice(all_, F.lit(1), F.greatest(F.lit(0), F.col("size") - least + 1)))
-        .select("hub", "h", "node", "weight", "size", F.posexplode("prefix").alias("pos", "e"))
-        .select("hub", "h", "node", "weight", "size", "pos", "e.*")
+        .select("hub", "h", "node", "weight", "size", "prefix", F.posexplode("prefix").alias("pos", "elem"))
+        .withColumn("seen", F.slice("prefix", F.lit(1), F.col("pos")))
+        .drop("prefix")
     )
 
 
-def _edit_pairs(differences: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """(x, y): near nodes of one hub, in different components, that may be similar by their differences."""
-    placed = differences.join(parts.select(F.col("id").alias("node"), "component"), "node", "left").withColumn(
+def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rows`` with the component of their node as ``part``."""
+    return rows.join(parts.select(F.col("id").alias("node"), "component"), "node", "left").withColumn(
         "part", F.coalesce("component", "node")
     )
-    placed = staged(placed, "differences")
+
+
+def _edit_stars(placed: DataFrame) -> DataFrame:
+    """(x, y): for each shared element the node nearest to the hub with all others of
+    different components.  Copies of a copy share its edits and meet in it."""
+    leaders = placed.groupBy("hub", "elem").agg(
+        F.min(F.struct("weight", "node", "part")).alias("l"), F.count(F.lit(1)).alias("n")
+    )
+    rows = placed.join(leaders.filter("n > 2"), ["hub", "elem"]).filter("part <> l.part")
+    return rows.select(F.least("node", "l.node").alias("x"), F.greatest("node", "l.node").alias("y")).distinct()
+
+
+def _edit_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """(x, y): near nodes of one hub, in different components, that may be similar
+    by their differences; each pair comes from the first element that it shares."""
     shared = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
     needed = F.col("a.weight") + F.col("b.weight") - (100 - percent) * F.col("a.h")
     on = (
         (F.col("a.hub") == F.col("b.hub"))
         & (F.col("a.elem") == F.col("b.elem"))
-        & (F.col("a.added") == F.col("b.added"))
         & (F.col("a.node") < F.col("b.node"))
         & (F.col("a.part") != F.col("b.part"))
         & (shared * (100 + percent) >= needed)
+        & ~F.arrays_overlap("a.seen", "b.seen")
     )
     joined = placed.alias("a").join(placed.alias("b"), on)
     return joined.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct()
@@ -285,9 +302,10 @@ def _links(postings: DataFrame, docs: DataFrame, frequent, percent: int, shingle
         far = judged.filter(~F.col("close")).select(F.col("x").alias("hub"), F.col("y").alias("node"))
         lists = staged(rows.join(far, ["hub", "node"], "left_semi").drop("hub"), "far-lists")
     if differences is not None:
-        parts = staged(connected_components(links, "x", "y"), "parts")
-        pairs = staged(_edit_pairs(differences, parts, percent), "edit-pairs")
-        links = links.unionByName(staged(_verified(pairs, docs, frequent, percent, shingle), "links"))
+        for pairs_of in (_edit_stars, lambda placed: _edit_pairs(placed, percent)):
+            parts = staged(connected_components(links, "x", "y"), "parts")
+            pairs = staged(pairs_of(staged(_placed(differences, parts), "differences")), "edit-pairs")
+            links = links.unionByName(staged(_verified(pairs, docs, frequent, percent, shingle), "links"))
     return links
 
 
