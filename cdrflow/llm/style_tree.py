@@ -333,7 +333,7 @@ def extract_pages(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES
         for html, gone in series:
             yield pd.Series(
                 [
-                    Page(h, frozenset(x + (1 << 31) for x in g) if g is not None else frozenset()).text
+                    Page(h, frozenset(int(x) + (1 << 31) for x in g) if g is not None else frozenset()).text
                     for h, g in zip(html, gone)
                 ],
                 dtype=object,
