@@ -351,3 +351,36 @@ def jaccard_components(
         )
         .withColumn("component_id", F.when(F.col(id_col).isNotNull(), F.col("component_id")))
     )
+
+
+def keep_one_per_component(
+    docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stand for their component.
+
+    The row with the component's smallest id stays; of several rows with that id
+    one stays, chosen by a hash of the row.  Rows without words and rows with
+    a null id stay.
+    """
+    found = staged(jaccard_components(docs, percent, shingle, id_col, text_col), "components")
+    # Ids that stand for others, rather than those that stay: they are far fewer.
+    gone = staged(
+        found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone_id")).distinct(), "gone"
+    )
+    n = gone.count()
+    kept = docs.join(F.broadcast(gone) if n <= MAX_BROADCAST_IDS else gone, docs[id_col] == gone["gone_id"], "left_anti")
+    repeated = found.filter(F.col("n_shingles") > 0).groupBy(F.col(id_col).alias("repeated_id")).agg(
+        F.count(F.lit(1)).alias("rows_of_id")
+    )
+    repeated = staged(repeated.filter("rows_of_id > 1 and repeated_id is not null").select("repeated_id"), "repeated-ids")
+    if repeated.isEmpty():
+        return kept
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    on = docs[id_col] == repeated["repeated_id"]
+    one = (
+        kept.join(repeated, on, "left_semi")
+        .groupBy(F.col(id_col).alias("_key"), (F.length(F.trim(F.col(text_col))) > 0).alias("_words"))
+        .agg(F.min_by(row, F.xxhash64(row)).alias("_row"))
+        .select("_row.*")
+    )
+    return kept.join(repeated, on, "left_anti").unionByName(one)
