@@ -9,6 +9,7 @@ from cdrflow.llm.common import table
 from cdrflow.llm.cover_tree import near_duplicates
 from cdrflow.llm.fit_packing import pack_documents
 from cdrflow.llm.ngram_join import jaccard_components
+from cdrflow.llm.oracle import ORACLE_SQL
 from cdrflow.llm.order_minhash import fingerprint_documents
 from cdrflow.llm.quality_gam import score_documents
 from cdrflow.llm.secret_scan import scan_secrets, span_digest
@@ -58,6 +59,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op2_style_tree": op2_style_tree,
@@ -70,5 +73,3 @@ QUERIES = {
     "op9_order_minhash": op9_order_minhash,
     "op10_url_filters": op10_url_filters,
 }
-
-ORACLE_SQL: dict[str, str] = {}
