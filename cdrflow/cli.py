@@ -23,10 +23,10 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdrflow.operators import billing, rating, reports
+from cdrflow.operators import billing, dedup, rating, reports
 from cdrflow.params import FIXTURE_MONTHS, FIXTURE_PARAMS, Params
 from cdrflow.plans.stages import fixture_stages, run_batch
-from cdrflow.session import get_session
+from cdrflow.session import apply_runtime_conf, get_session
 from cdrflow.sources import dims, files
 from cdrflow.streaming import run_until_done, start_mediation_stream
 
@@ -41,6 +41,8 @@ def _params(a) -> Params:
         boundary=a.boundary,
         money=a.money,
         msisdn_mode=a.msisdn_mode,
+        join_salt_buckets=a.join_salt_buckets,
+        dedup=a.dedup,
     )
 
 
@@ -60,9 +62,11 @@ def _dim(spark: SparkSession, a, source: str, table: str) -> DataFrame:
         return dims.product_catalog(spark) if table == "product_catalog" else dims.rate_plans(spark)
     if source == "jdbc":
         preds = None
-        if table == "customer_subscriptions" and getattr(a, "jdbc_partitions", 0):
-            preds = dims.suffix_predicates("customer_id", 1 if a.jdbc_partitions <= 11 else 2)
-        return dims.read_dim(spark, table, "jdbc", _jdbc(a), predicates=preds)
+        if table == "customer_subscriptions" and a.jdbc_partitions > 1:
+            low, _, high = a.jdbc_key_range.partition(":")
+            preds = dims.range_predicates("customer_id", low, high, a.jdbc_partitions)
+        # One read of the database; the copy also has a size for the planner.
+        return files.stage_table(dims.read_dim(spark, table, "jdbc", _jdbc(a), predicates=preds), table)
     df = spark.read.parquet(source)
     return dims.typed_rate_plans(df) if table == "rate_plans" else df
 
@@ -70,13 +74,18 @@ def _dim(spark: SparkSession, a, source: str, table: str) -> DataFrame:
 def cmd_stream(spark, a):
     opts = {}
     if a.source == "kafka":
-        opts = {"kafka.bootstrap.servers": a.kafka_servers, "subscribe": a.topic}
+        opts = {
+            "kafka.bootstrap.servers": a.kafka_servers,
+            "subscribe": a.topic,
+            "startingOffsets": a.starting_offsets,
+            "failOnDataLoss": str(a.fail_on_data_loss).lower(),
+        }
     for kv in a.source_option or []:
         key, _, value = kv.partition("=")
         opts[key] = value
     q = start_mediation_stream(
         spark, a.out, a.checkpoint, _params(a), fmt=a.source, source_options=opts, source_path=a.path,
-        available_now=a.available_now, processing_time=a.trigger, dedup_delay=a.dedup_delay,
+        available_now=a.available_now, processing_time=a.trigger, dedup=a.dedup,
         on_metrics=lambda epoch, m: print(json.dumps({"batch": epoch, **m}), flush=True),
     )
     run_until_done(q, a.timeout)
@@ -84,15 +93,19 @@ def cmd_stream(spark, a):
 
 def cmd_rate(spark, a):
     p = _params(a)
-    mediated = files.read_mediated(spark, a.mediated).drop("batch_id")
-    if a.months:
-        mediated = rating.in_months(mediated, a.months.split(","))
+    mediated = files.read_mediated(spark, a.mediated)
+    months = a.months.split(",") if a.months else None
+    if months:
+        mediated = rating.in_months(mediated, months)
+        mediated = mediated.filter(F.col("event_month").isin(months))
+    if p.dedup:
+        mediated = dedup.first_deliveries(mediated)
     subs = _dim(spark, a, a.subscriptions, "customer_subscriptions")
     catalog = _dim(spark, a, a.catalog, "product_catalog")
     plans = _dim(spark, a, a.rate_plans, "rate_plans")
     trusted = a.catalog == "builtin" and a.rate_plans == "builtin"
     rated = rating.rate(mediated, subs, catalog, plans, p, dims_trusted_small=trusted)
-    files.write_rated(rated, a.out, p.money, rebalance=a.rebalance)
+    files.write_rated(rated, a.out, p.money, rebalance=a.rebalance, months=months)
 
 
 def cmd_bill(spark, a):
@@ -100,9 +113,11 @@ def cmd_bill(spark, a):
     rated = files.read_rated(spark, a.rated, p.money)
     subs = _dim(spark, a, a.subscriptions, "customer_subscriptions")
     months = a.months.split(",") if a.months else [p.billing_month]
-    files.write_invoices(billing.invoices_for_months(rated, subs, months, p), a.out, p.money, rebalance=a.rebalance)
+    invoices = billing.invoices_for_months(rated, subs, months, p)
+    files.write_invoices(invoices, a.out, p.money, rebalance=a.rebalance, months=months)
     if a.jdbc_table:
-        # Written from the stored invoices: the invoice plan runs once.
+        # Written from the stored invoices: the invoice plan runs once.  The
+        # database table holds the months just billed, like the reference's.
         invoices = files.read_invoices(spark, a.out, p.money).filter(F.col("billing_period").isin(*months))
         files.write_jdbc(invoices, a.jdbc_table, _jdbc(a))
 
@@ -110,13 +125,12 @@ def cmd_bill(spark, a):
 def cmd_report(spark, a):
     p = _params(a)
     invoices = files.read_invoices(spark, a.invoice, p.money)
-    if a.month:
-        invoices = invoices.filter(F.col("billing_period") == a.month)
+    invoices = invoices.filter(F.col("billing_period") == p.billing_month)
     rated = files.read_rated(spark, a.rated, p.money)
     out = a.out.rstrip("/")
     files.write_report(reports.top_customers(invoices, p.money), f"{out}/sortedCustomersByInvoices.csv")
     files.write_report(reports.revenue_by_plan(invoices), f"{out}/revenueByPlan.csv", single_file=True)
-    files.write_report(reports.revenue_by_region_plan(invoices), f"{out}/planByRegion.csv", single_file=True)
+    files.write_report(reports.revenue_by_region_plan(invoices), f"{out}/planByRegion.csv")
     files.write_report(reports.product_cost(rated, p.money), f"{out}/product_cost_analysis.csv", single_file=True)
 
 
@@ -124,7 +138,7 @@ def cmd_compact(spark, a):
     from cdrflow import schemas
 
     table = {
-        "mediated": (schemas.MEDIATED_STORED, ["record_type", "batch_id"], "record_ID"),
+        "mediated": (schemas.MEDIATED_STORED, schemas.MEDIATED_PARTITIONS, "record_ID"),
         "rated": (schemas.storage_schema(schemas.RATED, a.money), ["billing_period"], "record_ID"),
         "invoice": (schemas.storage_schema(schemas.INVOICE, a.money), ["billing_period"], "customer_id"),
     }[a.table]
@@ -172,7 +186,14 @@ def build_parser() -> argparse.ArgumentParser:
         p.add_argument("--jdbc-password", default=None)
         p.add_argument("--jdbc-driver", default=None)
         p.add_argument("--jdbc-partitions", type=int, default=0,
-                       help="read subscriptions in parallel by customer_id suffix (11 or 101 partitions)")
+                       help="read subscriptions in parallel, in this many ranges of customer_id")
+        p.add_argument("--jdbc-key-range", default="212600000000:212799999999", metavar="LOW:HIGH",
+                       help="customer_id numbers between which the ranges are cut")
+        p.add_argument("--dedup", action="store_true", help="keep one delivery of each record_ID")
+        p.add_argument("--broadcast-mb", type=int, default=None,
+                       help="largest stored dimension that is broadcast (spark.sql.autoBroadcastJoinThreshold)")
+        p.add_argument("--join-salt-buckets", type=int, default=None,
+                       help="salt the CDR x subscription join (without AQE, or for extreme skew)")
 
     s = sub.add_parser("stream", help="mediation stream -> mediated_data")
     common(s)
@@ -184,7 +205,9 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--trigger", default=None, help='processing-time trigger, e.g. "10 seconds"')
-    s.add_argument("--dedup-delay", default=None, help='drop re-sent record_IDs within this delay, e.g. "1 hour"')
+    s.add_argument("--starting-offsets", default="latest",
+                   help="where a new Kafka checkpoint starts; latest skips the backlog, earliest reads it")
+    s.add_argument("--fail-on-data-loss", action="store_true", help="stop when Kafka has expired unread offsets")
     s.add_argument("--timeout", type=float, default=None)
     s.add_argument("--source-option", action="append", metavar="KEY=VALUE",
                    help="extra source option, e.g. maxOffsetsPerTrigger=5000000 or maxFilesPerTrigger=100")
@@ -217,7 +240,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--invoice", required=True)
     p.add_argument("--rated", required=True)
     p.add_argument("--out", required=True)
-    p.add_argument("--month", default=None)
+    p.add_argument("--month", default=None, help="billing month to report (default: Params.billing_month)")
     p.set_defaults(fn=cmd_report)
 
     c = sub.add_parser("compact", help="rewrite selected partitions of a stage table into fewer files")
@@ -247,6 +270,9 @@ def build_parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     a = build_parser().parse_args(argv)
     spark = get_session(master=a.master) if a.master else SparkSession.builder.getOrCreate()
+    apply_runtime_conf(spark)
+    if a.broadcast_mb is not None:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(a.broadcast_mb * 1024 * 1024))
     if a.input_gb:
         from cdrflow.session import cluster_conf, parallelism
 

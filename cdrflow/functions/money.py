@@ -1,6 +1,7 @@
 """Exact decimal money helpers.
 
-Charges are ``DECIMAL(18,5)``; every step of an invoice keeps its natural
+Charges are ``DECIMAL(22,9)``, which holds units (6 decimals) times price (3)
+unrounded; every step of an invoice keeps its natural
 decimal scale and only the finished amount is rounded (half up).  Finished
 amounts leave the engine as double through ``to_output``.
 """
@@ -33,12 +34,12 @@ def floor_cents(col: Column) -> Column:
 def half_up_average(total: Column, count: Column, scale: int = 6) -> Column:
     """``total / count`` rounded half up to ``scale`` digits, exactly, as double.
 
-    Works in integer units of ``10**-scale`` so that no intermediate rounding
-    can move a value across a half unit; ``total`` must have a decimal scale
-    of at most ``scale``.
+    Works in integer units of the money scale so that no intermediate rounding
+    can move a value across a half unit.
     """
-    units = (total * F.lit(10**scale)).cast("decimal(38,0)")
-    mag = F.call_function("div", F.abs(units) * F.lit(2) + count, count * F.lit(2))
+    units = (total * F.lit(10**MONEY.scale)).cast("decimal(38,0)")
+    per = count * F.lit(10 ** (MONEY.scale - scale))
+    mag = F.call_function("div", F.abs(units) * F.lit(2) + per, per * F.lit(2))
     signed = F.when(units < 0, -mag).otherwise(mag)
     return signed.cast("double") / F.lit(float(10**scale))
 

@@ -15,7 +15,7 @@ def billable_units(record_type: Column, duration_sec: Column, data_volume_mb: Co
     return (
         F.when(record_type == "voice", F.ceil(seconds).cast(UNITS))
         .when(record_type == "sms", F.lit(1).cast(UNITS))
-        .otherwise(F.coalesce(data_volume_mb.cast(UNITS), F.lit(0).cast(UNITS)))
+        .otherwise(F.coalesce(data_volume_mb.try_cast(UNITS), F.lit(0).cast(UNITS)))
     )
 
 

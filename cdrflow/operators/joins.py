@@ -6,15 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows.
-
-    Counts at most ``max_rows + 1`` rows (the limit stops the scan early), so
-    the check costs little even when the table is huge.
-    """
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
 def salted_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -42,26 +33,22 @@ def join_dimension(
     dim: DataFrame,
     on: list[str] | str,
     how: str = "inner",
-    max_rows: int | None = None,
     trusted_small: bool = False,
     salt_buckets: int | None = None,
     salt_source: str | None = None,
 ) -> DataFrame:
-    """Join a fact table to a dimension.
+    """Join a fact table to a dimension; building the plan starts no job.
 
     * ``trusted_small``: the dimension is bounded by construction (literal
       configuration rows), broadcast it.
-    * ``max_rows``: broadcast only if a row count proves it small; otherwise
-      leave the choice to the planner (size statistics against
-      ``spark.sql.autoBroadcastJoinThreshold``, sort-merge join beyond it,
-      AQE splitting skewed keys at run time).
-    * neither: the planner decides alone.
-
-    ``salt_buckets`` (with ``salt_source``, a column of the fact table) salts
-    the join when it is not broadcast, for clusters without AQE skew handling
-    or with extreme skew.
+    * ``salt_buckets`` (with ``salt_source``, a column of the fact table): salt
+      the join, for clusters without AQE skew handling or with extreme skew.
+    * neither: the planner decides by size.  A stored table's size is known from
+      its files, and AQE measures a derived one at run time; below
+      ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, beyond it the
+      join is sort-merge and AQE splits skewed keys.
     """
-    if trusted_small or (max_rows is not None and fits_broadcast(dim, max_rows)):
+    if trusted_small:
         return fact.join(F.broadcast(dim), on=on, how=how)
     if salt_buckets and salt_buckets > 1:
         keys = [on] if isinstance(on, str) else list(on)

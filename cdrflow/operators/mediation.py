@@ -31,6 +31,7 @@ TYPE_COLUMNS = {
 }
 COMMON_COLUMNS = ["record_ID", "record_type", "timestamp", "cell_id", "technology"]
 PAYER = {"voice": "caller_id", "sms": "sender_id", "data": "user_id"}
+OTHER_PARTY = {"voice": "callee_id", "sms": "receiver_id"}
 
 
 # --- admission ---------------------------------------------------------------
@@ -90,37 +91,48 @@ def split_all(df: DataFrame) -> DataFrame:
 
 # --- shared column expressions -----------------------------------------------
 
-def _valid_party(col: str, mode: str) -> Column:
-    return F.coalesce(F.col(col).isNotNull() & is_valid_msisdn(col, mode), F.lit(False))
+def _by_type(columns: dict[str, str]) -> Column:
+    """The column that holds a role (payer, other party) for the row's type."""
+    out = None
+    for t, c in columns.items():
+        out = (F.when if out is None else out.when)(F.col("record_type") == t, F.col(c))
+    return out
 
 
 @per_jvm
-def _keep(record_type: str, mode: str) -> Column:
-    """Per-type validity: paying party present and well formed, and for voice
-    a positive duration (a missing duration drops the record)."""
-    ok = _valid_party(PAYER[record_type], mode)
-    if record_type == "voice":
-        ok = ok & F.coalesce(F.col("duration_sec") > 0, F.lit(False))
-    return (F.col("record_type") == record_type) & ok
+def _keep(mode: str) -> Column:
+    """Validity of a row of any type: paying party present and well formed,
+    and for voice a positive duration (a missing duration drops the record).
+    The paying party is chosen first, so its number is matched once."""
+    payer = _by_type(PAYER)
+    has_duration = (F.col("record_type") != "voice") | (F.col("duration_sec") > 0)
+    return F.coalesce(is_valid_msisdn(payer, mode) & has_duration, F.lit(False))
+
 
+@per_jvm
+def _other(mode: str) -> Column:
+    """Counterpart number of a voice or sms row; missing or malformed: UNK."""
+    other = F.coalesce(_by_type(OTHER_PARTY), F.lit(UNKNOWN))
+    return F.when(is_valid_msisdn(other, mode), other).otherwise(F.lit(UNKNOWN))
 
-def _clean_other_party(col: str, mode: str) -> Column:
-    """Missing or malformed counterpart number becomes UNK."""
-    c = F.coalesce(F.col(col), F.lit(UNKNOWN))
-    return F.when(is_valid_msisdn(c, mode), c).otherwise(F.lit(UNKNOWN))
+
+def _volume() -> Column:
+    """The volume at full precision; one that does not fit is missing."""
+    return F.col("data_volume_mb").try_cast(schemas.VOLUME)
 
 
 def _needs_review() -> Column:
     s = F.col("session_duration_sec")
-    return F.col("data_volume_mb").isNull() | s.isNull() | (s < 0)
+    return _volume().isNull() | s.isNull() | (s < 0)
 
 
 @per_jvm
-def _expressions(mode: str) -> dict[str, Column]:
-    """Output column -> expression, valid on admitted rows that passed ``_keep``."""
+def _expressions() -> dict[str, Column]:
+    """Output column -> expression, valid on admitted rows that passed
+    ``_keep`` and carry the cleaned counterpart number as ``_other``."""
     rt = F.col("record_type")
     is_voice, is_sms, is_data = (rt == "voice"), (rt == "sms"), (rt == "data")
-    callee = _clean_other_party("callee_id", mode)
+    callee = F.col("_other")
     session = F.col("session_duration_sec")
     return {
         "record_ID": F.col("record_ID"),
@@ -137,10 +149,10 @@ def _expressions(mode: str) -> dict[str, Column]:
             F.lit("ready")
         ),
         "sender_id": F.when(is_sms, F.col("sender_id")),
-        "receiver_id": F.when(is_sms, _clean_other_party("receiver_id", mode)),
+        "receiver_id": F.when(is_sms, F.col("_other")),
         "user_id": F.when(is_data, F.col("user_id")),
         "session_duration_sec": F.when(is_data & (session >= 0), session.cast("int")),
-        "data_volume_mb": F.when(is_data, F.col("data_volume_mb").cast(schemas.VOLUME)),
+        "data_volume_mb": F.when(is_data, _volume()),
         "record_type": rt,
     }
 
@@ -156,28 +168,34 @@ def _with_missing(df: DataFrame) -> DataFrame:
 # --- cleaning ------------------------------------------------------------------
 
 @per_jvm
-def _keep_any(mode: str) -> Column:
-    return _keep("voice", mode) | _keep("sms", mode) | _keep("data", mode)
+def _mediated_columns() -> list[Column]:
+    exprs = _expressions()
+    return [exprs[c].alias(c) for c in schemas.MEDIATED_COLUMNS]
 
 
-@per_jvm
-def _mediated_columns(mode: str) -> list[Column]:
-    exprs = _expressions(mode)
-    return [exprs[c].alias(c) for c in schemas.MEDIATED_COLUMNS]
+def cleaned(flagged: DataFrame, mode: str = "compat") -> DataFrame:
+    """Rows of ``with_keep`` that are valid, cleaned.  The counterpart number is
+    cleaned in a projection of its own, because three columns use it."""
+    return flagged.filter("_keep").withColumn("_other", _other(mode)).select(*_mediated_columns())
+
+
+def with_keep(admitted: DataFrame, mode: str = "compat") -> DataFrame:
+    """Admitted records with the flag ``_keep``: of a known type and valid."""
+    return _with_missing(admitted).withColumn("_keep", _keep(mode))
 
 
 def mediate(admitted: DataFrame, mode: str = "compat") -> DataFrame:
     """Validated, cleaned records of all three types (``schemas.MEDIATED``)."""
-    return _with_missing(admitted).filter(_keep_any(mode)).select(*_mediated_columns(mode))
+    return cleaned(with_keep(admitted, mode), mode)
 
 
 def _clean_one(df: DataFrame, record_type: str, mode: str) -> DataFrame:
-    df = _with_missing(df)
-    exprs = _expressions(mode)
+    exprs = _expressions()
     cols = [c for c in schemas.MEDIATED_COLUMNS if c in COMMON_COLUMNS or c in TYPE_COLUMNS[record_type]]
     cols += ["rating_status"]
     ordered = [c for c in schemas.MEDIATED_COLUMNS if c in cols]
-    return df.filter(_keep(record_type, mode)).select(*[exprs[c].alias(c) for c in ordered])
+    kept = with_keep(df, mode).filter((F.col("record_type") == record_type) & F.col("_keep"))
+    return kept.withColumn("_other", _other(mode)).select(*[exprs[c].alias(c) for c in ordered])
 
 
 def clean_voice(df: DataFrame, mode: str = "compat") -> DataFrame:
@@ -199,11 +217,13 @@ def union_cleaned(voice: DataFrame, sms: DataFrame, data: DataFrame) -> DataFram
 
 
 def export_strings(mediated: DataFrame) -> DataFrame:
-    """String export of data records: missing volume / bad session as "UNK"."""
+    """String export of data records: missing volume / bad session as "UNK".
+    Volumes are written like the wire's numbers, without trailing zeros."""
+    volume = F.regexp_replace(F.col("data_volume_mb").cast("string"), r"(\.\d+?)0+$", "$1")
     return mediated.select(
         *[c for c in mediated.columns if c not in ("data_volume_mb", "session_duration_sec")],
         F.coalesce(F.col("session_duration_sec").cast("string"), F.lit(UNKNOWN)).alias("session_duration_sec"),
-        F.coalesce(F.col("data_volume_mb").cast("string"), F.lit(UNKNOWN)).alias("data_volume_mb"),
+        F.coalesce(volume, F.lit(UNKNOWN)).alias("data_volume_mb"),
     )
 
 
@@ -215,8 +235,8 @@ def mediation_audit(admitted: DataFrame, mode: str = "compat") -> DataFrame:
     One aggregation over the admitted stream instead of separate counts before
     and after cleaning (each of which would re-read the source).
     """
-    df = _with_missing(admitted)
-    keep = _keep_any(mode)
+    df = with_keep(admitted, mode)
+    keep = F.col("_keep")
     return (
         df.groupBy("record_type")
         .agg(
@@ -230,12 +250,13 @@ def mediation_audit(admitted: DataFrame, mode: str = "compat") -> DataFrame:
     )
 
 
-def audit_metrics(df: DataFrame, mode: str = "compat") -> list[Column]:
-    """Aggregate expressions for ``DataFrame.observe`` (stream batch metrics)."""
-    keep = _keep_any(mode)
+def audit_metrics() -> list[Column]:
+    """Aggregate expressions for ``DataFrame.observe`` over ``with_keep`` rows
+    (stream batch metrics); they count flags and match no numbers."""
+    keep = F.col("_keep")
     out = [F.count(F.lit(1)).alias("total")]
     for t in RECORD_TYPES:
         out.append(F.count(F.when(F.col("record_type") == t, 1)).alias(f"{t}_in"))
-        out.append(F.count(F.when(_keep(t, mode), 1)).alias(f"{t}_out"))
+        out.append(F.count(F.when(keep & (F.col("record_type") == t), 1)).alias(f"{t}_out"))
     out.append(F.count(F.when(keep, 1)).alias("mediated"))
     return out

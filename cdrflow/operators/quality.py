@@ -84,7 +84,6 @@ def cdr_orphan_report(
     eligible_subs: DataFrame,
     catalog: DataFrame,
     plans: DataFrame,
-    max_broadcast_rows: int | None = None,
     trusted_dims: bool = False,
 ) -> DataFrame:
     """Per (check, key): CDRs whose product is not in the catalog, whose payer
@@ -94,23 +93,18 @@ def cdr_orphan_report(
     ``keyed`` is the mediated feed with ``customer_id``; ``eligible_subs``
     has (customer_id, rate_plan_id) with unique keys.  The feed is left-joined
     to the three dimensions (the joins keep every CDR), each row emits the
-    checks it fails, and one partial/final aggregation counts them.  Each
-    dimension is broadcast only after a bounded row count, like J1
-    (``trusted_dims`` skips the check for the built-in seed tables).
+    checks it fails, and one partial/final aggregation counts them.  The
+    dimensions are joined like in rating (``trusted_dims``: the built-in seed
+    tables).
     """
     from cdrflow.operators.joins import join_dimension
 
     subs = eligible_subs.select("customer_id", "rate_plan_id", F.lit(True).alias("_eligible"))
     cat = catalog.select("product_code", "rate_type")
     tar = plans.select("rate_plan_id", "product_code", F.lit(True).alias("_tariff"))
-    j = (
-        join_dimension(keyed.select("record_type", "customer_id", "product_code"), subs, "customer_id", "left",
-                       max_rows=max_broadcast_rows)
-    )
-    j = join_dimension(j, cat, "product_code", "left", max_rows=max_broadcast_rows, trusted_small=trusted_dims)
-    j = join_dimension(
-        j, tar, ["rate_plan_id", "product_code"], "left", max_rows=max_broadcast_rows, trusted_small=trusted_dims
-    )
+    j = join_dimension(keyed.select("record_type", "customer_id", "product_code"), subs, "customer_id", "left")
+    j = join_dimension(j, cat, "product_code", "left", trusted_small=trusted_dims)
+    j = join_dimension(j, tar, ["rate_plan_id", "product_code"], "left", trusted_small=trusted_dims)
     eligible = F.coalesce(F.col("_eligible"), F.lit(False))
 
     def check(cond, name, key):

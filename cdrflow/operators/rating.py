@@ -2,7 +2,7 @@
 
 Plan shape (see ``explain``): the mediated scan is joined to eligible
 subscribers on ``customer_id`` (broadcast while the subscription table is
-small by statistics, sort-merge with AQE skew splitting beyond that), then
+small by its files' size, sort-merge with AQE skew splitting beyond that), then
 to the catalog and the tariff rows, both broadcast because they are a few
 rows of configuration.  The rest is one projection.
 """
@@ -59,34 +59,28 @@ def eligible(subscriptions: DataFrame, columns: tuple[str, ...] = ("customer_id"
 def join_plan(
     keyed: DataFrame,
     subscriptions: DataFrame,
-    max_rows: int | None = Params().broadcast_max_rows,
     salt_buckets: int | None = None,
 ) -> DataFrame:
     """CDRs of eligible subscribers only, with their rate plan.
 
-    The subscription side is broadcast only when a bounded row count proves
-    it has at most ``max_rows`` eligible rows (the planner's own estimate of
-    a derived or JDBC table is unreliable); otherwise a sort-merge join whose
-    hot subscriber keys AQE splits at run time, or, with ``salt_buckets``, a
-    salted join on (customer_id, hash(record_ID) mod buckets).
+    The planner broadcasts the subscriptions while their stored size is below
+    the session's threshold; otherwise it is a sort-merge join whose hot
+    subscriber keys AQE splits at run time, or, with ``salt_buckets``, a
+    salted join on (customer_id, hash(record_ID) mod buckets).  Store a JDBC
+    table as Parquet first: a JDBC scan has no size.
     """
     return join_dimension(
-        keyed, eligible(subscriptions), "customer_id", "inner",
-        max_rows=max_rows, salt_buckets=salt_buckets, salt_source="record_ID",
+        keyed, eligible(subscriptions), "customer_id", "inner", salt_buckets=salt_buckets, salt_source="record_ID"
     )
 
 
-def join_catalog(
-    df: DataFrame, catalog: DataFrame, trusted_small: bool = False, max_rows: int | None = Params().broadcast_max_rows
-) -> DataFrame:
+def join_catalog(df: DataFrame, catalog: DataFrame, trusted_small: bool = False) -> DataFrame:
     """Rate type and unit of the product (left: unknown products stay)."""
     dim = catalog.select("product_code", "rate_type", "unit")
-    return join_dimension(df, dim, "product_code", "left", max_rows=max_rows, trusted_small=trusted_small)
+    return join_dimension(df, dim, "product_code", "left", trusted_small=trusted_small)
 
 
-def join_tariff(
-    df: DataFrame, plans: DataFrame, trusted_small: bool = False, max_rows: int | None = Params().broadcast_max_rows
-) -> DataFrame:
+def join_tariff(df: DataFrame, plans: DataFrame, trusted_small: bool = False) -> DataFrame:
     """Tariff row of (plan, product) (left: missing rows give NULL tariffs)."""
     dim = plans.select(
         "rate_plan_id",
@@ -96,9 +90,7 @@ def join_tariff(
         F.col("tier_threshold").cast("int").alias("tier_threshold"),
         F.col("tier_price").cast(PRICE).alias("tier_price"),
     )
-    return join_dimension(
-        df, dim, ["rate_plan_id", "product_code"], "left", max_rows=max_rows, trusted_small=trusted_small
-    )
+    return join_dimension(df, dim, ["rate_plan_id", "product_code"], "left", trusted_small=trusted_small)
 
 
 def with_billable_units(df: DataFrame) -> DataFrame:
@@ -173,11 +165,10 @@ def rate(
 ) -> DataFrame:
     """Full rating stage: key, J1-J3, units, cost, status, period.
 
-    Catalog and plans are broadcast after a row-count check; pass
-    ``dims_trusted_small=True`` only for the built-in seed tables (literal
-    rows, bounded by construction), which skips the check.
+    ``dims_trusted_small=True`` is only for the built-in seed tables (literal
+    rows, bounded by construction), which are broadcast as they are; stored
+    tables are broadcast by their size.  Building the plan starts no job.
     """
-    check = None if dims_trusted_small else params.broadcast_max_rows
     keyed = with_customer_id(
         mediated.select(
             "record_ID",
@@ -192,10 +183,8 @@ def rate(
             "rating_status",
         )
     )
-    joined = join_plan(
-        keyed, subscriptions, max_rows=params.broadcast_max_rows, salt_buckets=params.join_salt_buckets
-    )
-    joined = join_catalog(joined, catalog, trusted_small=dims_trusted_small, max_rows=check)
-    joined = join_tariff(joined, plans, trusted_small=dims_trusted_small, max_rows=check)
+    joined = join_plan(keyed, subscriptions, salt_buckets=params.join_salt_buckets)
+    joined = join_catalog(joined, catalog, trusted_small=dims_trusted_small)
+    joined = join_tariff(joined, plans, trusted_small=dims_trusted_small)
     rated = price(with_billable_units(joined), params.boundary, params.money)
     return rated.select(*RATED_COLUMNS)

@@ -33,12 +33,11 @@ class Params:
     # "compat" accepts the empty number like the reference's pattern does;
     # "strict" rejects it.
     msisdn_mode: str = "compat"
-    # Largest dimension (rows) that may be broadcast after a size check:
-    # 500k subscriptions projected to (customer_id, rate_plan_id) are ~20 MB.
-    broadcast_max_rows: int = 500_000
-    # Salt the CDR x subscription join into this many buckets when it is not
-    # broadcast (None: rely on AQE skew-join splitting).
+    # Salt the CDR x subscription join into this many buckets (None: broadcast
+    # by size, else sort-merge with AQE skew-join splitting).
     join_salt_buckets: int | None = None
+    # Price each record once even when it was delivered several times.
+    dedup: bool = False
 
     def __post_init__(self) -> None:
         if self.boundary not in BOUNDARIES:

@@ -10,13 +10,29 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from cdrflow.functions.msisdn import MSISDN_PATTERN_COMPAT, MSISDN_PATTERN_STRICT
-from cdrflow.params import FIXTURE_MONTHS, FIXTURE_PARAMS
-from cdrflow.sources.dims import PRODUCT_CATALOG_ROWS, RATE_PLAN_ROWS
-
-P = FIXTURE_PARAMS
-PAT = MSISDN_PATTERN_COMPAT
-PAT_STRICT = MSISDN_PATTERN_STRICT
+# Fixed values, written out here so that a wrong digit in the engine shows:
+# number plan, catalog, tariffs and the parameters of the fixture run.
+PLANS_OF_COUNTRIES = (
+    r"212[67]\d{8}|1\d{10}|44\d{10}|49\d{11}|61\d{9}|86\d{11}|91\d{10}|351\d{9}|55\d{11}|32\d{9}|90\d{10}"
+)
+PAT = f"^({PLANS_OF_COUNTRIES}|)$"
+PAT_STRICT = f"^({PLANS_OF_COUNTRIES})$"
+AS_OF, MONTH = "2024-01-02", "2024-02"
+FIXTURE_MONTHS = ("2024-01", "2024-02", "2024-03", "2024-04")
+DISCOUNT, VAT, FEE = Decimal("0.05"), Decimal("0.20"), Decimal("1")
+CATALOG = """
+  ('DATA_STD', 'data', 'MB', 'flat'), ('DATA_ULTRA', 'data', 'MB', 'tiered'), ('SMS_STD', 'sms', 'sms', 'flat'),
+  ('VOICE_INT', 'voice', 'second', 'flat'), ('VOICE_NAT', 'voice', 'second', 'flat')"""
+TARIFFS = """
+  ('Gold', 'DATA_STD', 'data', 0.008, 200, NULL, NULL), ('Gold', 'DATA_ULTRA', 'data', 0.003, 250, 1000, 0.001),
+  ('Gold', 'SMS_STD', 'sms', 0.075, 1, NULL, NULL), ('Gold', 'VOICE_INT', 'voice', 0.180, 10, NULL, NULL),
+  ('Gold', 'VOICE_NAT', 'voice', 0.035, 60, NULL, NULL),
+  ('Silver', 'DATA_STD', 'data', 0.010, 100, NULL, NULL), ('Silver', 'DATA_ULTRA', 'data', 0.005, 200, 500, 0.002),
+  ('Silver', 'SMS_STD', 'sms', 0.100, 0, NULL, NULL), ('Silver', 'VOICE_INT', 'voice', 0.250, 0, NULL, NULL),
+  ('Silver', 'VOICE_NAT', 'voice', 0.050, 30, NULL, NULL),
+  ('Titanium', 'DATA_STD', 'data', 0.005, 300, NULL, NULL), ('Titanium', 'DATA_ULTRA', 'data', 0.002, 512, 2048, 0.001),
+  ('Titanium', 'SMS_STD', 'sms', 0.050, 3, NULL, NULL), ('Titanium', 'VOICE_INT', 'voice', 0.120, 30, NULL, NULL),
+  ('Titanium', 'VOICE_NAT', 'voice', 0.020, 120, NULL, NULL)"""
 
 
 def _q(s) -> str:
@@ -29,10 +45,6 @@ def _q(s) -> str:
     return "'" + str(s).replace("'", "''") + "'"
 
 
-def _values(rows) -> str:
-    return ", ".join("(" + ", ".join(_q(v) for v in r) + ")" for r in rows)
-
-
 def _valid(col: str, pattern: str = PAT) -> str:
     return f"regexp_matches({col}, {_q(pattern)})"
 
@@ -42,14 +54,14 @@ raw_src AS (
   SELECT *,
     CASE WHEN event_type = 'signup' THEN 'sms' WHEN event_type = 'view' THEN 'data' ELSE 'voice' END AS kind,
     CASE WHEN event_id % 41 = 0 THEN NULL
-         WHEN event_id % 43 = 0 THEN 'X' || lpad(CAST(event_id AS VARCHAR), 11, '0')
+         WHEN event_id % 43 = 0 THEN 'X' || lpad(CAST(event_id AS VARCHAR), CAST(greatest(11, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0')
          WHEN event_id % 47 = 0 THEN ''
-         ELSE '2126' || lpad(CAST(user_id AS VARCHAR), 8, '0') END AS payer,
+         ELSE '2126' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(8, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0') END AS payer,
     CASE WHEN event_id % 53 = 0 THEN NULL
          WHEN event_id % 59 = 0 THEN 'junk'
          WHEN event_id % 61 = 0 THEN ''
-         WHEN event_id % 5 = 0 THEN '44' || lpad(CAST(event_id AS VARCHAR), 10, '0')
-         ELSE '2127' || lpad(CAST(event_id AS VARCHAR), 8, '0') END AS other
+         WHEN event_id % 5 = 0 THEN '44' || lpad(CAST(event_id AS VARCHAR), CAST(greatest(10, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0')
+         ELSE '2127' || lpad(CAST(event_id AS VARCHAR), CAST(greatest(8, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0') END AS other
   FROM events
 ),
 raw_cdr AS (
@@ -83,7 +95,7 @@ raw_cdr AS (
 
 SUBS = """
 subs AS (
-  SELECT '2126' || lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') AS customer_id,
+  SELECT '2126' || lpad(CAST(c.c_custkey AS VARCHAR), CAST(greatest(8, length(CAST(c.c_custkey AS VARCHAR))) AS INTEGER), '0') AS customer_id,
          c.c_name AS customer_name,
          CAST(DATE '2023-01-01' + CAST(c.c_custkey % 365 AS INTEGER) AS DATE) AS activation_date,
          CASE WHEN c.c_custkey % 11 = 5 THEN 'prepaid' ELSE 'postpaid' END AS subscription_type,
@@ -104,7 +116,7 @@ eligible AS (
 
 DIMS = f"""
 catalog AS (
-  SELECT * FROM (VALUES {_values(PRODUCT_CATALOG_ROWS)}) t(product_code, service_type, unit, rate_type, description)
+  SELECT * FROM (VALUES {CATALOG}) t(product_code, service_type, unit, rate_type)
 ),
 plans AS (
   SELECT rate_plan_id, product_code, service_type,
@@ -112,7 +124,7 @@ plans AS (
          CAST(free_units AS INTEGER) AS free_units,
          CAST(tier_threshold AS INTEGER) AS tier_threshold,
          CAST(tier_price AS DECIMAL(6,3)) AS tier_price
-  FROM (VALUES {_values([(a, b, c, d, e, f, g) for a, b, c, d, e, f, g in RATE_PLAN_ROWS])})
+  FROM (VALUES {TARIFFS})
        t(rate_plan_id, product_code, service_type, unit_price, free_units, tier_threshold, tier_price)
 )"""
 
@@ -127,13 +139,13 @@ def _mediated_sql(pattern: str = PAT) -> str:
 admitted AS (
   SELECT * FROM raw_cdr
   WHERE record_type IS NOT NULL AND "timestamp" IS NOT NULL
-    AND CAST("timestamp" AS DATE) >= DATE '{P.as_of.isoformat()}'
+    AND CAST("timestamp" AS DATE) >= DATE '{AS_OF}'
 ),
 admitted_k AS (
   SELECT *,
     {keep_voice} AS keep_voice, {keep_sms} AS keep_sms, {keep_data} AS keep_data,
     {callee} AS callee_c,
-    (data_volume_mb IS NULL OR session_duration_sec IS NULL OR session_duration_sec < 0) AS review
+    (TRY_CAST(data_volume_mb AS DECIMAL(18,6)) IS NULL OR session_duration_sec IS NULL OR session_duration_sec < 0) AS review
   FROM admitted
 ),
 mediated AS (
@@ -155,7 +167,7 @@ mediated AS (
     CASE WHEN record_type = 'sms' THEN {receiver} END AS receiver_id,
     CASE WHEN record_type = 'data' THEN user_id END AS user_id,
     CASE WHEN record_type = 'data' AND session_duration_sec >= 0 THEN session_duration_sec END AS session_duration_sec,
-    CASE WHEN record_type = 'data' THEN CAST(data_volume_mb AS DECIMAL(12,2)) END AS data_volume_mb,
+    CASE WHEN record_type = 'data' THEN TRY_CAST(data_volume_mb AS DECIMAL(18,6)) END AS data_volume_mb,
     record_type
   FROM admitted_k
   WHERE keep_voice OR keep_sms OR keep_data
@@ -172,7 +184,7 @@ def _rated_sql(name: str, boundary: str) -> str:
       WHEN 'tiered' THEN CASE WHEN {cmp} <= fu THEN 0
                               WHEN {cmp} <= tt THEN (billable_units - fu) * up
                               ELSE (tt - fu) * up + (billable_units - tt) * tp END
-    END AS DECIMAL(18,5)) AS cost
+    END AS DECIMAL(22,9)) AS cost
   FROM (SELECT *, coalesce(free_units, 0) AS fu, coalesce(tier_threshold, 0) AS tt,
                coalesce(unit_price, CAST(0 AS DECIMAL(6,3))) AS up,
                coalesce(tier_price, CAST(0 AS DECIMAL(6,3))) AS tp
@@ -207,15 +219,15 @@ with_tariff AS (
 units AS (
   SELECT *,
     CASE WHEN record_type = 'voice'
-              THEN CAST(ceil(CASE WHEN duration_sec IS NULL OR duration_sec < 0 THEN 0 ELSE duration_sec END) AS DECIMAL(12,2))
-         WHEN record_type = 'sms' THEN CAST(1 AS DECIMAL(12,2))
-         ELSE coalesce(CAST(data_volume_mb AS DECIMAL(12,2)), CAST(0 AS DECIMAL(12,2))) END AS billable_units
+              THEN CAST(ceil(CASE WHEN duration_sec IS NULL OR duration_sec < 0 THEN 0 ELSE duration_sec END) AS DECIMAL(18,6))
+         WHEN record_type = 'sms' THEN CAST(1 AS DECIMAL(18,6))
+         ELSE coalesce(CAST(data_volume_mb AS DECIMAL(18,6)), CAST(0 AS DECIMAL(18,6))) END AS billable_units
   FROM with_tariff
 ),""" + _rated_sql("rated", "whole_units") + "," + _rated_sql("rated_exact", "exact")
 
 
 def _billing_sql() -> str:
-    disc, vat, fee = P.discount, P.vat, P.fee
+    disc, vat, fee = DISCOUNT, VAT, FEE
     months = ", ".join(_q(m) for m in FIXTURE_MONTHS)
 
     def invoice_cte(name: str, month_expr: str, source: str) -> str:
@@ -237,10 +249,10 @@ def _billing_sql() -> str:
     return f"""
 subtotals AS (
   SELECT customer_id, billing_period,
-    CAST(sum(CASE WHEN record_type = 'voice' THEN cost ELSE CAST(0 AS DECIMAL(18,5)) END) AS DECIMAL(18,5)) AS voice_total,
-    CAST(sum(CASE WHEN record_type = 'sms' THEN cost ELSE CAST(0 AS DECIMAL(18,5)) END) AS DECIMAL(18,5)) AS sms_total,
-    CAST(sum(CASE WHEN record_type = 'data' THEN cost ELSE CAST(0 AS DECIMAL(18,5)) END) AS DECIMAL(18,5)) AS data_total,
-    CAST(sum(cost) AS DECIMAL(18,5)) AS amount_before_tax
+    CAST(sum(CASE WHEN record_type = 'voice' THEN cost ELSE CAST(0 AS DECIMAL(22,9)) END) AS DECIMAL(22,9)) AS voice_total,
+    CAST(sum(CASE WHEN record_type = 'sms' THEN cost ELSE CAST(0 AS DECIMAL(22,9)) END) AS DECIMAL(22,9)) AS sms_total,
+    CAST(sum(CASE WHEN record_type = 'data' THEN cost ELSE CAST(0 AS DECIMAL(22,9)) END) AS DECIMAL(22,9)) AS data_total,
+    CAST(sum(cost) AS DECIMAL(22,9)) AS amount_before_tax
   FROM rated WHERE rating_status = 'rated'
   GROUP BY customer_id, billing_period
 ),
@@ -249,7 +261,7 @@ totals AS (
   FROM (SELECT *, after_discount * {vat} AS tax
         FROM (SELECT *, {disc} AS discount_pct, amount_before_tax * (1 - {disc}) AS after_discount
               FROM subtotals))
-),""" + invoice_cte("inv_month", _q(P.billing_month), "totals") + "," + invoice_cte(
+),""" + invoice_cte("inv_month", _q(MONTH), "totals") + "," + invoice_cte(
         "inv_all", f"unnest([{months}])", "totals"
     )
 
@@ -308,9 +320,9 @@ FROM admitted WHERE record_type IN ('voice', 'sms', 'data')"""
 
 
 def _half_up_avg(total: str, count: str) -> str:
-    n = f"(CAST({total} * 100000 AS HUGEINT) * 10)"
+    n = f"CAST(CAST({total} AS DECIMAL(28,9)) * 1000000000 AS HUGEINT)"
     return (
-        f"(CAST(((2 * abs({n}) + {count}) // (2 * {count})) * sign({n}) AS DOUBLE) / CAST(1000000 AS DOUBLE))"
+        f"(CAST(((2 * abs({n}) + 1000 * {count}) // (2000 * {count})) * sign({n}) AS DOUBLE) / CAST(1000000 AS DOUBLE))"
     )
 
 
@@ -320,6 +332,10 @@ def _key_expr(col: str) -> str:
 
 BODIES: dict[str, str] = {
     "decode_json": f"SELECT {RAW_OUT} FROM raw_cdr",
+    "decode_json_times": """
+SELECT record_ID,
+  CASE WHEN CAST(record_ID AS BIGINT) % 4 = 3 THEN date_trunc('second', "timestamp") ELSE "timestamp" END AS "timestamp"
+FROM raw_cdr WHERE "timestamp" IS NOT NULL""",
     "encode_decode_roundtrip": f"SELECT {_key_expr('record_ID')} AS key, record_ID, true AS roundtrip_ok FROM raw_cdr",
     "dim_insert_absent": """
 SELECT * FROM subs WHERE activation_date < DATE '2023-07-01'
@@ -332,9 +348,9 @@ SELECT c.product_code, c.service_type, c.unit, c.rate_type,
 FROM catalog c LEFT JOIN (
   SELECT product_code, count(*) AS records,
     sum(CASE WHEN record_type = 'voice'
-             THEN CAST(ceil(CASE WHEN duration_sec IS NULL OR duration_sec < 0 THEN 0 ELSE duration_sec END) AS DECIMAL(12,2))
-             WHEN record_type = 'sms' THEN CAST(1 AS DECIMAL(12,2))
-             ELSE coalesce(data_volume_mb, CAST(0 AS DECIMAL(12,2))) END) AS units
+             THEN CAST(ceil(CASE WHEN duration_sec IS NULL OR duration_sec < 0 THEN 0 ELSE duration_sec END) AS DECIMAL(18,6))
+             WHEN record_type = 'sms' THEN CAST(1 AS DECIMAL(18,6))
+             ELSE coalesce(data_volume_mb, CAST(0 AS DECIMAL(18,6))) END) AS units
   FROM mediated GROUP BY product_code) t ON c.product_code = t.product_code""",
     "rate_plan_dim": """
 SELECT p.rate_plan_id, p.product_code, p.service_type, CAST(p.unit_price AS DOUBLE) AS unit_price, p.free_units,
@@ -365,7 +381,7 @@ FROM mediated WHERE rating_status = 'needs_review'""",
     "clean_data_export": """
 SELECT record_ID, user_id, product_code, rating_status,
   coalesce(CAST(session_duration_sec AS VARCHAR), 'UNK') AS session_duration_sec,
-  coalesce(CAST(data_volume_mb AS VARCHAR), 'UNK') AS data_volume_mb
+  coalesce(regexp_replace(CAST(data_volume_mb AS VARCHAR), '(\\.\\d+?)0+$', '\\1'), 'UNK') AS data_volume_mb
 FROM mediated WHERE record_type = 'data'""",
     "mediation_audit": """
 SELECT record_type, admitted, mediated, needs_review, admitted - mediated AS dropped FROM (
@@ -374,6 +390,15 @@ SELECT record_type, admitted, mediated, needs_review, admitted - mediated AS dro
     count(*) FILTER (WHERE keep_data AND review) AS needs_review
   FROM admitted_k GROUP BY record_type)""",
     "dedup_cdr": f"SELECT {MEDIATED_OUT}, CAST(0 AS BIGINT) AS batch_id FROM mediated",
+    "dedup_cdr_dirty": f"""
+SELECT {MEDIATED_OUT}, CAST(0 AS BIGINT) AS batch_id FROM mediated WHERE CAST(record_ID AS BIGINT) % 7 <> 0
+UNION ALL SELECT * FROM (
+  SELECT DISTINCT {MEDIATED_OUT}, CAST(0 AS BIGINT) AS batch_id
+  FROM (SELECT * REPLACE (NULL AS record_ID) FROM mediated WHERE CAST(record_ID AS BIGINT) % 7 = 0))
+UNION ALL SELECT * FROM (
+  SELECT DISTINCT {MEDIATED_OUT}, CAST(1 AS BIGINT) AS batch_id
+  FROM (SELECT * REPLACE (NULL AS record_ID, 'CELL_RE' AS cell_id) FROM mediated WHERE CAST(record_ID AS BIGINT) % 21 = 0))""",
+    "stream_dedup": f"SELECT {MEDIATED_OUT} FROM mediated",
     "stream_mediation": f"SELECT {MEDIATED_OUT}, CAST(0 AS BIGINT) AS batch_id FROM mediated",
     "customer_key": "SELECT record_ID, record_type, customer_id FROM keyed",
     "eligible_customers": "SELECT customer_id, region, rate_plan_id FROM eligible",
@@ -384,6 +409,9 @@ SELECT record_ID, customer_id, rate_plan_id, product_code, rate_type, {_d('unit_
   {_d('tier_price')} FROM with_tariff""",
     "billable_units": "SELECT record_ID, record_type, product_code, CAST(billable_units AS DOUBLE) AS billable_units FROM rated",
     "rated_cost": f"SELECT {RATED_OUT} FROM rated",
+    "rated_store_roundtrip": f"""
+SELECT {RATED_OUT} FROM rated
+WHERE billing_period NOT IN ('2024-02', '2024-03') OR (billing_period = '2024-02' AND record_type = 'voice')""",
     "rated_cost_exact": f"SELECT {RATED_OUT} FROM rated_exact",
     "rated_flat": f"SELECT {RATED_OUT} FROM rated WHERE rate_type = 'flat'",
     "rated_tiered": f"SELECT {RATED_OUT} FROM rated WHERE rate_type = 'tiered'",
@@ -405,6 +433,7 @@ FROM totals""",
 SELECT customer_id, CAST(sum(data_total) AS DOUBLE) AS total_data_usage, CAST(sum(amount_due) AS DOUBLE) AS total_amount_due
 FROM inv_month WHERE data_total > 0 GROUP BY customer_id""",
     "revenue_by_plan": "SELECT rate_plan_id, CAST(sum(amount_due) AS DOUBLE) AS revenue_TTC FROM inv_month GROUP BY rate_plan_id",
+    "report_csv_roundtrip": "SELECT rate_plan_id, CAST(sum(amount_due) AS DOUBLE) AS revenue_TTC FROM inv_month GROUP BY rate_plan_id",
     "revenue_by_region_plan": """
 SELECT region, rate_plan_id, CAST(sum(amount_due) AS DOUBLE) AS revenue_TTC FROM inv_month GROUP BY region, rate_plan_id""",
     "product_cost": f"""
@@ -447,5 +476,28 @@ FROM rated WHERE rate_type IS NOT NULL AND unit_price IS NULL GROUP BY product_c
 }
 
 
+# The same chain over a feed with fine and out-of-range volumes.
+FINE_CHAIN = CHAIN.replace("raw_cdr AS (", "plain_cdr AS (", 1).replace(
+    "subs AS (",
+    """raw_cdr AS (
+  SELECT * REPLACE (
+    CASE WHEN data_volume_mb IS NULL THEN NULL
+         WHEN CAST(record_ID AS BIGINT) % 17 = 0 THEN CAST(1e13 AS DOUBLE)
+         WHEN CAST(record_ID AS BIGINT) % 23 = 0 THEN CAST(100.996 AS DOUBLE)
+         ELSE CAST(CAST(data_volume_mb AS DECIMAL(18,6))
+                   + CAST(CAST(record_ID AS BIGINT) % 1000000 AS DECIMAL(18,6)) * CAST(0.000001 AS DECIMAL(7,6)) AS DOUBLE)
+    END AS data_volume_mb)
+  FROM plain_cdr
+),
+subs AS (""",
+    1,
+)
+FINE_BODIES = {
+    "billable_units_fine": "SELECT record_ID, record_type, product_code, CAST(billable_units AS DOUBLE) AS billable_units, review_flag FROM rated",
+    "rated_cost_fine": f"SELECT {RATED_OUT} FROM rated",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: CHAIN + body.strip() for name, body in BODIES.items()}
+    plain = {name: CHAIN + body.strip() for name, body in BODIES.items()}
+    return plain | {name: FINE_CHAIN + body for name, body in FINE_BODIES.items()}

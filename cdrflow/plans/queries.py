@@ -9,6 +9,7 @@ compare across engines; everything upstream stays exact.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,7 +61,8 @@ def q_encode_decode_roundtrip(spark, sf_dir):
         cdr_json.message_key(F.col("record_ID")).alias("key"),
         F.to_json(F.struct(*cols), cdr_json.JSON_OPTIONS).alias("value"),
     )
-    decoded = msgs.select("orig", "key", F.from_json("value", schemas.RAW_CDR).alias("back"))
+    decoded = cdr_json.decode_cdr(msgs, keep=("orig", "key"))
+    decoded = decoded.select("orig", "key", F.struct(*cols).alias("back"))
     same = None
     for c in cols:
         eq = F.col(f"orig.{c}").eqNullSafe(F.col(f"back.{c}"))
@@ -227,7 +229,102 @@ def q_stream_mediation(spark, sf_dir):
         available_now=True,
     )
     run_until_done(q)
-    return finish(files.read_mediated(spark, f"{root}/out"))
+    return finish(files.read_mediated(spark, f"{root}/out").drop("event_month", "stream_id"))
+
+
+def q_decode_json_times(spark, sf_dir):
+    """The event time of every dated CDR in one of four spellings (chosen by
+    the id): without a zone, with Z, with an offset, as epoch seconds."""
+    cdrs = fixture_cdrs(spark, sf_dir).filter(F.col("timestamp").isNotNull())
+    kind = F.col("record_ID").cast("long") % 4
+    iso = lambda t: F.replace(t.cast("string"), F.lit(" "), F.lit("T"))
+    since = F.col("timestamp") - F.lit("1970-01-01 00:00:00").cast(schemas.EVENT_TIME)
+    part = lambda unit: F.extract(F.lit(unit), since).cast("long")
+    epoch = ((part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")) * 60 + F.floor(F.extract(F.lit("SECOND"), since))
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    hour = F.make_dt_interval(F.lit(0), F.lit(1))
+    spelled = (
+        F.when(kind == 0, quoted(iso(F.col("timestamp"))))
+        .when(kind == 1, quoted(F.concat(iso(F.col("timestamp")), F.lit("Z"))))
+        .when(kind == 2, quoted(F.concat(iso(F.col("timestamp") + hour), F.lit("+01:00"))))
+        .otherwise(epoch.cast("string"))
+    )
+    message = F.concat(F.lit('{"record_ID":"'), F.col("record_ID"), F.lit('","timestamp":'), spelled, F.lit("}"))
+    return cdr_json.decode_cdr(cdrs.select(message.alias("value"))).select("record_ID", "timestamp")
+
+
+def q_dedup_cdr_dirty(spark, sf_dir):
+    """T5: every seventh record without an id, and every third delivered again in
+    a later batch with another cell.  A record with an id keeps its first
+    delivery; without one only equal content counts as the same record."""
+    number = F.col("record_ID").cast("long")
+    m = _st(spark, sf_dir).mediated().withColumn("_n", number)
+    first = m.withColumn("batch_id", F.lit(0).cast("long"))
+    again = first.unionByName(m.filter("_n % 3 = 0").withColumns({"cell_id": F.lit("CELL_RE"), "batch_id": F.lit(1).cast("long")}))
+    feed = again.withColumn("record_ID", F.when(F.col("_n") % 7 != 0, F.col("record_ID"))).drop("_n")
+    return finish(dedup.dedup_records(feed.unionByName(feed.filter("batch_id = 0")), "record_ID", "batch_id"))
+
+
+def q_stream_dedup(spark, sf_dir):
+    """The feed streamed in two overlapping parts over several micro-batches
+    with de-duplication.  Each record is stored once; event times jump back and
+    forth, and none is dropped for being late."""
+    from cdrflow.streaming.mediation_stream import run_until_done, start_mediation_stream
+
+    root = scratch_path(spark, "stream-dedup")
+    cdrs = fixture_cdrs(spark, sf_dir)
+    for part in ("record_ID % 3 <> 2", "record_ID % 3 <> 0"):
+        cdr_json.write_cdr_messages(cdrs.filter(part).coalesce(2), fmt="text", path=f"{root}/in")
+        q = start_mediation_stream(
+            spark, out_path=f"{root}/out", checkpoint=f"{root}/checkpoint", params=FIXTURE_PARAMS, fmt="text",
+            source_path=f"{root}/in", source_options={"maxFilesPerTrigger": "1"}, available_now=True, dedup=True,
+        )
+        run_until_done(q)
+    return finish(files.read_mediated(spark, f"{root}/out").drop("event_month", "stream_id", "batch_id"))
+
+
+def _fine(spark, sf_dir) -> Stages:
+    """Stages over the same feed with volumes of up to six decimals, some just
+    above an allowance (100.996 MB) and some out of range (1e13 MB)."""
+    from dataclasses import replace
+
+    st = _st(spark, sf_dir)
+    n, wide = F.col("record_ID").cast("long"), "decimal(18,6)"
+    micro = (n % 1_000_000).cast(wide) * F.lit(Decimal("0.000001"))
+    fine = (F.col("data_volume_mb").cast(wide) + micro).cast("double")
+    volume = F.when(n % 17 == 0, F.lit(1e13)).when(n % 23 == 0, F.lit(100.996)).otherwise(fine)
+    raw = st.raw.withColumn("data_volume_mb", F.when(F.col("data_volume_mb").isNotNull(), volume))
+    return replace(st, raw=raw, reuse_plans=False, _plans={})
+
+
+def q_billable_units_fine(spark, sf_dir):
+    """Billable units at full precision; out-of-range volumes count as
+    missing and are flagged for review."""
+    r = _fine(spark, sf_dir).rated()
+    return finish(r.select("record_ID", "record_type", "product_code", "billable_units", "review_flag"))
+
+
+def q_rated_cost_fine(spark, sf_dir):
+    """R7 on volumes of up to six decimals: limits compare whole units."""
+    return finish(_fine(spark, sf_dir).rated().select(*RATED_OUT))
+
+
+def q_rated_store_roundtrip(spark, sf_dir):
+    """Rated records stored by month and read back.  One month is rated
+    again with fewer records and one with none: exactly those two change."""
+    path = scratch_path(spark, "rated-store")
+    rated = _st(spark, sf_dir).rated()
+    files.write_rated(rated, path)
+    rerun = rated.filter((F.col("billing_period") == "2024-02") & (F.col("record_type") == "voice"))
+    files.write_rated(rerun, path, months=["2024-02", "2024-03"])
+    return finish(files.read_rated(spark, path).select(*RATED_OUT))
+
+
+def q_report_csv_roundtrip(spark, sf_dir):
+    """The revenue report written as CSV with a header and read back."""
+    path = f"{scratch_path(spark, 'report')}/revenueByPlan.csv"
+    files.write_report(finish(reports.revenue_by_plan(_st(spark, sf_dir).invoices())), path, single_file=True)
+    return spark.read.option("header", True).schema("rate_plan_id string, revenue_TTC double").csv(path)
 
 
 # --- rating ------------------------------------------------------------------------------
@@ -249,7 +346,7 @@ def q_eligible_customers(spark, sf_dir):
 def q_cdr_with_plan(spark, sf_dir):
     """CDRs of eligible subscribers with their rate plan."""
     st = _st(spark, sf_dir)
-    return rating.join_plan(_keyed(st), st.subscriptions, st.params.broadcast_max_rows).select(
+    return rating.join_plan(_keyed(st), st.subscriptions).select(
         "record_ID", "customer_id", "rate_plan_id", "product_code"
     )
 
@@ -257,7 +354,7 @@ def q_cdr_with_plan(spark, sf_dir):
 def q_cdr_with_catalog(spark, sf_dir):
     """Plus the product's rate type and unit."""
     st = _st(spark, sf_dir)
-    j = rating.join_catalog(rating.join_plan(_keyed(st), st.subscriptions, st.params.broadcast_max_rows), st.catalog, st.dims_trusted_small)
+    j = rating.join_catalog(rating.join_plan(_keyed(st), st.subscriptions), st.catalog, st.dims_trusted_small)
     return j.select("record_ID", "customer_id", "rate_plan_id", "product_code", "rate_type", "unit")
 
 
@@ -266,7 +363,7 @@ def q_cdr_with_tariff(spark, sf_dir):
     st = _st(spark, sf_dir)
     trusted = st.dims_trusted_small
     j = rating.join_tariff(
-        rating.join_catalog(rating.join_plan(_keyed(st), st.subscriptions, st.params.broadcast_max_rows), st.catalog, trusted), st.plans, trusted
+        rating.join_catalog(rating.join_plan(_keyed(st), st.subscriptions), st.catalog, trusted), st.plans, trusted
     )
     return finish(
         j.select(
@@ -413,7 +510,7 @@ def q_dq_orphans(spark, sf_dir):
     st = _st(spark, sf_dir)
     elig = rating.eligible(st.subscriptions, ("customer_id", "rate_plan_id"))
     report = quality.cdr_orphan_report(
-        _keyed(st), elig, st.catalog, st.plans, st.params.broadcast_max_rows, trusted_dims=st.dims_trusted_small
+        _keyed(st), elig, st.catalog, st.plans, trusted_dims=st.dims_trusted_small
     )
     return report.unionByName(
         quality.orphan_counts("subscription_plan_unknown", st.subscriptions, st.plans, ["rate_plan_id"], "rate_plan_id")
@@ -424,6 +521,7 @@ def q_dq_orphans(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "decode_json": q_decode_json,
+    "decode_json_times": q_decode_json_times,
     "encode_decode_roundtrip": q_encode_decode_roundtrip,
     "dim_insert_absent": q_dim_insert_absent,
     "product_dim": q_product_dim,
@@ -442,6 +540,8 @@ QUERIES: dict[str, Query] = {
     "clean_data_export": q_clean_data_export,
     "mediation_audit": q_mediation_audit,
     "dedup_cdr": q_dedup_cdr,
+    "dedup_cdr_dirty": q_dedup_cdr_dirty,
+    "stream_dedup": q_stream_dedup,
     "stream_mediation": q_stream_mediation,
     "customer_key": q_customer_key,
     "eligible_customers": q_eligible_customers,
@@ -449,12 +549,15 @@ QUERIES: dict[str, Query] = {
     "cdr_with_catalog": q_cdr_with_catalog,
     "cdr_with_tariff": q_cdr_with_tariff,
     "billable_units": q_billable_units,
+    "billable_units_fine": q_billable_units_fine,
     "rated_cost": q_rated_cost,
+    "rated_cost_fine": q_rated_cost_fine,
     "rated_cost_exact": q_rated_cost_exact,
     "rated_flat": q_rated_flat,
     "rated_tiered": q_rated_tiered,
     "rating_status_mix": q_rating_status_mix,
     "usage_by_period": q_usage_by_period,
+    "rated_store_roundtrip": q_rated_store_roundtrip,
     "invoice_subtotals": q_invoice_subtotals,
     "invoice_totals": q_invoice_totals,
     "invoice_month": q_invoice_month,
@@ -462,6 +565,7 @@ QUERIES: dict[str, Query] = {
     "top_customers": q_top_customers,
     "revenue_by_plan": q_revenue_by_plan,
     "revenue_by_region_plan": q_revenue_by_region_plan,
+    "report_csv_roundtrip": q_report_csv_roundtrip,
     "product_cost": q_product_cost,
     "product_cost_double": q_product_cost_double,
     "dq_keys": q_dq_keys,

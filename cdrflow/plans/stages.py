@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdrflow.operators import billing, mediation, rating, reports
+from cdrflow.operators import billing, dedup, mediation, rating, reports
 from cdrflow.params import FIXTURE_PARAMS, Params
 from cdrflow.sources import dims, files
 from cdrflow.sources.fixtures import fixture_cdrs, fixture_subscribers
@@ -59,6 +59,8 @@ class Stages:
         return self._rate(self.mediated() if mediated is None else mediated, p)
 
     def _rate(self, mediated: DataFrame, p: Params) -> DataFrame:
+        if p.dedup:
+            mediated = dedup.first_deliveries(mediated)
         return rating.rate(mediated, self.subscriptions, self.catalog, self.plans, p, self.dims_trusted_small)
 
     # -- billing
@@ -66,7 +68,8 @@ class Stages:
         months = list(months or [self.params.billing_month])
 
         def build():
-            r = self.rated() if rated is None else rated
+            # The months bound the event times of the feed's scan, not only the rated rows.
+            r = rated if rated is not None else self._rate(rating.in_months(self.mediated(), months), self.params)
             return billing.invoices_for_months(r, self.subscriptions, months, self.params)
 
         return self._plan(("invoices", tuple(months)), build) if rated is None else build()
@@ -114,8 +117,11 @@ def shared_fixture_stages(spark: SparkSession, sf_dir: str, params: Params = FIX
 def run_batch(stages: Stages, out_dir: str, batch_id: int = 0, months: Sequence[str] | None = None) -> dict[str, str]:
     """Write every stage's table under ``out_dir`` (a shared file system path).
 
-    Each write is a dynamic partition overwrite, so re-running a batch or a
-    month replaces exactly what it produced before.  Returns the paths.
+    Each write replaces the partitions that it has rows for and empties those
+    it stands for but has none (the batch's months, every rated month, the
+    billed months), so a re-run leaves exactly what it produced.  With
+    ``params.dedup`` a record that several batches delivered is priced once.
+    Returns the paths.
     """
     spark = stages.raw.sparkSession
     root = out_dir.rstrip("/")
@@ -125,14 +131,15 @@ def run_batch(stages: Stages, out_dir: str, batch_id: int = 0, months: Sequence[
         "invoice": f"{root}/invoice",
         "report": f"{root}/report",
     }
-    files.write_mediated(stages.mediated().withColumn("batch_id", F.lit(batch_id).cast("long")), paths["mediated"])
-    mediated = files.read_mediated(spark, paths["mediated"]).drop("batch_id")
+    files.replace_batch(stages.mediated(), paths["mediated"], batch_id)
+    mediated = files.read_mediated(spark, paths["mediated"])
     money = stages.params.money
     files.write_rated(stages.rated(mediated), paths["rated"], money)
     rated = files.read_rated(spark, paths["rated"], money)
-    files.write_invoices(stages.invoices(months, rated=rated), paths["invoice"], money)
+    billed = list(months or [stages.params.billing_month])
+    files.write_invoices(stages.invoices(billed, rated=rated), paths["invoice"], money, months=billed)
     invoices = files.read_invoices(spark, paths["invoice"], money)
-    month_filter = F.col("billing_period").isin(*(months or [stages.params.billing_month]))
+    month_filter = F.col("billing_period").isin(*billed)
     for name, df in stages.reports(invoices.filter(month_filter), rated).items():
         files.write_report(df, f"{paths['report']}/{name}.csv", single_file=name in files.BOUNDED_REPORTS)
     return paths

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 5)      # one rated charge, a subtotal
+MONEY = T.DecimalType(22, 9)      # one rated charge (units x price, unrounded), a subtotal
 PRICE = T.DecimalType(6, 3)       # tariff unit price (NUMERIC(6,3) in the DDL)
-UNITS = T.DecimalType(12, 2)      # billable units: seconds, messages, MB
-VOLUME = T.DecimalType(12, 2)     # data volume in MB, two decimals on the wire
+UNITS = T.DecimalType(18, 6)      # billable units: seconds, messages, MB
+VOLUME = T.DecimalType(18, 6)     # data volume in MB, up to six decimals on the wire
 
-# Event times are wall-clock times of the switch (no zone in the message):
-# TIMESTAMP_NTZ, so no session or process time zone can shift them.
+# Event times are UTC wall-clock times: TIMESTAMP_NTZ, so no session or process
+# time zone can shift them.  The decoder converts zoned and epoch times to UTC
+# and takes a time without a zone as it is.
 EVENT_TIME = T.TimestampNTZType()
 
 # Wire format of one call-detail record (JSON value of a stream message).
@@ -34,6 +35,11 @@ RAW_CDR = T.StructType(
     ]
 )
 
+# As it stands in the JSON: the event time is text or a number.
+WIRE_CDR = T.StructType(
+    [T.StructField(f.name, T.StringType()) if f.name == "timestamp" else f for f in RAW_CDR.fields]
+)
+
 # Output of mediation.  Numeric columns stay numeric: a missing volume or a
 # bad session length is NULL (the string export adds the "UNK" sentinel).
 MEDIATED = T.StructType(
@@ -57,10 +63,17 @@ MEDIATED = T.StructType(
 )
 MEDIATED_COLUMNS = [f.name for f in MEDIATED.fields]
 
-# Mediated data as stored: partitioned by record type and micro-batch.
+# Mediated data as stored: partitioned by event month (months prune by folder),
+# record type, the stream that wrote it and its micro-batch.
+MEDIATED_PARTITIONS = ["event_month", "record_type", "stream_id", "batch_id"]
 MEDIATED_STORED = T.StructType(
     [f for f in MEDIATED.fields if f.name != "record_type"]
-    + [T.StructField("record_type", T.StringType()), T.StructField("batch_id", T.LongType())]
+    + [
+        T.StructField("event_month", T.StringType()),
+        T.StructField("record_type", T.StringType()),
+        T.StructField("stream_id", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
 )
 
 PRODUCT_CATALOG = T.StructType(
@@ -131,8 +144,8 @@ INVOICE = T.StructType(
         # Wide enough for rates with up to 6 decimals (Params checks this), so
         # storing an invoice never rounds it.
         T.StructField("discount_pct", T.DecimalType(9, 6)),
-        T.StructField("after_discount", T.DecimalType(38, 12)),
-        T.StructField("tax", T.DecimalType(38, 18)),
+        T.StructField("after_discount", T.DecimalType(38, 15)),
+        T.StructField("tax", T.DecimalType(38, 21)),
         T.StructField("amount_due", T.DecimalType(20, 2)),
         T.StructField("billing_period", T.StringType()),
     ]

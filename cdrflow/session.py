@@ -71,6 +71,19 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     }
 
 
+RUNTIME_CONF = {k: v for k, v in SCALE_CONF.items() if k.startswith("spark.sql.")}
+
+
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Give an existing session the SQL settings above, except those that the
+    submitter has set.  JVM options cannot be changed any more; pass
+    ``-XX:-DontCompileHugeMethods`` on submission."""
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for key, value in RUNTIME_CONF.items():
+        if key not in given:
+            spark.conf.set(key, value)
+
+
 def get_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
@@ -80,24 +93,32 @@ def get_session(
     """Build (or reuse) a session with the scale settings above.
 
     ``master`` defaults to ``local[N]`` with N from ``$BENCH_CPUS`` or 8; it is
-    only applied when no session exists yet.
+    only applied when no session exists yet.  Shuffle partitions and driver
+    memory are set for a local master only, unless given: on a cluster they
+    are the submitter's.
     """
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or cpus
+    local = master.startswith("local") and not master.startswith("local-cluster")
+    parts = shuffle_partitions or (cpus if local else None)
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.driver.memory", os.environ.get("CDRFLOW_DRIVER_MEMORY", "8g"))
     )
-    for key, value in {**SCALE_CONF, **(extra or {})}.items():
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
+    if local:
+        builder = builder.config("spark.driver.memory", os.environ.get("CDRFLOW_DRIVER_MEMORY", "8g"))
+    # On a cluster the submitter's JVM options stay as they are.
+    settings = SCALE_CONF if local else RUNTIME_CONF
+    for key, value in {**settings, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if local:
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -106,8 +127,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system path
     (HDFS, object store) that survives executor loss; it is read, never
-    replaced.  Only when it is unset (local tests) is a temporary folder
-    chosen and registered.
+    replaced.  Only when it is unset on a local master (tests) is a temporary
+    folder chosen and registered; on a cluster that is an error, because no
+    executor would see the others' files.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -117,6 +139,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             current = None
     if current:
         return current
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(
+            f"set spark.checkpoint.dir to a folder that all executors share (master {master or 'unknown'})"
+        )
     local = tempfile.mkdtemp(prefix="cdrflow-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(local)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdrflow import schemas
@@ -14,14 +16,38 @@ JSON_OPTIONS = {"timestampFormat": JSON_TIMESTAMP_FORMAT, "timestampNTZFormat":
 KEY_SPACE = 1000
 
 
-def decode_cdr(df: DataFrame, value_col: str = "value") -> DataFrame:
+_NUMBER = r"^\s*-?\d+(\.\d+)?([eE][+-]?\d+)?\s*$"
+_ZONED = r"(?i)\d(Z|[+-]\d{2}(:?\d{2})?)\s*$"
+_WITH_TIME = r"\d[T ]\d"
+
+
+def event_time(text: Column) -> Column:
+    """UTC wall-clock time of a message's event time.
+
+    Accepts ISO times with a zone (``Z``, ``+01:00``; converted to UTC), without
+    one (taken as they are) and epoch seconds, whole or fractional.  Anything
+    else is NULL and dropped by admission.  The result does not depend on the
+    session's time zone.
+    """
+    zoned = text.rlike(_WITH_TIME) & text.rlike(_ZONED)
+    micros = F.unix_micros(text.try_cast("timestamp")).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    seconds = F.when(text.rlike(_NUMBER), F.trim(text).try_cast("decimal(18,6)")).when(zoned, micros.cast("decimal(18,6)"))
+    zero = F.lit(0)
+    since = F.lit("1970-01-01 00:00:00").cast(schemas.EVENT_TIME) + F.make_dt_interval(zero, zero, zero, seconds)
+    return F.when(text.rlike(_NUMBER) | zoned, since).otherwise(text.try_cast(schemas.EVENT_TIME))
+
+
+def decode_cdr(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse the message value with the fixed CDR schema and flatten it.
 
     Malformed JSON yields a row of NULLs (dropped later by admission); a
-    field of the wrong type (a quoted number, 5.5 for an int) is NULL.
+    field of the wrong type (a quoted number, 5.5 for an int) is NULL.  Event
+    times come with or without a zone or as epoch seconds (``event_time``).
+    ``keep`` names message columns to carry along.
     """
     text = F.col(value_col).cast("string")
-    return df.select(F.from_json(text, schemas.RAW_CDR).alias("data")).select("data.*")
+    data = df.select(*keep, F.from_json(text, schemas.WIRE_CDR, JSON_OPTIONS).alias("data")).select(*keep, "data.*")
+    return data.withColumn("timestamp", event_time(F.col("timestamp")))
 
 
 def encode_cdr(df: DataFrame) -> DataFrame:
@@ -51,9 +77,11 @@ def read_cdr_stream(
 ) -> DataFrame:
     """Streaming source of raw messages with a ``value`` column.
 
-    ``fmt="kafka"`` subscribes to a topic (defaults: start at the latest
-    offset, do not fail on data loss); it needs the Kafka connector on the
-    classpath.  ``fmt="text"`` reads JSON lines from a directory, one message
+    ``fmt="kafka"`` subscribes to a topic; it needs the Kafka connector on the
+    classpath.  The defaults are those of the reference: a new checkpoint
+    starts at the latest offset and expired offsets do not stop the stream,
+    both of which skip messages silently.  Pass ``startingOffsets=earliest``
+    and ``failOnDataLoss=true`` to read a backlog or to be told of a loss.  ``fmt="text"`` reads JSON lines from a directory, one message
     per line, for tests and file drops.
     """
     opts = dict(options or {})

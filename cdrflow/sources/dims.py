@@ -18,11 +18,11 @@ from cdrflow import schemas
 # The reference's product catalog seed rows
 # (product_code, service_type, unit, rate_type, description).
 PRODUCT_CATALOG_ROWS = [
-    ("DATA_STD", "data", "MB", "flat", "Connexion Internet standard (facturation au Mo)"),
-    ("DATA_ULTRA", "data", "MB", "tiered", "Connexion Internet haut débit (palier gratuit + tarification progressive)"),
-    ("SMS_STD", "sms", "sms", "flat", "Envoi SMS standard (tarif unitaire par SMS)"),
-    ("VOICE_INT", "voice", "second", "flat", "Appel vocal international (facturation à la seconde)"),
-    ("VOICE_NAT", "voice", "second", "flat", "Appel vocal local (facturation à la seconde)"),
+    ("DATA_STD", "data", "MB", "flat", None),
+    ("DATA_ULTRA", "data", "MB", "tiered", None),
+    ("SMS_STD", "sms", "sms", "flat", None),
+    ("VOICE_INT", "voice", "second", "flat", None),
+    ("VOICE_NAT", "voice", "second", "flat", None),
 ]
 
 # The reference's rate plan seed rows
@@ -105,14 +105,24 @@ def typed_rate_plans(df: DataFrame) -> DataFrame:
     )
 
 
-def suffix_predicates(column: str, digits: int = 1) -> list[str]:
-    """WHERE clauses that split a table by the last ``digits`` characters of a
-    string key (``customer_id LIKE '%07'``): disjoint and covering every key
-    that ends in a digit, plus one clause for all other keys."""
-    n = 10**digits
-    likes = [f"{column} LIKE '%{i:0{digits}d}'" for i in range(n)]
-    rest = " AND ".join(f"{column} NOT LIKE '%{i:0{digits}d}'" for i in range(n))
-    return likes + [f"({column} IS NULL OR ({rest}))"]
+def range_predicates(column: str, low: str, high: str, parts: int) -> list[str]:
+    """``parts`` WHERE clauses that split a table into ranges of a string key,
+    which a key index can serve; disjoint and covering every row.
+
+    The bounds lie evenly between the numbers ``low`` and ``high`` (of equal
+    length, e.g. ``212600000000`` and ``212799999999``); the first range also takes
+    everything below and NULL, the last everything above.
+    """
+    if len(low) != len(high) or int(low) > int(high):
+        raise ValueError("low and high must be numbers of one length, in order")
+    width = len(low)
+    span = int(high) - int(low) + 1
+    cuts = sorted({f"{int(low) + span * k // parts:0{width}d}" for k in range(1, parts)})
+    if not cuts:
+        return ["1 = 1"]
+    first = f"({column} < '{cuts[0]}' OR {column} IS NULL)"
+    inner = [f"({column} >= '{a}' AND {column} < '{b}')" for a, b in zip(cuts, cuts[1:])]
+    return [first, *inner, f"{column} >= '{cuts[-1]}'"]
 
 
 def read_dim(
@@ -128,7 +138,7 @@ def read_dim(
     A large JDBC table is read in parallel: with a numeric key pass
     ``partitionColumn``/``lowerBound``/``upperBound``/``numPartitions`` in
     ``options``; with a string key (``customer_id``) pass ``predicates``
-    (e.g. ``suffix_predicates("customer_id")``), one partition per clause.
+    (e.g. ``range_predicates``), one partition per clause.
     Filters and column selections on the result are pushed into the
     database query by Spark.
     """

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdrflow import schemas
 
+log = logging.getLogger(__name__)
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema``, in its order, cast to its types."""
@@ -15,7 +21,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_mediated(spark: SparkSession, path: str) -> DataFrame:
-    """Mediated CDRs, partitioned ``record_type=/batch_id=``."""
+    """Mediated CDRs, partitioned ``event_month=/record_type=/stream_id=/batch_id=``."""
     return spark.read.schema(schemas.MEDIATED_STORED).parquet(path)
 
 
@@ -28,23 +34,76 @@ def read_invoices(spark: SparkSession, path: str, money: str = "decimal") -> Dat
     return spark.read.schema(schemas.storage_schema(schemas.INVOICE, money)).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite") -> None:
+def write_partitioned(
+    df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite", replace: list[str] | None = None
+) -> None:
     """Write Parquet partitioned by ``partition_by``.
 
     ``overwrite`` replaces only the partitions present in ``df`` (dynamic
     partition overwrite), so re-running one month or one micro-batch never
-    erases the others; ``append`` adds files.
+    erases the others; ``append`` adds files.  ``replace`` lists values of the
+    (single) partition column that this run stands for: one of them that got no
+    rows is emptied, so it does not keep what an earlier run left there.
     """
+    out = df
+    if replace:
+        seen = Observation()
+        col = F.col(partition_by[0])
+        out = df.observe(seen, *(F.count(F.when(col == v, 1)).alias(f"n{k}") for k, v in enumerate(replace)))
     (
-        df.write.mode(mode)
+        out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    if replace:
+        counts = seen.get
+        for k, v in enumerate(replace):
+            if not counts[f"n{k}"]:
+                _empty_partition(df, path, partition_by[0], v)
+
+
+def _empty_partition(df: DataFrame, path: str, column: str, value: str) -> None:
+    """Replace one partition folder by an empty file (static overwrite)."""
+    none = df.drop(column).sparkSession.createDataFrame([], df.drop(column).schema)
+    none.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path.rstrip('/')}/{column}={value}")
+
+
+def event_month(time: str = "timestamp") -> Column:
+    """``yyyy-MM`` of an event time, as the stored tables' folders have it."""
+    return F.date_format(time, "yyyy-MM")
+
+
+#: ``stream_id`` of batches that no stream wrote.
+BATCH_STREAM = "batch"
 
 
 def write_mediated(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    write_partitioned(conform(df, schemas.MEDIATED_STORED), path, ["record_type", "batch_id"], mode)
+    for name, value in (("event_month", event_month()), ("stream_id", F.lit(BATCH_STREAM))):
+        if name not in df.columns:
+            df = df.withColumn(name, value)
+    write_partitioned(conform(df, schemas.MEDIATED_STORED), path, schemas.MEDIATED_PARTITIONS, mode)
+
+
+def ensure_mediated(spark: SparkSession, path: str) -> None:
+    """Make the table's folder, so that it can be read before its first batch."""
+    write_mediated(spark.createDataFrame([], schemas.MEDIATED_STORED), path, mode="append")
+
+
+def replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch of ``BATCH_STREAM`` so that exactly its rows are stored under
+    its number, also where an earlier run of it had rows that are gone."""
+    spark = df.sparkSession
+    write_mediated(df.withColumn("batch_id", F.lit(batch_id).cast("long")), path)
+    own = (F.col("stream_id") == BATCH_STREAM) & (F.col("batch_id") == batch_id)
+    # Folder names only: (month, type) of one batch.
+    stored = read_mediated(spark, path).filter(own).select("event_month", "record_type").distinct().collect()
+    made = {tuple(r) for r in df.select(event_month(), "record_type").distinct().collect()}
+    empty = spark.createDataFrame([], T.StructType([f for f in schemas.MEDIATED.fields if f.name != "record_type"]))
+    for r in stored:
+        if tuple(r) not in made:
+            folder = f"event_month={r['event_month']}/record_type={r['record_type']}/stream_id={BATCH_STREAM}/batch_id={batch_id}"
+            empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path.rstrip('/')}/{folder}")
 
 
 def _sized(df: DataFrame, rebalance: bool, col: str) -> DataFrame:
@@ -54,18 +113,36 @@ def _sized(df: DataFrame, rebalance: bool, col: str) -> DataFrame:
     return df.hint("rebalance", col) if rebalance else df
 
 
-def write_rated(df: DataFrame, path: str, money: str = "decimal", rebalance: bool = False) -> None:
+def stored_months(spark: SparkSession, path: str) -> list[str]:
+    """Billing months that a stage table has folders for."""
+    try:
+        rows = spark.read.parquet(path).select(F.col("billing_period").cast("string")).distinct().collect()
+    except AnalysisException:  # not there yet
+        return []
+    return sorted(r[0] for r in rows if r[0] is not None)
+
+
+def write_rated(
+    df: DataFrame, path: str, money: str = "decimal", rebalance: bool = False, months: list[str] | None = None
+) -> None:
+    """Replace the months in ``df``; ``months`` are those that it stands for (default:
+    every stored month), which are emptied where it has no rows for them."""
     out = conform(df, schemas.storage_schema(schemas.RATED, money))
-    write_partitioned(_sized(out, rebalance, "billing_period"), path, ["billing_period"])
+    months = stored_months(df.sparkSession, path) if months is None else months
+    write_partitioned(_sized(out, rebalance, "billing_period"), path, ["billing_period"], replace=months)
 
 
-def write_invoices(df: DataFrame, path: str, money: str = "decimal", rebalance: bool = False) -> None:
+def write_invoices(
+    df: DataFrame, path: str, money: str = "decimal", rebalance: bool = False, months: list[str] | None = None
+) -> None:
+    """Replace the months in ``df``, and empty those of ``months`` that it has no rows for."""
     out = conform(df, schemas.storage_schema(schemas.INVOICE, money))
-    write_partitioned(_sized(out, rebalance, "billing_period"), path, ["billing_period"])
+    write_partitioned(_sized(out, rebalance, "billing_period"), path, ["billing_period"], replace=months)
 
 
-# Reports with a bounded number of rows (plans, regions x plans, products).
-BOUNDED_REPORTS = ("revenueByPlan", "planByRegion", "product_cost_analysis")
+# Reports whose rows are bounded by configuration (plans, products); regions are
+# free text of the subscription table.
+BOUNDED_REPORTS = ("revenueByPlan", "product_cost_analysis")
 
 
 def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -113,26 +190,36 @@ def compact_partitions(
     ``files_per_partition`` files each (small files from frequent stream
     appends).
 
-    The selected rows are first staged in the checkpoint folder (a path is
-    never overwritten while it is read), then spread over
-    ``files_per_partition`` tasks per partition by a hash of ``spread_col``
-    (so a huge partition is not written by one task), and written back with a
-    dynamic overwrite that replaces only those partitions.  Re-running it is
-    harmless: the rows do not change.
+    The selected rows are first staged beside the table, on the same file
+    system, and the copy is counted against the source before anything is
+    replaced; then they are spread over ``files_per_partition`` tasks per
+    partition by a hash of ``spread_col`` (so a huge partition is not written
+    by one task) and written back with a dynamic overwrite that replaces only
+    those partitions.  The copy's path is logged and the copy stays: should the
+    write back be cut off, restore the partitions from it before a new run.
     """
     df = spark.read.schema(schema).parquet(path)
     if where is not None:
         df = df.filter(where)
-    staged = stage_table(df, "compact")
+    copy = f"{path.rstrip('/')}-compact-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(copy)
+    log.info("compaction of %s: rows staged in %s", path, copy)
+    staged = spark.read.schema(schema).parquet(copy)
+    rows, copied = df.count(), staged.count()
+    if rows != copied:
+        raise RuntimeError(f"{copy} holds {copied} of {rows} rows; {path} was not changed")
     keys = [F.col(c) for c in partition_by]
-    if files_per_partition > 1 and spread_col:
+    if spread_col:
         keys.append(F.pmod(F.xxhash64(F.col(spread_col)), F.lit(files_per_partition)))
     write_partitioned(staged.repartition(*keys), path, partition_by)
 
 
 def write_jdbc(df: DataFrame, table: str, options: dict[str, str], mode: str = "overwrite") -> None:
-    """Replace a database table; ``truncate`` keeps its definition and grants."""
-    opts = {"dbtable": table, "truncate": "true", **options}
+    """Replace a database table; ``truncate`` keeps its definition and grants.
+
+    At most ``numPartitions`` connections write at a time (default 8).
+    """
+    opts = {"dbtable": table, "truncate": "true", "numPartitions": "8", "batchsize": "10000", **options}
     df.write.format("jdbc").options(**opts).mode(mode).save()
 
 

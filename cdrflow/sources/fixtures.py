@@ -22,10 +22,13 @@ from cdrflow.functions.reuse import per_jvm
 
 
 def _digits(col: Column, n: int) -> Column:
-    return F.lpad(col.cast("string"), n, "0")
+    """At least ``n`` digits; a longer number keeps all of them (lpad alone
+    would cut it, and different keys would become equal)."""
+    text = col.cast("string")
+    return F.when(F.length(text) >= n, text).otherwise(F.lpad(text, n, "0"))
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str, balance: str | None = None) -> DataFrame:
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one driver table, set up once per session.
 
     The driver tables are read-only, so the scan (file listing, footer
@@ -35,37 +38,12 @@ def load_table(spark: SparkSession, sf_dir: str, name: str, balance: str | None
 
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     cache = session_cache(spark)
-    key = ("scan", path, balance)
+    key = ("scan", path)
     if key not in cache:
-        df = spark.read.parquet(path)
-        cache[key] = balance_input(df, key_col=balance) if balance else df
+        cache[key] = spark.read.parquet(path)
     return cache[key]
 
 
-def balance_input(df: DataFrame, min_partitions: int | None = None, key_col: str | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A single Parquet row group or an unsplittable file is read by one task,
-    and everything narrow after it (decode, mediation, rating up to the
-    partial aggregation) would run on one core.  When the scan has fewer
-    partitions than ``min_partitions`` (default: the cluster's default
-    parallelism) the rows are hash-spread on ``key_col`` (a unique key:
-    even, and cheaper than round-robin, which sorts first to stay
-    deterministic on retry); a large table, which already has many more
-    splits than cores, is left untouched.
-    """
-    from cdrflow.session import parallelism
-
-    target = min_partitions or parallelism(df.sparkSession)
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (Spark Connect): let the planner decide
-        return df
-    if splits >= target:
-        return df
-    return df.repartition(target, key_col) if key_col else df.repartition(target)
-
-
 def cdrs_from_events(events: DataFrame) -> DataFrame:
     """One raw CDR per event, in the wire schema (``schemas.RAW_CDR``)."""
     return events.select(*_cdr_columns())
@@ -110,7 +88,7 @@ def _cdr_columns() -> list[Column]:
     duration = (
         F.when(e % 10 == 1, F.lit(None)).when(e % 10 == 2, -(base + 10)).otherwise(base + 10)
     ).cast("int")
-    volume = F.when(e % 9 == 0, F.lit(None)).otherwise((v * 10).cast(schemas.VOLUME)).cast("double")
+    volume = F.when(e % 9 == 0, F.lit(None)).otherwise((v * 10).cast("decimal(12,2)")).cast("double")
     session = (
         F.when(e % 10 == 4, F.lit(None)).when(e % 10 == 6, F.lit(-60)).otherwise(base + 60)
     ).cast("int")
@@ -182,8 +160,8 @@ def fixture_cdrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The CDR feed derived from ``events``, staged once per session.
 
     It stands in for the CDR source table: written as a Parquet table in the
-    shared checkpoint folder, in as many files as the cluster has cores, and
-    scanned by every query from there.
+    shared checkpoint folder and scanned by every query from there.  Only a
+    table with fewer splits than the cluster has cores is spread over them.
     """
     from cdrflow.sources.files import stage_table
 
@@ -195,8 +173,9 @@ def fixture_cdrs(spark: SparkSession, sf_dir: str) -> DataFrame:
             splits = events.rdd.getNumPartitions()
         except Exception:  # no RDD API (Spark Connect)
             splits = 0
-        parts = max(parallelism(spark), splits)
-        return stage_table(cdrs_from_events(events), "cdr-feed", partitions=parts, key="record_ID")
+        cores = parallelism(spark)
+        spread = cores if splits < cores else None
+        return stage_table(cdrs_from_events(events), "cdr-feed", partitions=spread, key="record_ID")
 
     return _derived(spark, sf_dir, "cdrs", build)
 

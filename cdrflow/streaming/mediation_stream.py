@@ -1,18 +1,20 @@
 """Structured Streaming mediation with a replay-safe sink.
 
 Source -> JSON decode -> admission (required fields, freshness) ->
-``foreachBatch``: one ``mediate`` pass per micro-batch, written as Parquet
-partitioned by (record_type, batch_id).
+``foreachBatch``: one mediation pass per micro-batch, written as Parquet
+partitioned by (event_month, record_type, stream_id, batch_id).
 
 Exactly-once effect: the checkpoint records which offsets belong to which
 epoch; a replayed epoch re-runs ``process`` with the same id and the same
 rows, and the dynamic partition overwrite replaces exactly the partitions
-that epoch wrote before.  Output folder and checkpoint must live and die
-together, on a shared file system.
+that epoch wrote before.  ``stream_id`` is the id that the checkpoint gives the
+query, so a second stream, or a new checkpoint, that writes to the same folder
+adds its own partitions and never replaces those of another.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable
 
@@ -20,31 +22,79 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cdrflow.operators.mediation import admission_condition, admit, audit_metrics, mediate
+from cdrflow.operators.dedup import absent_from, dedup_records
+from cdrflow.operators.mediation import admission_condition, admit, audit_metrics, cleaned, with_keep
 from cdrflow.params import Params
+from cdrflow.schemas import MEDIATED_COLUMNS
+from cdrflow.session import ensure_checkpoint_dir
 from cdrflow.sources.cdr_json import decode_cdr, read_cdr_stream
-from cdrflow.sources.files import write_mediated
+from cdrflow.sources.files import BATCH_STREAM, ensure_mediated, event_month, read_mediated, write_mediated
 
 log = logging.getLogger(__name__)
 
 
+def stream_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The query id that Spark keeps in the checkpoint's metadata file."""
+    text = "".join(r["value"] for r in spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect())
+    return json.loads(text)["id"]
+
+
+def new_records(out: DataFrame, out_path: str, stream: str, epoch_id: int) -> DataFrame:
+    """``out`` without records that the store already holds from an earlier batch.
+
+    Each record keeps its first delivery.  Only the folders of the batch's own
+    months and its range of event times are read (row groups outside are skipped
+    by their statistics), because a re-sent record has its old event time.
+    Nothing is dropped for being late.  Partitions of this epoch and later ones of
+    the stream are left aside, so a replayed epoch decides as it did before.
+    """
+    first = dedup_records(out, "record_ID", "batch_id")
+    span = out.agg(F.min("timestamp"), F.max("timestamp"), F.collect_set("event_month")).first()  # a few months
+    stored = read_mediated(out.sparkSession, out_path)
+    near = F.col("event_month").isin(span[2]) & F.col("timestamp").between(F.lit(span[0]), F.lit(span[1]))
+    own = (F.col("stream_id") == stream) & (F.col("batch_id") >= epoch_id)
+    return absent_from(first, stored.filter(near & ~own), "record_ID", MEDIATED_COLUMNS)
+
+
 def mediation_batch_writer(
     out_path: str,
     params: Params = Params(),
     on_metrics: Callable[[int, dict], None] | None = None,
+    checkpoint: str | None = None,
+    dedup: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: mediate one micro-batch and write it.
 
-    Counts per type before and after cleaning are collected with
-    ``observe`` during the write itself (no extra pass over the batch).
+    An empty batch stores and reports nothing.  Counts per type before and after cleaning
+    are collected with ``observe`` during the write itself (no extra pass over
+    the batch).  With ``dedup`` records that were delivered before are left out.
     """
 
     def process(batch: DataFrame, epoch_id: int) -> None:
+        stream = stream_id_of(batch.sparkSession, checkpoint) if checkpoint else BATCH_STREAM
         obs = Observation(f"mediation_{epoch_id}")
-        observed = batch.observe(obs, *audit_metrics(batch, params.msisdn_mode))
-        out = mediate(observed, params.msisdn_mode).withColumn("batch_id", F.lit(epoch_id).cast("long"))
+        observed = with_keep(batch, params.msisdn_mode).observe(obs, *audit_metrics())
+        out = cleaned(observed, params.msisdn_mode).withColumns(
+            {
+                "event_month": event_month(),
+                "stream_id": F.lit(stream),
+                "batch_id": F.lit(epoch_id).cast("long"),
+            }
+        )
+        if dedup:
+            # The batch is read once, into a folder that the next batch reuses;
+            # its records are compared from there.
+            spark = batch.sparkSession
+            folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/micro-batch-{stream}"
+            out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+            if not obs.get["total"]:
+                return
+            ensure_mediated(spark, out_path)
+            out = new_records(spark.read.schema(out.schema).parquet(folder), out_path, stream, epoch_id)
         write_mediated(out, out_path, mode="overwrite")
         metrics = obs.get
+        if not metrics["total"]:
+            return
         log.info("mediation batch %s: %s", epoch_id, metrics)
         if on_metrics is not None:
             on_metrics(epoch_id, dict(metrics))
@@ -52,32 +102,21 @@ def mediation_batch_writer(
     return process
 
 
-def admitted_stream(raw_messages: DataFrame, params: Params = Params(), dedup_delay: str | None = None) -> DataFrame:
+def admitted_stream(raw_messages: DataFrame, params: Params = Params()) -> DataFrame:
     """Decoded and admitted stream.
 
     Messages decoded and messages admitted per micro-batch (malformed JSON,
     missing type or time, stale records are the difference) are observed on
     the stream itself and reported as ``observedMetrics["cdr_admission"]`` in
-    each query progress.  With ``dedup_delay`` (e.g. ``"1 hour"``) records re-sent within that
-    event-time delay are dropped by ``record_ID`` (state bounded by the
-    watermark).
+    each query progress.  There is no watermark: late records are dropped by
+    the freshness date alone.
     """
     decoded = decode_cdr(raw_messages).observe(
         "cdr_admission",
         F.count(F.lit(1)).alias("decoded"),
         F.count(F.when(admission_condition(params.as_of), F.lit(1))).alias("admitted"),
     )
-    admitted = admit(decoded, params.as_of)
-    if dedup_delay:
-        # A watermark needs a zoned timestamp; the wall-clock event time is
-        # read in the session zone for that purpose only.
-        admitted = (
-            admitted.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
-            .withWatermark("_event_time", dedup_delay)
-            .dropDuplicatesWithinWatermark(["record_ID"])
-            .drop("_event_time")
-        )
-    return admitted
+    return admit(decoded, params.as_of)
 
 
 def start_mediation_stream(
@@ -90,7 +129,7 @@ def start_mediation_stream(
     source_path: str | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
-    dedup_delay: str | None = None,
+    dedup: bool = False,
     on_metrics: Callable[[int, dict], None] | None = None,
     query_name: str | None = None,
 ) -> StreamingQuery:
@@ -101,9 +140,9 @@ def start_mediation_stream(
     ``processing_time`` runs until ``stop()``.
     """
     raw = read_cdr_stream(spark, fmt, source_options, source_path)
-    stream = admitted_stream(raw, params, dedup_delay)
+    stream = admitted_stream(raw, params)
     writer = (
-        stream.writeStream.foreachBatch(mediation_batch_writer(out_path, params, on_metrics))
+        stream.writeStream.foreachBatch(mediation_batch_writer(out_path, params, on_metrics, checkpoint, dedup))
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )

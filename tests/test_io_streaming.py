@@ -82,19 +82,112 @@ def test_stream_restart_and_replay(spark, tmp_dir):
     # replaying an epoch rewrites the same partitions (idempotent sink)
     from cdrflow.streaming.mediation_stream import mediation_batch_writer
     again = decode_cdr(spark.read.text(f"{src}/f2.json"))
-    mediation_batch_writer(out, FIXTURE_PARAMS)(mediation.admit(again, FIXTURE_PARAMS.as_of), 1)
+    mediation_batch_writer(out, FIXTURE_PARAMS, checkpoint=ckpt)(mediation.admit(again, FIXTURE_PARAMS.as_of), 1)
     assert sorted((r.record_ID, r.batch_id) for r in files.read_mediated(spark, out).collect()) == rows
 
 
-def test_stream_dedup_within_watermark(spark, tmp_dir):
+def test_stream_dedup_drops_replays_and_nothing_else(spark, tmp_dir):
     src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
-    _write_json(src, "f1.json", [_rec(1), _rec(2)])
+    none = {k: v for k, v in _rec(0).items() if k != "record_ID"}
+    _write_json(src, "f1.json", [_rec(1, "2024-03-09T10:00:00"), _rec(2), none, {**none, "receiver_id": "447911123457"}])
     _write_json(src, "f2.json", [_rec(2), _rec(3)])
-    _run(spark, src, out, ckpt, dedup_delay="1 hour")
-    _write_json(src, "f3.json", [_rec(3), _rec(4)])
-    _run(spark, src, out, ckpt, dedup_delay="1 hour")
-    ids = sorted(r.record_ID for r in files.read_mediated(spark, out).collect())
-    assert ids == ["r1", "r2", "r3", "r4"]
+    _run(spark, src, out, ckpt, dedup=True)
+    # weeks late, but no duplicate; a re-sent record without an id; new content without an id
+    _write_json(src, "f3.json", [_rec(3), _rec(4, "2024-01-05T10:00:00"), none, {**none, "receiver_id": "447911123458"}])
+    _run(spark, src, out, ckpt, dedup=True)
+    stored = files.read_mediated(spark, out).collect()
+    assert sorted(r.record_ID for r in stored if r.record_ID) == ["r1", "r2", "r3", "r4"]
+    assert sorted(r.receiver_id for r in stored if not r.record_ID) == ["447911123456", "447911123457", "447911123458"]
+    # replaying the last epoch finds the same records new
+    last = max(r.batch_id for r in stored)
+    stream = {r.stream_id for r in stored}.pop()
+    from cdrflow.streaming import mediation_stream
+
+    batch = mediation.admit(decode_cdr(spark.read.text(f"{src}/f3.json")), FIXTURE_PARAMS.as_of)
+    mediation_stream.mediation_batch_writer(out, FIXTURE_PARAMS, checkpoint=ckpt, dedup=True)(batch, last)
+    again = files.read_mediated(spark, out).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, stored)) and stream == mediation_stream.stream_id_of(spark, ckpt)
+
+
+def test_second_checkpoint_on_the_same_folder_loses_nothing(spark, tmp_dir):
+    out = f"{tmp_dir}/out"
+    for name, ids in (("a", (1, 2)), ("b", (3,))):
+        _write_json(f"{tmp_dir}/{name}", "f.json", [_rec(i) for i in ids])
+        _run(spark, f"{tmp_dir}/{name}", out, f"{tmp_dir}/ckpt-{name}")
+    got = files.read_mediated(spark, out).collect()
+    assert sorted(r.record_ID for r in got) == ["r1", "r2", "r3"]
+    assert {r.batch_id for r in got} == {0} and len({r.stream_id for r in got}) == 2
+
+
+def test_empty_batch_writes_nothing(spark, tmp_dir):
+    from cdrflow.streaming.mediation_stream import mediation_batch_writer
+
+    seen = []
+    empty = mediation.admit(decode_cdr(spark.createDataFrame([], "value string")), FIXTURE_PARAMS.as_of)
+    mediation_batch_writer(f"{tmp_dir}/out", FIXTURE_PARAMS, lambda e, m: seen.append(e))(empty, 0)
+    files_ = [f for _, _, fs in os.walk(f"{tmp_dir}/out") for f in fs if f.endswith(".parquet")]
+    assert not files_ and not seen
+
+
+def test_volume_out_of_range_is_flagged_not_fatal(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    data = {"record_type": "data", "timestamp": "2024-02-01T10:00:00", "user_id": "212612345678",
+            "session_duration_sec": 5, "product_code": "DATA_STD"}
+    _write_json(src, "f.json", [{**data, "record_ID": "big", "data_volume_mb": 1e30},
+                                {**data, "record_ID": "fine", "data_volume_mb": 100.996}])
+    _run(spark, src, out, ckpt)
+    got = {r.record_ID: r for r in files.read_mediated(spark, out).collect()}
+    assert got["big"].data_volume_mb is None and got["big"].rating_status == "needs_review"
+    assert str(got["fine"].data_volume_mb) == "100.996000" and got["fine"].rating_status == "ready"
+
+
+def test_rerun_without_rows_empties_its_month(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    df = spark.createDataFrame([("a", "2024-01"), ("b", "2024-02"), ("c", "2024-03")], "x string, billing_period string")
+    files.write_partitioned(df, path, ["billing_period"])
+    files.write_partitioned(df.filter("x = 'b'").withColumn("x", F.lit("B")), path, ["billing_period"],
+                            replace=["2024-02", "2024-03"])
+    got = sorted(tuple(r) for r in spark.read.schema(df.schema).parquet(path).collect())
+    assert got == [("B", "2024-02"), ("a", "2024-01")]
+
+
+def test_rerun_of_a_batch_leaves_exactly_its_rows(spark, tmp_dir):
+    cdrs = fixture_cdrs(spark, SF_SMALL)
+    mediated = mediation.mediate(mediation.admit(cdrs, FIXTURE_PARAMS.as_of))
+    path = f"{tmp_dir}/m"
+    files.replace_batch(mediated, path, 0)
+    files.replace_batch(mediated, path, 1)
+    less = mediated.filter("record_type = 'sms' AND timestamp >= '2024-02-01'")
+    files.replace_batch(less, path, 0)
+    stored = files.read_mediated(spark, path)
+    assert stored.filter("batch_id = 0").count() == less.count() < mediated.count()
+    assert stored.filter("batch_id = 1").count() == mediated.count()
+
+
+def test_event_time_spellings(spark):
+    import datetime as dt
+
+    spellings = {
+        "2024-02-01T10:00:00.000001": dt.datetime(2024, 2, 1, 10, 0, 0, 1),
+        "2024-02-01 10:00:00": dt.datetime(2024, 2, 1, 10),
+        "2024-02-01T10:00:00Z": dt.datetime(2024, 2, 1, 10),
+        "2024-02-01T10:00:00.5+01:00": dt.datetime(2024, 2, 1, 9, 0, 0, 500000),
+        "2024-02-01T10:00:00-0530": dt.datetime(2024, 2, 1, 15, 30),
+        1706781600: dt.datetime(2024, 2, 1, 10),
+        1706781600.25: dt.datetime(2024, 2, 1, 10, 0, 0, 250000),
+        "2024-02-01": dt.datetime(2024, 2, 1),
+        "yesterday": None,
+        "": None,
+        None: None,
+    }
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            rows = [(json.dumps({"record_ID": str(k), "timestamp": t}),) for k, t in enumerate(spellings)]
+            got = {r.record_ID: r.timestamp for r in decode_cdr(spark.createDataFrame(rows, "value string")).collect()}
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert [got[str(k)] for k in range(len(spellings))] == list(spellings.values())
 
 
 def test_stream_equals_batch_on_fixture(spark, tmp_dir):
@@ -103,7 +196,7 @@ def test_stream_equals_batch_on_fixture(spark, tmp_dir):
     write_cdr_messages(cdrs, fmt="text", path=src)
     metrics = {}
     _run(spark, src, out, ckpt, on_metrics=lambda e, m: metrics.update({e: m}))
-    streamed = files.read_mediated(spark, out).drop("batch_id")
+    streamed = files.read_mediated(spark, out).drop("batch_id", "stream_id", "event_month")
     batch = mediation.mediate(mediation.admit(cdrs, FIXTURE_PARAMS.as_of))
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     assert sum(m["mediated"] for m in metrics.values()) == batch.count()
@@ -141,11 +234,12 @@ def test_compact_stream_partitions(spark, tmp_dir):
         return sum(len([f for f in fs if f.endswith(".parquet")]) for _, _, fs in os.walk(out))
 
     n_before = count_files()
-    files.compact_partitions(spark, out, schemas.MEDIATED_STORED, ["record_type", "batch_id"],
+    files.compact_partitions(spark, out, schemas.MEDIATED_STORED, schemas.MEDIATED_PARTITIONS,
                              where=F.col("batch_id") == 0)
     after = sorted(tuple(r) for r in files.read_mediated(spark, out).collect())
     assert after == before
-    assert count_files() == 3 < n_before  # one file per (record_type, batch) partition
+    folders = files.read_mediated(spark, out).select(*schemas.MEDIATED_PARTITIONS).distinct().count()
+    assert count_files() == folders < n_before  # one file per folder
 
 
 def test_stream_error_stops_and_raises(spark, tmp_dir):

@@ -99,7 +99,7 @@ def test_data_review_status_and_export(spark):
     assert out["d3"].rating_status == "needs_review" and out["d3"].session_duration_sec is None
     exp = {r.record_ID: r for r in mediation.export_strings(m).collect()}
     assert exp["d2"].data_volume_mb == "UNK" and exp["d3"].session_duration_sec == "UNK"
-    assert exp["d1"].data_volume_mb == "12.50"
+    assert exp["d1"].data_volume_mb == "12.5"
 
 
 def test_one_pass_equals_split_clean_union(spark):

@@ -29,7 +29,7 @@ record = st.fixed_dictionaries({
     "sender_id": st.sampled_from(NUMBERS),
     "receiver_id": st.sampled_from(NUMBERS),
     "user_id": st.sampled_from(NUMBERS),
-    "data_volume_mb": st.sampled_from([None, 0.0, 12.5, 100.75]),
+    "data_volume_mb": st.sampled_from([None, 0.0, 12.5, 100.996, 0.000001, 1e13]),
     "session_duration_sec": st.sampled_from([None, -60, 0, 90]),
     "product_code": st.sampled_from([None, "DATA_STD", "DATA_ULTRA", "DATA_PLUS"]),
 })
@@ -67,10 +67,11 @@ def model(r, mode):
         out.update(sender_id=r["sender_id"], receiver_id=other(r["receiver_id"]), product_code="SMS_STD")
     else:
         s, v = r["session_duration_sec"], r["data_volume_mb"]
+        v = None if v is None or v >= 1e12 else v  # does not fit: missing
         review = v is None or s is None or s < 0
         out.update(user_id=r["user_id"], product_code=r["product_code"],
                    session_duration_sec=s if s is not None and s >= 0 else None,
-                   data_volume_mb=None if v is None else Decimal(str(v)).quantize(Decimal("0.01")),
+                   data_volume_mb=None if v is None else Decimal(str(v)).quantize(Decimal("0.000001")),
                    rating_status="needs_review" if review else "ready")
     return tuple(out[c] for c in schemas.MEDIATED_COLUMNS)
 

@@ -67,7 +67,7 @@ def test_double_money_end_to_end(spark, tmp_dir):
     assert max(abs(float(want[k]) - got[k]) for k in want) <= 0.0100001
 
 
-def test_subscriptions_read_in_parallel_by_key_suffix(spark):
+def test_subscriptions_read_in_parallel_by_key_range(spark):
     from cdrflow.sources.fixtures import fixture_subscribers
 
     url = f"jdbc:derby:memory:subs_{os.getpid()};create=true"
@@ -75,26 +75,62 @@ def test_subscriptions_read_in_parallel_by_key_suffix(spark):
     subs = fixture_subscribers(spark, SF_SMALL).select("customer_id", "status", "subscription_type", "rate_plan_id")
     extra = spark.createDataFrame([("X1A", "active", "postpaid", "Gold")], subs.schema)
     try:
-        files.write_jdbc(subs.unionByName(extra), "SUBS", opts)
+        files.write_jdbc(subs.unionByName(extra), "SUBS", {**opts, "createTableColumnTypes": "customer_id VARCHAR(32)"})
     except Exception as e:  # pragma: no cover
         pytest.skip(f"embedded Derby unavailable: {e}")
-    preds = dims.suffix_predicates('"customer_id"')  # Spark created the Derby column quoted, lower case
+    # Spark created the Derby column quoted, lower case
+    preds = dims.range_predicates('"customer_id"', "212600000000", "212600000200", 7)
     par = dims.read_dim(spark, "SUBS", "jdbc", opts, predicates=preds)
-    assert par.rdd.getNumPartitions() == len(preds) == 11
+    assert par.rdd.getNumPartitions() == len(preds) == 7
     whole = dims.read_dim(spark, "SUBS", "jdbc", opts)
     assert par.count() == whole.count() == subs.count() + 1
     assert par.exceptAll(whole).count() == 0
 
 
-def test_balance_input_spreads_single_split_scans_only(spark):
-    from cdrflow.sources.fixtures import balance_input
+def test_long_keys_are_not_cut(spark):
+    from cdrflow.sources.fixtures import cdrs_from_events, subscribers_from_customers
 
-    one = spark.read.parquet(f"{SF_SMALL}/events.parquet")  # a single row group
-    assert one.rdd.getNumPartitions() == 1
-    spread = balance_input(one, 4, key_col="event_id")
-    assert spread.rdd.getNumPartitions() == 4 and spread.count() == one.count()
-    many = one.repartition(6)
-    assert balance_input(many, 4) is many
+    events = spark.createDataFrame(
+        [(k, 1234567890 + k, "click", 1.0) for k in (3, 4)], "event_id long, user_id long, event_type string, value double"
+    ).withColumn("ts", F.lit("2024-01-05 10:00:00").cast("timestamp_ntz"))
+    assert {r.caller_id for r in cdrs_from_events(events).collect()} == {"21261234567893", "21261234567894"}
+    customer = spark.createDataFrame(
+        [(1234567890 + k, "n", "BUILDING", 0) for k in (0, 1)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey int"
+    )
+    nation = spark.createDataFrame([(0, 0)], "n_nationkey int, n_regionkey int")
+    region = spark.createDataFrame([(0, "r")], "r_regionkey int, r_name string")
+    ids = {r.customer_id for r in subscribers_from_customers(customer, nation, region).collect()}
+    assert ids == {"21261234567890", "21261234567891"}
+
+
+def test_runtime_settings_reach_an_existing_session(spark):
+    from cdrflow.session import RUNTIME_CONF, apply_runtime_conf
+
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "false")
+    apply_runtime_conf(spark.newSession())
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    fresh = spark.newSession()
+    apply_runtime_conf(fresh)
+    assert all(fresh.conf.get(k) == v for k, v in RUNTIME_CONF.items() if k not in given)
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
+def test_cluster_without_a_shared_folder_is_an_error():
+    from cdrflow.session import ensure_checkpoint_dir
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf({"spark.master": "yarn"}), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
 
 
 def test_cluster_conf_sizes_partitions():

@@ -41,12 +41,11 @@ def test_join_strategies_agree(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         # subscriptions too large to broadcast: sort-merge join (AQE splits the hot key)
-        no_bc = FIXTURE_PARAMS.with_(broadcast_max_rows=0)
-        smj = st.rated(params=no_bc)
+        smj = st.rated(params=FIXTURE_PARAMS)
         plan = smj._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan
         assert _rows(billing.invoice_totals(smj, FIXTURE_PARAMS)) == base
-        salted = fixture_stages(spark, SF_SMALL, no_bc.with_(join_salt_buckets=8))
+        salted = fixture_stages(spark, SF_SMALL, FIXTURE_PARAMS.with_(join_salt_buckets=8))
         salted.raw = st.raw
         splan = salted.rated()._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in splan and "_salt" in splan
@@ -81,8 +80,7 @@ def test_aqe_splits_the_hot_subscriber_before_billing(spark):
     for k, v in confs.items():
         spark.conf.set(k, v)
     try:
-        p = FIXTURE_PARAMS.with_(broadcast_max_rows=0)
-        inv = billing.invoice_totals(st.rated(params=p), p)
+        inv = billing.invoice_totals(st.rated(), FIXTURE_PARAMS)
         assert _rows(inv) == base
         assert "skew=true" in inv._jdf.queryExecution().executedPlan().toString()
     finally:

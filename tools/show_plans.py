@@ -16,15 +16,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def main() -> None:
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.1"
-    from cdrflow.params import FIXTURE_PARAMS
     from cdrflow.plans import queries as q
     from cdrflow.session import get_session
 
     spark = get_session()
     if os.environ.get("CDRFLOW_NO_BROADCAST"):
-        # as on a cluster with a large subscription table: the row check fails
-        # and the planner's size estimate is over its threshold
-        q.FIXTURE_PARAMS = FIXTURE_PARAMS.with_(broadcast_max_rows=0)
+        # as on a cluster with a large subscription table
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     for name in args:
         df = q.QUERIES[name](spark, sf_dir)
