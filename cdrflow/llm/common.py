@@ -20,9 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _shipped: set[str] = set()
 
+# Rows that a Python worker gets at once: texts are long, and a batch is held
+# in several forms (Arrow, strings, arrays) at a time.
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once per application.
+    """Send this package to the executors' Python, once per application, and
+    make the batches that it gets small (unless the session says otherwise).
 
     Functions that run there are imported by name; this makes them available
     wherever the job was started from.
@@ -30,6 +35,8 @@ def ship_package(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
+    if spark.conf.get(_ARROW_ROWS) == "10000":  # the default
+        spark.conf.set(_ARROW_ROWS, "1000")
     package = Path(__file__).resolve().parent.parent
     bundle = Path(tempfile.mkdtemp()) / f"{package.name}-{uuid.uuid4().hex[:8]}.zip"
     with zipfile.ZipFile(bundle, "w", zipfile.ZIP_DEFLATED) as z:
