@@ -316,7 +316,12 @@ def score_documents(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **fit) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that the classifier accepts."""
+    """The rows of ``docs``, with all their columns, that the classifier accepts.
+
+    Without labels of both kinds it cannot tell documents apart and rejects none.
+    """
     model = train(docs, labels, **fit)
+    if not model.edges:
+        return docs
     name = fresh_name(docs, "score")
     return docs.withColumn(name, score_column(model, docs)).filter(F.col(name) >= threshold).drop(name)
