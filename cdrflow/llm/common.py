@@ -36,7 +36,7 @@ def ship_package(spark: SparkSession) -> None:
     if app in _shipped:
         return
     if spark.conf.get(_ARROW_ROWS) == "10000":  # the default
-        spark.conf.set(_ARROW_ROWS, "1000")
+        spark.conf.set(_ARROW_ROWS, "500")
     package = Path(__file__).resolve().parent.parent
     bundle = Path(tempfile.mkdtemp()) / f"{package.name}-{uuid.uuid4().hex[:8]}.zip"
     with zipfile.ZipFile(bundle, "w", zipfile.ZIP_DEFLATED) as z:
