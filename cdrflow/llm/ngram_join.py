@@ -7,9 +7,10 @@ several orders at once: they are found through the prefix tokens of the first
 order, with length and position filters in the same join, and only those whose
 prefixes also meet under the second and third order are verified exactly.
 
-All orders put frequent tokens last.  Which tokens count as frequent (the
-largest posting lists of a first pass over all documents, at most
-``MAX_FREQUENT``) affects the cost only: the prefix property holds for every order.
+All orders put frequent tokens last, the more frequent the later.  Which tokens
+count as frequent (those of most documents in a first pass over all of them,
+at most ``MAX_FREQUENT``) affects the cost only: the prefix property holds for
+every order.
 
 Equal sets are one node.  A posting list in which nodes have few possible
 partners yields its pairs.  A dense one (a group of near copies) never does.  Its
@@ -43,11 +44,11 @@ from cdrflow.llm.words import mix, shingles, signed
 SHINGLE = 3
 PERCENT = 90
 ORDERS = (1, 2, 3)  # seeds
-FREQUENT = 8  # posting lists of this length make a token frequent
+FREQUENT = 8  # documents that make a token frequent
 MAX_FREQUENT = 500_000
 DENSE = 64  # nodes of like size per node of a list from which on it gets a hub
 HUB_ROUNDS = 2  # then what is left of the dense lists yields its pairs
-MAX_BROADCAST_IDS = 2_000_000  # 16 MB; more candidate ids are joined by a shuffle
+MAX_BROADCAST_IDS = 2_000_000  # numbers of 8 bytes; more are joined by a shuffle
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -55,40 +56,51 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def ordered(tokens: np.ndarray, seed: int, frequent: np.ndarray | None) -> tuple[np.ndarray, int]:
-    """The tokens in the order of ``seed``, frequent ones last, and how many are not."""
+def ordered(tokens: np.ndarray, seed: int, frequent=None) -> tuple[np.ndarray, int]:
+    """The tokens in the order of ``seed``, frequent ones last and the more
+    frequent later, and how many are not frequent."""
     keys = mix(tokens, seed)
-    if frequent is None or not len(frequent):
+    if frequent is None or not len(frequent[0]):
         return tokens[np.argsort(keys)], len(tokens)
-    at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-    late = frequent[at] == tokens
-    return tokens[np.lexsort((keys, late))], int(len(tokens) - late.sum())
+    known, classes = frequent
+    at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+    late = np.where(known[at] == tokens, classes[at], 0)
+    return tokens[np.lexsort((keys, late))], int((late == 0).sum())
 
 
-def _prefixes(text: Column, percent: int, shingle: int) -> Column:
-    def first(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in series:
-            out = []
-            for t in texts:
-                s = shingles(t, shingle)
-                out.append(signed(ordered(s, ORDERS[0], None)[0][: prefix_length(len(s), percent)]))
-            yield pd.Series(out, dtype=object)
+def frequent_tokens(
+    texts: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted tokens that stand in many documents, counted over all of them, and
+    the size class of each (1 or more; counts of like size share one).
 
-    return F.pandas_udf(first, "array<long>")(text)
+    A token that several documents of a batch share is counted wherever it
+    stands, others where they stand in a prefix.
+    """
 
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [s for s in (shingles(t, shingle) for t in batch["text"]) if len(s)]
+            if not sets:
+                continue
+            tokens, n = np.unique(np.concatenate(sets), return_counts=True)
+            first = np.concatenate([ordered(s, ORDERS[0])[0][: prefix_length(len(s), percent)] for s in sets])
+            counted = (n > 1) | np.isin(tokens, first)
+            yield pd.DataFrame({"token": signed(tokens[counted]), "n": n[counted]})
 
-def frequent_tokens(texts: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> np.ndarray:
-    """Sorted tokens of the longest posting lists, counted over all documents."""
     rows = (
-        texts.select(F.explode(_prefixes(F.col("text"), percent, shingle)).alias("token"))
+        texts.select("text")
+        .mapInPandas(count, "token long, n long")
         .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= FREQUENT)
         .orderBy(F.desc("n"), "token")
         .limit(MAX_FREQUENT)
         .toPandas()
     )
-    return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
+    tokens = rows["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], np.log2(rows["n"].to_numpy(np.float64)[order]).astype(np.int64)
 
 
 _SET = "struct<k1:long,k2:long,n:int,rare:int,prefix:array<long>>"
@@ -143,13 +155,16 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int, also: Column | None
     ).distinct()
 
 
+def _if_small(ids: DataFrame) -> DataFrame:
+    """A written one-column table, marked for broadcast if it has few rows."""
+    return F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+
+
 def _sets(pairs: DataFrame, docs: DataFrame, frequent, percent: int, shingle: int) -> DataFrame:
     """(node, s): tokens and prefixes of every node of ``pairs``."""
     ids = staged(pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct(), "candidate-ids")
-    if ids.count() <= MAX_BROADCAST_IDS:
-        ids = F.broadcast(ids)
     return staged(
-        docs.join(ids, docs["id"] == ids["node"], "left_semi").select(
+        docs.join(_if_small(ids), docs["id"] == ids["node"], "left_semi").select(
             F.col("id").alias("node"), _filters(F.col("text"), frequent, percent, shingle).alias("s")
         ),
         "candidate-sets",
@@ -322,7 +337,7 @@ def jaccard_components(
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # At most ``MAX_FREQUENT`` numbers.
+    # At most ``MAX_FREQUENT`` tokens with a number each.
     frequent = broadcast_arrays(spark, frequent_tokens(texts, percent, shingle))
     described = texts.select("id", _described(F.col("text"), frequent, percent, shingle).alias("s"))
     known = staged(described.select("id", "s.*"), "shingle-sets")
@@ -334,8 +349,9 @@ def jaccard_components(
         "shingle-nodes",
     )
     postings = nodes.select("node", "n", "rare", F.posexplode("prefix").alias("pos", "token"))
-    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = staged(postings.join(lists, "token").drop("size"), "postings")
+    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("token")
+    lists = staged(lists, "shared-tokens")
+    shared = staged(postings.join(_if_small(lists), "token", "left_semi"), "postings")
     parts = connected_components(_links(shared, texts, frequent, percent, shingle), "x", "y")
     by_set = (
         nodes.select("k1", "k2", "node")
@@ -367,8 +383,7 @@ def keep_one_per_component(
     gone = staged(
         found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone_id")).distinct(), "gone"
     )
-    n = gone.count()
-    kept = docs.join(F.broadcast(gone) if n <= MAX_BROADCAST_IDS else gone, docs[id_col] == gone["gone_id"], "left_anti")
+    kept = docs.join(_if_small(gone), docs[id_col] == gone["gone_id"], "left_anti")
     repeated = found.filter(F.col("n_shingles") > 0).groupBy(F.col(id_col).alias("repeated_id")).agg(
         F.count(F.lit(1)).alias("rows_of_id")
     )

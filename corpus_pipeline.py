@@ -31,9 +31,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
+    """One document of each group of near copies stays: the one with the smallest id.
+
+    Near copies share at least 80 % of their five-word shingles.
+    """
     ship_package(spark)
-    return keep_one_per_component(docs)
+    return keep_one_per_component(docs, percent=80, shingle=5)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,11 +28,12 @@ def roots(links, ids):
     return {i: find(i) for i in ids}
 
 
-def brute_jaccard(rows, percent=90):
+def brute_jaccard(rows, percent=90, k=3):
     sets = []
     for i, t in rows:
         w = WORD.findall((t or "").encode().translate(LOWER))
-        sets.append((i, frozenset(zip(w, w[1:], w[2:])) if len(w) > 2 else frozenset([tuple(w)] if w else [])))
+        whole = frozenset([tuple(w)] if w else [])
+        sets.append((i, frozenset(zip(*(w[j:] for j in range(k)))) if len(w) >= k else whole))
     links = [
         (i, j)
         for k, (i, a) in enumerate(sets)
@@ -105,6 +106,8 @@ def test_jaccard_components(near_copies, docs, sf_docs, monkeypatch, dense):
     for table in (near_copies, docs, sf_docs):
         got = Counter(map(tuple, ngram_join.jaccard_components(table).collect()))
         assert got == brute_jaccard(pairs_of(table))
+    got = Counter(map(tuple, ngram_join.jaccard_components(near_copies, 80, 5).collect()))
+    assert got == brute_jaccard(pairs_of(near_copies), 80, 5)
 
 
 def test_jaccard_of_nothing_and_shuffled_ids(near_copies, no_docs, monkeypatch):

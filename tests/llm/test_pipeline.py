@@ -51,7 +51,7 @@ def test_rejected_documents_go_and_good_ones_stay(spark, stages):
 
 def test_one_document_of_each_group_stays(stages):
     before = rows(stages[1][1])
-    want = {i for i, n, part in brute_jaccard(before) if part == i}
+    want = {i for i, n, part in brute_jaccard(before, 80, 5) if part == i}
     assert sorted(i for i, _ in rows(stages[2][1])) == sorted(want)
 
 
