@@ -11,6 +11,7 @@ are routed instead of broadcast, to the only shard that can match them:
    hash.  Equal windows name equal anchors, so matches never cross anchors.
    Neighbouring windows with one anchor form a context (at most
    WINDOW - GRAM + 1 windows).  Only contexts whose anchor occurs again go on.
+   What a document repeats of itself is settled before anything is shuffled.
 2. Equal contexts are one reference passage, held by its first occurrence; at
    all others every window is removed.  This is an aggregate with map-side
    minima, so a passage that a third of all documents share is one row.
@@ -94,16 +95,38 @@ def contexts(words: np.ndarray, window: int = WINDOW, gram: int = GRAM):
     return grams[at[first]], mix(both, 2), first, count
 
 
+def without_own_repeats(found):
+    """The contexts of a document, and the ranges of its windows in contexts that it
+    had before: those go whatever the other documents hold.  Neighbouring ranges
+    are one, so a text that repeats itself a thousand times is a few rows."""
+    anchor, context, start, count = found
+    first = np.sort(np.unique(context, return_index=True)[1])
+    again = np.ones(len(context), bool)
+    again[first] = False
+    s, e = start[again], (start + count)[again]
+    cut = np.concatenate(([True], s[1:] != e[:-1])) if len(s) else np.zeros(0, bool)
+    last = np.append(np.flatnonzero(cut)[1:] - 1, len(s) - 1) if len(s) else np.zeros(0, np.int64)
+    return (anchor[first], context[first], start[first], count[first]), (s[cut], e[last])
+
+
 _CONTEXTS = "struct<anchor:array<long>,context:array<long>,start:array<int>,windows:array<int>>"
 
 
 def _contexts_of(text: Column, window: int, gram: int) -> Column:
+    """Contexts of a text; those without an anchor are ranges of its own repeats."""
+
     def found(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in series:
             rows = []
             for t in texts:
-                a, c, s, n = contexts(word_hashes(split_words(t)), window, gram)
-                rows.append((signed(a), signed(c), s.astype(np.int32), n.astype(np.int32)))
+                (a, c, s, n), (own, end) = without_own_repeats(contexts(word_hashes(split_words(t)), window, gram))
+                none = [None] * len(own)
+                rows.append(
+                    (
+                        [*signed(a).tolist(), *none], [*signed(c).tolist(), *none],
+                        np.concatenate((s, own)).astype(np.int32), np.concatenate((n, end - own)).astype(np.int32),
+                    )
+                )
             yield pd.DataFrame(rows, columns=["anchor", "context", "start", "windows"])
 
     return F.pandas_udf(found, _CONTEXTS)(text)
@@ -250,9 +273,17 @@ def repeated_spans(
         "id", F.inline(F.arrays_zip("c.anchor", "c.context", "c.start", "c.windows"))
     )
     again = staged(
-        every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "repeated-anchors"
+        every.filter("anchor is not null")
+        .groupBy("anchor")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .select("anchor", F.lit(True).alias("hit")),
+        "repeated-anchors",
     )
-    found = staged(every.join(_if_small(again, again.count()), "anchor", "left_semi"), "contexts")
+    found = every.join(_if_small(again, again.count()), "anchor", "left").filter("hit or anchor is null").drop("hit")
+    found = staged(found, "contexts")
+    own = found.filter("anchor is null").select("id", "start", (F.col("start") + F.col("windows")).alias("stop"))
+    found = found.filter("anchor is not null")
     passages = staged(
         found.groupBy("anchor", "context").agg(
             F.min(F.struct("id", "start")).alias("f"), F.first("windows").alias("windows")
@@ -302,7 +333,7 @@ def repeated_spans(
     crowded = single.join(firsts, ["h1", "h2", "id", "start"], "left_anti").select(
         "id", "start", (F.col("start") + 1).alias("stop")
     )
-    ranges = copies.unionByName(hits).unionByName(crowded)
+    ranges = own.unionByName(copies).unionByName(hits).unionByName(crowded)
     spans = ranges.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("r"))
     return staged(spans.select("id", _merged(F.col("r"), window).alias("s")).select("id", "s.*"), "repeated-spans")
 
@@ -315,8 +346,8 @@ def _kept(words: list[bytes], starts, stops) -> list[bytes]:
     return out + words[at:]
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str) -> DataFrame:
-    """``docs`` with a column of its spans, whatever columns it has."""
+def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """``docs`` with a column of its spans, whatever columns it has, and its name."""
     size = spans.agg(F.sum(F.size("starts"))).first()[0] or 0
     name = fresh_name(docs, "spans")
     key = fresh_name(docs, "span_id")
