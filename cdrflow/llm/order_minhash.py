@@ -15,7 +15,10 @@ both sorts are over plain longs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import json
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdrflow.llm.common import let
@@ -26,6 +29,7 @@ _CELL_BITS = 5
 _POSITION_BITS = 24
 _POSITION = (1 << _POSITION_BITS) - 1
 EMPTY = "-" * 8
+MAX_RANGES = 20_000  # ranges of ids, each ordered by one task (which can spill)
 
 
 def _packed(hashed: Column, position: Column) -> Column:
@@ -127,6 +131,34 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
+def _constant(value, kind: str) -> Column:
+    """A literal that stays one node of the plan, however long it is."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _cuts(rows: DataFrame, buckets: int) -> list[int]:
+    """At most ``buckets`` - 1 ids that cut the rows into ranges of like size."""
+    shares = [k / buckets for k in range(1, buckets)]
+    if not shares:
+        return []
+    # Errors of a tenth of a range do no harm.
+    found = F.percentile_approx("id", _constant(shares, "array<double>"), max(10_000, 10 * buckets))
+    return sorted(set(rows.agg(found.alias("c")).first()["c"] or []))
+
+
+def _range_number(id_: Column, cuts: list[int]) -> Column:
+    """How many cuts are not above the id, by a look-up in two levels; 0 for null."""
+    if not cuts:
+        return F.lit(0)
+    width = math.isqrt(len(cuts)) + 1
+    groups = [cuts[k : k + width] for k in range(0, len(cuts), width)]
+    heads, parts = _constant([g[0] for g in groups], "array<bigint>"), _constant(groups, "array<array<bigint>>")
+    below = lambda bounds: F.size(F.filter(bounds, lambda c: c <= id_))
+    group = below(heads)
+    number = F.when(group == 0, 0).otherwise((group - 1) * width + below(F.get(parts, group - 1)))
+    return F.when(id_.isNull(), 0).otherwise(number)
+
+
 def with_next(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, fp, next_text, next_fp) in ascending order of (id, text), the
     last row followed by the first; null texts are empty, null ids come first.
@@ -138,14 +170,7 @@ def with_next(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: s
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    cuts = rows.agg(
-        F.percentile_approx("id", [k / buckets for k in range(1, buckets)], 100 * buckets).alias("c")
-    ).first()["c"]
-    cuts = sorted(set(cuts or []))
-    ranges = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<long>")
-    bucket = F.coalesce(F.size(F.filter(ranges, lambda c: c <= F.col("id"))), F.lit(0))
-    bucket = F.when(F.col("id").isNull(), 0).otherwise(bucket)
-    rows = rows.withColumn("bucket", bucket)
+    rows = rows.withColumn("bucket", _range_number(F.col("id"), _cuts(rows, buckets)))
     firsts = rows.groupBy("bucket").agg(F.min(F.struct("id", "text")).alias("f"))
     order = Window.orderBy("bucket")  # one row per range
     guards = firsts.select(
@@ -178,7 +203,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     ignored; an empty table gives an empty result.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    rows = with_next(docs, 3 * parts, id_col, text_col).withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    rows = with_next(docs, min(3 * parts, MAX_RANGES), id_col, text_col).withColumn("edited", edited(F.col("text"), F.col("next_text")))
     marked = rows.withColumn("edited_fp", fingerprint(F.col("edited")))
     return marked.select(
         F.col("id").alias(id_col),

@@ -172,6 +172,16 @@ def test_fingerprints_of_tables(docs, sf_docs, no_docs):
     assert order_minhash.fingerprint_documents(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("ranges", [1, 2, 7, 300])
+def test_next_document_at_every_number_of_ranges(spark, docs, ranges):
+    rng = random.Random(ranges)
+    ids = rng.sample(range(-50, 10**12), 90) + [7, 7, 7]
+    table = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id long, text string").repartition(5)
+    got = Counter((r["id"], r["text"], r["next_text"]) for r in order_minhash.with_next(table, ranges).collect())
+    ordered = sorted((r["doc_id"], r["text"]) for r in table.collect())
+    assert got == Counter((i, t, ordered[(k + 1) % len(ordered)][1]) for k, (i, t) in enumerate(ordered))
+
+
 def test_likeness_falls_with_edit_distance(spark):
     from pyspark.sql import functions as F
 
