@@ -10,13 +10,18 @@ are gathered over the host's pages:
   it (a text that every page repeats scores 0, one that one page has scores 1).
 
 A node's importance blends the two as in the style-tree literature, with the
-content below it weighted by ``DECAY`` to the number of styles.  Branches of low
-importance are removed from each page, highest node first.  Semantic markup is
-a fixed prior: navigation, headers, footers, asides, forms, scripts and elements
-that are named as advert, notice, menu or comments have importance 0, and the
-article or main element has importance 1, so an article that several pages
-of a host repeat is kept.  The tree speaks about a host only from ``MIN_PAGES``
-pages on, as entropies of a few pages say nothing.
+content below it weighted by ``DECAY`` to the number of styles.  Entropies of a
+few pages say little, so the figure is a weighted mean of the importance and a
+prior: the importance counts as pages - 1 observations, the prior as
+``PRIOR_PAGES``.  Inside an article or main element, and for what holds one, the
+prior is 1, elsewhere ``PRIOR``.  Branches of low figures are removed from each
+page, highest node first, but only where the text around them differs between
+pages (``own`` of the article or main element, else of the whole host): an
+article or a page that several pages of a host repeat is kept whole.
+
+Semantic markup is decided before: navigation, headers, footers, asides, forms,
+scripts and elements that are named as advert, notice, menu or comments are
+removed, and the article or main element itself is not.
 
 The tree never exists in one place: (host, node, style or text) counts are
 shuffled and aggregated as rows, and only the removed nodes come back.
@@ -38,7 +43,8 @@ from cdrflow.llm.url_filters import url_host
 
 DECAY = 0.9
 LOW = 0.2
-MIN_PAGES = 8
+PRIOR = 0.5
+PRIOR_PAGES = 1.0
 MAX_DEPTH = 256  # elements nested deeper belong to the node at this depth; their text is kept
 
 _TOKEN = re.compile(
@@ -94,7 +100,7 @@ _ROLES = frozenset(
 class _Element:
     __slots__ = ("tag", "node", "noise", "kept", "styles", "path")
 
-    def __init__(self, tag: str, node: int, noise: bool, kept: bool, path: tuple[int, ...]):
+    def __init__(self, tag: str, node: int, noise: bool, kept: int, path: tuple[int, ...]):
         self.tag, self.node, self.noise, self.kept, self.path = tag, node, noise, kept, path
         self.styles = 0
 
@@ -131,12 +137,14 @@ def _signature(tag: str, attributes: str) -> str:
 class Page:
     """Blocks of a page: (path of nodes, decoded text), without the branches that the priors remove.
 
-    ``styles`` has (path, style) of every element outside those branches.
+    ``styles`` has (path, style) of every element outside those branches, and
+    ``kept`` the depth of the innermost article or main element on a path, 0 without one.
     """
 
     def __init__(self, html: str | None, removed: frozenset[int] = frozenset()):
         self.blocks: list[tuple[tuple[int, ...], str]] = []
         self.styles: list[tuple[tuple[int, ...], int]] = []
+        self.kept: dict[tuple[int, ...], int] = {}
         self._text: list[str] = []
         self._at: tuple[int, ...] = ()
         if html:
@@ -150,7 +158,7 @@ class Page:
             self._text.clear()
 
     def _read(self, html: str, removed: frozenset[int]) -> None:
-        root = _Element("#root", 0, False, False, ())
+        root = _Element("#root", 0, False, 0, ())
         stack = [root]
         hidden = 0  # open elements that are removed
         raw = ""
@@ -218,9 +226,12 @@ class Page:
                     if tag in _VOID:
                         continue
                 node = crc32(_signature(tag, attributes).encode(), up.node)
-                kept = up.kept or tag in _KEPT
                 path = up.path if tag in _INLINE or len(up.path) >= MAX_DEPTH else (*up.path, node)
-                noise = hidden == 0 and (_is_noise(tag, attributes, up.kept) or node in removed and not kept and tag not in _FRAME)
+                kept = len(path) if tag in _KEPT and path is not up.path else up.kept
+                self.kept[path] = kept
+                noise = hidden == 0 and (
+                    _is_noise(tag, attributes, up.kept > 0) or node in removed and tag not in _KEPT and tag not in _FRAME
+                )
                 up.styles = crc32(tag.encode(), up.styles)
                 if tag in _RAW and not attributes.endswith("/"):
                     raw = tag
@@ -249,12 +260,13 @@ def _signed(x: int) -> int:
     return x - (1 << 31)
 
 
-_ROWS = "array<struct<path:array<int>,feature:int,content:boolean>>"
+_ROWS = "array<struct<path:array<int>,feature:int,content:boolean,chars:int,kept:int>>"
 
 
 def style_rows(pages: DataFrame, host: str = "host", html: str = "html") -> DataFrame:
-    """(host, path, feature, content, n): how often each style (content false) and
-    each text (content true) stands at each node of the host's tree.
+    """(host, path, feature, content, chars, kept, n): how often each style (content
+    false) and each text (content true, with its length) stands at each node of
+    the host's tree; ``kept`` as in ``Page``.
 
     Texts and styles are hashed to 32 bits: a collision shifts an entropy by
     one count, it removes nothing by itself.
@@ -265,10 +277,11 @@ def style_rows(pages: DataFrame, host: str = "host", html: str = "html") -> Data
             out = []
             for h in pages_:
                 page = Page(h)
-                found = {(p, s, False) for p, s in page.styles if p}
-                found |= {(p, crc32(t.encode()), True) for p, t in page.blocks if p}
+                found = {(p, s, False): 0 for p, s in page.styles if p}
+                found |= {(p, crc32(t.encode()), True): len(t) for p, t in page.blocks if p}
                 out.append([
-                    {"path": [_signed(x) for x in p], "feature": _signed(f), "content": c} for p, f, c in found
+                    {"path": [_signed(x) for x in p], "feature": _signed(f), "content": c, "chars": n, "kept": page.kept.get(p, 0)}
+                    for (p, f, c), n in found.items()
                 ])
             yield pd.Series(out, dtype=object)
 
@@ -277,16 +290,17 @@ def style_rows(pages: DataFrame, host: str = "host", html: str = "html") -> Data
         pages.select(host, F.explode(made).alias("r"))
         .select(host, "r.*")
         .groupBy(host, "path", "feature", "content")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.max("chars").alias("chars"), F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     )
 
 
-def removed_nodes(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
+def removed_nodes(pages: DataFrame, low: float = LOW) -> DataFrame:
     """(host, removed): nodes of low importance, for hosts that have any.
 
     ``pages``: (host, html).
     """
-    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
+    # One page has no entropy: its importance has the weight 0, and no prior is low.
+    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") > 1)
     rows = staged(style_rows(pages), "style-rows")
     m = F.log(F.col("pages").cast("double"))
     # Entropy of styles within a node: H = log N - sum(n log n) / N, in units of log(pages).
@@ -294,32 +308,65 @@ def removed_nodes(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES
     shape = (
         rows.filter(~F.col("content"))
         .groupBy("host", "path")
-        .agg(F.sum(n).alias("total"), F.sum(n * F.log(n)).alias("nlogn"), F.count(F.lit(1)).alias("styles"))
+        .agg(
+            F.sum(n).alias("total"),
+            F.sum(n * F.log(n)).alias("nlogn"),
+            F.count(F.lit(1)).alias("styles"),
+            F.max("kept").alias("kept"),
+        )
     )
     # A text that n pages repeat is spread evenly over them: entropy log n.
+    sums = ("spread", "texts", "char_spread", "chars")
     texts = (
         rows.filter("content")
         .groupBy("host", "path")
-        .agg(F.sum(n * F.log(n)).alias("spread"), F.sum(n).alias("texts"))
+        .agg(
+            F.sum(n * F.log(n)).alias("spread"),
+            F.sum(n).alias("texts"),
+            F.sum(F.col("chars") * n * F.log(n)).alias("char_spread"),
+            F.sum(F.col("chars") * n).alias("chars"),
+            F.max("kept").alias("below"),
+        )
     )
+    # At every node above a text and, as the empty path, over the whole host.
     spread = (
-        texts.select("host", F.col("path"), "spread", "texts", F.explode(F.sequence(F.lit(1), F.size("path"))).alias("d"))
+        texts.select("*", F.explode(F.sequence(F.lit(0), F.size("path"))).alias("d"))
         .groupBy("host", F.slice("path", F.lit(1), F.col("d")).alias("path"))
-        .agg(F.sum("spread").alias("spread"), F.sum("texts").alias("texts"))
+        .agg(*(F.sum(c).alias(c) for c in sums), F.max("below").alias("below"))
     )
-    nodes = shape.join(spread, ["host", "path"]).join(sizes, "host")
+    spread = staged(spread, "style-spread")
+    depth = F.size("path")
+    nodes = shape.join(spread, ["host", "path"]).join(sizes, "host").filter(F.col("kept") < depth)
     presentation = (F.log("total") - F.col("nlogn") / F.col("total")) / m
     content = 1 - F.col("spread") / F.col("texts") / m
     below = F.pow(F.lit(DECAY), F.col("styles"))
     importance = (1 - below) * presentation + below * content
+    holds = F.col("below") >= depth
+    prior = F.when(holds | (F.col("kept") > 0), 1.0).otherwise(PRIOR)
+    seen = F.col("pages") - 1
+    figure = (seen * importance + PRIOR_PAGES * prior) / (seen + PRIOR_PAGES)
+    around = spread.select(
+        "host",
+        F.col("path").alias("around"),
+        F.col("below").alias("host_kept"),
+        F.col("char_spread"),
+        F.col("chars"),
+    )
+    low_nodes = nodes.filter(figure < low).select(
+        "host", "path", "pages", "kept", holds.alias("holds"), F.slice("path", F.lit(1), F.col("kept")).alias("around")
+    )
+    # The share of the text around, by characters, that is not spread over pages.
+    own = 1 - F.col("char_spread") / F.col("chars") / m
+    article_beside = (F.col("kept") == 0) & (F.col("host_kept") > 0) & ~F.col("holds")
     return (
-        nodes.filter(importance < low)
+        low_nodes.join(around, ["host", "around"])
+        .filter((own >= low) | article_beside)
         .groupBy("host")
         .agg(F.collect_set(F.element_at("path", -1)).alias("removed"))
     )
 
 
-def extract_pages(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract_pages(pages: DataFrame, low: float = LOW) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages``.
 
     Null and empty html and pages without text give the empty text.  Pages
@@ -327,7 +374,7 @@ def extract_pages(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES
     one by one.  Other columns are ignored.
     """
     read = pages.select("page_id", "url", "html", url_host(F.col("url")).alias("host"))
-    removed = staged(removed_nodes(read.filter("host <> ''").select("host", "html"), low, min_pages), "removed-nodes")
+    removed = staged(removed_nodes(read.filter("host <> ''").select("host", "html"), low), "removed-nodes")
 
     def texts(series: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for html, gone in series:

@@ -268,6 +268,36 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert style_tree.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_style_tree_of_small_hosts_and_inside_articles(spark):
+    rng = random.Random(16)
+    words = lambda n: " ".join("".join(rng.choice(string.ascii_lowercase) for _ in range(5)) for _ in range(n))
+    rows = []
+
+    def host(name, pages, html, want):
+        for _ in range(pages):
+            own = words(20)
+            rows.append((len(rows), f"http://{name}.example/x", html.format(own=own), "h", want.format(own=own), "r"))
+
+    strip = '<div class="strip"><p>Home</p></div>'
+    for pages in range(3, 9):
+        host(f"small{pages}", pages, strip + '<div class="story"><p>{own}</p></div>', "{own}")
+    for pages in (1, 2):  # the prior still weighs more
+        host(f"few{pages}", pages, strip + '<div class="story"><p>{own}</p></div>', "Home\n{own}")
+    box = '<div class="box"><p>Written by our team</p></div>'
+    for tag in ("article", "main"):
+        host(f"in-{tag}", 12, f"<{tag}>{box}<p>{{own}}</p></{tag}>", "{own}")
+        host(f"in-{tag}-few", 4, f"<{tag}>{box}<p>{{own}}</p></{tag}>", "Written by our team\n{own}")
+    # Copies of one text are no boilerplate, also with a box in them or a strip around them.
+    copy = "the same long article on every page of this host and much longer than its date"
+    host("copies", 12, f"<article>{box}<p>{copy}</p></article>", f"Written by our team\n{copy}")
+    host("wrapped", 12, f"{strip}<div class='x'><article><p>{copy}</p></article></div>", copy)
+    host("plain", 12, f"{strip}<div class='x'><p>{copy}</p></div>", f"Home\n{copy}")
+    pages = spark.createDataFrame(rows, PAGES)
+    got = {r["page_id"]: r["text"] for r in style_tree.extract_pages(pages).collect()}
+    wrong = {(r[1], got[r[0]], r[4]) for r in rows if got[r[0]] != r[4]}
+    assert not wrong
+
+
 @pytest.mark.parametrize(
     "url, host, path, rule",
     [
