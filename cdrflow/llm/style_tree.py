@@ -21,7 +21,9 @@ article or a page that several pages of a host repeat is kept whole.
 
 Semantic markup is decided before: navigation, headers, footers, asides, forms,
 scripts and elements that are named as advert, notice, menu or comments are
-removed, and the article or main element itself is not.
+removed, and the article or main element itself is not.  A name, a role or a
+form says nothing about an element that holds an article or main element: that
+is a wrapper of the layout, and left to the tree.
 
 The tree never exists in one place: (host, node, style or text) counts are
 shuffled and aggregated as rows, and only the removed nodes come back.
@@ -54,7 +56,8 @@ _TOKEN = re.compile(
     r"|[^<]+|<",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-label)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# Names with their values, so that no word of a value is read as a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
@@ -64,6 +67,7 @@ _DROPPED = frozenset(
 )
 _KEPT = frozenset(("article", "main"))
 _FRAME = frozenset(("html", "body"))
+_WRAPPING = frozenset(("form", "fieldset"))  # dropped unless they hold an article or main element
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
@@ -84,44 +88,51 @@ _SIBLINGS = {
     "option": (("option",), ("select", "datalist")),
 }
 _NAMED = re.compile(
-    r"(?:^|[-_])(?:ads?|advert(?:s|isements?|ising)?|adsense|banner|sponsor(?:ed|s)?|promo(?:s|tions?)?|"
+    r"(?!(?:no|has|with|without)[-_]|related[-_]works?$)(?:^|.*?[-_])(?:ads?|advert(?:s|isements?|ising)?|adsense|banner|sponsor(?:ed|s)?|promo(?:s|tions?)?|"
     r"nav(?:bar|igation)?|menus?|breadcrumbs?|sidebars?|masthead|topbar|footer|bottombar|"
     r"cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|"
     r"comments?|disqus|replies|share|sharing|social|related|recommended|widgets?|"
     r"skip|pagination|pager|toolbar|copyright|disclaimer|search(?:box|form)?)(?:$|[-_\d])",
     re.I,
 )
-_NAMED_HEADER = re.compile(r"(?:^|[-_])header(?:$|[-_\d])", re.I)  # only outside the article
+_NAMED_HEADER = re.compile(r"(?!(?:no|has|with|without)[-_])(?:^|.*?[-_])header(?:$|[-_\d])", re.I)  # only outside the article
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
 )
 
 
 class _Element:
-    __slots__ = ("tag", "node", "noise", "kept", "styles", "path")
+    __slots__ = ("tag", "node", "noise", "kept", "styles", "path", "doubt")
 
     def __init__(self, tag: str, node: int, noise: bool, kept: int, path: tuple[int, ...]):
         self.tag, self.node, self.noise, self.kept, self.path = tag, node, noise, kept, path
         self.styles = 0
+        self.doubt: tuple | None = None  # the page as it was before, which comes back if it holds no article
 
 
-def _is_noise(tag: str, attributes: str, inside_kept: bool) -> bool:
-    if tag in _DROPPED:
-        return True
+def _is_noise(tag: str, attributes: str, inside_kept: bool) -> str:
+    """"always", "unless it holds an article" or the empty text."""
+    noise = ""
+    if tag in _WRAPPING:
+        noise = "unless it holds an article"
+    elif tag in _DROPPED:
+        return "always"
     if tag == "header" and not inside_kept:
-        return True
+        return "always"
     if not attributes:
-        return False
+        return noise
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "role" and value.lower() in _ROLES:
-            return True
+        if name == "hidden":
+            return "always"
+        if name == "role" and value.lower() in _ROLES:
+            noise = "unless it holds an article"
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            if any(_NAMED.search(part) for part in value.split()):
-                return True
-            if not inside_kept and any(map(_NAMED_HEADER.search, value.split())):
-                return True
-    return False
+            if any(map(_NAMED.match, value.split())):
+                noise = "unless it holds an article"
+            if not inside_kept and any(map(_NAMED_HEADER.match, value.split())):
+                noise = "unless it holds an article"
+    return noise
 
 
 def _signature(tag: str, attributes: str) -> str:
@@ -169,6 +180,9 @@ class Page:
                 gone = stack.pop()
                 if gone.noise:
                     hidden -= 1
+                elif gone.doubt is not None:
+                    blocks, styles, self._text, self._at = gone.doubt
+                    del self.blocks[blocks:], self.styles[styles:]
                 elif not hidden:
                     self.styles.append((gone.path, gone.styles))
 
@@ -229,9 +243,13 @@ class Page:
                 path = up.path if tag in _INLINE or len(up.path) >= MAX_DEPTH else (*up.path, node)
                 kept = len(path) if tag in _KEPT and path is not up.path else up.kept
                 self.kept[path] = kept
-                noise = hidden == 0 and (
-                    _is_noise(tag, attributes, up.kept > 0) or node in removed and tag not in _KEPT and tag not in _FRAME
+                named = "" if hidden else _is_noise(tag, attributes, up.kept > 0)
+                noise = named == "always" or (
+                    hidden == 0 and node in removed and tag not in _KEPT and tag not in _FRAME
                 )
+                if tag in _KEPT and not hidden and not noise:
+                    for e in stack:
+                        e.doubt = None
                 up.styles = crc32(tag.encode(), up.styles)
                 if tag in _RAW and not attributes.endswith("/"):
                     raw = tag
@@ -242,6 +260,8 @@ class Page:
                 stack.append(_Element(tag, path[-1] if path else node, noise, kept, path))
                 if noise:
                     hidden += 1
+                elif named and tag not in _KEPT:
+                    stack[-1].doubt = len(self.blocks), len(self.styles), list(self._text), self._at
             elif piece[0] != "<" or piece == "<":
                 if not hidden:
                     if not self._text:

@@ -233,6 +233,30 @@ def test_blocks_of_one_page():
     assert style_tree.Page(deep).text == "in\nout"
 
 
+@pytest.mark.parametrize(
+    "attributes",
+    ['style="overflow:hidden"', 'title="the hidden truth"', "data-state='hidden'", 'data-x="a class=ad b"']
+    + [f'class="{c}"' for c in ("content-sidebar-wrap", "with-sidebar", "has-banner", "no-comments", "related-work", "x-header")]
+    + ['role="form"'],
+)
+def test_names_drop_no_article(attributes):
+    for tag in ("article", "main"):
+        page = f"<div {attributes}><p>lead</p><div class='sidebar'>s</div><{tag}>text</{tag}></div><div class='ad'>buy</div>end"
+        assert style_tree.Page(page).text == "lead\ntext\nend"
+        assert style_tree.Page(f"<{tag} {attributes}>text</{tag}>").text == "text"
+        assert style_tree.Page(f"<{tag} {attributes} hidden>text</{tag}>end").text == "end"
+    assert style_tree.Page(f"<form><div {attributes}><article>text</article></div><input></form>").text == "text"
+
+
+def test_names_drop_what_holds_no_article():
+    html = "<p>a <span class='ad'>buy</span> b</p><div class='sidebar'><form>f</form><p>s</div><article>t</article><form>f</form>"
+    page = style_tree.Page(html)
+    assert page.text == "a b\nt"
+    assert len(page.styles) == 2
+    assert style_tree.Page("<div hidden><article>t</article></div><nav><article>t</article></nav>end").text == "end"
+    assert style_tree.Page("<div class='no-comments'>a</div><section id='related-work'>b</section>").text == "a\nb"
+
+
 def test_articles_of_the_pages_table(spark):
     import html as h
 
