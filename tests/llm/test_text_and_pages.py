@@ -128,6 +128,29 @@ def test_random_tokens_are_found_and_words_are_not():
         assert not secret_scan.secret_spans(words)
 
 
+@pytest.mark.parametrize(
+    "name, length, alone, of_100",
+    [
+        ("decimal", 48, 0.9, 0.0), ("decimal", 64, 0.9, 0.9), ("hex", 16, 0.8, 0.6), ("hex", 32, 0.9, 0.9),
+        ("upper hex", 32, 0.9, 0.9), ("lower", 32, 0.8, 0.6), ("upper", 64, 0.9, 0.9), ("base32", 32, 0.9, 0.85),
+        ("base32", 64, 0.9, 0.9), ("base36", 32, 0.9, 0.85), ("base62", 16, 0.8, 0.55), ("base64", 24, 0.9, 0.85),
+    ],
+)
+def test_recall_by_encoding_length_and_document(name, length, alone, of_100):
+    rng = random.Random(length)
+    chars = dict(secret_scan.ALPHABETS)[name]
+    text = "internationalisationerheitchieschermentouletionandverdieein" * 3
+    words = [text[k % 40 :][:length] for k in range(99)]
+    for others, least in (([], alone), (words, of_100)):
+        hits = 0
+        for _ in range(100):
+            token = "".join(rng.choices(chars, k=length))
+            found = secret_scan.discoveries([token, *others])
+            hits += found[0] and secret_scan.battery_p(token) >= secret_scan.BATTERY_ALPHA
+            assert not any(found[1:])
+        assert hits >= 100 * least
+
+
 def test_battery_rejects_structure():
     rng = random.Random(8)
     p = [secret_scan.battery_p("".join(rng.choices("0123456789abcdef", k=64))) for _ in range(400)]
