@@ -87,8 +87,8 @@ def personalised_pagerank(
     """(host, mass) of a random walk that restarts at the seeds.
 
     ``edges``: (src, dst, weight); ``seeds``: (host, seed) with seeds that sum
-    to 1.  Mass that reaches a host without out-links returns to the seeds
-    at the next restart.  The rank table has one row per host; it is written
+    to 1.  Mass that reaches a host without out-links is lost, so the sum is
+    below 1; ``shares_of`` makes up for it.  The rank table has one row per host; it is written
     every ``cut_every`` rounds, which keeps the plan short and gives a lost
     executor little to recompute.
     """
@@ -108,6 +108,16 @@ def personalised_pagerank(
     return rank
 
 
+def shares_of(rank: DataFrame) -> DataFrame:
+    """``rank`` with masses that sum to 1.
+
+    Lost mass that returns to the seeds is moved on like the seeds' own, which
+    in the limit scales all masses alike, so scaling them is the same.
+    """
+    sums = rank.agg(F.sum("mass").alias("mass")).first()
+    return rank.withColumn("mass", F.col("mass") / F.lit(sums["mass"] or 1.0))
+
+
 def host_verdicts(
     edges: DataFrame, seeds: DataFrame, damping: float = 0.85, iterations: int = 20, margin: float = 0.0
 ) -> DataFrame:
@@ -127,8 +137,8 @@ def host_verdicts(
         distrust = blocked.select("host", F.col("seed").alias("distrust"))
     else:
         reverse = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-        trust = personalised_pagerank(edges, trusted, damping, iterations).withColumnRenamed("mass", "trust")
-        distrust = personalised_pagerank(reverse, blocked, damping, iterations).withColumnRenamed("mass", "distrust")
+        trust = shares_of(personalised_pagerank(edges, trusted, damping, iterations)).withColumnRenamed("mass", "trust")
+        distrust = shares_of(personalised_pagerank(reverse, blocked, damping, iterations)).withColumnRenamed("mass", "distrust")
     both = trust.join(distrust, "host", "full").fillna(0.0, ["trust", "distrust"])
     bad = F.col("distrust") > F.col("trust") + margin
     return both.withColumn("host_verdict", F.when(bad, F.lit("block")).otherwise(F.lit("allow")))

@@ -399,6 +399,17 @@ def test_pagerank_equals_plain_iteration(spark):
     assert got.keys() == want.keys() and all(math.isclose(got[h], want[h], rel_tol=1e-9) for h in want)
 
 
+def test_lost_mass_does_not_turn_a_verdict(spark):
+    # Trust is lost at d and b, distrust stays in the circle of c and e.
+    edges = [("t", "x", 4.0), ("t", "d", 6.0), ("x", "b", 1.0), ("c", "b", 1.0), ("c", "e", 1.0), ("e", "c", 1.0)]
+    verdicts = url_filters.host_verdicts(
+        spark.createDataFrame(edges, "src string, dst string, weight double"),
+        spark.createDataFrame([("t", 1.0, 0.0), ("b", 0.0, 1.0)], "host string, trusted double, blocked double"),
+    ).collect()
+    assert math.isclose(sum(r["trust"] for r in verdicts), 1) and math.isclose(sum(r["distrust"] for r in verdicts), 1)
+    assert {r["host"]: r["host_verdict"] for r in verdicts}["x"] == "allow"
+
+
 def test_verdicts_follow_the_links(spark):
     link = lambda *hosts: "".join(f'<a href="http://{h}/x">l</a>' for h in hosts)
     rows = [
