@@ -42,10 +42,11 @@ def stream_id_of(spark: SparkSession, checkpoint: str) -> str:
 def new_records(out: DataFrame, out_path: str, stream: str, epoch_id: int) -> DataFrame:
     """``out`` without records that the store already holds from an earlier batch.
 
-    Each record keeps its first delivery.  Only the folders of the batch's own
-    months and its range of event times are read (row groups outside are skipped
-    by their statistics), because a re-sent record has its old event time.
-    Nothing is dropped for being late.  Partitions of this epoch and later ones of
+    Each record keeps its first delivery.  A record_ID is looked up in the whole
+    store, as a re-sent record may have another event time; that reads one
+    column.  Records without one are equal in all columns, so of these only the
+    folders of the batch's own months and its range of event times are read (row
+    groups outside are skipped by their statistics).  Nothing is dropped for being late.  Partitions of this epoch and later ones of
     the stream are left aside, so a replayed epoch decides as it did before.
     """
     first = dedup_records(out, "record_ID", "batch_id")
@@ -53,7 +54,13 @@ def new_records(out: DataFrame, out_path: str, stream: str, epoch_id: int) -> Da
     stored = read_mediated(out.sparkSession, out_path)
     near = F.col("event_month").isin(span[2]) & F.col("timestamp").between(F.lit(span[0]), F.lit(span[1]))
     own = (F.col("stream_id") == stream) & (F.col("batch_id") >= epoch_id)
-    return absent_from(first, stored.filter(near & ~own), "record_ID", MEDIATED_COLUMNS)
+    keyed = F.col("record_ID").isNotNull()
+    elsewhere = stored.filter(~own)
+    ids = elsewhere.filter(keyed).select(
+        *(F.col(c) if c == "record_ID" else F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in MEDIATED_COLUMNS)
+    )
+    whole = elsewhere.filter(near & ~keyed).select(*MEDIATED_COLUMNS)
+    return absent_from(first, ids.unionByName(whole), "record_ID", MEDIATED_COLUMNS)
 
 
 def mediation_batch_writer(

@@ -109,6 +109,17 @@ def test_stream_dedup_drops_replays_and_nothing_else(spark, tmp_dir):
     assert sorted(map(repr, again)) == sorted(map(repr, stored)) and stream == mediation_stream.stream_id_of(spark, ckpt)
 
 
+def test_stream_dedup_drops_a_record_sent_again_with_another_time(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    _write_json(src, "f1.json", [_rec(1, "2024-03-09T10:00:00"), _rec(2, "2024-03-09T10:00:00")])
+    _run(spark, src, out, ckpt, dedup=True)
+    # The same month an hour later, another month, and a new record.
+    _write_json(src, "f2.json", [_rec(1, "2024-03-09T11:00:00"), _rec(2, "2024-02-09T10:00:00"), _rec(3, "2024-03-09T11:30:00")])
+    _run(spark, src, out, ckpt, dedup=True)
+    stored = files.read_mediated(spark, out).collect()
+    assert sorted((r.record_ID, r.batch_id) for r in stored) == [("r1", 0), ("r2", 0), ("r3", 1)]
+
+
 def test_second_checkpoint_on_the_same_folder_loses_nothing(spark, tmp_dir):
     out = f"{tmp_dir}/out"
     for name, ids in (("a", (1, 2)), ("b", (3,))):
