@@ -228,6 +228,22 @@ def test_likeness_falls_with_edit_distance(spark):
     assert 0.3 < means["moved"] < 0.8 and means["other"] < 0.02
 
 
+def test_likeness_of_short_texts_with_swapped_halves(spark):
+    # The README's figures of the one-permutation sketch: short texts keep little of their order.
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    rows = []
+    for words, expected in ((12, 0.44), (32, 0.55), (64, 0.53)):
+        for _ in range(60):
+            a = ["".join(rng.choice(string.ascii_lowercase) for _ in range(6)) for _ in range(words)]
+            rows.append((expected, " ".join(a), " ".join(a[words // 2 :] + a[: words // 2])))
+    df = spark.createDataFrame(rows, "expected double, a string, b string")
+    like = order_minhash.likeness(order_minhash.fingerprint(F.col("a")), order_minhash.fingerprint(F.col("b")))
+    for r in df.select("expected", like.alias("like")).groupBy("expected").agg(F.avg("like").alias("like")).collect():
+        assert abs(r["like"] - r["expected"]) < 0.08
+
+
 def test_repeated_kmers_are_numbered(spark):
     from pyspark.sql import functions as F
 
