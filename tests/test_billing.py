@@ -9,7 +9,7 @@ from cdrflow.operators import billing, reports
 from cdrflow.params import FIXTURE_PARAMS, Params
 from cdrflow.plans.stages import fixture_stages
 from cdrflow.schemas import RATED, SUBSCRIPTIONS
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def _rated(spark, rows):

@@ -6,7 +6,7 @@ from cdrflow.cli import main
 from cdrflow.params import FIXTURE_MONTHS
 from cdrflow.sources.cdr_json import write_cdr_messages
 from cdrflow.sources.fixtures import fixture_cdrs, fixture_subscribers
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def test_stages_via_cli(spark, tmp_dir):

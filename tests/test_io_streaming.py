@@ -12,7 +12,7 @@ from cdrflow.sources import files
 from cdrflow.sources.cdr_json import decode_cdr, write_cdr_messages
 from cdrflow.sources.fixtures import fixture_cdrs
 from cdrflow.streaming import run_until_done, start_mediation_stream
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def test_dynamic_overwrite_keeps_other_months(spark, tmp_dir):

@@ -8,7 +8,7 @@ from cdrflow import schemas
 from cdrflow.operators import mediation
 from cdrflow.sources.cdr_json import decode_cdr, encode_cdr
 from cdrflow.sources.fixtures import fixture_cdrs
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 AS_OF = dt.date(2024, 1, 2)
 

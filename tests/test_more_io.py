@@ -11,7 +11,7 @@ from cdrflow.plans.stages import fixture_stages, run_batch
 from cdrflow.sources import dims, files
 from cdrflow.sources.cdr_json import decode_cdr, encode_cdr
 from cdrflow.sources.fixtures import fixture_cdrs
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def test_read_dim_over_jdbc_casts_tariffs(spark):

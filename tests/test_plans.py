@@ -6,7 +6,7 @@ from cdrflow.operators import mediation
 from cdrflow.params import FIXTURE_PARAMS
 from cdrflow.plans.stages import fixture_stages
 from cdrflow.sources.cdr_json import read_cdr_stream
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def _plan(df):

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from cdrflow.plans.queries import QUERIES
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "events"]
 ORACLE = {k: v for k, v in entry.oracle_sql().items() if k in QUERIES}

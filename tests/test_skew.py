@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cdrflow.operators import billing, dedup, rating
 from cdrflow.params import FIXTURE_PARAMS
 from cdrflow.plans.stages import fixture_stages
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 HOT = "212600000007"
 
