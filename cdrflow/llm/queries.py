@@ -16,6 +16,7 @@ from cdrflow.llm.secret_scan import scan_secrets, span_digest
 from cdrflow.llm.sentence_pieces import piece_digests
 from cdrflow.llm.style_tree import extract_pages
 from cdrflow.llm.substring_dedup import dedup_documents
+from cdrflow.llm.token_store import stored_documents
 from cdrflow.llm.url_filters import filter_urls
 
 
@@ -59,6 +60,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES = {
@@ -72,4 +77,5 @@ QUERIES = {
     "op8_cover_tree": op8_cover_tree,
     "op9_order_minhash": op9_order_minhash,
     "op10_url_filters": op10_url_filters,
+    "op12_token_store": op12_token_store,
 }
