@@ -109,9 +109,57 @@ hosts AS (
 SELECT r.page_id, r.host, r.path, r.rule, coalesce(r.verdict, h.verdict, 'allow') AS verdict
 FROM ruled r LEFT JOIN hosts h ON r.host = h.host"""
 
+
+
+def _lloyd_rounds(n: int) -> str:
+    """CTEs of ``n`` rounds over all pairs of a part and an entry, then the last assignment."""
+    steps = []
+    for k in range(n + 1):
+        steps.append(f"""
+found{k} AS MATERIALIZED (
+  SELECT row_id, part, min(struct_pack(d := d, entry := entry)) AS best
+  FROM (SELECT c.row_id, c.part, b.entry, sum((c.v - b.v) * (c.v - b.v)) AS d
+        FROM comps c JOIN book{k} b ON c.part = b.part AND c.pos = b.pos GROUP BY ALL)
+  GROUP BY ALL
+)""")
+        if k < n:
+            steps.append(f"""
+book{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.pos, CASE WHEN m.n IS NULL THEN b.v ELSE (m.s - (((m.s % m.n) + m.n) % m.n)) // m.n END AS v
+  FROM book{k} b LEFT JOIN (
+    SELECT f.part, f.best.entry AS entry, c.pos, CAST(sum(c.v) AS HUGEINT) AS s, CAST(count(*) AS HUGEINT) AS n
+    FROM found{k} f JOIN comps c ON f.row_id = c.row_id AND f.part = c.part GROUP BY ALL
+  ) m ON b.part = m.part AND b.entry = m.entry AND b.pos = m.pos
+)""")
+    return ",".join(steps)
+
+
+_LLOYD = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS row_id, vec_id, label, embedding
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+comps AS MATERIALIZED (
+  SELECT row_id, k // (n // 4) AS part, k % (n // 4) AS pos, CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT) AS v
+  FROM (SELECT row_id, len(embedding) AS n, unnest(range(len(embedding))) AS k, unnest(embedding) AS x FROM kept)
+),
+book0 AS MATERIALIZED (SELECT part, row_id - 1 AS entry, pos, v FROM comps WHERE row_id <= 256),{_lloyd_rounds(4)},
+books AS (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, pos)) AS digest FROM book4),
+coded AS (
+  SELECT row_id, string_agg(printf('%02x', CAST(best.entry AS INTEGER)), '' ORDER BY part) AS code,
+         CAST(sum(best.d) AS BIGINT) AS error
+  FROM found4 GROUP BY row_id
+)
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+       b.digest AS codebooks_sha256
+FROM kept k JOIN coded c ON k.row_id = c.row_id, books b"""
+
 ORACLE_SQL = {
     "op4_substring_dedup": _SUBSTRING.strip(),
     "op5_ngram_join": _JACCARD.strip(),
     "op8_cover_tree": _VECTORS.strip(),
     "op10_url_filters": _URLS.strip(),
+    "op13_cover_lloyd": _LLOYD.strip(),
 }

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cdrflow.llm.common import table
+from cdrflow.llm.cover_lloyd import compressed_vectors
 from cdrflow.llm.cover_tree import near_duplicates
 from cdrflow.llm.fit_packing import pack_documents
 from cdrflow.llm.ngram_join import jaccard_components
@@ -64,6 +65,10 @@ def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_cover_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compressed_vectors(table(spark, sf_dir, "embeddings"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES = {
@@ -78,4 +83,5 @@ QUERIES = {
     "op9_order_minhash": op9_order_minhash,
     "op10_url_filters": op10_url_filters,
     "op12_token_store": op12_token_store,
+    "op13_cover_lloyd": op13_cover_lloyd,
 }
