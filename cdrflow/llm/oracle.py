@@ -110,6 +110,57 @@ SELECT r.page_id, r.host, r.path, r.rule, coalesce(r.verdict, h.verdict, 'allow'
 FROM ruled r LEFT JOIN hosts h ON r.host = h.host"""
 
 
+# The unsigned CRC-32 of a text's UTF-8 bytes: the table of the reflected polynomial, then byte by byte.
+_CRC_TABLE = """
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(CAST(i AS UBIGINT), [CAST(k AS UBIGINT) FOR k IN range(8)]),
+                          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(i))"""
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS UBIGINT),
+                 [CAST('0x' || substr(hex(encode({x})), 2 * k + 1, 2) AS UBIGINT) FOR k IN range(strlen({x}))]),
+    lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS BIGINT)])))"""
+
+_VARIANTS = f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+runs AS (
+  SELECT id, run, count(*) AS times FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           unnest(regexp_extract_all(translate(text, '{_UPPER}', lower('{_UPPER}')), '[A-Za-z\u00C0-\u00FF]+')) AS run
+    FROM documents)
+  GROUP BY ALL
+),
+hashed AS (SELECT run, times, {_CRC.format(x="(id || ':' || run)")} AS h FROM runs, crc),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n
+  FROM (SELECT times, CASE WHEN h % 97 = 0
+          THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+          ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+),
+holes AS MATERIALIZED (
+  SELECT word, n, k, substr(word, 1, k) || substr(word, k + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS k FROM words)
+),
+pairs AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b USING (rest, k) WHERE a.word <> b.word
+  UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON h.rest = w.word
+  UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON h.rest = w.word
+),
+best AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(m := -other_n, w := other)) AS top FROM pairs GROUP BY word
+),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN -b.top.m >= 2 * w.n THEN b.top.w END AS form, CASE WHEN -b.top.m >= 2 * w.n THEN -b.top.m END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+),
+ways AS (
+  SELECT word, word AS at FROM forms UNION ALL SELECT y.word, f.form FROM ways y JOIN forms f ON f.word = y.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, y.at AS root
+FROM forms f JOIN ways y ON y.word = f.word JOIN forms g ON g.word = y.at AND g.form IS NULL"""
+
 
 def _lloyd_rounds(n: int) -> str:
     """CTEs of ``n`` rounds over all pairs of a part and an entry, then the last assignment."""
@@ -161,5 +212,6 @@ ORACLE_SQL = {
     "op5_ngram_join": _JACCARD.strip(),
     "op8_cover_tree": _VECTORS.strip(),
     "op10_url_filters": _URLS.strip(),
+    "op11_gram_variants": _VARIANTS.strip(),
     "op13_cover_lloyd": _LLOYD.strip(),
 }

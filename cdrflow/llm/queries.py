@@ -9,6 +9,7 @@ from cdrflow.llm.common import table
 from cdrflow.llm.cover_lloyd import compressed_vectors
 from cdrflow.llm.cover_tree import near_duplicates
 from cdrflow.llm.fit_packing import pack_documents
+from cdrflow.llm.gram_variants import spelling_variants
 from cdrflow.llm.ngram_join import jaccard_components
 from cdrflow.llm.oracle import ORACLE_SQL
 from cdrflow.llm.order_minhash import fingerprint_documents
@@ -61,6 +62,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -82,6 +87,7 @@ QUERIES = {
     "op8_cover_tree": op8_cover_tree,
     "op9_order_minhash": op9_order_minhash,
     "op10_url_filters": op10_url_filters,
+    "op11_gram_variants": op11_gram_variants,
     "op12_token_store": op12_token_store,
     "op13_cover_lloyd": op13_cover_lloyd,
 }
