@@ -27,7 +27,7 @@ from cdrflow.operators import billing, dedup, rating, reports
 from cdrflow.params import FIXTURE_MONTHS, FIXTURE_PARAMS, Params
 from cdrflow.plans.stages import fixture_stages, run_batch
 from cdrflow.session import apply_runtime_conf, get_session
-from cdrflow.sources import dims, files
+from cdrflow.sources import dims, files, id_index
 from cdrflow.streaming import run_until_done, start_mediation_stream
 
 
@@ -85,7 +85,7 @@ def cmd_stream(spark, a):
         opts[key] = value
     q = start_mediation_stream(
         spark, a.out, a.checkpoint, _params(a), fmt=a.source, source_options=opts, source_path=a.path,
-        available_now=a.available_now, processing_time=a.trigger, dedup=a.dedup,
+        available_now=a.available_now, processing_time=a.trigger, dedup=a.dedup, id_buckets=a.id_buckets,
         on_metrics=lambda epoch, m: print(json.dumps({"batch": epoch, **m}), flush=True),
     )
     run_until_done(q, a.timeout)
@@ -137,6 +137,8 @@ def cmd_report(spark, a):
 def cmd_compact(spark, a):
     from cdrflow import schemas
 
+    if a.table == "ids":  # the index beside the mediated store at --path
+        return id_index.compact_index(spark, a.path)
     table = {
         "mediated": (schemas.MEDIATED_STORED, schemas.MEDIATED_PARTITIONS, "record_ID"),
         "rated": (schemas.storage_schema(schemas.RATED, a.money), ["billing_period"], "record_ID"),
@@ -205,6 +207,8 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--trigger", default=None, help='processing-time trigger, e.g. "10 seconds"')
+    s.add_argument("--id-buckets", type=int, default=id_index.BUCKETS,
+                   help="buckets of a new index of ids (--dedup); more of them for a larger store")
     s.add_argument("--starting-offsets", default="latest",
                    help="where a new Kafka checkpoint starts; latest skips the backlog, earliest reads it")
     s.add_argument("--fail-on-data-loss", action="store_true", help="stop when Kafka has expired unread offsets")
@@ -245,7 +249,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     c = sub.add_parser("compact", help="rewrite selected partitions of a stage table into fewer files")
     common(c)
-    c.add_argument("--table", choices=["mediated", "rated", "invoice"], required=True)
+    c.add_argument("--table", choices=["mediated", "rated", "invoice", "ids"], required=True)
     c.add_argument("--path", required=True)
     c.add_argument("--where", default=None, help='partition predicate, e.g. "batch_id < 1000"')
     c.add_argument("--files-per-partition", type=int, default=1)

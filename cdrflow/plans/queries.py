@@ -21,7 +21,7 @@ from cdrflow.functions.msisdn import is_valid_msisdn
 from cdrflow.operators import billing, dedup, mediation, quality, rating, reports
 from cdrflow.params import FIXTURE_MONTHS, FIXTURE_PARAMS
 from cdrflow.plans.stages import Stages, shared_fixture_stages
-from cdrflow.session import scratch_path
+from cdrflow.session import parallelism, scratch_path
 from cdrflow.sources import cdr_json, dims, files
 from cdrflow.sources.fixtures import fixture_cdrs, fixture_messages_dir, fixture_subscribers
 
@@ -267,17 +267,22 @@ def q_dedup_cdr_dirty(spark, sf_dir):
 
 def q_stream_dedup(spark, sf_dir):
     """The feed streamed in two overlapping parts over several micro-batches
-    with de-duplication.  Each record is stored once; event times jump back and
-    forth, and none is dropped for being late."""
+    with de-duplication.  Each record is stored once: every third comes a second
+    time, 40 days later by its event time, and is known by its id.  Event times
+    jump back and forth, and none is dropped for being late."""
     from cdrflow.streaming.mediation_stream import run_until_done, start_mediation_stream
 
     root = scratch_path(spark, "stream-dedup")
     cdrs = fixture_cdrs(spark, sf_dir)
-    for part in ("record_ID % 3 <> 2", "record_ID % 3 <> 0"):
-        cdr_json.write_cdr_messages(cdrs.filter(part).coalesce(2), fmt="text", path=f"{root}/in")
+    batch_files = str(max(1, parallelism(spark) // 2))  # the feed has a file a core
+    later = F.when(F.col("timestamp") >= F.lit(FIXTURE_PARAMS.as_of), F.col("timestamp") + F.make_dt_interval(F.lit(40)))
+    again = F.when(F.col("record_ID") % 3 == 1, F.coalesce(later, "timestamp")).otherwise(F.col("timestamp"))
+    parts = (cdrs.filter("record_ID % 3 <> 2"), cdrs.filter("record_ID % 3 <> 0").withColumn("timestamp", again))
+    for part in parts:
+        cdr_json.write_cdr_messages(part, fmt="text", path=f"{root}/in")
         q = start_mediation_stream(
             spark, out_path=f"{root}/out", checkpoint=f"{root}/checkpoint", params=FIXTURE_PARAMS, fmt="text",
-            source_path=f"{root}/in", source_options={"maxFilesPerTrigger": "1"}, available_now=True, dedup=True,
+            source_path=f"{root}/in", source_options={"maxFilesPerTrigger": batch_files}, available_now=True, dedup=True,
         )
         run_until_done(q)
     return finish(files.read_mediated(spark, f"{root}/out").drop("event_month", "stream_id", "batch_id"))

@@ -35,8 +35,9 @@ def read_invoices(spark: SparkSession, path: str, money: str = "decimal") -> Dat
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite", replace: list[str] | None = None
-) -> None:
+    df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite", replace: list[str] | None = None,
+    options: dict[str, str] | None = None,
+) -> None:
     """Write Parquet partitioned by ``partition_by``.
 
     ``overwrite`` replaces only the partitions present in ``df`` (dynamic
@@ -52,6 +53,7 @@ def write_partitioned(
         out = df.observe(seen, *(F.count(F.when(col == v, 1)).alias(f"n{k}") for k, v in enumerate(replace)))
     (
         out.write.mode(mode)
+        .options(**(options or {}))
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
@@ -185,6 +187,8 @@ def compact_partitions(
     where=None,
     files_per_partition: int = 1,
     spread_col: str | None = None,
+    sort_by: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> None:
     """Rewrite the partitions of ``path`` selected by ``where`` into
     ``files_per_partition`` files each (small files from frequent stream
@@ -194,8 +198,8 @@ def compact_partitions(
     system, and the copy is counted against the source before anything is
     replaced; then they are spread over ``files_per_partition`` tasks per
     partition by a hash of ``spread_col`` (so a huge partition is not written
-    by one task) and written back with a dynamic overwrite that replaces only
-    those partitions.  The copy's path is logged and the copy stays: should the
+    by one task), sorted by ``sort_by`` if given, and written back with a dynamic
+    overwrite that replaces only those partitions.  The copy's path is logged and the copy stays: should the
     write back be cut off, restore the partitions from it before a new run.
     """
     df = spark.read.schema(schema).parquet(path)
@@ -211,7 +215,10 @@ def compact_partitions(
     keys = [F.col(c) for c in partition_by]
     if spread_col:
         keys.append(F.pmod(F.xxhash64(F.col(spread_col)), F.lit(files_per_partition)))
-    write_partitioned(staged.repartition(*keys), path, partition_by)
+    dealt = staged.repartition(*keys)
+    if sort_by:
+        dealt = dealt.sortWithinPartitions(*partition_by, sort_by)
+    write_partitioned(dealt, path, partition_by, options=options)
 
 
 def write_jdbc(df: DataFrame, table: str, options: dict[str, str], mode: str = "overwrite") -> None:

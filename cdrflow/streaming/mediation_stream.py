@@ -27,6 +27,7 @@ from cdrflow.operators.mediation import admission_condition, admit, audit_metric
 from cdrflow.params import Params
 from cdrflow.schemas import MEDIATED_COLUMNS
 from cdrflow.session import ensure_checkpoint_dir
+from cdrflow.sources import id_index
 from cdrflow.sources.cdr_json import decode_cdr, read_cdr_stream
 from cdrflow.sources.files import BATCH_STREAM, ensure_mediated, event_month, read_mediated, write_mediated
 
@@ -39,28 +40,39 @@ def stream_id_of(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(text)["id"]
 
 
-def new_records(out: DataFrame, out_path: str, stream: str, epoch_id: int) -> DataFrame:
+def new_records(out: DataFrame, out_path: str, stream: str, epoch_id: int, n_buckets: int) -> DataFrame:
     """``out`` without records that the store already holds from an earlier batch.
 
-    Each record keeps its first delivery.  A record_ID is looked up in the whole
-    store, as a re-sent record may have another event time; that reads one
-    column.  Records without one are equal in all columns, so of these only the
-    folders of the batch's own months and its range of event times are read (row
-    groups outside are skipped by their statistics).  Nothing is dropped for being late.  Partitions of this epoch and later ones of
-    the stream are left aside, so a replayed epoch decides as it did before.
+    Each record keeps its first delivery.  A record_ID is looked up in the index
+    of the store's ids, whatever event time it is sent with; the new ids are
+    claimed there.  Records without one are equal in all columns, so of these
+    only the folders of the batch's own months and its range of event times are
+    read (row groups outside are skipped by their statistics).  Nothing is
+    dropped for being late.  What this epoch and later ones of the stream have
+    stored is left aside, so a replayed epoch decides as it did before.
     """
+    spark = out.sparkSession
     first = dedup_records(out, "record_ID", "batch_id")
-    span = out.agg(F.min("timestamp"), F.max("timestamp"), F.collect_set("event_month")).first()  # a few months
-    stored = read_mediated(out.sparkSession, out_path)
+    keyed = F.col("record_ID").isNotNull()
+    ids = out.filter(keyed).select("record_ID").distinct()
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/known-ids-{stream}"
+    found = id_index.known_ids(ids, out_path, stream, epoch_id, n_buckets)
+    found.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+    known = spark.read.schema("record_ID string").parquet(folder)
+    id_index.claim(ids.join(known, "record_ID", "left_anti"), out_path, stream, epoch_id, n_buckets)
+    fresh = first.join(known, "record_ID", "left_anti")  # a null id is in no table of ids
+    # One row: counts and a few months.
+    span = out.filter(~keyed).agg(
+        F.min("timestamp"), F.max("timestamp"), F.collect_set("event_month"), F.count(F.lit(1))
+    ).first()
+    if not span[3]:
+        return fresh
+    stored = read_mediated(spark, out_path)
     near = F.col("event_month").isin(span[2]) & F.col("timestamp").between(F.lit(span[0]), F.lit(span[1]))
     own = (F.col("stream_id") == stream) & (F.col("batch_id") >= epoch_id)
-    keyed = F.col("record_ID").isNotNull()
-    elsewhere = stored.filter(~own)
-    ids = elsewhere.filter(keyed).select(
-        *(F.col(c) if c == "record_ID" else F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in MEDIATED_COLUMNS)
-    )
-    whole = elsewhere.filter(near & ~keyed).select(*MEDIATED_COLUMNS)
-    return absent_from(first, ids.unionByName(whole), "record_ID", MEDIATED_COLUMNS)
+    whole = stored.filter(near & ~keyed & ~own).select(*MEDIATED_COLUMNS)
+    nameless = absent_from(fresh.filter(~keyed), whole, "record_ID", MEDIATED_COLUMNS)
+    return fresh.filter(keyed).unionByName(nameless)
 
 
 def mediation_batch_writer(
@@ -69,13 +81,16 @@ def mediation_batch_writer(
     on_metrics: Callable[[int, dict], None] | None = None,
     checkpoint: str | None = None,
     dedup: bool = False,
+    id_buckets: int = id_index.BUCKETS,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: mediate one micro-batch and write it.
 
     An empty batch stores and reports nothing.  Counts per type before and after cleaning
     are collected with ``observe`` during the write itself (no extra pass over
-    the batch).  With ``dedup`` records that were delivered before are left out.
+    the batch).  With ``dedup`` records that were delivered before are left out;
+    ``id_buckets`` is the number of buckets of a new index of ids.
     """
+    known: dict[str, int] = {}
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         stream = stream_id_of(batch.sparkSession, checkpoint) if checkpoint else BATCH_STREAM
@@ -96,8 +111,11 @@ def mediation_batch_writer(
             out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
             if not obs.get["total"]:
                 return
-            ensure_mediated(spark, out_path)
-            out = new_records(spark.read.schema(out.schema).parquet(folder), out_path, stream, epoch_id)
+            if not known:
+                ensure_mediated(spark, out_path)
+                known["buckets"] = id_index.ensure_index(spark, out_path, id_buckets)
+            staged = spark.read.schema(out.schema).parquet(folder)
+            out = new_records(staged, out_path, stream, epoch_id, known["buckets"])
         write_mediated(out, out_path, mode="overwrite")
         metrics = obs.get
         if not metrics["total"]:
@@ -139,6 +157,7 @@ def start_mediation_stream(
     dedup: bool = False,
     on_metrics: Callable[[int, dict], None] | None = None,
     query_name: str | None = None,
+    id_buckets: int = id_index.BUCKETS,
 ) -> StreamingQuery:
     """Start the mediation query; the caller awaits or stops it.
 
@@ -149,7 +168,9 @@ def start_mediation_stream(
     raw = read_cdr_stream(spark, fmt, source_options, source_path)
     stream = admitted_stream(raw, params)
     writer = (
-        stream.writeStream.foreachBatch(mediation_batch_writer(out_path, params, on_metrics, checkpoint, dedup))
+        stream.writeStream.foreachBatch(
+            mediation_batch_writer(out_path, params, on_metrics, checkpoint, dedup, id_buckets)
+        )
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
