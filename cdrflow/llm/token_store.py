@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,14 +46,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from cdrflow.llm.common import scratch_path
+from cdrflow.llm.fit_packing import _byte_letters
 
 BUCKET = 1 << 16  # keys a bucket, on average
 GAMMA = 2.0  # cells a key in each level of the hash
 MAX_LEVELS = 64
 READ_BYTES = 8 << 20  # neighbouring documents are read together up to this
 
-_WORDS = 200_000  # words that a worker remembers
-_LONG = 64  # longer words are not remembered
+_WORDS = 400_000  # words, and pieces of words, that a worker remembers
+_LONG = 64  # longer ones are not remembered
 
 
 # -- encoding ---------------------------------------------------------------
@@ -66,6 +68,12 @@ def _tokenizer(json_path: str):
     return Tokenizer.from_file(json_path)
 
 
+@lru_cache(maxsize=2)
+def word_encoder(json_path: str, width: int) -> "WordEncoder":
+    """One of each worker process: its tasks share what is remembered."""
+    return WordEncoder(json_path, width)
+
+
 @lru_cache(maxsize=2)
 def vocabulary_width(json_path: str) -> int:
     """Bytes that an id of this vocabulary takes: 2 or 4."""
@@ -75,28 +83,61 @@ def vocabulary_width(json_path: str) -> int:
     return 2 if top < 1 << 16 else 4
 
 
+#: Letters and marks whose classes no Unicode version changes: words of these
+#: are split here, all others by the tokenizer itself.
+_PLAIN = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")  # without the dotted capital I
+# Fixed value: the pre-tokenizer's pattern of the vocabulary file.
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class WordEncoder:
-    """Encodes texts word by word, remembering the ids of common words.
+    """Encodes texts word by word, remembering the ids of words and pieces.
 
-    Exact for tokenizers that never join symbols across a blank or a line
-    feed, such as those that drop white space before they split.
+    For byte-level tokenizers that drop white space, lower the case and split
+    words by ``_PIECES``; the merges are the tokenizer's own.  Words with other
+    than Latin letters, or with an added token's sign, are encoded by the
+    tokenizer as a whole.  What is remembered is bounded by ``_WORDS``.
     """
 
     def __init__(self, json_path: str, width: int):
-        self.tokenizer, self.kind, self.known = _tokenizer(json_path), f"<u{width}", {"": b""}
+        import regex
+
+        self.tokenizer, self.kind = _tokenizer(json_path), f"<u{width}"
+        self.tokenize, self.letters = self.tokenizer.model.tokenize, _byte_letters()
+        self.codes = [i.to_bytes(width, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.split = regex.compile(_PIECES).findall
+        self.words: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > _WORDS:
-            self.known = {"": b""}
-        new = list({w for words in split for w in words if w not in self.known})
-        here, long = self.known, {}
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+        if len(self.words) > _WORDS:
+            self.words = {"": b""}
+        if len(self.pieces) > _WORDS:
+            self.pieces = {}
+        here, whole, long = self.words, [], {}
+        for w in {w for words in split for w in words if w not in here}:
+            if _PLAIN.fullmatch(w) and "<|" not in w:
+                plain = w.lower()  # such letters have no other composed form
+                ids = self._piece(plain) if plain.isalpha() else b"".join(map(self._piece, self.split(plain)))
+                (here if len(w) <= _LONG else long)[w] = ids
+            else:
+                whole.append(w)
+        for w, e in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False)):
             (here if len(w) <= _LONG else long)[w] = np.asarray(e.ids, self.kind).tobytes()
         if long:
             here = {**here, **long}
         return [b"".join(map(here.__getitem__, words)) for words in split]
 
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            signs = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+            ids = b"".join([self.codes[t.id] for t in self.tokenize(signs)])
+            if len(piece) <= _LONG:
+                self.pieces[piece] = ids
+        return ids
+
 
 # -- minimal perfect hash ---------------------------------------------------
 
@@ -223,7 +264,7 @@ def write_store(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, name = TaskContext.get().partitionId(), f"ids-{uuid.uuid4().hex}.bin"
-        encode, tail = WordEncoder(json_path, width), np.asarray([end_id], f"<u{width}").tobytes()
+        encode, tail = word_encoder(json_path, width), np.asarray([end_id], f"<u{width}").tobytes()
         sink, offset, last, seen = None, 0, object(), 0
         for rows in batches:
             if sink is None:
