@@ -29,6 +29,7 @@ from cdrflow.plans.stages import fixture_stages, run_batch
 from cdrflow.session import apply_runtime_conf, get_session
 from cdrflow.sources import dims, files, id_index
 from cdrflow.streaming import run_until_done, start_mediation_stream
+from cdrflow.streaming.mediation_stream import DEDUP_DELAY
 
 
 def _params(a) -> Params:
@@ -85,7 +86,8 @@ def cmd_stream(spark, a):
         opts[key] = value
     q = start_mediation_stream(
         spark, a.out, a.checkpoint, _params(a), fmt=a.source, source_options=opts, source_path=a.path,
-        available_now=a.available_now, processing_time=a.trigger, dedup=a.dedup, id_buckets=a.id_buckets,
+        available_now=a.available_now, processing_time=a.trigger, dedup=a.dedup and a.dedup_mode,
+        id_buckets=a.id_buckets, dedup_delay=a.dedup_delay,
         on_metrics=lambda epoch, m: print(json.dumps({"batch": epoch, **m}), flush=True),
     )
     run_until_done(q, a.timeout)
@@ -207,6 +209,9 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--trigger", default=None, help='processing-time trigger, e.g. "10 seconds"')
+    s.add_argument("--dedup-mode", choices=["store", "state"], default="store",
+                   help="look records up among all stored ones, or in streaming state for --dedup-delay")
+    s.add_argument("--dedup-delay", default=DEDUP_DELAY, help='how long state knows an id, e.g. "2 days"')
     s.add_argument("--id-buckets", type=int, default=id_index.BUCKETS,
                    help="buckets of a new index of ids (--dedup); more of them for a larger store")
     s.add_argument("--starting-offsets", default="latest",

@@ -399,6 +399,7 @@ UNION ALL SELECT * FROM (
   SELECT DISTINCT {MEDIATED_OUT}, CAST(1 AS BIGINT) AS batch_id
   FROM (SELECT * REPLACE (NULL AS record_ID, 'CELL_RE' AS cell_id) FROM mediated WHERE CAST(record_ID AS BIGINT) % 21 = 0))""",
     "stream_dedup": f"SELECT {MEDIATED_OUT} FROM mediated",
+    "stream_dedup_state": f"SELECT {MEDIATED_OUT} FROM mediated",
     "stream_mediation": f"SELECT {MEDIATED_OUT}, CAST(0 AS BIGINT) AS batch_id FROM mediated",
     "customer_key": "SELECT record_ID, record_type, customer_id FROM keyed",
     "eligible_customers": "SELECT customer_id, region, rate_plan_id FROM eligible",

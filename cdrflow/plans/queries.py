@@ -265,14 +265,12 @@ def q_dedup_cdr_dirty(spark, sf_dir):
     return finish(dedup.dedup_records(feed.unionByName(feed.filter("batch_id = 0")), "record_ID", "batch_id"))
 
 
-def q_stream_dedup(spark, sf_dir):
-    """The feed streamed in two overlapping parts over several micro-batches
-    with de-duplication.  Each record is stored once: every third comes a second
-    time, 40 days later by its event time, and is known by its id.  Event times
-    jump back and forth, and none is dropped for being late."""
+def _dedup_stream(spark, sf_dir, dedup: str):
+    """The feed in two overlapping parts over several micro-batches: every third
+    record comes twice, the second time 40 days later by its event time."""
     from cdrflow.streaming.mediation_stream import run_until_done, start_mediation_stream
 
-    root = scratch_path(spark, "stream-dedup")
+    root = scratch_path(spark, f"stream-dedup-{dedup}")
     cdrs = fixture_cdrs(spark, sf_dir)
     batch_files = str(max(1, parallelism(spark) // 2))  # the feed has a file a core
     later = F.when(F.col("timestamp") >= F.lit(FIXTURE_PARAMS.as_of), F.col("timestamp") + F.make_dt_interval(F.lit(40)))
@@ -282,12 +280,23 @@ def q_stream_dedup(spark, sf_dir):
         cdr_json.write_cdr_messages(part, fmt="text", path=f"{root}/in")
         q = start_mediation_stream(
             spark, out_path=f"{root}/out", checkpoint=f"{root}/checkpoint", params=FIXTURE_PARAMS, fmt="text",
-            source_path=f"{root}/in", source_options={"maxFilesPerTrigger": batch_files}, available_now=True, dedup=True,
+            source_path=f"{root}/in", source_options={"maxFilesPerTrigger": batch_files}, available_now=True, dedup=dedup,
         )
         run_until_done(q)
     return finish(files.read_mediated(spark, f"{root}/out").drop("event_month", "stream_id", "batch_id"))
 
 
+def q_stream_dedup(spark, sf_dir):
+    """Each record is stored once, known by its id among all that the store
+    holds; event times jump back and forth, and none is dropped for being late."""
+    return _dedup_stream(spark, sf_dir, "store")
+
+
+def q_stream_dedup_state(spark, sf_dir):
+    """The same with keyed streaming state, over a restart of the query."""
+    return _dedup_stream(spark, sf_dir, "state")
+
+
 def _fine(spark, sf_dir) -> Stages:
     """Stages over the same feed with volumes of up to six decimals, some just
     above an allowance (100.996 MB) and some out of range (1e13 MB)."""
@@ -547,6 +556,7 @@ QUERIES: dict[str, Query] = {
     "dedup_cdr": q_dedup_cdr,
     "dedup_cdr_dirty": q_dedup_cdr_dirty,
     "stream_dedup": q_stream_dedup,
+    "stream_dedup_state": q_stream_dedup_state,
     "stream_mediation": q_stream_mediation,
     "customer_key": q_customer_key,
     "eligible_customers": q_eligible_customers,

@@ -144,6 +144,35 @@ def admitted_stream(raw_messages: DataFrame, params: Params = Params()) -> DataF
     return admit(decoded, params.as_of)
 
 
+#: How long re-deliveries are recognised by ``dedup="state"``.
+DEDUP_DELAY = "7 days"
+_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Each batch uploads its changes only; full snapshots follow in the background.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def first_arrivals(stream: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
+    """The stream without records that came before, no longer than ``delay`` ago.
+
+    Keyed streaming state: an id is held from its first arrival until ``delay``
+    has passed, then forgotten, so the state is bounded by the traffic of that
+    time, not by the store.  The watermark follows the arrival time of the
+    micro-batches, not the event time: a re-delivery is recognised whatever
+    event time it carries, and no record is dropped for being late.  A record
+    without an id is known by its whole content.
+    """
+    whole = F.sha2(F.to_json(F.struct(*stream.columns), {"ignoreNullFields": "false"}), 256)
+    named = F.concat(F.lit("k"), F.col("record_ID"))
+    return (
+        stream.withColumns({"_identity": F.coalesce(named, whole), "_arrived": F.current_timestamp()})
+        .withWatermark("_arrived", delay)
+        .dropDuplicatesWithinWatermark(["_identity"])
+        .drop("_identity", "_arrived")
+    )
+
+
 def start_mediation_stream(
     spark: SparkSession,
     out_path: str,
@@ -154,23 +183,31 @@ def start_mediation_stream(
     source_path: str | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
-    dedup: bool = False,
+    dedup: bool | str = False,
     on_metrics: Callable[[int, dict], None] | None = None,
     query_name: str | None = None,
     id_buckets: int = id_index.BUCKETS,
+    dedup_delay: str = DEDUP_DELAY,
 ) -> StreamingQuery:
     """Start the mediation query; the caller awaits or stops it.
 
+    ``dedup`` is False, "store" (or True: a record is looked up among all that
+    the table holds, see ``new_records``) or "state" (within ``dedup_delay`` of
+    its first arrival, see ``first_arrivals``).  A checkpoint belongs to one of
+    these; "state" keeps its ids in RocksDB under the checkpoint.
+
     ``available_now`` processes what is in the source and stops (tests,
     catch-up runs); otherwise the default micro-batch trigger or
     ``processing_time`` runs until ``stop()``.
     """
     raw = read_cdr_stream(spark, fmt, source_options, source_path)
     stream = admitted_stream(raw, params)
+    state = dedup == "state"
+    if state:
+        stream = first_arrivals(stream, dedup_delay)
+    write = mediation_batch_writer(out_path, params, on_metrics, checkpoint, bool(dedup) and not state, id_buckets)
     writer = (
-        stream.writeStream.foreachBatch(
-            mediation_batch_writer(out_path, params, on_metrics, checkpoint, dedup, id_buckets)
-        )
+        stream.writeStream.foreachBatch(write)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
@@ -180,7 +217,19 @@ def start_mediation_stream(
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    return _started(spark, writer, _STATE_CONF if state else {})
+
+
+def _started(spark: SparkSession, writer, conf: dict[str, str]) -> StreamingQuery:
+    """Start a query with settings of its own: it copies the session's at the start."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return writer.start()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_until_done(query: StreamingQuery, timeout_s: float | None = None) -> None:
