@@ -85,7 +85,7 @@ def invoice_totals(rated: DataFrame, params: Params = Params()) -> DataFrame:
     return price_invoice(invoice_subtotals(rated, params.money), params)
 
 
-def _zero_fill(df: DataFrame, params: Params) -> DataFrame:
+def zero_fill(df: DataFrame, params: Params) -> DataFrame:
     """Eligible subscribers without usage: every amount 0, discount as usual,
     no fee."""
     if params.money == "double":
@@ -126,7 +126,7 @@ def invoices_for_months(
     month_rated = rated.filter(F.col("billing_period").isin(*months))
     totals = invoice_totals(month_rated, params)
     joined = subs.join(totals, on=["customer_id", "billing_period"], how="left")
-    return _zero_fill(joined, params).select(*INVOICE_COLUMNS)
+    return zero_fill(joined, params).select(*INVOICE_COLUMNS)
 
 
 def invoices_for_month(

@@ -49,6 +49,24 @@ def with_customer_id(mediated: DataFrame) -> DataFrame:
     return mediated.withColumn("customer_id", key)
 
 
+def keyed_records(mediated: DataFrame) -> DataFrame:
+    """The columns that rating needs, with the subscriber key."""
+    return with_customer_id(
+        mediated.select(
+            "record_ID",
+            "record_type",
+            "timestamp",
+            "caller_id",
+            "sender_id",
+            "user_id",
+            "duration_sec",
+            "data_volume_mb",
+            "product_code",
+            "rating_status",
+        )
+    )
+
+
 def eligible(subscriptions: DataFrame, columns: tuple[str, ...] = ("customer_id", "rate_plan_id")) -> DataFrame:
     """Active postpaid subscriptions, projected (filter and columns push down)."""
     return subscriptions.filter(
@@ -169,21 +187,15 @@ def rate(
     rows, bounded by construction), which are broadcast as they are; stored
     tables are broadcast by their size.  Building the plan starts no job.
     """
-    keyed = with_customer_id(
-        mediated.select(
-            "record_ID",
-            "record_type",
-            "timestamp",
-            "caller_id",
-            "sender_id",
-            "user_id",
-            "duration_sec",
-            "data_volume_mb",
-            "product_code",
-            "rating_status",
-        )
-    )
+    keyed = keyed_records(mediated)
     joined = join_plan(keyed, subscriptions, salt_buckets=params.join_salt_buckets)
+    return rate_joined(joined, catalog, plans, params, dims_trusted_small)
+
+
+def rate_joined(
+    joined: DataFrame, catalog: DataFrame, plans: DataFrame, params: Params = Params(), dims_trusted_small: bool = False
+) -> DataFrame:
+    """The rating stage behind J1: J2, J3, units, cost, status, period."""
     joined = join_catalog(joined, catalog, trusted_small=dims_trusted_small)
     joined = join_tariff(joined, plans, trusted_small=dims_trusted_small)
     rated = price(with_billable_units(joined), params.boundary, params.money)

@@ -430,6 +430,7 @@ SELECT customer_id, billing_period,
 FROM totals""",
     "invoice_month": f"SELECT {INVOICE_OUT} FROM inv_month",
     "invoice_all_months": f"SELECT {INVOICE_OUT} FROM inv_all",
+    "invoice_bucketed": f"SELECT {INVOICE_OUT} FROM inv_all",
     "top_customers": """
 SELECT customer_id, CAST(sum(data_total) AS DOUBLE) AS total_data_usage, CAST(sum(amount_due) AS DOUBLE) AS total_amount_due
 FROM inv_month WHERE data_total > 0 GROUP BY customer_id""",

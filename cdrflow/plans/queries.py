@@ -461,6 +461,24 @@ def q_invoice_all_months(spark, sf_dir):
     return finish(_st(spark, sf_dir).invoices(FIXTURE_MONTHS))
 
 
+def _bucketed(spark, sf_dir):
+    from cdrflow.sources.bucketed import BucketedStore
+
+    st = _st(spark, sf_dir)
+    root = scratch_path(spark, "bucketed")
+    store = BucketedStore(spark, root, 2 * parallelism(spark), name=root.rsplit("/", 1)[-1].replace("-", "_"))
+    store.store_subscriptions(st.subscriptions)
+    store.store_records(st.mediated())
+    store.rate(st.catalog, st.plans, st.params, dims_trusted_small=True)
+    return store
+
+
+def q_invoice_bucketed(spark, sf_dir):
+    """J1/A1/B2 on tables bucketed by subscriber: records, subscriptions and rated
+    records are stored in equal buckets, rated and billed without a shuffle."""
+    return finish(_bucketed(spark, sf_dir).invoices(FIXTURE_MONTHS, FIXTURE_PARAMS))
+
+
 # --- reports ----------------------------------------------------------------------------------
 
 def q_top_customers(spark, sf_dir):
@@ -577,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "invoice_totals": q_invoice_totals,
     "invoice_month": q_invoice_month,
     "invoice_all_months": q_invoice_all_months,
+    "invoice_bucketed": q_invoice_bucketed,
     "top_customers": q_top_customers,
     "revenue_by_plan": q_revenue_by_plan,
     "revenue_by_region_plan": q_revenue_by_region_plan,
