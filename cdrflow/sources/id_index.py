@@ -13,7 +13,6 @@ claims that it writes again change nothing.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,8 +54,10 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 def _write(claims: DataFrame, path: str, n_buckets: int) -> None:
     """Append (record_ID, stream_id, batch_id): one file a bucket, sorted."""
     out = claims.withColumns({"n_buckets": F.lit(n_buckets), "bucket": bucket_of(n_buckets)})
+    # A fixed number of tasks, which the files of a small batch would else not get.
+    tasks = min(n_buckets, int(claims.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     (
-        out.repartition("bucket").sortWithinPartitions("bucket", "record_ID")
+        out.repartition(tasks, "bucket").sortWithinPartitions("bucket", "record_ID")
         .select(*SCHEMA.names).write.mode("append").partitionBy("bucket")
         .option("parquet.bloom.filter.enabled#record_ID", "true")
         .option("parquet.bloom.filter.adaptive.enabled", "true")
@@ -68,10 +69,9 @@ def ensure_index(spark: SparkSession, store: str, n_buckets: int = BUCKETS) -> i
     """The number of buckets of the store's index, which is built from the store
     if there is none yet (a store of before, or a lost index)."""
     path = index_path(store)
-    try:
-        known = spark.read.schema(SCHEMA).parquet(path).select("n_buckets").first()
-    except AnalysisException:  # no folder yet
-        known = None
+    # The folder must be there to be read; this writes no rows.
+    spark.createDataFrame([], SCHEMA).write.mode("append").partitionBy("bucket").parquet(path)
+    known = read_index(spark, path).select("n_buckets").first()
     if known:
         return known[0]
     claims = read_mediated(spark, store).filter(F.col("record_ID").isNotNull())
@@ -79,21 +79,25 @@ def ensure_index(spark: SparkSession, store: str, n_buckets: int = BUCKETS) -> i
     return n_buckets
 
 
-def known_ids(ids: DataFrame, store: str, stream: str, epoch_id: int, n_buckets: int) -> DataFrame:
+def known_ids(
+    ids: DataFrame, store: str, stream: str, epoch_id: int, n_buckets: int,
+    buckets: list[int] | None = None, n_ids: int | None = None,
+) -> DataFrame:
     """(record_ID) of those ``ids`` (not null) that an earlier batch has claimed.
 
     Only the buckets of ``ids`` are read.  Claims of this and later epochs of
-    the stream are left aside.
+    the stream are left aside.  A caller that has counted already gives the
+    buckets and the number of rows.
     """
     spark = ids.sparkSession
-    # One row a bucket at most comes to the driver, and ids only if they are few.
-    buckets = [r[0] for r in ids.select(bucket_of(n_buckets).alias("b")).distinct().collect()]
+    if buckets is None or n_ids is None:
+        # At most a number for each bucket comes to the driver.
+        buckets, n_ids = ids.agg(F.collect_set(bucket_of(n_buckets)), F.count(F.lit(1))).first()
     own = (F.col("stream_id") == stream) & (F.col("batch_id") >= epoch_id)
     claims = read_index(spark, index_path(store)).filter(F.col("bucket").isin(buckets) & ~own)
-    few = [r[0] for r in ids.select("record_ID").limit(POINT_IDS + 1).collect()]
-    if 0 < len(few) <= POINT_IDS:
+    if 0 < n_ids <= POINT_IDS:
         wanted = F.lit(False)
-        for v in set(few):
+        for v in {r[0] for r in ids.select("record_ID").collect()}:
             wanted = wanted | (F.col("record_ID") == v)
         return claims.filter(wanted).select("record_ID").distinct()
     return claims.join(ids.select("record_ID"), "record_ID", "left_semi").select("record_ID").distinct()

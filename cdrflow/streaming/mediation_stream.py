@@ -54,25 +54,30 @@ def new_records(out: DataFrame, out_path: str, stream: str, epoch_id: int, n_buc
     spark = out.sparkSession
     first = dedup_records(out, "record_ID", "batch_id")
     keyed = F.col("record_ID").isNotNull()
+    nameless = lambda c: F.when(~keyed, F.col(c))
+    # One row: the buckets of the ids, counts, and the months of records without an id.
+    facts = out.agg(
+        F.collect_set(F.when(keyed, id_index.bucket_of(n_buckets))).alias("buckets"),
+        F.count("record_ID").alias("keyed"),
+        F.count(F.lit(1)).alias("all"),
+        F.min(nameless("timestamp")).alias("start"),
+        F.max(nameless("timestamp")).alias("end"),
+        F.collect_set(nameless("event_month")).alias("months"),
+    ).first()
     ids = out.filter(keyed).select("record_ID").distinct()
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/known-ids-{stream}"
-    found = id_index.known_ids(ids, out_path, stream, epoch_id, n_buckets)
+    found = id_index.known_ids(ids, out_path, stream, epoch_id, n_buckets, facts["buckets"], facts["keyed"])
     found.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
     known = spark.read.schema("record_ID string").parquet(folder)
     id_index.claim(ids.join(known, "record_ID", "left_anti"), out_path, stream, epoch_id, n_buckets)
     fresh = first.join(known, "record_ID", "left_anti")  # a null id is in no table of ids
-    # One row: counts and a few months.
-    span = out.filter(~keyed).agg(
-        F.min("timestamp"), F.max("timestamp"), F.collect_set("event_month"), F.count(F.lit(1))
-    ).first()
-    if not span[3]:
+    if facts["keyed"] == facts["all"]:
         return fresh
     stored = read_mediated(spark, out_path)
-    near = F.col("event_month").isin(span[2]) & F.col("timestamp").between(F.lit(span[0]), F.lit(span[1]))
+    near = F.col("event_month").isin(facts["months"]) & F.col("timestamp").between(F.lit(facts["start"]), F.lit(facts["end"]))
     own = (F.col("stream_id") == stream) & (F.col("batch_id") >= epoch_id)
     whole = stored.filter(near & ~keyed & ~own).select(*MEDIATED_COLUMNS)
-    nameless = absent_from(fresh.filter(~keyed), whole, "record_ID", MEDIATED_COLUMNS)
-    return fresh.filter(keyed).unionByName(nameless)
+    return fresh.filter(keyed).unionByName(absent_from(fresh.filter(~keyed), whole, "record_ID", MEDIATED_COLUMNS))
 
 
 def mediation_batch_writer(
@@ -116,6 +121,8 @@ def mediation_batch_writer(
                 known["buckets"] = id_index.ensure_index(spark, out_path, id_buckets)
             staged = spark.read.schema(out.schema).parquet(folder)
             out = new_records(staged, out_path, stream, epoch_id, known["buckets"])
+            # The shuffle by id has spread every folder over all tasks: a few files a folder instead.
+            out = out.hint("rebalance", "event_month", "record_type")
         write_mediated(out, out_path, mode="overwrite")
         metrics = obs.get
         if not metrics["total"]:
