@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cdrflow.functions.money import floor_cents, half_up_average
 from cdrflow.operators.billing import rated_only
+from cdrflow.operators.stable_sum import stable_sum
 
 
 def _sum(col: str, money: str) -> F.Column:
@@ -54,15 +55,17 @@ def revenue_by_region_plan(invoices: DataFrame) -> DataFrame:
 def product_cost(rated: DataFrame, money: str = "decimal") -> DataFrame:
     """Per product: total charge floored to cents, record count, average charge.
 
-    With exact money the average is rounded half up to 6 digits; with
-    ``money="double"`` it is the plain double average of the reference.
+    With exact money the average is rounded half up to 6 digits.  With
+    ``money="double"`` the charges are added in a defined order, so that the
+    floating total and the plain double average, like the reference's, are the
+    same on any number of tasks.
     """
-    agg = rated_only(rated).groupBy("product_code").agg(
-        F.sum("cost").alias("_total"), F.count(F.lit(1)).alias("record_count")
-    )
+    rated = rated_only(rated)
     if money == "double":
+        agg = stable_sum(rated, ["product_code"], "cost", "_total", "record_count")
         avg = F.col("_total") / F.col("record_count")
     else:
+        agg = rated.groupBy("product_code").agg(F.sum("cost").alias("_total"), F.count(F.lit(1)).alias("record_count"))
         avg = half_up_average(F.col("_total"), F.col("record_count"), 6)
     return agg.select(
         "product_code",

@@ -174,6 +174,38 @@ mediated AS (
 )"""
 
 
+def _stable_sum_sql(rows: str, key: str, value: str) -> str:
+    """CTEs of a double sum in its defined order: runs of a thousand equal
+    values, then ascending in cells of 1e-5, 1e-1, 1e3, 1e7, 1e11."""
+    rep = "list_reduce(list_prepend(CAST(0 AS DOUBLE), [{x} FOR i IN range(CAST({n} AS BIGINT))]), lambda a, b: a + b)"
+    digits = ["n % 1000", "(n // 1000) % 1000", "(n // 1000000) % 1000", "(n // 1000000000) % 1000"]
+    units = ["v", *("CASE WHEN n >= {k} THEN {s} ELSE CAST(0 AS DOUBLE) END".format(
+        k=1000**k, s=rep.format(x=f"u{k - 1}", n=1000)) for k in range(1, 4))]
+    steps = [f"s0 AS (SELECT {key}, {value} AS v, count(*) AS n FROM {rows} WHERE {value} IS NOT NULL GROUP BY ALL)"]
+    inner = "SELECT *, v AS u0 FROM s0"
+    for k in range(1, 4):
+        inner = f"SELECT *, {units[k]} AS u{k} FROM ({inner})"
+    total = " + ".join(["CAST(0 AS DOUBLE)", *(rep.format(x=f"u{k}", n=d) for k, d in enumerate(digits))])
+    steps.append(f"l0 AS (SELECT {key}, v, {total} AS s, n FROM ({inner}))")
+    fold = "list_reduce(list_prepend(CAST(0 AS DOUBLE), list(s ORDER BY v)), lambda a, b: a + b)"
+    for k in range(1, 6):
+        width = "1e-5" if k == 1 else "1e4"
+        steps.append(
+            f"l{k} AS (SELECT {key}, w AS v, {fold} AS s, CAST(sum(n) AS BIGINT) AS n "
+            f"FROM (SELECT *, floor(v / CAST({width} AS DOUBLE)) AS w FROM l{k - 1}) GROUP BY {key}, w)"
+        )
+    steps.append(f"summed AS (SELECT {key}, {fold} AS total, CAST(sum(n) AS BIGINT) AS n FROM l5 GROUP BY {key})")
+    return ",\n".join(steps)
+
+
+_COST_DOUBLE = """
+CASE rate_type
+  WHEN 'flat' THEN CASE WHEN floor(billable_units) <= fu THEN 0 ELSE (u - fu) * up END
+  WHEN 'tiered' THEN CASE WHEN floor(billable_units) <= fu THEN 0
+                          WHEN floor(billable_units) <= tt THEN (u - fu) * up
+                          ELSE (tt - fu) * up + (u - tt) * tp END END"""
+
+
 def _rated_sql(name: str, boundary: str) -> str:
     cmp = "floor(billable_units)" if boundary == "whole_units" else "billable_units"
     return f"""
@@ -443,6 +475,15 @@ SELECT product_code, CAST(floor(total * 100) / 100 AS DOUBLE) AS total_cost, rec
   {_half_up_avg('total', 'record_count')} AS avg_cost_per_record
 FROM (SELECT product_code, sum(cost) AS total, count(*) AS record_count FROM rated
       WHERE rating_status = 'rated' GROUP BY product_code)""",
+    "product_cost_double": f"""
+SELECT * FROM (WITH charged AS (
+  SELECT product_code, CAST({_COST_DOUBLE} AS DOUBLE) AS cost
+  FROM (SELECT *, CAST(billable_units AS DOUBLE) AS u, coalesce(free_units, 0) AS fu, coalesce(tier_threshold, 0) AS tt,
+               coalesce(CAST(unit_price AS DOUBLE), 0) AS up, coalesce(CAST(tier_price AS DOUBLE), 0) AS tp FROM units)
+),
+{_stable_sum_sql('charged', 'product_code', 'cost')}
+SELECT product_code, CAST(floor(total * 100) / 100 AS DOUBLE) AS total_cost, n AS record_count,
+  total / n AS avg_cost_per_record FROM summed)""",
     "dq_keys": """
 SELECT 'duplicate_key' AS check_name, 'cdr_feed:record_ID' AS target,
   (SELECT count(*) FROM (SELECT record_ID FROM raw_cdr GROUP BY record_ID HAVING count(*) > 1)) AS violations
