@@ -23,6 +23,11 @@ are routed instead of broadcast, to the only shard that can match them:
    single windows, which aggregate by themselves.
 4. The repeated windows of a document are merged into maximal spans and cut out.
 
+A document is named by its id and the hash of its text, in this order: texts
+that share an id are documents of their own, and nothing is cut from one for
+what another holds later.  Rows equal in both are one document given several
+times; each copy keeps the same words.
+
 Word sequences are compared by 64-bit hashes of the words.
 """
 
@@ -196,8 +201,8 @@ class SuffixAutomaton:
         return out
 
 
-def repeated_in_shard(passages: list[tuple[int, int, list[int]]], window: int = WINDOW) -> list[list[int]]:
-    """For each passage (id, start, words), in ascending order, the offsets of
+def repeated_in_shard(passages: list[tuple], window: int = WINDOW) -> list[list[int]]:
+    """For each passage (id, start, words), the ids of any ordered kind, in ascending order, the offsets of
     the windows that occur in an earlier one."""
     automaton, places, out = SuffixAutomaton(), [], []
     for doc, start, words in passages:
@@ -214,6 +219,11 @@ def repeated_in_shard(passages: list[tuple[int, int, list[int]]], window: int =
     return out
 
 
+def _name(number: Column, text: Column) -> Column:
+    """What tells a document from others: its id and its text's hash."""
+    return F.struct(number.cast("long").alias("number"), F.xxhash64(text).alias("text"))
+
+
 def _if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
@@ -227,24 +237,29 @@ def _shard_hits(passages: DataFrame, window: int) -> DataFrame:
         def finish(out: list) -> None:
             if len(shard) > 1:
                 for (doc, start, _), hits in zip(shard, repeated_in_shard(shard, window)):
-                    out.extend((doc, start + h, start + h + 1) for h in hits)
+                    out.extend((*doc, start + h, start + h + 1) for h in hits)
             shard.clear()
 
         for batch in batches:
             out: list = []
-            for anchor, doc, start, words in zip(batch["anchor"], batch["id"], batch["start"], batch["words"]):
+            columns = (batch[c] for c in ("anchor", "number", "text", "start", "words"))
+            for anchor, number, text, start, words in zip(*columns):
                 if anchor != current:
                     finish(out)
                     current = anchor
-                shard.append((doc, start, words.tolist()))
-            yield pd.DataFrame(out, columns=["id", "start", "stop"])
+                if not shard or shard[-1][:2] != ((number, text), start):  # else a copy of the row
+                    shard.append(((number, text), start, words.tolist()))
+            yield pd.DataFrame(out, columns=["number", "text", "start", "stop"])
         out = []
         finish(out)
-        yield pd.DataFrame(out, columns=["id", "start", "stop"])
+        yield pd.DataFrame(out, columns=["number", "text", "start", "stop"])
 
     # All contexts of an anchor come to one task, in order of first occurrence.
     placed = passages.repartition("anchor").sortWithinPartitions("anchor", "id", "start")
-    return placed.select("anchor", "id", "start", "words").mapInPandas(stream, "id long, start int, stop int")
+    hits = placed.select("anchor", "id.*", "start", "words").mapInPandas(
+        stream, "number long, text long, start int, stop int"
+    )
+    return hits.select(F.struct("number", "text").alias("id"), "start", "stop")
 
 
 def _merged(ranges: Column, window: int) -> Column:
@@ -266,9 +281,12 @@ def _merged(ranges: Column, window: int) -> Column:
 def repeated_spans(
     docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, starts, stops): for each id with repeated windows, its maximal spans
-    of words (numbered from 0, stop exclusive) that they cover."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
+    """(id, starts, stops): for each document with repeated windows, its maximal
+    spans of words (numbered from 0, stop exclusive) that they cover; ``id`` is
+    a struct of the id (``number``) and the hash of the text (``text``)."""
+    texts = docs.filter(F.col(id_col).isNotNull()).select(
+        _name(F.col(id_col), F.col(text_col)).alias("id"), F.col(text_col).alias("text")
+    )
     every = texts.select("id", _contexts_of(F.col("text"), window, gram).alias("c")).select(
         "id", F.inline(F.arrays_zip("c.anchor", "c.context", "c.start", "c.windows"))
     )
@@ -334,7 +352,7 @@ def repeated_spans(
         "id", "start", (F.col("start") + 1).alias("stop")
     )
     ranges = own.unionByName(copies).unionByName(hits).unionByName(crowded)
-    spans = ranges.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("r"))
+    spans = ranges.groupBy("id").agg(F.collect_set(F.struct("start", "stop")).alias("r"))
     return staged(spans.select("id", _merged(F.col("r"), window).alias("s")).select("id", "s.*"), "repeated-spans")
 
 
@@ -346,13 +364,13 @@ def _kept(words: list[bytes], starts, stops) -> list[bytes]:
     return out + words[at:]
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     """``docs`` with a column of its spans, whatever columns it has, and its name."""
     size = spans.agg(F.sum(F.size("starts"))).first()[0] or 0
     name = fresh_name(docs, "spans")
     key = fresh_name(docs, "span_id")
     right = spans.select(F.col("id").alias(key), F.struct("starts", "stops").alias(name))
-    return docs.join(_if_small(right, size), docs[id_col].cast("long") == F.col(key), "left").drop(key), name
+    return docs.join(_if_small(right, size), _name(docs[id_col], docs[text_col]) == F.col(key), "left").drop(key), name
 
 
 def dedup_documents(
@@ -360,13 +378,13 @@ def dedup_documents(
 ) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256), one row per row of ``docs``.
 
-    Null, empty and blank texts have no words.  Rows that share an id are
-    parts of one document at the same places: none of two equal windows with
-    the same id and start is earlier.  Rows with a null id lose nothing.
-    Other columns are ignored; an empty table gives an empty result.
+    Null, empty and blank texts have no words.  Different texts that share an
+    id are documents of their own, in the order of their texts' hashes; rows
+    equal in id and text keep the same words.  Rows with a null id lose
+    nothing.  Other columns are ignored; an empty table gives an empty result.
     """
     spans = repeated_spans(docs, window, gram, id_col, text_col)
-    rows, name = _with_spans(docs.select(id_col, text_col), spans, id_col)
+    rows, name = _with_spans(docs.select(id_col, text_col), spans, id_col, text_col)
 
     def digest(series: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
         for text, span in series:
@@ -385,9 +403,10 @@ def strip_repeats(
     docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs`` with the repeated spans cut out of ``text_col``: the kept words
-    joined by one space.  Texts without repeats stay as they are."""
+    joined by one space.  Texts without repeats stay as they are, null and empty
+    ones included; repeated ids, null ids and empty tables as in ``dedup_documents``."""
     spans = repeated_spans(docs, window, gram, id_col, text_col)
-    rows, name = _with_spans(docs, spans, id_col)
+    rows, name = _with_spans(docs, spans, id_col, text_col)
 
     def strip(series: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.Series]:
         for text, span in series:

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import types as T
 
 from cdrflow.llm import cover_tree, ngram_join, substring_dedup
@@ -44,20 +45,25 @@ def brute_jaccard(rows, percent=90, k=3):
     return Counter((i, len(s), parts.get(i)) for i, s in sets)
 
 
+def _named(i, text):
+    """A document: its id, then the hash that Spark's xxhash64 gives for its text."""
+    h = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return i, h - (1 << 64 if h >> 63 else 0)
+
+
 def brute_windows(rows, window=20):
-    keyed = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
     first = {}
-    for i, t in keyed:
+    for i, t in (r for r in rows if r[0] is not None):
         w = WORD.findall((t or "").encode())
         for k in range(len(w) - window + 1):
-            key = tuple(w[k : k + window])
-            first[key] = min(first.get(key, (i, k)), (i, k))
+            key, at = tuple(w[k : k + window]), (*_named(i, t), k)
+            first[key] = min(first.get(key, at), at)
     out = Counter()
     for i, t in rows:
         w = WORD.findall((t or "").encode())
         gone = set()
         for k in range(len(w) - window + 1) if i is not None else ():
-            if first[tuple(w[k : k + window])] < (i, k):
+            if first[tuple(w[k : k + window])] < (*_named(i, t), k):
                 gone.update(range(k, k + window))
         kept = b" ".join(x for k, x in enumerate(w) if k not in gone)
         out[i, len(w), len(gone), hashlib.sha256(kept).hexdigest()] += 1
@@ -136,6 +142,19 @@ def test_repeated_windows(near_copies, docs, sf_docs, no_docs, monkeypatch, limi
     assert substring_dedup.dedup_documents(no_docs).count() == 0
 
 
+def test_rows_that_share_an_id_lose_only_what_is_repeated(spark):
+    rng = random.Random(11)
+    text = lambda n=30: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    a, b, c, d = text(), text(), text(), text(50)
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (3, [*text(5), *d]), (3, [*d, *text(9)]), (3, [*text(40), *b[:25]]), (4, d + d)]
+    rows = [(i, " ".join(w)) for i, w in rows] + [(2, None), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(map(tuple, substring_dedup.dedup_documents(docs).collect()))
+    assert got == brute_windows(rows)
+    left = [r["text"] for r in substring_dedup.strip_repeats(docs).collect()]
+    assert " ".join(b) in left and left.count(" ".join(c)) == 2 and left.count(" ".join(a)) == 1
+
+
 def test_stripped_texts(docs):
     out = substring_dedup.strip_repeats(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
