@@ -373,6 +373,11 @@ FROM raw_cdr WHERE "timestamp" IS NOT NULL""",
 SELECT * FROM subs WHERE activation_date < DATE '2023-07-01'
 UNION ALL
 SELECT customer_id, upper(customer_name) AS customer_name, activation_date, subscription_type, status, region, rate_plan_id
+FROM subs WHERE NOT (activation_date < DATE '2023-07-01')""",
+    "dim_merge": """
+SELECT * FROM subs WHERE activation_date < DATE '2023-07-01'
+UNION ALL
+SELECT customer_id, upper(customer_name) AS customer_name, activation_date, subscription_type, status, region, rate_plan_id
 FROM subs WHERE NOT (activation_date < DATE '2023-07-01')""",
     "product_dim": """
 SELECT c.product_code, c.service_type, c.unit, c.rate_type,
@@ -463,6 +468,7 @@ FROM totals""",
     "invoice_month": f"SELECT {INVOICE_OUT} FROM inv_month",
     "invoice_all_months": f"SELECT {INVOICE_OUT} FROM inv_all",
     "invoice_bucketed": f"SELECT {INVOICE_OUT} FROM inv_all",
+    "invoice_incremental": f"SELECT {INVOICE_OUT} FROM inv_all",
     "top_customers": """
 SELECT customer_id, CAST(sum(data_total) AS DOUBLE) AS total_data_usage, CAST(sum(amount_due) AS DOUBLE) AS total_amount_due
 FROM inv_month WHERE data_total > 0 GROUP BY customer_id""",

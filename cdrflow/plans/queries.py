@@ -83,6 +83,23 @@ def q_dim_insert_absent(spark, sf_dir):
     return dims.insert_absent(existing, incoming.unionByName(incoming), ["customer_id"])
 
 
+def q_dim_merge(spark, sf_dir):
+    """S12 stored: two overlapping loads into a table of key buckets.
+
+    The first load holds subscribers activated before July 2023, the second
+    every subscriber (twice, with names in upper case); the second is run again.
+    """
+    from cdrflow.sources.merge_store import MergeStore
+
+    subs = fixture_subscribers(spark, sf_dir)
+    table = MergeStore(spark, scratch_path(spark, "subscriptions"), schemas.SUBSCRIPTIONS, ("customer_id",), 2 * parallelism(spark))
+    table.insert_absent(subs.filter(F.col("activation_date") < F.lit("2023-07-01").cast("date")), ["customer_id"], "first")
+    incoming = subs.withColumn("customer_name", F.upper("customer_name"))
+    for _ in range(2):
+        table.insert_absent(incoming.unionByName(incoming), ["customer_id"], "second")
+    return table.read()
+
+
 def q_product_dim(spark, sf_dir):
     """The product catalog seed rows with the mediated traffic of each
     product (records and billable units).  A broadcast left join of the
@@ -479,6 +496,19 @@ def q_invoice_bucketed(spark, sf_dir):
     return finish(_bucketed(spark, sf_dir).invoices(FIXTURE_MONTHS, FIXTURE_PARAMS))
 
 
+def q_invoice_incremental(spark, sf_dir):
+    """The feed rated and billed in three batches, the second of them
+    twice; only subscribers with new records are priced again."""
+    from cdrflow.plans.incremental import IncrementalBilling
+
+    st = _st(spark, sf_dir)
+    store = IncrementalBilling(spark, scratch_path(spark, "incremental"), FIXTURE_PARAMS, 2 * parallelism(spark))
+    for k in (0, 1, 1, 2):
+        batch = st.mediated().filter(F.pmod(F.xxhash64("record_ID"), F.lit(3)) == k)
+        store.add_batch(batch, f"feed-{k}", st.subscriptions, st.catalog, st.plans, dims_trusted_small=True)
+    return finish(store.invoices(st.subscriptions, FIXTURE_MONTHS))
+
+
 # --- reports ----------------------------------------------------------------------------------
 
 def q_top_customers(spark, sf_dir):
@@ -556,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "decode_json_times": q_decode_json_times,
     "encode_decode_roundtrip": q_encode_decode_roundtrip,
     "dim_insert_absent": q_dim_insert_absent,
+    "dim_merge": q_dim_merge,
     "product_dim": q_product_dim,
     "rate_plan_dim": q_rate_plan_dim,
     "filter_required": q_filter_required,
@@ -596,6 +627,7 @@ QUERIES: dict[str, Query] = {
     "invoice_month": q_invoice_month,
     "invoice_all_months": q_invoice_all_months,
     "invoice_bucketed": q_invoice_bucketed,
+    "invoice_incremental": q_invoice_incremental,
     "top_customers": q_top_customers,
     "revenue_by_plan": q_revenue_by_plan,
     "revenue_by_region_plan": q_revenue_by_region_plan,
