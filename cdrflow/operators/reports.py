@@ -7,12 +7,13 @@ so the order is total and reproducible.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdrflow.functions.money import floor_cents, half_up_average
 from cdrflow.operators.billing import rated_only
 from cdrflow.operators.stable_sum import stable_sum
+from cdrflow.sources.files import stage_table
 
 
 def _sum(col: str, money: str) -> F.Column:
@@ -73,3 +74,22 @@ def product_cost(rated: DataFrame, money: str = "decimal") -> DataFrame:
         "record_count",
         avg.alias("avg_cost_per_record"),
     ).orderBy(F.desc("total_cost"), F.asc("product_code"))
+
+
+def ranked(ordered: DataFrame) -> DataFrame:
+    """A globally sorted frame with each row's place, 1 first, as ``rank``.
+
+    The sort is by range, so partitions follow each other: a row's place is its
+    number in its partition plus the rows of those before.  One row a partition
+    is summed up; no task sees all rows.
+    """
+    number = F.monotonically_increasing_id()
+    placed = ordered.withColumns(
+        {"_part": F.shiftright(number, 33).cast("int"), "_in": number.bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    placed = stage_table(placed, "ranked")
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    joined = placed.join(starts, "_part")
+    return joined.select(*ordered.columns, (F.col("_start") + F.col("_in") + 1).alias("rank"))

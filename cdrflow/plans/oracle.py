@@ -472,6 +472,17 @@ FROM totals""",
     "top_customers": """
 SELECT customer_id, CAST(sum(data_total) AS DOUBLE) AS total_data_usage, CAST(sum(amount_due) AS DOUBLE) AS total_amount_due
 FROM inv_month WHERE data_total > 0 GROUP BY customer_id""",
+    "report_order": """
+SELECT 'customers' AS report, customer_id AS k1, CAST(NULL AS VARCHAR) AS k2,
+  row_number() OVER (ORDER BY sum(data_total) DESC, customer_id) AS rank
+FROM inv_month WHERE data_total > 0 GROUP BY customer_id
+UNION ALL
+SELECT 'plans', rate_plan_id, NULL, row_number() OVER (ORDER BY sum(amount_due) DESC, rate_plan_id NULLS LAST)
+FROM inv_month GROUP BY rate_plan_id
+UNION ALL
+SELECT 'regions', region, rate_plan_id,
+  row_number() OVER (ORDER BY region NULLS FIRST, sum(amount_due) DESC, rate_plan_id NULLS LAST)
+FROM inv_month GROUP BY region, rate_plan_id""",
     "revenue_by_plan": "SELECT rate_plan_id, CAST(sum(amount_due) AS DOUBLE) AS revenue_TTC FROM inv_month GROUP BY rate_plan_id",
     "report_csv_roundtrip": "SELECT rate_plan_id, CAST(sum(amount_due) AS DOUBLE) AS revenue_TTC FROM inv_month GROUP BY rate_plan_id",
     "revenue_by_region_plan": """

@@ -516,6 +516,16 @@ def q_top_customers(spark, sf_dir):
     return finish(reports.top_customers(_st(spark, sf_dir).invoices()))
 
 
+def q_report_order(spark, sf_dir):
+    """O1/O2: the places of all rows of the three sorted reports."""
+    inv = _st(spark, sf_dir).invoices()
+    none = F.lit(None).cast("string")
+    tops = reports.ranked(reports.top_customers(inv)).select(F.lit("customers").alias("report"), F.col("customer_id").alias("k1"), none.alias("k2"), "rank")
+    plans = reports.ranked(reports.revenue_by_plan(inv)).select(F.lit("plans"), "rate_plan_id", none, "rank")
+    regions = reports.ranked(reports.revenue_by_region_plan(inv)).select(F.lit("regions"), "region", "rate_plan_id", "rank")
+    return tops.union(plans).union(regions)
+
+
 def q_revenue_by_plan(spark, sf_dir):
     """A3/O1: revenue including tax per plan."""
     return finish(reports.revenue_by_plan(_st(spark, sf_dir).invoices()))
@@ -629,6 +639,7 @@ QUERIES: dict[str, Query] = {
     "invoice_bucketed": q_invoice_bucketed,
     "invoice_incremental": q_invoice_incremental,
     "top_customers": q_top_customers,
+    "report_order": q_report_order,
     "revenue_by_plan": q_revenue_by_plan,
     "revenue_by_region_plan": q_revenue_by_region_plan,
     "report_csv_roundtrip": q_report_csv_roundtrip,
