@@ -5,7 +5,8 @@ reaches the threshold share a token among the first few of each set (the
 prefix) under *any* global order of the tokens.  Candidates must pass this under
 several orders at once: they are found through the prefix tokens of the first
 order, with length and position filters in the same join, and only those whose
-prefixes also meet under the second and third order are verified exactly.
+prefixes also meet under the second and third order, and which can share enough
+tokens by their counts in ``CELLS`` cells, are verified exactly.
 
 All orders put frequent tokens last, the more frequent the later.  Which tokens
 count as frequent (those of most documents in a first pass over all of them,
@@ -48,6 +49,7 @@ FREQUENT = 8  # documents that make a token frequent
 MAX_FREQUENT = 500_000
 DENSE = 64  # nodes of like size per node of a list from which on it gets a hub
 HUB_ROUNDS = 2  # then what is left of the dense lists yields its pairs
+CELLS = 256  # of a set's tokens, for a bound of what two sets share
 MAX_BROADCAST_IDS = 2_000_000  # numbers of 8 bytes; more are joined by a shuffle
 
 
@@ -120,20 +122,34 @@ def _described(text: Column, frequent, percent: int, shingle: int) -> Column:
     return F.pandas_udf(describe, _SET)(text)
 
 
-_FILTERS = "struct<tokens:array<long>,second:array<long>,third:array<long>>"
+_SKETCH = "struct<n:int,counts:array<int>,second:array<int>,third:array<int>>"
 
 
-def _filters(text: Column, frequent, percent: int, shingle: int) -> Column:
-    def filters(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def _sketches(text: Column, frequent, percent: int, shingle: int) -> Column:
+    """What a pair is judged by before its sets are fetched: the prefixes under
+    the other orders, as 32-bit numbers, and how many tokens fall into each of
+    ``CELLS`` cells."""
+
+    def describe(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in series:
             rows = []
             for t in texts:
                 s = shingles(t, shingle)
                 p = prefix_length(len(s), percent)
-                rows.append((signed(s), *(signed(ordered(s, o, frequent.value)[0][:p]) for o in ORDERS[1:])))
-            yield pd.DataFrame(rows, columns=["tokens", "second", "third"])
+                counts = np.bincount((s % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.int32)
+                late = (ordered(s, o, frequent.value)[0][:p].astype(np.uint32).view(np.int32) for o in ORDERS[1:])
+                rows.append((len(s), counts, *late))
+            yield pd.DataFrame(rows, columns=["n", "counts", "second", "third"])
+
+    return F.pandas_udf(describe, _SKETCH)(text)
 
-    return F.pandas_udf(filters, _FILTERS)(text)
+
+def _tokens(text: Column, shingle: int) -> Column:
+    def tokens(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in series:
+            yield pd.DataFrame({"tokens": [signed(shingles(t, shingle)) for t in texts]})
+
+    return F.pandas_udf(tokens, "struct<tokens:array<long>>")(text)
 
 
 def _may_link(percent: int) -> Column:
@@ -160,15 +176,11 @@ def _if_small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
 
 
-def _sets(pairs: DataFrame, docs: DataFrame, frequent, percent: int, shingle: int) -> DataFrame:
-    """(node, s): tokens and prefixes of every node of ``pairs``."""
+def _of_nodes(pairs: DataFrame, docs: DataFrame, made: Column, name: str) -> DataFrame:
+    """(node, s): ``made`` from the text of every node of ``pairs``."""
     ids = staged(pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct(), "candidate-ids")
-    return staged(
-        docs.join(_if_small(ids), docs["id"] == ids["node"], "left_semi").select(
-            F.col("id").alias("node"), _filters(F.col("text"), frequent, percent, shingle).alias("s")
-        ),
-        "candidate-sets",
-    )
+    chosen = docs.join(_if_small(ids), docs["id"] == ids["node"], "left_semi")
+    return staged(chosen.select(F.col("id").alias("node"), made.alias("s")), name)
 
 
 def _attached(pairs: DataFrame, sets: DataFrame, *fields: str) -> DataFrame:
@@ -180,12 +192,22 @@ def _attached(pairs: DataFrame, sets: DataFrame, *fields: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, frequent, percent: int, shingle: int) -> DataFrame:
-    """(x, y): the pairs whose prefixes also meet under the other orders and that are similar."""
-    sets = _sets(pairs, docs, frequent, percent, shingle)
-    met = _attached(pairs, sets, "second", "third").filter(
-        F.arrays_overlap("a.second", "b.second") & F.arrays_overlap("a.third", "b.third")
+    """(x, y): the pairs whose prefixes also meet under the other orders and that are similar.
+
+    Two sets share at most the smaller count of each cell, summed over cells.
+    That bound and the orders are judged on short sketches; whole sets are
+    fetched for what is left, which is little more than the links.
+    """
+    text = F.col("text")
+    sketches = _of_nodes(pairs, docs, _sketches(text, frequent, percent, shingle), "candidate-sketches")
+    most = F.aggregate(F.zip_with("a.counts", "b.counts", lambda p, q: F.least(p, q)), F.lit(0), lambda t, c: t + c)
+    met = _attached(pairs, sketches, "n", "counts", "second", "third").filter(
+        (most * (100 + percent) >= percent * (F.col("a.n") + F.col("b.n")))
+        & F.arrays_overlap("a.second", "b.second")
+        & F.arrays_overlap("a.third", "b.third")
     )
-    both = _attached(staged(met.select("x", "y"), "met"), sets, "tokens")
+    met = staged(met.select("x", "y"), "met")
+    both = _attached(met, _of_nodes(met, docs, _tokens(text, shingle), "candidate-sets"), "tokens")
     shared = F.size(F.array_intersect("a.tokens", "b.tokens"))
     total = F.size("a.tokens") + F.size("b.tokens")
     return both.filter(100 * shared >= percent * (total - shared)).select("x", "y")
@@ -298,7 +320,7 @@ def _links(postings: DataFrame, docs: DataFrame, frequent, percent: int, shingle
         # Plain equality decides here: a hub is no candidate of a prefix, it is compared with all.
         common = F.size(F.array_intersect("a.tokens", "b.tokens"))
         total = F.size("a.tokens") + F.size("b.tokens")
-        sets = _sets(stars, docs, frequent, percent, shingle)
+        sets = _of_nodes(stars, docs, _tokens(F.col("text"), shingle), "star-sets")
         judged = _attached(stars, sets, "tokens").withColumn("common", common)
         judged = judged.withColumn("union", total - F.col("common"))
         # Similar nodes differ by at most 1 - p/100 in their distance to the hub.
