@@ -306,7 +306,8 @@ def score_documents(
     """(id, held_out, score, predicted) for every row of ``docs``.
 
     Null and empty texts are scored like any other (all figures 0).  Repeated
-    rows get equal scores.  Other columns are ignored.
+    rows get equal scores.  Other columns are ignored.  An empty table gives
+    an empty result.
     """
     model = train(docs, labels, id_col=id_col, text_col=text_col, **fit)
     scored = docs.select(

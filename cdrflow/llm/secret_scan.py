@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -240,9 +242,12 @@ def secret_spans(text: str | None) -> list[tuple[int, int, str]]:
     found = base_spans(text)
     tokens = [(m.start(), m.end(), m[0]) for m in CANDIDATE.finditer(text)]
     if tokens:
-        ends = sorted((s, e) for s, e, _ in found)
+        base = sorted((s, e) for s, e, _ in found)
+        starts = [s for s, _ in base]
+        reach = list(accumulate((e for _, e in base), max))  # the farthest end of the spans so far
         for (s, e, token), hit in zip(tokens, discoveries([t for _, _, t in tokens])):
-            if hit and battery_p(token) >= BATTERY_ALPHA and not any(a < e and s < b for a, b in ends):
+            before = bisect_left(starts, e)  # spans that start before the token ends
+            if hit and battery_p(token) >= BATTERY_ALPHA and not (before and reach[before - 1] > s):
                 found.append((s, e, "random"))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
@@ -264,13 +269,18 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, spans): one row per input row, spans in code points, end exclusive.
 
     Null and empty texts have no spans; ids are carried as they are (null and
-    repeated ones too); other columns are ignored.
+    repeated ones too); other columns are ignored; an empty table gives an
+    empty result.
     """
     return docs.select(F.col(id_col).alias(id_col), span_column(text_col).alias("spans"))
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every span replaced by ``mark``; overlapping spans become one."""
+    """``docs`` with every span replaced by ``mark``; overlapping spans become one.
+
+    Null and empty texts, repeated rows and null ids stay as they are; an empty
+    table stays empty.
+    """
 
     def cut(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in series:

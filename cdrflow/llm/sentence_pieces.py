@@ -332,7 +332,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     """(id, ids): the whole text's ids, without begin and end ids.
 
     One row per input row; null and empty texts have no ids; ids are carried as
-    they are; other columns are ignored.  A map: nothing is shuffled.
+    they are; other columns are ignored; an empty table gives an empty result.
+    A map: nothing is shuffled.
     """
 
     def encode(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -356,7 +357,11 @@ def decode_documents(encoded: DataFrame, model_path: str, ids_col: str = "ids")
 
 def piece_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): encoding and decoding in one
-    pass, so that the ids themselves need not leave the task."""
+    pass, so that the ids themselves need not leave the task.
+
+    Null and empty texts have no ids and decode to the empty text; repeated rows,
+    null ids, other columns and empty tables as in ``encode_documents``.
+    """
 
     def digest(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = piece_model(model_path)

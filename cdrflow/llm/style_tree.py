@@ -391,7 +391,7 @@ def extract_pages(pages: DataFrame, low: float = LOW) -> DataFrame:
 
     Null and empty html and pages without text give the empty text.  Pages
     without a host are not merged with others.  Repeated rows are extracted
-    one by one.  Other columns are ignored.
+    one by one.  Other columns are ignored.  An empty table gives an empty result.
     """
     read = pages.select("page_id", "url", "html", url_host(F.col("url")).alias("host"))
     removed = staged(removed_nodes(read.filter("host <> ''").select("host", "html"), low), "removed-nodes")

@@ -149,7 +149,8 @@ def filter_urls(pages: DataFrame, rules=RULES, damping: float = 0.85, iterations
 
     Null or scheme-less urls have an empty host and path, fit no rule and are
     allowed.  Null html has no links.  Repeated rows are judged one by one
-    and each counts as a page of its host.  Other columns are ignored.
+    and each counts as a page of its host.  Other columns are ignored.  An
+    empty table gives an empty result.
     """
     host, path = url_host(F.col("url")), url_path(F.col("url"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)

@@ -90,9 +90,24 @@ def test_sequences_hold_the_remaining_texts(spark, stages):
 
 
 def test_messy_documents_pass_all_stages(spark, docs):
-    for _, stage in corpus_pipeline.STAGES[1:]:
+    columns = docs.columns
+    kept = staged(corpus_pipeline.STAGES[0][1](spark, docs, SF), "stage")  # rejects by the labels of the table
+    assert kept.columns == columns and kept.count() <= docs.count()
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
         docs = staged(stage(spark, docs, SF), "stage")
-    assert docs.count() > 0
+        assert docs.columns == columns
+    # One of the equal texts is left, and what has no words is there still.
+    ids = Counter(r["doc_id"] for r in docs.collect())
+    assert ids[1] == 1 and ids[2] == 0 and ids[7] == 1 and ids[15] == 0 and {4, 5, 6} <= set(ids) and ids[None] == 2
+    packed = Counter(r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect())
+    assert set(packed) == set(ids)
+
+
+def test_empty_table_passes_all_stages(spark, no_docs):
+    docs = no_docs
+    for _, stage in corpus_pipeline.STAGES:
+        docs = staged(stage(spark, docs, SF), "stage")
+        assert docs.count() == 0
 
 
 def test_without_labels_nothing_is_rejected(spark, docs):
