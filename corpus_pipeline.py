@@ -26,33 +26,48 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go.
+
+    Null and empty texts are scored like any other (all figures 0); repeated
+    rows share their fate; without labels of both kinds nothing is rejected.
+    An empty table stays empty, as in all stages.
+    """
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id.
 
-    Near copies share at least 80 % of their five-word shingles.
+    Near copies share at least 80 % of their five-word shingles.  Texts without
+    words (null, empty, blank) and rows with a null id stay; of several rows
+    with the id that stays one is kept, chosen by a hash of the row.
     """
     ship_package(spark)
     return keep_one_per_component(docs, percent=80, shingle=5)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stand earlier in the corpus are cut out of the texts."""
+    """Passages that stand earlier in the corpus are cut out of the texts.
+
+    Null and empty texts and rows with a null id stay as they are.  Different
+    texts that share an id are documents of their own.
+    """
     ship_package(spark)
     return _recounted(strip_repeats(docs))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark."""
+    """Secrets are replaced by a mark; null and empty texts and repeated rows stay."""
     ship_package(spark)
     return _recounted(redact(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece with its sequence and place."""
+    """One row per piece with its sequence and place.
+
+    Null and empty texts are a piece of the closing id alone; repeated rows are
+    packed one by one.
+    """
     ship_package(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
