@@ -46,6 +46,23 @@ def test_stages_via_cli(spark, tmp_dir):
     assert sorted(r.billing_period for r in inv.select("billing_period").distinct().collect()) == list(FIXTURE_MONTHS)
 
 
+def test_stream_dedup_by_index_and_by_state(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    cdrs = fixture_cdrs(spark, SF_SMALL).filter("record_ID % 10 = 0")
+    for _ in range(2):
+        write_cdr_messages(cdrs, fmt="text", path=src)  # every message twice
+    for mode in ("store", "state"):
+        out = f"{tmp_dir}/{mode}"
+        main(["stream", "--as-of", "2024-01-02", "--source", "text", "--path", src, "--out", out, "--checkpoint", f"{out}-ckpt",
+              "--available-now", "--timeout", "240", "--dedup", "--dedup-mode", mode, "--id-buckets", "4", "--dedup-delay", "1 day"])
+    ids = {m: sorted(r[0] for r in spark.read.parquet(f"{tmp_dir}/{m}").select("record_ID").collect()) for m in ("store", "state")}
+    assert ids["store"] == ids["state"] and len(set(ids["store"])) == len(ids["store"]) > 0
+    main(["compact", "--table", "ids", "--path", f"{tmp_dir}/store"])
+    index = spark.read.parquet(f"{tmp_dir}/store-ids")
+    assert sorted(r[0] for r in index.select("record_ID").collect()) == ids["store"]
+    assert {r[0] for r in index.select("n_buckets").collect()} == {4}
+
+
 def test_show_previews_rows(spark, tmp_dir, capsys):
     main(["demo", "--sf-dir", SF_SMALL, "--out", f"{tmp_dir}/demo"])
     capsys.readouterr()
