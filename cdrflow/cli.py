@@ -147,7 +147,10 @@ def cmd_compact(spark, a):
         "invoice": (schemas.storage_schema(schemas.INVOICE, a.money), ["billing_period"], "customer_id"),
     }[a.table]
     where = F.expr(a.where) if a.where else None
-    files.compact_partitions(spark, a.path, table[0], table[1], where, a.files_per_partition, table[2])
+    cluster = {"rated": ["customer_id", "record_ID"], "invoice": ["customer_id"]}.get(a.table) if a.cluster else None
+    files.compact_partitions(
+        spark, a.path, table[0], table[1], where, a.files_per_partition, table[2], cluster_by=cluster
+    )
 
 
 def cmd_show(spark, a):
@@ -258,6 +261,8 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--path", required=True)
     c.add_argument("--where", default=None, help='partition predicate, e.g. "batch_id < 1000"')
     c.add_argument("--files-per-partition", type=int, default=1)
+    c.add_argument("--cluster", action="store_true",
+                   help="sort rated records or invoices by subscriber, so that reading one skips the others")
     c.set_defaults(fn=cmd_compact)
 
     v = sub.add_parser("show", help="preview the first rows of a stage table")

@@ -447,6 +447,7 @@ SELECT record_ID, customer_id, rate_plan_id, product_code, rate_type, {_d('unit_
   {_d('tier_price')} FROM with_tariff""",
     "billable_units": "SELECT record_ID, record_type, product_code, CAST(billable_units AS DOUBLE) AS billable_units FROM rated",
     "rated_cost": f"SELECT {RATED_OUT} FROM rated",
+    "rated_clustered": f"SELECT {RATED_OUT} FROM rated",
     "rated_store_roundtrip": f"""
 SELECT {RATED_OUT} FROM rated
 WHERE billing_period NOT IN ('2024-02', '2024-03') OR (billing_period = '2024-02' AND record_type = 'voice')""",

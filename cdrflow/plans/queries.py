@@ -351,6 +351,18 @@ def q_rated_store_roundtrip(spark, sf_dir):
     return finish(files.read_rated(spark, path).select(*RATED_OUT))
 
 
+def q_rated_clustered(spark, sf_dir):
+    """Rated records stored by month, then clustered by subscriber within
+    each month, and read back."""
+    path = scratch_path(spark, "rated-clustered")
+    files.write_rated(_st(spark, sf_dir).rated(), path)
+    files.compact_partitions(
+        spark, path, schemas.RATED, ["billing_period"], files_per_partition=2, cluster_by=["customer_id", "record_ID"]
+    )
+    spark.catalog.refreshByPath(path)
+    return finish(files.read_rated(spark, path).select(*RATED_OUT))
+
+
 def q_report_csv_roundtrip(spark, sf_dir):
     """The revenue report written as CSV with a header and read back."""
     path = f"{scratch_path(spark, 'report')}/revenueByPlan.csv"
@@ -632,6 +644,7 @@ QUERIES: dict[str, Query] = {
     "rating_status_mix": q_rating_status_mix,
     "usage_by_period": q_usage_by_period,
     "rated_store_roundtrip": q_rated_store_roundtrip,
+    "rated_clustered": q_rated_clustered,
     "invoice_subtotals": q_invoice_subtotals,
     "invoice_totals": q_invoice_totals,
     "invoice_month": q_invoice_month,

@@ -179,6 +179,10 @@ def stage_table(df: DataFrame, name: str, partitions: int | None = None, key: st
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a row group in clustered files: few enough that statistics tell them apart.
+GROUP_ROWS = 20_000
+
+
 def compact_partitions(
     spark: SparkSession,
     path: str,
@@ -189,6 +193,7 @@ def compact_partitions(
     spread_col: str | None = None,
     sort_by: str | None = None,
     options: dict[str, str] | None = None,
+    cluster_by: list[str] | None = None,
 ) -> None:
     """Rewrite the partitions of ``path`` selected by ``where`` into
     ``files_per_partition`` files each (small files from frequent stream
@@ -199,8 +204,14 @@ def compact_partitions(
     replaced; then they are spread over ``files_per_partition`` tasks per
     partition by a hash of ``spread_col`` (so a huge partition is not written
     by one task), sorted by ``sort_by`` if given, and written back with a dynamic
-    overwrite that replaces only those partitions.  The copy's path is logged and the copy stays: should the
-    write back be cut off, restore the partitions from it before a new run.
+    overwrite that replaces only those partitions.  The copy's path is logged and
+    the copy stays: should the write back be cut off, restore the partitions from
+    it before a new run.
+
+    With ``cluster_by`` each partition's files hold consecutive ranges of these
+    columns, sorted, in row groups of ``GROUP_ROWS``: a filter on the first one
+    (a subscriber) then skips most of them by their statistics.  Name a unique
+    column last, so that a value with many rows is split between files.
     """
     df = spark.read.schema(schema).parquet(path)
     if where is not None:
@@ -212,6 +223,13 @@ def compact_partitions(
     rows, copied = df.count(), staged.count()
     if rows != copied:
         raise RuntimeError(f"{copy} holds {copied} of {rows} rows; {path} was not changed")
+    if cluster_by:
+        n = staged.select(*partition_by).distinct().count() * files_per_partition
+        order = [*partition_by, *cluster_by]
+        dealt = staged.repartitionByRange(max(1, n), *order).sortWithinPartitions(*order)
+        groups = {"parquet.block.row.count.limit": str(GROUP_ROWS)}
+        write_partitioned(dealt, path, partition_by, options={**groups, **(options or {})})
+        return
     keys = [F.col(c) for c in partition_by]
     if spread_col:
         keys.append(F.pmod(F.xxhash64(F.col(spread_col)), F.lit(files_per_partition)))
