@@ -8,7 +8,6 @@ from itertools import combinations
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cdrflow.llm import cover_lloyd, gram_variants, token_store
