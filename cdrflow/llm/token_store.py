@@ -32,6 +32,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -53,7 +54,7 @@ GAMMA = 2.0  # cells a key in each level of the hash
 MAX_LEVELS = 64
 READ_BYTES = 8 << 20  # neighbouring documents are read together up to this
 
-_WORDS = 400_000  # words, and pieces of words, that a worker remembers
+_WORDS = 400_000  # words that each half of what a worker remembers holds
 _LONG = 64  # longer ones are not remembered
 
 
@@ -90,13 +91,36 @@ _PLAIN = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")  # without the dotted ca
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+class _Remembered(dict):
+    """The ids of words; those of a new word are asked of ``encode``.
+
+    Words are held in two halves of ``_WORDS``: when the newer one is full,
+    it becomes the older, and words still in use come back from there.
+    """
+
+    def __init__(self, encode):
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        if len(word) <= _LONG:
+            if len(self) >= _WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Encodes texts word by word, remembering the ids of words and pieces.
 
     For byte-level tokenizers that drop white space, lower the case and split
     words by ``_PIECES``; the merges are the tokenizer's own.  Words with other
     than Latin letters, or with an added token's sign, are encoded by the
-    tokenizer as a whole.  What is remembered is bounded by ``_WORDS``.
+    tokenizer as a whole.  A piece is a word whose only piece is itself, so
+    both are remembered in one table.
     """
 
     def __init__(self, json_path: str, width: int):
@@ -106,37 +130,29 @@ class WordEncoder:
         self.tokenize, self.letters = self.tokenizer.model.tokenize, _byte_letters()
         self.codes = [i.to_bytes(width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.split = regex.compile(_PIECES).findall
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        self.ids = _Remembered(self._word)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.words) > _WORDS:
-            self.words = {"": b""}
-        if len(self.pieces) > _WORDS:
-            self.pieces = {}
-        here, whole, long = self.words, [], {}
-        for w in {w for words in split for w in words if w not in here}:
-            if _PLAIN.fullmatch(w) and "<|" not in w:
-                plain = w.lower()  # such letters have no other composed form
-                ids = self._piece(plain) if plain.isalpha() else b"".join(map(self._piece, self.split(plain)))
-                (here if len(w) <= _LONG else long)[w] = ids
-            else:
-                whole.append(w)
-        for w, e in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False)):
-            (here if len(w) <= _LONG else long)[w] = np.asarray(e.ids, self.kind).tobytes()
-        if long:
-            here = {**here, **long}
-        return [b"".join(map(here.__getitem__, words)) for words in split]
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            signs = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            ids = b"".join([self.codes[t.id] for t in self.tokenize(signs)])
-            if len(piece) <= _LONG:
-                self.pieces[piece] = ids
-        return ids
+        ids, out = self.ids.__getitem__, []
+        for t in texts:
+            if t.isascii() and "<|" not in t:
+                t = t.lower()  # at once; the words of other texts one by one
+            out.append(b"".join(map(ids, t.replace("\n", " ").split(" "))))
+        return out
+
+    def _word(self, word: str) -> bytes:
+        if not _PLAIN.fullmatch(word) or "<|" in word:
+            return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+        plain = word.lower()  # such letters have no other composed form
+        if plain.isalpha():
+            return self._merged(plain) if plain == word else self.ids[plain]
+        stem = plain.rstrip(string.punctuation)
+        pieces = [stem, plain[len(stem) :]] if stem.isalpha() else self.split(plain)
+        return self._merged(plain) if len(pieces) == 1 else b"".join(map(self.ids.__getitem__, pieces))
+
+    def _merged(self, piece: str) -> bytes:
+        signs = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        return b"".join([self.codes[t.id] for t in self.tokenize(signs)])
 
 
 # -- minimal perfect hash ---------------------------------------------------

@@ -211,6 +211,23 @@ def test_word_encoder_equals_the_library():
     assert encode(texts) == want
 
 
+def test_words_in_use_are_merged_once_however_many_others_come(monkeypatch):
+    """What is remembered is bounded, and a full table does not cost the words still in use."""
+    monkeypatch.setattr(token_store, "_WORDS", 60)
+    encode, tok, merged = token_store.WordEncoder(WORD_BPE, 2), Tokenizer.from_file(WORD_BPE), Counter()
+    tokenize = encode.tokenize
+    monkeypatch.setattr(encode, "tokenize", lambda signs: merged.update([signs]) or tokenize(signs))
+    common = ["the", "The", "the,", "straße", "Straße.", "over***", "it's", "(Über)", "7b", "wörterbuch" * 20]
+    for k in range(50):
+        new = [f"{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j)}q" for j in range(20)]
+        texts = [" ".join(common), " ".join(new), " ".join(common[:4] + new[:3]) + "\né" + chr(0x301)]
+        want = [np.asarray(e.ids, "<u2").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
+        assert encode(texts) == want
+    assert len(merged) > 1000 and [merged[w] for w in ("the", "over", "***", ",", "it", "'s", "b")] == [1] * 7
+    for half in (encode.ids, encode.ids.older):
+        assert len(half) <= 60 and not any(len(w) > token_store._LONG for w in half)
+
+
 # -- vector codes -----------------------------------------------------------
 
 
